@@ -151,3 +151,50 @@ def trim_items(panes: DataFrame) -> DataFrame:
     return panes.withColumn("items", trimmed).withColumn(
         "cnt", F.when(F.col("items").isNotNull(), F.size("items")).otherwise(F.col("cnt"))
     ).drop("_cap").select(*PANE_COLUMNS)
+
+
+def build_session_panes(routed: DataFrame, gap_ms: int) -> DataFrame:
+    """Session partials: the same aggregates over gap-separated sessions.
+
+    ``session_window`` merges partials whose windows overlap -- the combine
+    step a session window needs -- with built-in aggregates.
+    """
+    rows = _contributing(routed).where(F.col("kind").isin("count", "sum", "max", "min"))
+    rows = rows.withColumn("_ts", F.timestamp_millis("event_ms"))
+    session = F.session_window("_ts", f"{gap_ms // 1000} seconds")
+    keys = ["id", "id_type", "feature", "kind", "sub_key"]
+    agg = rows.groupBy(session.alias("s"), *keys).agg(*_numeric_aggs())
+    return agg.select(
+        *keys,
+        F.unix_millis(F.col("s.start")).alias("session_start_ms"),
+        F.unix_millis(F.col("s.end")).alias("session_end_ms"),
+        "cnt",
+        F.coalesce("_sum_l", "_max_l", "_min_l").alias("num_long"),
+        F.coalesce("_sum_d", "_max_d", "_min_d").alias("num_double"),
+    )
+
+
+def retention_ms(cs) -> DataFrame:
+    """Per (feature, id_type): how long its panes are needed.
+
+    At least one hour, the longest look-back, a day for ``today`` and two
+    days for ``yesterday``.
+    """
+    whole = (F.when(F.col("whole") == "yesterday", F.lit(48 * 3_600_000))
+             .when(F.col("whole") == "today", F.lit(24 * 3_600_000)))
+    need = F.coalesce(F.col("window_ms"), whole, F.lit(0)).cast("bigint")
+    return (cs.windows.join(cs.specs.select("spec_id", "id_type"), "spec_id")
+            .groupBy("feature", "id_type")
+            .agg(F.greatest(F.max(need), F.lit(3_600_000).cast("bigint")).alias("retention_ms")))
+
+
+def retain_panes(panes: DataFrame, cs, as_of_ms, pane_ms: int) -> DataFrame:
+    """Panes still inside their retention as of ``as_of_ms``.
+
+    A broadcast join with the per-feature retention, then a filter; on a
+    date-partitioned pane table the same predicate prunes whole partitions.
+    """
+    from tumbleweed.operators.route import checked_broadcast
+
+    kept = panes.join(checked_broadcast(retention_ms(cs)), ["feature", "id_type"])
+    return kept.where(F.col("pane_end_ms") > F.lit(as_of_ms) - F.col("retention_ms")).drop("retention_ms")

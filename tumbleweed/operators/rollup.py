@@ -25,6 +25,7 @@ from pyspark.sql.window import Window
 from tumbleweed.functions.scalars import local_day_num
 from tumbleweed.operators.route import checked_broadcast
 from tumbleweed.plans.compile import CompiledSpecs
+from tumbleweed.sources.events import DEFAULT_EVENT_TIME_FIELD
 
 ENTITY = ["id", "id_type", "feature"]
 FEATURE_COLUMNS = ["id", "id_type", "feature", "feature_name", "window", "ts",
@@ -60,6 +61,12 @@ def _emit(df: DataFrame, name: Column, long_v: Column, double_v: Column, text_v:
     )
 
 
+def _none(panes: DataFrame) -> DataFrame:
+    """An empty feature frame (a kind without specs at this cadence)."""
+    return _emit(panes.where(F.lit(False)).withColumn("window", F.lit(None).cast("string")), F.lit(""),
+                 F.lit(None), F.lit(None), F.lit(None), F.lit(""))
+
+
 # --------------------------------------------------------------------------- numeric
 def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None) -> DataFrame:
     """COUNT (ungrouped), SUM, MAX, MIN over relative and whole-day windows."""
@@ -80,7 +87,11 @@ def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str |
 
     by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
     longs, doubles = {}, {}
-    for length in cs.window_lengths(kinds, pane_ms):
+    lengths = cs.window_lengths(kinds, pane_ms)
+    used = cs.whole_windows(kinds, pane_ms)
+    if not lengths and not used:
+        return _none(panes)
+    for length in lengths:
         frame = by_time.rangeBetween(-(length - 1), 0)
         longs[length], doubles[length] = agg("x_long", frame), agg("x_double", frame)
     whole_frames = {
@@ -88,7 +99,6 @@ def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str |
             Window.unboundedPreceding, Window.currentRow),
         "yesterday": Window.partitionBy(*ENTITY).orderBy("day").rangeBetween(-1, -1),
     }
-    used = cs.whole_windows(kinds, pane_ms)
     whole_long = {k: agg("x_long", whole_frames[k]) for k in used}
     whole_double = {k: agg("x_double", whole_frames[k]) for k in used}
 
@@ -104,7 +114,7 @@ def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str |
     for name in used:
         long_v = F.when(F.col("whole") == name, F.col(f"_l_{name}")).otherwise(long_v)
         double_v = F.when(F.col("whole") == name, F.col(f"_d_{name}")).otherwise(double_v)
-    is_double = F.col("field_type") == "double"
+    is_double = F.coalesce(F.col("field_type") == "double", F.lit(False))
     out = _emit(
         rows, F.concat_ws("_", "feature", "window"),
         F.when(~is_double, long_v), F.when(is_double, double_v),
@@ -140,8 +150,7 @@ def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz:
         gathered["yesterday"] = F.flatten(F.collect_list("groups").over(
             Window.partitionBy(*ENTITY).orderBy("day").rangeBetween(-1, -1)))
     if not gathered:
-        return _emit(active.where(F.lit(False)).withColumn("window", F.lit(None).cast("string")), F.lit(""),
-                     F.lit(None), F.lit(None), F.lit(None), F.lit("long"))
+        return _none(panes)
     framed = active.select(*ENTITY, "spec_id", "pane_end_ms",
                            *[v.alias(f"_g{i}") for i, v in enumerate(gathered.values())])
     tagged = F.array(*[F.struct(F.lit(k).alias("frame"), F.col(f"_g{i}").alias("entries"))
@@ -169,19 +178,34 @@ def _render_items(items: Column, need_ts: Column) -> Column:
         need_ts, F.concat(x["value"], F.lit("|"), x["ts"].cast("string"))).otherwise(x["value"])))
 
 
-def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int) -> DataFrame:
-    """LIST: newest ``capacity`` (value, time) items in the look-back."""
+def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
+                clock_field: str = DEFAULT_EVENT_TIME_FIELD) -> DataFrame:
+    """LIST: newest ``capacity`` (value, time) items in the look-back.
+
+    When item times are the pane clock, newer panes hold only newer items and
+    every pane holds at least one, so the newest K items sit in the newest K
+    panes: a ROWS frame of K panes, cut to the look-back, is exact and needs
+    no sort.  Otherwise the whole look-back is gathered and sorted.
+    """
     params = _spec_params(cs).where(F.col("spec_kind") == "list")
     p = (panes.join(params, ["feature", "id_type"])
          .select(*ENTITY, "spec_id", "pane_end_ms", "items", "capacity", "need_ts")
          .repartition(*ENTITY))
     by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
     picked = {}
-    for length, k in cs.list_frames(pane_ms):
-        rows_back = max(1, min(int(k), length // pane_ms + 1))
-        recent = F.collect_list(F.struct("pane_end_ms", "items")).over(by_time.rowsBetween(-(rows_back - 1), 0))
-        in_range = F.filter(recent, lambda x: x["pane_end_ms"] > F.col("pane_end_ms") - F.lit(length))
-        newest_first = F.flatten(F.transform(F.reverse(in_range), lambda x: x["items"]))
+    frames = cs.list_frames(pane_ms, clock_field)
+    if not frames:
+        return _none(panes)
+    for length, k, aligned in frames:
+        if aligned:
+            rows_back = max(1, min(int(k), length // pane_ms + 1))
+            recent = F.collect_list(F.struct("pane_end_ms", "items")).over(
+                by_time.rowsBetween(-(rows_back - 1), 0))
+            in_range = F.filter(recent, lambda x: x["pane_end_ms"] > F.col("pane_end_ms") - F.lit(length))
+            newest_first = F.flatten(F.transform(F.reverse(in_range), lambda x: x["items"]))
+        else:
+            gathered = F.collect_list("items").over(by_time.rangeBetween(-(length - 1), 0))
+            newest_first = F.sort_array(F.flatten(gathered), asc=False)
         picked[length] = F.slice(newest_first, 1, F.col("capacity"))
     framed = p.select(*ENTITY, "spec_id", "pane_end_ms", "need_ts",
                       *[v.alias(f"_i{k}") for k, v in picked.items()])
@@ -199,16 +223,18 @@ def rollup_set(panes: DataFrame, cs: CompiledSpecs, pane_ms: int) -> DataFrame:
          .repartition(*ENTITY))
     by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
     picked = {}
-    for length in cs.window_lengths(("set",), pane_ms):
+    lengths = cs.window_lengths(("set",), pane_ms)
+    if not lengths:
+        return _none(panes)
+    for length in lengths:
         gathered = F.collect_list("items").over(by_time.rangeBetween(-(length - 1), 0))
-        newest_first = F.flatten(F.reverse(gathered))
-        picked[length] = newest_first
+        picked[length] = F.sort_array(F.flatten(gathered), asc=False)
     framed = p.select(*ENTITY, "spec_id", "pane_end_ms", "need_ts", "capacity",
                       *[v.alias(f"_i{k}") for k, v in picked.items()])
     rows = framed.join(_windows(cs, pane_ms).where(F.col("whole").isNull()), "spec_id")
     merged = _pick(F.col("window_ms"), {k: F.col(f"_i{k}") for k in picked})
     rows = rows.withColumn("_m", merged)
-    # items are newest first, so the first occurrence of a value carries its newest time
+    # newest first, so the first occurrence of a value carries its newest time
     values = F.slice(F.array_distinct(F.transform("_m", lambda x: x["value"])), 1, F.col("capacity"))
     firsts = F.transform(values, lambda v: F.element_at(
         F.col("_m"), F.array_position(F.transform("_m", lambda x: x["value"]), v).cast("int")))
@@ -225,12 +251,13 @@ def rollup_latest(panes: DataFrame, cs: CompiledSpecs) -> DataFrame:
     return _emit(p, F.col("feature"), F.lit(None), F.lit(None), F.col("latest_value"), F.lit("string"))
 
 
-def rollup_all(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None) -> DataFrame:
+def rollup_all(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None,
+               clock_field: str = DEFAULT_EVENT_TIME_FIELD) -> DataFrame:
     """All windowed features of one cadence, unioned on the feature schema."""
     parts = [
         rollup_numeric(panes, cs, pane_ms, tz),
         rollup_grouped_count(panes, cs, pane_ms, tz),
-        rollup_list(panes, cs, pane_ms),
+        rollup_list(panes, cs, pane_ms, clock_field),
         rollup_set(panes, cs, pane_ms),
         rollup_latest(panes, cs),
     ]

@@ -48,10 +48,15 @@ def cell_snapshot(cells: DataFrame, as_of_ms=None) -> DataFrame:
 def feature_messages(cells: DataFrame, topic: str = "feature-out") -> DataFrame:
     """One JSON message per (entity, bizType, ts) with the renamed values.
 
-    Output ``(topic, key, value)`` -- ready for a Kafka or file sink.
+    Output ``(topic, key, value)`` -- ready for a Kafka or file sink.  One
+    exchange on the message key; a column written twice at the same instant
+    keeps its greatest value, so the map never holds a duplicate key.
     """
-    grouped = cells.where(F.col("biz_type").isNotNull()).groupBy("id", "id_type", "biz_type", "ts").agg(
-        F.map_from_entries(F.array_sort(F.collect_set(F.struct("column", "value")))).alias("kv"))
+    keys = ["id", "id_type", "biz_type", "ts"]
+    per_column = (cells.where(F.col("biz_type").isNotNull()).repartition(*keys)
+                  .groupBy(*keys, "column").agg(F.max("value").alias("value")))
+    grouped = per_column.groupBy(*keys).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("column", "value")))).alias("kv"))
     body = F.to_json(F.struct(
         F.col("id"), F.col("id_type").alias("dataType"), F.col("ts"),
         F.col("biz_type").alias("bizType"), F.col("kv")))

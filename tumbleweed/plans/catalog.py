@@ -36,10 +36,11 @@ EVENT_SPECS: list[dict] = [
      "windows": rel("10m", "3h") + whole("today", "yesterday"), "sinks": []},
     {"id": 3, "configType": "SUM", "bizType": "order", "idType": "uid", "featureNamePrefix": "val_sum",
      "typeConfig": ALL_EVENTS, "aggConfig": {"field": "ext.value", "fieldType": "double"},
-     "windows": rel("10m", "3h", "24h"), "sinks": cells("user_feature", {"val_sum_24h": "spend_24h"})},
+     "windows": rel("10m", "3h", "24h"), "sinks": []},
     {"id": 4, "configType": "SUM", "bizType": "", "idType": "uid", "featureNamePrefix": "k_sum",
      "typeConfig": ALL_EVENTS, "aggConfig": {"field": "ext.k", "fieldType": "long"},
-     "windows": rel("10m", "3h", "24h") + whole("today", "yesterday"), "sinks": []},
+     "windows": rel("10m", "3h", "24h") + whole("today", "yesterday"),
+     "sinks": cells("user_feature", {"k_sum_24h": "k_24h"})},
     {"id": 5, "configType": "MAX", "bizType": "", "idType": "uid", "featureNamePrefix": "val_max",
      "typeConfig": ALL_EVENTS, "aggConfig": {"field": "ext.value", "fieldType": "double"},
      "windows": rel("10m", "3h", "24h"), "sinks": []},
@@ -106,3 +107,32 @@ EXPECTED_ERRORS = {
     94: "unknown whole window: lastweek",
     95: "duplicate featureNamePrefix for idType",
 }
+
+
+ORDER_PLACED = [{"bizType": "order", "eventType": "placed", "targetType": "shop"}]
+ORDER_SPECS: list[dict] = [
+    {"id": 101, "configType": "COUNT", "bizType": "order", "idType": "uid", "featureNamePrefix": "cust_orders",
+     "typeConfig": ORDER_PLACED, "aggConfig": {}, "windows": rel("7d", "30d"), "sinks": []},
+    {"id": 102, "configType": "SUM", "bizType": "order", "idType": "uid", "featureNamePrefix": "cust_spend",
+     "typeConfig": ORDER_PLACED, "aggConfig": {"field": "ext.price", "fieldType": "double"},
+     "windows": rel("7d", "30d"), "sinks": []},
+    {"id": 103, "configType": "MAX", "bizType": "order", "idType": "uid", "featureNamePrefix": "cust_max_order",
+     "typeConfig": ORDER_PLACED, "aggConfig": {"field": "ext.price", "fieldType": "double"},
+     "windows": rel("30d"), "sinks": []},
+    {"id": 104, "configType": "COUNT", "bizType": "order", "idType": "uid", "featureNamePrefix": "cust_status",
+     "typeConfig": ORDER_PLACED, "aggConfig": {"groupByField": "ext.status"}, "windows": rel("30d"), "sinks": []},
+]
+
+LINE_SHIPPED = [{"bizType": "order", "eventType": "shipped", "targetType": "part"}]
+LINEITEM_SPECS: list[dict] = [
+    {"id": 201, "configType": "SUM", "bizType": "order", "idType": "uid", "featureNamePrefix": "supp_qty",
+     "typeConfig": LINE_SHIPPED, "aggConfig": {"field": "ext.qty", "fieldType": "double"},
+     "windows": rel("7d", "30d"), "sinks": []},
+    {"id": 202, "configType": "COUNT", "bizType": "order", "idType": "uid", "featureNamePrefix": "supp_flag",
+     "typeConfig": LINE_SHIPPED, "aggConfig": {"groupByField": "ext.flag"}, "windows": rel("30d"), "sinks": []},
+    {"id": 203, "configType": "LIST", "bizType": "order", "idType": "uid", "featureNamePrefix": "supp_parts",
+     "typeConfig": LINE_SHIPPED, "aggConfig": {"field": "ext.targetUid", "capacity": 3}, "windows": rel("7d"),
+     "sinks": []},
+    {"id": 204, "configType": "COUNT", "bizType": "order", "idType": "targetUid", "featureNamePrefix": "part_ships",
+     "typeConfig": LINE_SHIPPED, "aggConfig": {}, "windows": rel("30d"), "sinks": []},
+]

@@ -57,14 +57,16 @@ class CompiledSpecs:
         )
         return sorted(r[0] for r in rows)
 
-    def list_frames(self, cadence_ms: int) -> list[tuple[int, int]]:
-        """(window_ms, largest capacity) of LIST specs at one cadence."""
+    def list_frames(self, cadence_ms: int, clock_field: str) -> list[tuple[int, int, bool]]:
+        """(window_ms, largest capacity, items follow the pane clock) of LIST specs."""
         rows = (
             self.windows.where(F.col("whole").isNull() & (F.col("cadence_ms") == cadence_ms))
-            .join(self.specs.where(F.col("kind") == "list").select("spec_id", "capacity"), "spec_id")
-            .groupBy("window_ms").agg(F.max("capacity").alias("k")).collect()
+            .join(self.specs.where(F.col("kind") == "list").select("spec_id", "capacity", "time_field"), "spec_id")
+            .groupBy("window_ms").agg(
+                F.max("capacity").alias("k"),
+                F.bool_and(F.col("time_field") == F.lit(clock_field)).alias("aligned")).collect()
         )
-        return sorted((r[0], r[1]) for r in rows)
+        return sorted((r[0], r[1], bool(r[2])) for r in rows)
 
 
 def _blank(c):
@@ -214,6 +216,23 @@ def compile_specs(specs: DataFrame) -> CompiledSpecs:
     expressions = {r.e: expression_sql(r.e) for r in texts if not is_plain_path(r.e)}
 
     return CompiledSpecs(
-        specs=spec_cols, validation=validation, routes=routes, windows=windows,
-        atom_fields=atom_fields, sink_fields=sink_fields, expressions=expressions,
+        specs=_local(spec_cols), validation=_local(validation), routes=_local(routes),
+        windows=_local(windows), atom_fields=_local(atom_fields), sink_fields=_local(sink_fields),
+        expressions=expressions,
     )
+
+
+# Spec-derived tables are configuration, bounded by the number of specs.
+MAX_SPEC_ROWS = 100_000
+
+
+def _local(df: DataFrame) -> DataFrame:
+    """Pin a compiled spec table as an in-plan local relation.
+
+    The spec set is evaluated once instead of on every use, and Catalyst sees
+    its exact size, so the broadcasts that use it are proven small.
+    """
+    rows = df.limit(MAX_SPEC_ROWS + 1).collect()
+    if len(rows) > MAX_SPEC_ROWS:
+        raise ValueError(f"spec table exceeds {MAX_SPEC_ROWS} rows")
+    return df.sparkSession.createDataFrame(rows, df.schema)
