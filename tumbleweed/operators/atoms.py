@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 from tumbleweed.functions.fields import field_value
 from tumbleweed.functions.scalars import not_blank
-from tumbleweed.operators.route import checked_broadcast, route_atoms
+from tumbleweed.operators.route import route_atoms, spec_broadcast
 from tumbleweed.plans.compile import CompiledSpecs
 
 
 def atom_features(fanned: DataFrame, cs: CompiledSpecs) -> DataFrame:
     fields = cs.atom_fields.groupBy("spec_id").agg(
         F.collect_list(F.struct("source_field", "out_name")).alias("fields"))
-    routed = route_atoms(fanned, cs).join(checked_broadcast(fields), "spec_id")
+    routed = route_atoms(fanned, cs).join(spec_broadcast(fields), "spec_id")
     one = routed.select("id", "id_type", F.col("event_ms"), "ext", "attrs",
                         F.explode("fields").alias("f"))
     value = field_value(F.col("f.source_field"), cs.expressions)

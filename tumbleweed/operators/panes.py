@@ -76,15 +76,36 @@ def _finish_numeric(df: DataFrame) -> DataFrame:
     )
 
 
-def build_panes(routed: DataFrame, pane_ms: int, max_capacity: int | None = None) -> DataFrame:
-    """Batch pane build over routed long rows (output of ``route_windowed``)."""
-    rows = _contributing(routed).withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), pane_ms))
+NUMERIC_KINDS = ("count", "sum", "max", "min", "latest")
+ITEM_KINDS = ("list", "set")
+
+
+def build_panes(routed: DataFrame, pane_ms: int, max_capacity: int | None = None,
+                kinds: set[str] | None = None) -> DataFrame:
+    """Batch pane build over routed long rows (output of ``route_windowed``).
 
-    numeric = _finish_numeric(
+    ``kinds`` (from the compiled specs) leaves out a branch no spec needs.
+    """
+    kinds = set(NUMERIC_KINDS + ITEM_KINDS) if kinds is None else set(kinds)
+    rows = _contributing(routed).withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), pane_ms))
+    parts = []
+    if kinds & set(NUMERIC_KINDS):
+        parts.append(_numeric_panes(rows))
+    if kinds & set(ITEM_KINDS):
+        parts.append(_item_panes(rows, max_capacity))
+    if not parts:
+        return _numeric_panes(rows.where(F.lit(False)))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _numeric_panes(rows: DataFrame) -> DataFrame:
+    return _finish_numeric(
         rows.where(F.col("kind").isin("count", "sum", "max", "min", "latest"))
         .groupBy(*PANE_KEYS).agg(*_numeric_aggs())
     )
 
+
+def _item_panes(rows: DataFrame, max_capacity: int | None) -> DataFrame:
     item_rows = rows.where(F.col("kind").isin("list", "set"))
     # LIST keeps distinct (value, time) pairs; SET keeps each value once, at its newest time
     deduped = (
@@ -96,7 +117,7 @@ def build_panes(routed: DataFrame, pane_ms: int, max_capacity: int | None = None
     ranked = deduped.withColumn("_rn", F.row_number().over(newest))
     if max_capacity is not None:
         ranked = ranked.where(F.col("_rn") <= F.lit(int(max_capacity)))  # literal -> WindowGroupLimit
-    items = (
+    return (
         ranked.where(F.col("_rn") <= F.col("capacity"))
         .groupBy(*PANE_KEYS)
         .agg(
@@ -110,7 +131,6 @@ def build_panes(routed: DataFrame, pane_ms: int, max_capacity: int | None = None
             F.lit(None).cast("string").alias("latest_value"), F.lit(None).cast("bigint").alias("latest_ms"),
         )
     )
-    return numeric.unionByName(items)
 
 
 def build_panes_streaming(routed: DataFrame, pane_ms: int) -> DataFrame:
@@ -194,7 +214,7 @@ def retain_panes(panes: DataFrame, cs, as_of_ms, pane_ms: int) -> DataFrame:
     A broadcast join with the per-feature retention, then a filter; on a
     date-partitioned pane table the same predicate prunes whole partitions.
     """
-    from tumbleweed.operators.route import checked_broadcast
+    from tumbleweed.operators.route import spec_broadcast
 
-    kept = panes.join(checked_broadcast(retention_ms(cs)), ["feature", "id_type"])
+    kept = panes.join(spec_broadcast(retention_ms(cs)), ["feature", "id_type"])
     return kept.where(F.col("pane_end_ms") > F.lit(as_of_ms) - F.col("retention_ms")).drop("retention_ms")

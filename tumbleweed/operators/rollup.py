@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tumbleweed.functions.scalars import local_day_num
-from tumbleweed.operators.route import checked_broadcast
+from tumbleweed.operators.route import spec_broadcast
 from tumbleweed.plans.compile import CompiledSpecs
 from tumbleweed.sources.events import DEFAULT_EVENT_TIME_FIELD
 
@@ -33,13 +33,13 @@ FEATURE_COLUMNS = ["id", "id_type", "feature", "feature_name", "window", "ts",
 
 
 def _spec_params(cs: CompiledSpecs) -> DataFrame:
-    return checked_broadcast(cs.specs.where(F.col("kind") != "atom").select(
+    return spec_broadcast(cs.specs.where(F.col("kind") != "atom").select(
         "spec_id", "feature", "id_type", F.col("kind").alias("spec_kind"), "field_type",
         F.col("group_by").isNotNull().alias("grouped"), "capacity", "need_ts"))
 
 
 def _windows(cs: CompiledSpecs, pane_ms: int) -> DataFrame:
-    return checked_broadcast(cs.windows.where(F.col("cadence_ms") == pane_ms).select(
+    return spec_broadcast(cs.windows.where(F.col("cadence_ms") == pane_ms).select(
         "spec_id", "window", "window_ms", "whole"))
 
 
@@ -253,14 +253,26 @@ def rollup_latest(panes: DataFrame, cs: CompiledSpecs) -> DataFrame:
 
 def rollup_all(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None,
                clock_field: str = DEFAULT_EVENT_TIME_FIELD) -> DataFrame:
-    """All windowed features of one cadence, unioned on the feature schema."""
-    parts = [
-        rollup_numeric(panes, cs, pane_ms, tz),
-        rollup_grouped_count(panes, cs, pane_ms, tz),
-        rollup_list(panes, cs, pane_ms, clock_field),
-        rollup_set(panes, cs, pane_ms),
-        rollup_latest(panes, cs),
-    ]
+    """All windowed features of one cadence, unioned on the feature schema.
+
+    Only the roll-ups some spec needs are planned.
+    """
+    kinds = cs.kinds_at(pane_ms)
+    grouped = {r.feature for r in cs.rows["specs"] if r.kind == "count" and r.group_by is not None}
+    ungrouped = {r.feature for r in cs.rows["specs"] if r.kind in ("count", "sum", "max", "min")} - grouped
+    parts = []
+    if ungrouped and kinds & {"count", "sum", "max", "min"}:
+        parts.append(rollup_numeric(panes, cs, pane_ms, tz))
+    if grouped and "count" in kinds:
+        parts.append(rollup_grouped_count(panes, cs, pane_ms, tz))
+    if "list" in kinds:
+        parts.append(rollup_list(panes, cs, pane_ms, clock_field))
+    if "set" in kinds:
+        parts.append(rollup_set(panes, cs, pane_ms))
+    if "latest" in kinds:
+        parts.append(rollup_latest(panes, cs))
+    if not parts:
+        return _none(panes)
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tumbleweed.functions.fields import field_value
 from tumbleweed.operators.fanout import strip_id_prefix
-from tumbleweed.plans.compile import CompiledSpecs
+from tumbleweed.plans.compile import CompiledSpecs, literal_table
 
 ROUTE_KEYS = ["biz_type", "event_type", "target_type", "id_type"]
 # A route/spec table larger than this is not broadcast (it is config, so this
@@ -21,9 +21,22 @@ ROUTE_KEYS = ["biz_type", "event_type", "target_type", "id_type"]
 BROADCAST_MAX_ROWS = 200_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when its row count is within ``max_rows``."""
-    n = df.limit(max_rows + 1).count()
+def spec_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast a spec-derived table.
+
+    Its row count was bounded when the specs were compiled (``MAX_SPEC_ROWS``),
+    so it cannot grow with the event data.
+    """
+    return F.broadcast(df)
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only when its row count is within ``max_rows``.
+
+    Spec-derived tables pass ``known_rows`` (counted at compile time); other
+    frames are counted here, and beyond the bound the join stays a shuffle join.
+    """
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
@@ -33,10 +46,7 @@ def route_windowed(fanned: DataFrame, cs: CompiledSpecs, cadence_ms: int) -> Dat
     Output: ``id, id_type, feature, kind, spec_id, event_ms, val, grp, item_ms``
     plus the spec parameters used by the pane build.
     """
-    routes = cs.routes.where(F.col("cadence_ms") == cadence_ms).drop("cadence_ms")
-    spec_params = cs.specs.where(F.col("kind") != "atom").select(
-        "spec_id", "kind", "feature", "field", "field_type", "group_by", "time_field", "capacity")
-    table = checked_broadcast(routes.join(spec_params, "spec_id"))
+    table = F.broadcast(cs.route_table(cadence_ms))  # bounded by the spec set (checked at compile)
     joined = fanned.where(F.col("event_ms").isNotNull()).join(table, ROUTE_KEYS)
     ev = cs.expressions
     return joined.select(
@@ -53,6 +63,9 @@ def route_windowed(fanned: DataFrame, cs: CompiledSpecs, cadence_ms: int) -> Dat
 
 def route_atoms(fanned: DataFrame, cs: CompiledSpecs) -> DataFrame:
     """Routed rows for atom specs: one row per (event, atom spec)."""
-    routes = cs.routes.where(F.col("cadence_ms").isNull()).drop("cadence_ms")
-    table = checked_broadcast(routes.join(cs.specs.where(F.col("kind") == "atom").select("spec_id"), "spec_id"))
-    return fanned.join(table, ROUTE_KEYS)
+    atom_ids = [r.spec_id for r in cs.rows["specs"] if r.kind == "atom"]
+    routes = [r for r in cs.rows["routes"] if r.cadence_ms is None and r.spec_id in atom_ids]
+    table = literal_table(fanned.sparkSession, [(r.spec_id, r.biz_type, r.event_type, r.target_type, r.id_type)
+                                                for r in routes],
+                          "spec_id int, biz_type string, event_type string, target_type string, id_type string")
+    return fanned.join(F.broadcast(table), ROUTE_KEYS)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tumbleweed.functions.scalars import row_key
-from tumbleweed.operators.route import checked_broadcast
+from tumbleweed.operators.route import spec_broadcast
 from tumbleweed.plans.compile import CELL_SINK_TYPES, CompiledSpecs
 
 
@@ -21,7 +21,7 @@ def serving_cells(features: DataFrame, cs: CompiledSpecs) -> DataFrame:
 
     Unmapped features are not persisted.
     """
-    mapping = checked_broadcast(cs.sink_fields.where(F.col("sink_type").isin(*CELL_SINK_TYPES)))
+    mapping = spec_broadcast(cs.sink_fields.where(F.col("sink_type").isin(*CELL_SINK_TYPES)))
     joined = features.join(mapping, "feature_name")
     return joined.select(
         "table", row_key(F.col("id")).alias("row_key"), "column", "ts",

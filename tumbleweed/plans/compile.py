@@ -1,12 +1,11 @@
 """Spec compiler: spec rows -> routing, window and sink tables.
 
-Everything here works on the spec DataFrame with DataFrame operators.  The
-outputs are small tables (one row per spec x route, spec x window, feature x
-sink column); their size is bounded by the spec set, never by the events.
-
-Only two things are brought to the driver, because they must become literals
-in the physical plan: the distinct non-plain field expressions (compiled with
-``F.expr``) and the distinct look-back lengths (RANGE frame bounds).
+A spec set is configuration -- like the text of a query -- so it is read once
+(its size checked) and compiled on the driver.  The outputs are small tables
+(one row per spec x route, spec x window, feature x sink column) whose size
+is bounded by the spec set, never by the events; they enter the data plans
+as literal broadcast tables.  Distinct non-plain field expressions become
+``F.expr`` branches and distinct look-back lengths become RANGE frame bounds.
 """
 
 from __future__ import annotations
@@ -15,10 +14,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tumbleweed.functions.fields import expression_sql, is_plain_path
-from tumbleweed.functions.intervals import WHOLE_WINDOWS, interval_ms_col
+from tumbleweed.functions.intervals import WHOLE_WINDOWS
 from tumbleweed.sources.events import DEFAULT_EVENT_TIME_FIELD
 
 # Feature kinds of the spec format (configType, case-insensitive).
@@ -31,6 +29,13 @@ CELL_SINK_TYPES = ("hbase", "cells")
 
 @dataclass
 class CompiledSpecs:
+    """Compiled spec tables.
+
+    Each table is held twice: as driver-side rows (configuration, bounded by
+    the spec count) for planning decisions, and as a literal in-plan
+    DataFrame for joins.  Planning therefore runs no Spark job.
+    """
+
     specs: DataFrame          # one row per valid spec, normalised columns
     validation: DataFrame     # (spec_id, feature, error) for rejected specs
     routes: DataFrame         # (spec_id, biz_type, event_type, target_type, id_type, cadence_ms)
@@ -38,201 +43,262 @@ class CompiledSpecs:
     atom_fields: DataFrame    # (spec_id, feature, source_field, out_name)
     sink_fields: DataFrame    # (feature_name, sink_type, table, ttl_ms, column, biz_type)
     expressions: dict[str, str] = field(default_factory=dict)
+    rows: dict[str, list] = field(default_factory=dict)
+
+    def _kind_of(self) -> dict:
+        return {r.spec_id: r for r in self.rows["specs"]}
+
+    def _relative(self, kinds, cadence_ms):
+        specs = self._kind_of()
+        return [(w, specs[w.spec_id]) for w in self.rows["windows"]
+                if w.whole is None and w.cadence_ms == cadence_ms and specs[w.spec_id].kind in kinds]
 
     def window_lengths(self, kinds: tuple[str, ...], cadence_ms: int) -> list[int]:
         """Distinct relative look-back lengths for ``kinds`` at one cadence."""
-        rows = (
-            self.windows.where(F.col("whole").isNull() & (F.col("cadence_ms") == cadence_ms))
-            .join(self.specs.select("spec_id", "kind").where(F.col("kind").isin(*kinds)), "spec_id")
-            .select("window_ms").distinct().collect()
-        )
-        return sorted(r[0] for r in rows)
+        return sorted({w.window_ms for w, _ in self._relative(kinds, cadence_ms)})
 
     def whole_windows(self, kinds: tuple[str, ...], cadence_ms: int) -> list[str]:
         """Whole-day window names used by ``kinds`` at one cadence."""
-        rows = (
-            self.windows.where(F.col("whole").isNotNull() & (F.col("cadence_ms") == cadence_ms))
-            .join(self.specs.select("spec_id", "kind").where(F.col("kind").isin(*kinds)), "spec_id")
-            .select("whole").distinct().collect()
-        )
-        return sorted(r[0] for r in rows)
+        specs = self._kind_of()
+        return sorted({w.whole for w in self.rows["windows"]
+                       if w.whole is not None and w.cadence_ms == cadence_ms and specs[w.spec_id].kind in kinds})
 
     def list_frames(self, cadence_ms: int, clock_field: str) -> list[tuple[int, int, bool]]:
         """(window_ms, largest capacity, items follow the pane clock) of LIST specs."""
-        rows = (
-            self.windows.where(F.col("whole").isNull() & (F.col("cadence_ms") == cadence_ms))
-            .join(self.specs.where(F.col("kind") == "list").select("spec_id", "capacity", "time_field"), "spec_id")
-            .groupBy("window_ms").agg(
-                F.max("capacity").alias("k"),
-                F.bool_and(F.col("time_field") == F.lit(clock_field)).alias("aligned")).collect()
-        )
-        return sorted((r[0], r[1], bool(r[2])) for r in rows)
+        acc: dict[int, tuple[int, bool]] = {}
+        for w, spec in self._relative(("list",), cadence_ms):
+            k, aligned = acc.get(w.window_ms, (0, True))
+            acc[w.window_ms] = (max(k, spec.capacity), aligned and spec.time_field == clock_field)
+        return sorted((ms, k, a) for ms, (k, a) in acc.items())
+
+    def kinds_at(self, cadence_ms: int) -> set[str]:
+        """Kinds with at least one route at this cadence."""
+        specs = self._kind_of()
+        return {specs[r.spec_id].kind for r in self.rows["routes"] if r.cadence_ms == cadence_ms}
+
+    def max_capacity(self) -> int | None:
+        caps = [r.capacity for r in self.rows["specs"] if r.kind in ("list", "set") and r.capacity]
+        return max(caps) if caps else None
+
+    def route_table(self, cadence_ms: int) -> DataFrame:
+        """Routes of one cadence joined with their spec parameters (windowed kinds)."""
+        specs = self._kind_of()
+        cols = ["biz_type", "event_type", "target_type", "id_type", "spec_id", "kind", "feature", "field",
+                "field_type", "group_by", "time_field", "capacity"]
+        out = []
+        for r in self.rows["routes"]:
+            if r.cadence_ms == cadence_ms and specs[r.spec_id].kind != "atom":
+                sp = specs[r.spec_id]
+                out.append((r.biz_type, r.event_type, r.target_type, r.id_type, sp.spec_id, sp.kind, sp.feature,
+                            sp.field, sp.field_type, sp.group_by, sp.time_field, sp.capacity))
+        schema = ("biz_type string, event_type string, target_type string, id_type string, spec_id int, "
+                  "kind string, feature string, field string, field_type string, group_by string, "
+                  "time_field string, capacity int")
+        return literal_table(self.specs.sparkSession, out, schema, cols)
+
+
+def _is_blank(v) -> bool:
+    return v is None or str(v).strip() == ""
+
+
+def _parse_interval(text):
+    from tumbleweed.functions.intervals import parse_interval_ms
+
+    return parse_interval_ms(text)
+
+
+SPEC_COLUMNS = ("spec_id int, kind string, feature string, id_type string, field string, field_type string, "
+                "group_by string, time_field string, capacity int, need_ts boolean, spec_biz_type string")
+VALIDATION_COLUMNS = "spec_id int, feature string, error string"
+ROUTE_COLUMNS = ("spec_id int, biz_type string, event_type string, target_type string, id_type string, "
+                 "cadence_ms bigint")
+WINDOW_COLUMNS = "spec_id int, feature string, window string, window_ms bigint, whole string, cadence_ms bigint"
+ATOM_COLUMNS = "spec_id int, feature string, source_field string, out_name string"
+SINK_COLUMNS = ("feature_name string, sink_type string, table string, ttl_ms bigint, column string, "
+                "biz_type string")
+
+
+def _spec_error(sp: dict) -> str | None:
+    """First failed per-spec rule, or None."""
+    kind = sp["kind"]
+    if sp["spec_id"] is None:
+        return "missing id"
+    if kind not in KINDS:
+        return f"unknown kind: {kind if kind is not None else 'null'}"
+    if _is_blank(sp["feature"]):
+        return "blank featureNamePrefix"
+    if _is_blank(sp["id_type"]):
+        return "blank idType"
+    if not sp["type_config"]:
+        return "empty typeConfig"
+    if kind in ("sum", "max", "min", "list", "set", "latest") and _is_blank(sp["field"]):
+        return "missing aggConfig.field"
+    if kind in ("sum", "max", "min") and sp["field_type"] not in NUMERIC_TYPES:
+        return f"bad fieldType: {sp['field_type'] if sp['field_type'] is not None else 'null'}"
+    if kind in ("list", "set") and not (sp["capacity"] or 0) >= 1:
+        return "capacity must be >= 1"
+    if kind == "atom" and not sp["atom_fields"]:
+        return "atom spec without aggConfig.fields"
+    if kind in WINDOWED_KINDS and kind != "latest" and not sp["windows"]:
+        return "no windows"
+    return None
 
 
-def _blank(c):
-    return F.coalesce(F.trim(c), F.lit("")) == ""
+def _window_errors(sp: dict) -> list[str]:
+    """Per-window rules (D10, D12); LATEST only uses its windows for the cadence."""
+    if sp["kind"] not in WINDOWED_KINDS or sp["kind"] == "latest":
+        return []
+    out = []
+    for w in sp["windows"]:
+        if w["window"] is None:
+            continue
+        if w["cadence_ms"] is None:
+            out.append(f"bad delay: {w['delay'] if w['delay'] is not None else 'null'}")
+        elif w["is_whole"] and w["window"] not in WHOLE_WINDOWS:
+            out.append(f"unknown whole window: {w['window']}")
+        elif not w["is_whole"] and w["window_ms"] is None:
+            out.append(f"bad window: {w['window']}")
+    return out
+
+
+def _normalise(r) -> dict:
+    agg = r["aggConfig"]
+    get = (lambda k: agg[k] if agg is not None else None)
+    kind = r["configType"].strip().lower() if r["configType"] is not None else None
+    windows = []
+    for w in r["windows"] or []:
+        is_whole = w["windowType"] == WHOLE_WINDOW_TYPE
+        windows.append({
+            "window": w["window"], "delay": w["delay"], "is_whole": is_whole,
+            "window_ms": _parse_interval(w["window"]), "cadence_ms": _parse_interval(w["delay"]),
+        })
+    return {
+        "spec_id": r["id"], "kind": kind, "spec_biz_type": r["bizType"] or "",
+        "id_type": r["idType"], "feature": r["featureNamePrefix"],
+        "type_config": list(r["typeConfig"] or []),
+        "field": get("field"), "field_type": get("fieldType"), "group_by": get("groupByField"),
+        "time_field": get("eventTimeField") or DEFAULT_EVENT_TIME_FIELD,
+        "capacity": get("capacity"), "need_ts": bool(get("needTs")) if get("needTs") is not None else False,
+        "atom_fields": list(get("fields") or []), "windows": windows, "sinks": list(r["sinks"] or []),
+    }
 
 
 def compile_specs(specs: DataFrame) -> CompiledSpecs:
-    s = specs.select(
-        F.col("id").alias("spec_id"),
-        F.lower(F.trim("configType")).alias("kind"),
-        F.coalesce(F.col("bizType"), F.lit("")).alias("spec_biz_type"),
-        F.col("idType").alias("id_type"),
-        F.col("featureNamePrefix").alias("feature"),
-        F.col("typeConfig").alias("type_config"),
-        F.col("aggConfig.field").alias("field"),
-        F.col("aggConfig.fieldType").alias("field_type"),
-        F.col("aggConfig.groupByField").alias("group_by"),
-        F.coalesce(F.col("aggConfig.eventTimeField"), F.lit(DEFAULT_EVENT_TIME_FIELD)).alias("time_field"),
-        F.col("aggConfig.capacity").alias("capacity"),
-        F.coalesce(F.col("aggConfig.needTs"), F.lit(False)).alias("need_ts"),
-        F.col("aggConfig.fields").alias("atom_spec_fields"),
-        F.col("windows"),
-        F.col("sinks"),
-    )
-
-    # --- per-window checks -------------------------------------------------
-    w = s.select("spec_id", "feature", "kind", F.explode_outer("windows").alias("w")).select(
-        "spec_id", "feature", "kind",
-        F.col("w.window").alias("window"),
-        F.col("w.delay").alias("delay"),
-        (F.col("w.windowType") == WHOLE_WINDOW_TYPE).alias("is_whole"),
-        interval_ms_col(F.col("w.window")).alias("window_ms"),
-        interval_ms_col(F.col("w.delay")).alias("cadence_ms"),
-    )
-    window_error = (
-        F.when(F.col("window").isNull(), F.lit(None))
-        .when(F.col("cadence_ms").isNull(), F.concat(F.lit("bad delay: "), F.coalesce("delay", F.lit("null"))))
-        .when(F.coalesce("is_whole", F.lit(False)) & ~F.col("window").isin(*WHOLE_WINDOWS),
-              F.concat(F.lit("unknown whole window: "), F.col("window")))
-        .when(~F.coalesce("is_whole", F.lit(False)) & F.col("window_ms").isNull(),
-              F.concat(F.lit("bad window: "), F.col("window")))
-    )
-    w_err = (
-        w.where(F.col("kind").isin(*[k for k in WINDOWED_KINDS if k != "latest"]))
-        .select("spec_id", window_error.alias("error")).where(F.col("error").isNotNull())
-    )
-
-    # --- per-spec checks ---------------------------------------------------
-    numeric = F.col("kind").isin("sum", "max", "min")
-    needs_field = F.col("kind").isin("sum", "max", "min", "list", "set", "latest")
-    n_windows = F.size(F.coalesce(F.col("windows"), F.array()))
-    spec_error = (
-        F.when(F.col("spec_id").isNull(), F.lit("missing id"))
-        .when(~F.col("kind").isin(*KINDS), F.concat(F.lit("unknown kind: "), F.coalesce("kind", F.lit("null"))))
-        .when(_blank(F.col("feature")), F.lit("blank featureNamePrefix"))
-        .when(_blank(F.col("id_type")), F.lit("blank idType"))
-        .when(F.size(F.coalesce(F.col("type_config"), F.array())) == 0, F.lit("empty typeConfig"))
-        .when(needs_field & _blank(F.col("field")), F.lit("missing aggConfig.field"))
-        .when(numeric & ~F.coalesce(F.col("field_type"), F.lit("")).isin(*NUMERIC_TYPES),
-              F.concat(F.lit("bad fieldType: "), F.coalesce("field_type", F.lit("null"))))
-        .when(F.col("kind").isin("list", "set") & ~(F.coalesce("capacity", F.lit(0)) >= 1),
-              F.lit("capacity must be >= 1"))
-        .when((F.col("kind") == "atom") & (F.size(F.coalesce(F.col("atom_spec_fields"), F.array())) == 0),
-              F.lit("atom spec without aggConfig.fields"))
-        .when(F.col("kind").isin(*[k for k in WINDOWED_KINDS if k != "latest"]) & (n_windows == 0),
-              F.lit("no windows"))
-    )
-    # D3: the history key is (id, id_type, feature); a prefix serves one spec per
-    # id type -- the lowest id keeps it, later duplicates are rejected
-    dup = F.row_number().over(Window.partitionBy("feature", "id_type").orderBy("spec_id")) > 1
-    errs = s.select("spec_id", "feature", spec_error.alias("error"),
-                    F.when(dup, F.lit("duplicate featureNamePrefix for idType")).alias("dup_error"))
-    spec_errors = errs.select("spec_id", F.coalesce("error", "dup_error").alias("error")).where(
-        F.col("error").isNotNull())
-    all_errors = spec_errors.unionByName(w_err)
-    validation = (
-        all_errors.join(s.select("spec_id", "feature"), "spec_id", "left")
-        .groupBy("spec_id", "feature").agg(F.array_join(F.array_sort(F.collect_set("error")), "; ").alias("error"))
-    )
-
-    valid = s.join(all_errors.select("spec_id").distinct(), "spec_id", "left_anti")
-    spec_cols = valid.select(
-        "spec_id", "kind", "feature", "id_type", "field", "field_type", "group_by",
-        "time_field", "capacity", "need_ts", "spec_biz_type",
-    )
-
-    windows = (
-        w.join(valid.select("spec_id"), "spec_id", "left_semi")
-        .where(F.col("window").isNotNull())
-        .select(
-            "spec_id", "feature", "window",
-            F.when(F.col("is_whole"), F.lit(None).cast("bigint")).otherwise(F.col("window_ms")).alias("window_ms"),
-            F.when(F.col("is_whole"), F.col("window")).alias("whole"),
-            "cadence_ms",
-        )
-        .distinct()
-    )
-
-    # One route per (spec, route key, cadence); D7: absent parts are ''
-    route_parts = valid.select(
-        "spec_id", "kind", "id_type", F.explode("type_config").alias("t")
-    ).select(
-        "spec_id", "kind", "id_type",
-        F.coalesce(F.col("t.bizType"), F.lit("")).alias("biz_type"),
-        F.coalesce(F.col("t.eventType"), F.lit("")).alias("event_type"),
-        F.coalesce(F.col("t.targetType"), F.lit("")).alias("target_type"),
-    )
-    cadences = windows.select("spec_id", "cadence_ms").distinct()
-    windowed_routes = route_parts.where(F.col("kind") != "atom").join(cadences, "spec_id")
-    atom_routes = route_parts.where(F.col("kind") == "atom").withColumn("cadence_ms", F.lit(None).cast("bigint"))
-    routes = windowed_routes.unionByName(atom_routes).select(
-        "spec_id", "biz_type", "event_type", "target_type", "id_type", "cadence_ms").distinct()
-
-    atom_fields = valid.where(F.col("kind") == "atom").select(
-        "spec_id", "feature", F.explode("atom_spec_fields").alias("f")
-    ).select(
-        "spec_id", "feature",
-        F.col("f.sourceField").alias("source_field"),
-        F.concat_ws("_", F.col("feature"), F.col("f.featureName")).alias("out_name"),
-    ).where(~_blank(F.col("source_field")))
-
-    sink_rows = valid.select("spec_id", "spec_biz_type", F.explode("sinks").alias("k")).select(
-        "spec_id", "spec_biz_type", F.lower(F.col("k.type")).alias("sink_type"),
-        F.explode(F.col("k.fields")).alias("feature_name", "m"),
-    )
-    rename = F.col("m.rename")
-    by_column = Window.partitionBy("sink_type", "feature_name").orderBy(F.col("spec_id").desc())
-    sink_fields = (
-        sink_rows.select(
-            "spec_id", "feature_name", "sink_type",
-            F.col("m.table").alias("table"),
-            F.when(F.col("m.ttl") > 0, F.col("m.ttl") * 1000).alias("ttl_ms"),
-            # A blank rename falls back to the feature name
-            F.when(_blank(rename), F.col("feature_name")).otherwise(rename).alias("column"),
-            F.when(~_blank(F.col("spec_biz_type")), F.col("spec_biz_type")).alias("biz_type"),
-        )
-        .withColumn("_rn", F.row_number().over(by_column))
-        .where("_rn = 1").drop("_rn", "spec_id")
-    )
+    """Validate and compile a spec set.
 
-    # Non-plain expressions become literal branches of the plan.
-    texts = (
-        valid.select(F.explode(F.array_compact(F.array("field", "group_by", "time_field"))).alias("e"))
-        .unionByName(atom_fields.select(F.col("source_field").alias("e")))
-        .distinct().collect()
-    )
-    expressions = {r.e: expression_sql(r.e) for r in texts if not is_plain_path(r.e)}
+    The spec set is configuration (its size is checked against
+    ``MAX_SPEC_ROWS``), so it is read once and compiled on the driver, like a
+    query text; the tables it yields are carried into the data plans.
+    """
+    spark = specs.sparkSession
+    parsed = [_normalise(r) for r in _collect(specs)]
+
+    # D3: one spec per (prefix, id type) -- the lowest id keeps it
+    first_owner: dict[tuple, int] = {}
+    for sp in sorted(parsed, key=lambda x: (x["spec_id"] is None, x["spec_id"] or 0)):
+        first_owner.setdefault((sp["feature"], sp["id_type"]), sp["spec_id"])
 
-    return CompiledSpecs(
-        specs=_local(spec_cols), validation=_local(validation), routes=_local(routes),
-        windows=_local(windows), atom_fields=_local(atom_fields), sink_fields=_local(sink_fields),
-        expressions=expressions,
-    )
+    validation, valid = [], []
+    for sp in parsed:
+        errs = []
+        err = _spec_error(sp)
+        if err is None and first_owner[(sp["feature"], sp["id_type"])] != sp["spec_id"]:
+            err = "duplicate featureNamePrefix for idType"
+        if err is not None:
+            errs.append(err)
+        errs += _window_errors(sp)
+        if errs:
+            validation.append((sp["spec_id"], sp["feature"], "; ".join(sorted(set(errs)))))
+        else:
+            valid.append(sp)
+
+    spec_rows, window_rows, route_rows, atom_rows, sink_rows = [], set(), set(), [], {}
+    for sp in valid:
+        sid, kind = sp["spec_id"], sp["kind"]
+        spec_rows.append((sid, kind, sp["feature"], sp["id_type"], sp["field"], sp["field_type"], sp["group_by"],
+                          sp["time_field"], sp["capacity"], sp["need_ts"], sp["spec_biz_type"]))
+        cadences = set()
+        if kind != "atom":
+            for w in sp["windows"]:
+                if w["window"] is None:
+                    continue
+                whole = w["window"] if w["is_whole"] else None
+                window_rows.add((sid, sp["feature"], w["window"], None if whole else w["window_ms"], whole,
+                                 w["cadence_ms"]))
+                cadences.add(w["cadence_ms"])
+        for t in sp["type_config"]:
+            # Absent route parts are '' on both sides
+            key = tuple("" if t[k] is None else t[k] for k in ("bizType", "eventType", "targetType"))
+            # One route per (spec, route key, cadence)
+            for cadence in (cadences if kind != "atom" else {None}):
+                route_rows.add((sid, *key, sp["id_type"], cadence))
+        if kind == "atom":
+            for f in sp["atom_fields"]:
+                if not _is_blank(f["sourceField"]):
+                    name = "_".join(x for x in (sp["feature"], f["featureName"]) if x is not None)
+                    atom_rows.append((sid, sp["feature"], f["sourceField"], name))
+        for sink in sp["sinks"]:
+            sink_type = sink["type"].lower() if sink["type"] is not None else None
+            for feature_name, m in (sink["fields"] or {}).items():
+                ttl = m["ttl"]
+                row = (feature_name, sink_type, m["table"], ttl * 1000 if ttl is not None and ttl > 0 else None,
+                       # A blank rename falls back to the feature name
+                       feature_name if _is_blank(m["rename"]) else m["rename"],
+                       None if _is_blank(sp["spec_biz_type"]) else sp["spec_biz_type"])
+                prev = sink_rows.get((sink_type, feature_name))
+                if prev is None or prev[0] < sid:   # the newest spec owns a sink column
+                    sink_rows[(sink_type, feature_name)] = (sid, row)
+
+    rows = {
+        "specs": spec_rows, "validation": validation, "routes": sorted(route_rows, key=repr),
+        "windows": sorted(window_rows, key=repr), "atom_fields": atom_rows,
+        "sink_fields": [row for _, row in sink_rows.values()],
+    }
+    schemas = {"specs": SPEC_COLUMNS, "validation": VALIDATION_COLUMNS, "routes": ROUTE_COLUMNS,
+               "windows": WINDOW_COLUMNS, "atom_fields": ATOM_COLUMNS, "sink_fields": SINK_COLUMNS}
+    from pyspark.sql import Row
+    from pyspark.sql.types import StructType
+
+    named = {}
+    for name, schema in schemas.items():
+        fields = StructType.fromDDL(schema).fieldNames()
+        named[name] = [Row(**dict(zip(fields, r))) for r in rows[name]]
+    frames = {name: literal_table(spark, rows[name], schemas[name]) for name in schemas}
+
+    # Non-plain expressions become literal branches of the plan.
+    texts = {t for r in named["specs"] for t in (r.field, r.group_by, r.time_field) if t}
+    texts |= {r.source_field for r in named["atom_fields"]}
+    expressions = {t: expression_sql(t) for t in texts if not is_plain_path(t)}
+    return CompiledSpecs(**frames, expressions=expressions, rows=named)
 
 
 # Spec-derived tables are configuration, bounded by the number of specs.
 MAX_SPEC_ROWS = 100_000
+_LITERAL_MAX_ROWS = 2_000
 
 
-def _local(df: DataFrame) -> DataFrame:
-    """Pin a compiled spec table as an in-plan local relation.
-
-    The spec set is evaluated once instead of on every use, and Catalyst sees
-    its exact size, so the broadcasts that use it are proven small.
-    """
+def _collect(df: DataFrame) -> list:
     rows = df.limit(MAX_SPEC_ROWS + 1).collect()
     if len(rows) > MAX_SPEC_ROWS:
         raise ValueError(f"spec table exceeds {MAX_SPEC_ROWS} rows")
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return rows
+
+
+def literal_table(spark, rows: list, schema, names: list[str] | None = None) -> DataFrame:
+    """A small table carried inside the plan as a literal (no RDD, no job).
+
+    Its size is bounded by the spec set, which is what makes broadcasting it
+    safe.  Large spec sets fall back to a parallelized frame.
+    """
+    from pyspark.sql.types import StructType
+
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    names = names or schema.fieldNames()
+    if not rows or len(rows) > _LITERAL_MAX_ROWS:
+        return spark.createDataFrame([tuple(r) for r in rows], schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(tuple(r), schema.fields)])
+        for r in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs))).select(*names)

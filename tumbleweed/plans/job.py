@@ -19,6 +19,7 @@ from tumbleweed.operators.panes import build_panes
 from tumbleweed.operators.rollup import rollup_all
 from tumbleweed.operators.route import route_windowed
 from tumbleweed.plans.compile import CompiledSpecs, compile_specs
+from tumbleweed.session import scratch_path
 from tumbleweed.sources.events import parse_events
 
 MINUTE_MS = 60_000
@@ -30,6 +31,7 @@ class FeatureJob:
     pane_ms: int = MINUTE_MS
     tz: str | None = None
     topic_dims: dict | None = None
+    materialize: bool = True
     compiled: CompiledSpecs = field(init=False)
 
     def __post_init__(self):
@@ -45,15 +47,25 @@ class FeatureJob:
     def routed(self, records: DataFrame) -> DataFrame:
         return route_windowed(self.fanned(records), self.compiled, self.pane_ms)
 
-    def max_capacity(self) -> int | None:
-        row = self.compiled.specs.where(F.col("kind").isin("list", "set")).agg(F.max("capacity")).first()
-        return row[0] if row else None
-
     def panes(self, records: DataFrame) -> DataFrame:
-        return build_panes(self.routed(records), self.pane_ms, self.max_capacity())
+        cs = self.compiled
+        return build_panes(self.routed(records), self.pane_ms, cs.max_capacity(), cs.kinds_at(self.pane_ms))
+
+    def materialized_panes(self, records: DataFrame) -> DataFrame:
+        """Write the pane table to the shared checkpoint folder and read it back.
+
+        Every roll-up reads the same panes, lineage is cut there (a lost
+        executor re-reads the table instead of re-parsing the events), and the
+        table is what a later incremental run appends to.
+        """
+        spark = records.sparkSession
+        path = scratch_path(spark, "panes")
+        self.panes(records).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
 
     def windowed_features(self, records: DataFrame | None = None, panes: DataFrame | None = None) -> DataFrame:
-        panes = self.panes(records) if panes is None else panes
+        if panes is None:
+            panes = self.materialized_panes(records) if self.materialize else self.panes(records)
         return rollup_all(panes, self.compiled, self.pane_ms, self.tz)
 
     def atom_features(self, records: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tumbleweed.operators.fanout import fan_out
 from tumbleweed.operators.panes import build_session_panes, retain_panes
-from tumbleweed.operators.route import ROUTE_KEYS, checked_broadcast
+from tumbleweed.operators.route import ROUTE_KEYS, spec_broadcast
 from tumbleweed.operators.sinks import cell_snapshot, feature_messages, output_counts, serving_cells
 from tumbleweed.plans.catalog import EVENT_SPECS, LINEITEM_SPECS, ORDER_SPECS
 from tumbleweed.plans.job import FeatureJob
@@ -73,7 +73,7 @@ def spec_validation(spark: SparkSession, sf: str) -> DataFrame:
     cs = job.compiled
     routes = cs.routes.select("spec_id", *ROUTE_KEYS).distinct()
     fanned = job.fanned(event_records(spark, sf))
-    counts = fanned.join(checked_broadcast(routes), ROUTE_KEYS).groupBy("spec_id").agg(
+    counts = fanned.join(spec_broadcast(routes), ROUTE_KEYS).groupBy("spec_id").agg(
         F.count(F.lit(1)).alias("routed_events"))
     specs = specs_from_json(spark, EVENT_SPECS).select(F.col("id").alias("spec_id"),
                                                        F.col("featureNamePrefix").alias("feature"))

@@ -34,9 +34,15 @@ def parse_events(records: DataFrame, event_time_field: str = DEFAULT_EVENT_TIME_
     ``event_time_field`` (``ext.<key>`` or a top-level field).
     Returns the events, or ``(events, rejects)`` when ``with_rejects``.
     """
-    attrs = F.from_json(F.col("value"), _MAP)
-    parsed = records.select("topic", "value", attrs.alias("attrs"))
-    ext = F.from_json(F.try_element_at(F.col("attrs"), F.lit(EXT)), _MAP)
+    # Each parse sits behind a one-element explode: predicates on the parsed
+    # columns (event time, ids) then stay above it instead of being pushed
+    # below with the parse inlined -- the JSON is decoded once per record.
+    parsed = records.select(
+        "topic", "value", F.explode(F.array(F.from_json(F.col("value"), _MAP))).alias("attrs"))
+    parsed = parsed.select(
+        "topic", "value", "attrs",
+        F.explode(F.array(F.from_json(F.try_element_at(F.col("attrs"), F.lit(EXT)), _MAP))).alias("ext"))
+    ext = F.col("ext")
     if event_time_field.startswith("ext."):
         raw_time = F.try_element_at(ext, F.lit(event_time_field[4:]))
     else:
@@ -50,7 +56,7 @@ def parse_events(records: DataFrame, event_time_field: str = DEFAULT_EVENT_TIME_
         top(EVENT_TYPE).alias("event_type"),
         top(TARGET_TYPE).alias("target_type"),
         raw_time.try_cast("bigint").alias("event_ms"),
-        ext.alias("ext"),
+        "ext",
         "attrs",
     )
     # Rows without an event time stay: atom features do not need one; the
