@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 from tumbleweed.functions.fields import field_value
 from tumbleweed.functions.scalars import not_blank
 from tumbleweed.operators.route import route_atoms, spec_broadcast
-from tumbleweed.plans.compile import CompiledSpecs
+from tumbleweed.plans.compile import CompiledSpecs, literal_table
 
 
 def atom_features(fanned: DataFrame, cs: CompiledSpecs) -> DataFrame:
-    fields = cs.atom_fields.groupBy("spec_id").agg(
-        F.collect_list(F.struct("source_field", "out_name")).alias("fields"))
+    by_spec: dict[int, list] = {}
+    for r in cs.rows["atom_fields"]:
+        by_spec.setdefault(r.spec_id, []).append((r.source_field, r.out_name))
+    fields = literal_table(
+        fanned.sparkSession, [(sid, f) for sid, f in sorted(by_spec.items())],
+        "spec_id int, fields array<struct<source_field:string,out_name:string>>")
     routed = route_atoms(fanned, cs).join(spec_broadcast(fields), "spec_id")
     one = routed.select("id", "id_type", F.col("event_ms"), "ext", "attrs",
                         F.explode("fields").alias("f"))

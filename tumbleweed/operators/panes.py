@@ -49,7 +49,8 @@ def _contributing(routed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def _numeric_aggs():
+def _fixed_width_aggs():
+    """COUNT / SUM / MAX / MIN partials: fixed-width buffers, so HashAggregate."""
     kind = F.col("kind")
     return [
         F.count(F.lit(1)).alias("cnt"),
@@ -59,13 +60,27 @@ def _numeric_aggs():
         F.try_sum(F.when(kind == "sum", F.col("x_double"))).alias("_sum_d"),
         F.max(F.when(kind == "max", F.col("x_double"))).alias("_max_d"),
         F.min(F.when(kind == "min", F.col("x_double"))).alias("_min_d"),
-        # The value at the newest event time; ties -> the greatest value
+    ]
+
+
+def _latest_aggs():
+    """LATEST partial: the value at the newest event time; ties -> greatest value.
+
+    Its buffer holds a string, which rules out the fixed-width hash map, so
+    it is aggregated apart from the numeric kinds.
+    """
+    kind = F.col("kind")
+    return [
         F.max_by(F.when(kind == "latest", F.col("val")),
                  F.when(kind == "latest", F.struct("item_ms", "val"))).alias("latest_value"),
         F.max(F.when(kind == "latest", F.col("item_ms"))).alias("latest_ms"),
     ]
 
 
+def _numeric_aggs():
+    return _fixed_width_aggs() + _latest_aggs()
+
+
 def _finish_numeric(df: DataFrame) -> DataFrame:
     return df.select(
         *PANE_KEYS, "cnt",
@@ -76,59 +91,78 @@ def _finish_numeric(df: DataFrame) -> DataFrame:
     )
 
 
-NUMERIC_KINDS = ("count", "sum", "max", "min", "latest")
-ITEM_KINDS = ("list", "set")
+NUMERIC_KINDS = ("count", "sum", "max", "min")
+ITEM_KINDS = ("list", "set", "latest")
 
 
 def build_panes(routed: DataFrame, pane_ms: int, max_capacity: int | None = None,
                 kinds: set[str] | None = None) -> DataFrame:
     """Batch pane build over routed long rows (output of ``route_windowed``).
 
-    ``kinds`` (from the compiled specs) leaves out a branch no spec needs.
+    One map-side-combined aggregation serves every kind, so the upstream
+    (parse, fan-out, route) runs once.  All its buffers are fixed-width
+    (counts, sums, extremes, times), which keeps it on the hash aggregate:
+
+    * numeric kinds group by the pane key alone;
+    * LIST groups by (pane, value, time), SET and LATEST by (pane, value) --
+      duplicates collapse map-side and a hot pane spreads over tasks by value.
+
+    The item kinds then keep their newest ``capacity`` entries per pane
+    (LATEST: one) with ``row_number``; WindowGroupLimit trims each task's
+    candidates before that second, much smaller exchange.
     """
     kinds = set(NUMERIC_KINDS + ITEM_KINDS) if kinds is None else set(kinds)
     rows = _contributing(routed).withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), pane_ms))
+    kind = F.col("kind")
+    is_item = kind.isin(*ITEM_KINDS)
+    fused = rows.groupBy(
+        *PANE_KEYS,
+        F.when(is_item, F.col("val")).alias("_v"),
+        F.when(kind == "list", F.col("item_ms")).alias("_t"),
+    ).agg(*_fixed_width_aggs(), F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity"))
+
     parts = []
     if kinds & set(NUMERIC_KINDS):
-        parts.append(_numeric_panes(rows))
+        numeric = fused.where(~is_item).select(
+            *PANE_KEYS, "cnt",
+            F.coalesce("_sum_l", "_max_l", "_min_l").alias("num_long"),
+            F.coalesce("_sum_d", "_max_d", "_min_d").alias("num_double"),
+            F.lit(None).cast(ITEM_TYPE).alias("items"),
+            F.lit(None).cast("string").alias("latest_value"), F.lit(None).cast("bigint").alias("latest_ms"),
+        )
+        parts.append(numeric)
     if kinds & set(ITEM_KINDS):
-        parts.append(_item_panes(rows, max_capacity))
+        parts.append(_item_panes(fused.where(is_item), max_capacity))
     if not parts:
-        return _numeric_panes(rows.where(F.lit(False)))
+        return fused.where(F.lit(False)).select(*PANE_KEYS, "cnt").select(
+            *PANE_KEYS, "cnt", F.lit(None).cast("bigint").alias("num_long"),
+            F.lit(None).cast("double").alias("num_double"), F.lit(None).cast(ITEM_TYPE).alias("items"),
+            F.lit(None).cast("string").alias("latest_value"), F.lit(None).cast("bigint").alias("latest_ms"))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _numeric_panes(rows: DataFrame) -> DataFrame:
-    return _finish_numeric(
-        rows.where(F.col("kind").isin("count", "sum", "max", "min", "latest"))
-        .groupBy(*PANE_KEYS).agg(*_numeric_aggs())
-    )
-
-
-def _item_panes(rows: DataFrame, max_capacity: int | None) -> DataFrame:
-    item_rows = rows.where(F.col("kind").isin("list", "set"))
-    # LIST keeps distinct (value, time) pairs; SET keeps each value once, at its newest time
-    deduped = (
-        item_rows.withColumn("_t", F.when(F.col("kind") == "list", F.col("item_ms")))
-        .groupBy(*PANE_KEYS, "val", "_t")
-        .agg(F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity"))
-    )
-    newest = Window.partitionBy(*PANE_KEYS).orderBy(F.col("item_ms").desc(), F.col("val").desc())
-    ranked = deduped.withColumn("_rn", F.row_number().over(newest))
-    if max_capacity is not None:
-        ranked = ranked.where(F.col("_rn") <= F.lit(int(max_capacity)))  # literal -> WindowGroupLimit
+def _item_panes(candidates: DataFrame, max_capacity: int | None) -> DataFrame:
+    """Newest entries per pane: LIST (value, time) pairs, SET values, LATEST one value."""
+    newest = Window.partitionBy(*PANE_KEYS).orderBy(F.col("item_ms").desc(), F.col("_v").desc())
+    ranked = candidates.withColumn("_rn", F.row_number().over(newest))
+    limit = max(int(max_capacity or 1), 1)
+    ranked = ranked.where(F.col("_rn") <= F.lit(limit))  # a literal bound enables WindowGroupLimit
+    keep = F.when(F.col("kind") == "latest", F.lit(1)).otherwise(F.col("capacity"))
+    is_latest = F.col("kind") == "latest"
     return (
-        ranked.where(F.col("_rn") <= F.col("capacity"))
+        ranked.where(F.col("_rn") <= keep)
         .groupBy(*PANE_KEYS)
         .agg(
             F.count(F.lit(1)).alias("cnt"),
-            F.sort_array(F.collect_list(F.struct(F.col("item_ms").alias("ts"), F.col("val").alias("value"))),
-                         asc=False).alias("items"),
+            F.sort_array(F.collect_list(F.when(~is_latest, F.struct(
+                F.col("item_ms").alias("ts"), F.col("_v").alias("value")))), asc=False).alias("items"),
+            F.max(F.when(is_latest, F.col("_v"))).alias("latest_value"),
+            F.max(F.when(is_latest, F.col("item_ms"))).alias("latest_ms"),
         )
         .select(
             *PANE_KEYS, "cnt", F.lit(None).cast("bigint").alias("num_long"),
-            F.lit(None).cast("double").alias("num_double"), "items",
-            F.lit(None).cast("string").alias("latest_value"), F.lit(None).cast("bigint").alias("latest_ms"),
+            F.lit(None).cast("double").alias("num_double"),
+            F.when(~is_latest, F.col("items")).alias("items"), "latest_value", "latest_ms",
         )
     )
 

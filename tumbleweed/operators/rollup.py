@@ -68,70 +68,110 @@ def _none(panes: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- numeric
-def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None) -> DataFrame:
-    """COUNT (ungrouped), SUM, MAX, MIN over relative and whole-day windows."""
-    kinds = ("count", "sum", "max", "min")
-    params = _spec_params(cs).where(F.col("spec_kind").isin(*kinds) & ~F.col("grouped"))
+# family -> (spec kinds, field types it covers)
+_FAMILIES = {
+    "exact": (("count", "sum"), (None, "long")),   # COUNT and long SUM
+    "sum_double": (("sum",), ("double",)),
+    "max": (("max",), ("long", "double")),
+    "min": (("min",), ("long", "double")),
+}
+
+
+def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None,
+                   prepartitioned: bool = False) -> DataFrame:
+    """COUNT (ungrouped), SUM, MAX, MIN over relative and whole-day windows.
+
+    One branch per aggregate family; each row evaluates only its own
+    function, once per distinct look-back:
+
+    * COUNT and long SUM: ``S(T) = C(T) - C(T - w)`` with ``C`` the running
+      total -- two growing frames, linear in the panes, exact in BIGINT (a
+      running total beyond BIGINT makes the value NULL instead of failing
+      the job, D16);
+    * double SUM: sliding RANGE frame ``(T - w, T]`` (no cancellation);
+    * MAX / MIN: sliding frames over ``struct(long, double)``, so long and
+      double specs share one window function;
+    * ``today``: growing frame within the local day; ``yesterday``: RANGE
+      frame over the previous day number.
+    """
+    parts = []
+    for family, (kinds, ftypes) in _FAMILIES.items():
+        ids = [r.spec_id for r in cs.rows["specs"]
+               if r.kind in kinds and r.group_by is None
+               and (r.field_type if r.kind != "count" else None) in ftypes]
+        if not ids:
+            continue
+        wins = [w for w in cs.rows["windows"] if w.spec_id in ids and w.cadence_ms == pane_ms]
+        lengths = sorted({w.window_ms for w in wins if w.whole is None})
+        wholes = sorted({w.whole for w in wins if w.whole is not None})
+        if lengths or wholes:
+            parts.append(_numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes, prepartitioned))
+    if not parts:
+        return _none(panes)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes, prepartitioned):
+    params = _spec_params(cs).where(F.col("spec_id").isin(*ids))
+    long_x = F.when(F.col("spec_kind") == "count", F.col("cnt")).otherwise(F.col("num_long"))
+    x = {"exact": long_x, "sum_double": F.col("num_double")}.get(
+        family, F.struct(long_x.alias("l"), F.col("num_double").alias("d")))
     p = panes.join(params, ["feature", "id_type"]).select(
-        *ENTITY, "spec_id", "spec_kind", "field_type", "pane_end_ms",
-        F.when(F.col("spec_kind") == "count", F.col("cnt")).otherwise(F.col("num_long")).alias("x_long"),
-        F.col("num_double").alias("x_double"),
+        *ENTITY, "spec_id", "field_type", "pane_end_ms", x.alias("x"),
         local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz).alias("day"),
-    ).repartition(*ENTITY)
+    )
+    p = p if prepartitioned else p.repartition(*ENTITY)
+    by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
+    agg = {"exact": F.try_sum, "sum_double": F.try_sum, "max": F.max, "min": F.min}[family]
 
-    def agg(col: str, frame) -> Column:
-        kind = F.col("spec_kind")
-        return (F.when(kind == "max", F.max(col).over(frame))
-                .when(kind == "min", F.min(col).over(frame))
-                .otherwise(F.try_sum(col).over(frame)))
+    def window_value(length: int) -> Column:
+        if family == "exact":
+            total = F.try_sum("x")
+            now = total.over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            before = total.over(by_time.rangeBetween(Window.unboundedPreceding, -length))
+            return F.try_subtract(now, F.coalesce(before, F.lit(0).cast("bigint")))
+        return agg("x").over(by_time.rangeBetween(-(length - 1), 0))
 
-    by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
-    longs, doubles = {}, {}
-    lengths = cs.window_lengths(kinds, pane_ms)
-    used = cs.whole_windows(kinds, pane_ms)
-    if not lengths and not used:
-        return _none(panes)
-    for length in lengths:
-        frame = by_time.rangeBetween(-(length - 1), 0)
-        longs[length], doubles[length] = agg("x_long", frame), agg("x_double", frame)
     whole_frames = {
         "today": Window.partitionBy(*ENTITY, "day").orderBy("pane_end_ms").rowsBetween(
             Window.unboundedPreceding, Window.currentRow),
         "yesterday": Window.partitionBy(*ENTITY).orderBy("day").rangeBetween(-1, -1),
     }
-    whole_long = {k: agg("x_long", whole_frames[k]) for k in used}
-    whole_double = {k: agg("x_double", whole_frames[k]) for k in used}
-
     framed = p.select(
         *ENTITY, "spec_id", "field_type", "pane_end_ms",
-        *[v.alias(f"_l{k}") for k, v in longs.items()], *[v.alias(f"_d{k}") for k, v in doubles.items()],
-        *[v.alias(f"_l_{k}") for k, v in whole_long.items()], *[v.alias(f"_d_{k}") for k, v in whole_double.items()],
+        *[window_value(k).alias(f"_w{k}") for k in lengths],
+        *[agg("x").over(whole_frames[name]).alias(f"_w_{name}") for name in wholes],
     )
     rows = framed.join(_windows(cs, pane_ms), "spec_id")
-    length = F.col("window_ms")
-    long_v, double_v = _pick(length, {k: F.col(f"_l{k}") for k in longs}), \
-        _pick(length, {k: F.col(f"_d{k}") for k in doubles})
-    for name in used:
-        long_v = F.when(F.col("whole") == name, F.col(f"_l_{name}")).otherwise(long_v)
-        double_v = F.when(F.col("whole") == name, F.col(f"_d_{name}")).otherwise(double_v)
-    is_double = F.coalesce(F.col("field_type") == "double", F.lit(False))
-    out = _emit(
-        rows, F.concat_ws("_", "feature", "window"),
-        F.when(~is_double, long_v), F.when(is_double, double_v),
-        F.when(is_double, double_v.cast("string")).otherwise(long_v.cast("string")),
-        F.when(is_double, F.lit("double")).otherwise(F.lit("long")),
-    )
+    value = _pick(F.col("window_ms"), {k: F.col(f"_w{k}") for k in lengths})
+    for name in wholes:
+        value = F.when(F.col("whole") == name, F.col(f"_w_{name}")).otherwise(value)
+    if family == "exact":
+        long_v, double_v = value, F.lit(None)
+    elif family == "sum_double":
+        long_v, double_v = F.lit(None), value
+    else:
+        is_double = F.col("field_type") == "double"
+        long_v, double_v = F.when(~is_double, value["l"]), F.when(is_double, value["d"])
+    text = F.coalesce(long_v.cast("string"), double_v.cast("string"))
+    vtype = F.lit("long") if family == "exact" else F.lit("double") if family == "sum_double" else \
+        F.when(F.col("field_type") == "double", F.lit("double")).otherwise(F.lit("long"))
+    out = _emit(rows, F.concat_ws("_", "feature", "window"), long_v, double_v, text, vtype)
     # an empty look-back (yesterday without panes) emits nothing
     return out.where(F.col("value_text").isNotNull())
 
 
 # --------------------------------------------------------------------------- grouped count
-def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None) -> DataFrame:
+def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None,
+                         prepartitioned: bool = False) -> DataFrame:
     """Grouped COUNT: every group seen in the look-back, at every active pane (A2)."""
     params = _spec_params(cs).where((F.col("spec_kind") == "count") & F.col("grouped"))
     p = (panes.join(params, ["feature", "id_type"])
-         .select(*ENTITY, "spec_id", "pane_end_ms", "sub_key", "cnt")
-         .repartition(*ENTITY))
+         .select(*ENTITY, "spec_id", "pane_end_ms", "sub_key", "cnt"))
+    p = p if prepartitioned else p.repartition(*ENTITY)
     # one row per active pane; the exchange above already clusters these keys
     active = p.groupBy(*ENTITY, "spec_id", "pane_end_ms").agg(
         F.collect_list(F.struct("sub_key", "cnt")).alias("groups"))
@@ -179,7 +219,7 @@ def _render_items(items: Column, need_ts: Column) -> Column:
 
 
 def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
-                clock_field: str = DEFAULT_EVENT_TIME_FIELD) -> DataFrame:
+                clock_field: str = DEFAULT_EVENT_TIME_FIELD, prepartitioned: bool = False) -> DataFrame:
     """LIST: newest ``capacity`` (value, time) items in the look-back.
 
     When item times are the pane clock, newer panes hold only newer items and
@@ -189,8 +229,8 @@ def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
     """
     params = _spec_params(cs).where(F.col("spec_kind") == "list")
     p = (panes.join(params, ["feature", "id_type"])
-         .select(*ENTITY, "spec_id", "pane_end_ms", "items", "capacity", "need_ts")
-         .repartition(*ENTITY))
+         .select(*ENTITY, "spec_id", "pane_end_ms", "items", "capacity", "need_ts"))
+    p = p if prepartitioned else p.repartition(*ENTITY)
     by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
     picked = {}
     frames = cs.list_frames(pane_ms, clock_field)
@@ -215,12 +255,12 @@ def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
                  _render_items(items, F.col("need_ts")), F.lit("list"))
 
 
-def rollup_set(panes: DataFrame, cs: CompiledSpecs, pane_ms: int) -> DataFrame:
+def rollup_set(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, prepartitioned: bool = False) -> DataFrame:
     """SET: newest ``capacity`` distinct values in the look-back, each at its newest time."""
     params = _spec_params(cs).where(F.col("spec_kind") == "set")
     p = (panes.join(params, ["feature", "id_type"])
-         .select(*ENTITY, "spec_id", "pane_end_ms", "items", "capacity", "need_ts")
-         .repartition(*ENTITY))
+         .select(*ENTITY, "spec_id", "pane_end_ms", "items", "capacity", "need_ts"))
+    p = p if prepartitioned else p.repartition(*ENTITY)
     by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
     picked = {}
     lengths = cs.window_lengths(("set",), pane_ms)
@@ -260,6 +300,8 @@ def rollup_all(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None
     kinds = cs.kinds_at(pane_ms)
     grouped = {r.feature for r in cs.rows["specs"] if r.kind == "count" and r.group_by is not None}
     ungrouped = {r.feature for r in cs.rows["specs"] if r.kind in ("count", "sum", "max", "min")} - grouped
+    # Each branch keeps only its own kinds (a map-side broadcast join) before
+    # its exchange, so together the branches shuffle the pane table once.
     parts = []
     if ungrouped and kinds & {"count", "sum", "max", "min"}:
         parts.append(rollup_numeric(panes, cs, pane_ms, tz))

@@ -284,6 +284,19 @@ def _collect(df: DataFrame) -> list:
     return rows
 
 
+def _literal(value, dtype):
+    """A typed literal column, including arrays of structs."""
+    from pyspark.sql.types import ArrayType, StructType
+
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, ArrayType):
+        return F.array(*[_literal(v, dtype.elementType) for v in value]).cast(dtype)
+    if isinstance(dtype, StructType):
+        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(tuple(value), dtype.fields)])
+    return F.lit(value).cast(dtype)
+
+
 def literal_table(spark, rows: list, schema, names: list[str] | None = None) -> DataFrame:
     """A small table carried inside the plan as a literal (no RDD, no job).
 
@@ -298,7 +311,7 @@ def literal_table(spark, rows: list, schema, names: list[str] | None = None) ->
     if not rows or len(rows) > _LITERAL_MAX_ROWS:
         return spark.createDataFrame([tuple(r) for r in rows], schema)
     structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(tuple(r), schema.fields)])
+        F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(tuple(r), schema.fields)])
         for r in rows
     ]
     return spark.range(1).select(F.inline(F.array(*structs))).select(*names)

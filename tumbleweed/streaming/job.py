@@ -93,25 +93,23 @@ def read_outputs(spark: SparkSession, paths: StreamPaths) -> tuple[DataFrame, Da
 
 
 # --------------------------------------------------------------------------- catch-up runner
-def write_record_files(spark: SparkSession, records: DataFrame, folder: str, chunks: int = 8) -> None:
+def write_record_files(spark: SparkSession, records: DataFrame, folder: str, chunks: int = 4) -> None:
     """Lay records out as JSON files in event-time order, one append per chunk.
 
     The file source picks files up by modification time; appending the time
     ranges one after another reproduces an in-order feed across micro-batches.
+    Records are staged once with their time slice, then each slice is copied.
     """
-    from tumbleweed.sources.events import parse_events
-
-    ms = parse_events(records).select("event_ms")
-    cuts = ms.approxQuantile("event_ms", [i / chunks for i in range(1, chunks)], 0.0)
-    edges = [None, *cuts, None]
     clock = F.get_json_object("value", "$.ext.eventTime").cast("bigint")
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (clock > F.lit(lo))
-        if hi is not None:
-            cond = cond & (clock <= F.lit(hi))
-        records.where(cond).coalesce(1).write.mode("append").json(folder)
+    staged = records.withColumn("_ms", clock)
+    bounds = staged.agg(F.min("_ms").alias("lo"), F.max("_ms").alias("hi")).first()
+    width = max(1, (bounds.hi - bounds.lo) // chunks + 1)
+    stage = f"{folder}-staging"
+    (staged.withColumn("_slice", ((F.col("_ms") - F.lit(bounds.lo)) / F.lit(width)).cast("int"))
+     .drop("_ms").write.partitionBy("_slice").parquet(stage))
+    for i in range(chunks):
+        part = spark.read.parquet(stage).where(F.col("_slice") == i).drop("_slice")
+        part.coalesce(1).write.mode("append").json(folder)
 
 
 def run_pane_stream_from_table(spark: SparkSession, sf_dir: str, job: FeatureJob,
