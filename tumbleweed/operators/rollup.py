@@ -165,43 +165,105 @@ def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes, prepar
 
 
 # --------------------------------------------------------------------------- grouped count
+GROUP = ENTITY + ["sub_key"]
+
+
 def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None,
                          prepartitioned: bool = False) -> DataFrame:
-    """Grouped COUNT: every group seen in the look-back, at every active pane (A2)."""
+    """Grouped COUNT: every group seen in the look-back, at every active pane (A2).
+
+    Nothing gathers all groups of an entity: work is partitioned by
+    (entity, group) wherever it can be, and by (entity, time bucket) where
+    groups meet the entity's active panes.
+
+    1. islands -- per (entity, group), panes closer than ``w`` merge into one
+       interval of presence ``[first, last + w)`` (lag + running sum);
+    2. pairs   -- islands range-join the entity's active pane ends on
+       (entity, w, bucket of length w); islands of one group never overlap,
+       so the join emits exactly the output (group, pane) pairs, and a hot
+       entity's buckets are split by AQE's skew handling;
+    3. values  -- pairs join the group's own panes as zero-count probes, and a
+       running total per (entity, group) gives ``C(T) - C(T - w)`` -- linear.
+
+    ``today`` pairs come from a same-day join with each group's first pane
+    of the day; ``yesterday`` is an equi-join with the previous day's totals.
+    """
     params = _spec_params(cs).where((F.col("spec_kind") == "count") & F.col("grouped"))
-    p = (panes.join(params, ["feature", "id_type"])
-         .select(*ENTITY, "spec_id", "pane_end_ms", "sub_key", "cnt"))
-    p = p if prepartitioned else p.repartition(*ENTITY)
-    # one row per active pane; the exchange above already clusters these keys
-    active = p.groupBy(*ENTITY, "spec_id", "pane_end_ms").agg(
-        F.collect_list(F.struct("sub_key", "cnt")).alias("groups"))
-    active = active.withColumn("day", local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz))
-
-    by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
-    lengths = cs.window_lengths(("count",), pane_ms)
-    gathered = {
-        str(k): F.flatten(F.collect_list("groups").over(by_time.rangeBetween(-(k - 1), 0))) for k in lengths
-    }
-    used = cs.whole_windows(("count",), pane_ms)
-    if "today" in used:
-        gathered["today"] = F.flatten(F.collect_list("groups").over(
-            Window.partitionBy(*ENTITY, "day").orderBy("pane_end_ms").rowsBetween(Window.unboundedPreceding, 0)))
-    if "yesterday" in used:
-        gathered["yesterday"] = F.flatten(F.collect_list("groups").over(
-            Window.partitionBy(*ENTITY).orderBy("day").rangeBetween(-1, -1)))
-    if not gathered:
+    ids = [r.spec_id for r in cs.rows["specs"] if r.kind == "count" and r.group_by is not None]
+    wins = [w for w in cs.rows["windows"] if w.spec_id in ids and w.cadence_ms == pane_ms]
+    lengths = sorted({w.window_ms for w in wins if w.whole is None})
+    wholes = sorted({w.whole for w in wins if w.whole is not None})
+    if not lengths and not wholes:
         return _none(panes)
-    framed = active.select(*ENTITY, "spec_id", "pane_end_ms",
-                           *[v.alias(f"_g{i}") for i, v in enumerate(gathered.values())])
-    tagged = F.array(*[F.struct(F.lit(k).alias("frame"), F.col(f"_g{i}").alias("entries"))
-                       for i, k in enumerate(gathered)])
-    exploded = (
-        framed.select(*ENTITY, "spec_id", "pane_end_ms", F.explode(tagged).alias("f"))
-        .select(*ENTITY, "spec_id", "pane_end_ms", F.col("f.frame").alias("frame"),
-                F.explode("f.entries").alias("e"))
-    )
-    totals = exploded.groupBy(*ENTITY, "spec_id", "pane_end_ms", "frame", F.col("e.sub_key").alias("sub_key")) \
-        .agg(F.sum("e.cnt").alias("total"))
+
+    gp = panes.join(params, ["feature", "id_type"]).select(
+        *ENTITY, "spec_id", "sub_key", F.col("pane_end_ms").alias("t"), F.col("cnt").alias("c"),
+        local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz).alias("day"))
+    active = gp.select(*ENTITY, "spec_id", "t", "day").distinct()
+    by_group = Window.partitionBy(*GROUP).orderBy("t")
+
+    pair_parts = []
+    if lengths:
+        # 1. islands for every look-back length in one pass over (entity, group)
+        prev = F.lag("t").over(by_group)
+        marked = gp.select(*GROUP, "spec_id", "t", *[
+            F.when(prev.isNull() | (F.col("t") - prev >= F.lit(k)), 1).otherwise(0).alias(f"_n{k}")
+            for k in lengths])
+        running = Window.partitionBy(*GROUP).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+        counted = marked.select(*GROUP, "spec_id", "t",
+                                *[F.sum(f"_n{k}").over(running).alias(f"_i{k}") for k in lengths])
+        numbered = counted.select(*GROUP, "spec_id", "t", F.explode(F.array(*[
+            F.struct(F.lit(k).cast("bigint").alias("w"), F.col(f"_i{k}").alias("island"))
+            for k in lengths])).alias("x"))
+        islands = (numbered.groupBy(*GROUP, "spec_id", F.col("x.w").alias("w"), F.col("x.island"))
+                   .agg(F.min("t").alias("s"), (F.max("t") + F.col("x.w")).alias("e")))
+        # 2. bucket of length w: an island [s, e) covers buckets s div w .. (e - 1) div w
+        buckets = islands.select(*GROUP, "spec_id", "w", "s", "e", F.explode(F.sequence(
+            F.floor(F.col("s") / F.col("w")), F.floor((F.col("e") - 1) / F.col("w")))).alias("b"))
+        probes = active.select(*ENTITY, "spec_id", "t", F.explode(F.array(*[
+            F.lit(k).cast("bigint") for k in lengths])).alias("w")).withColumn(
+            "b", F.floor(F.col("t") / F.col("w")))
+        rel_pairs = probes.join(buckets, [*ENTITY, "spec_id", "w", "b"]).where(
+            (F.col("t") >= F.col("s")) & (F.col("t") < F.col("e")))
+        pair_parts.append(rel_pairs.select(*GROUP, "spec_id", "t", F.lit(None).cast("int").alias("day"),
+                                           F.col("w").cast("string").alias("frame")))
+    if "today" in wholes:
+        firsts = gp.groupBy(*GROUP, "spec_id", "day").agg(F.min("t").alias("s"))
+        today_pairs = active.join(firsts, [*ENTITY, "spec_id", "day"]).where(F.col("t") >= F.col("s"))
+        pair_parts.append(today_pairs.select(*GROUP, "spec_id", "t", "day", F.lit("today").alias("frame")))
+
+    parts = []
+    if pair_parts:
+        pairs = pair_parts[0] if len(pair_parts) == 1 else pair_parts[0].unionByName(pair_parts[1])
+        # 3. values: probes (count 0) among the group's panes, one partition per (entity, group)
+        panes_rows = gp.select(*GROUP, "spec_id", "t", "day", "c", F.lit(None).cast("string").alias("frame"))
+        probe_rows = pairs.select(*GROUP, "spec_id", "t", "day", F.lit(0).cast("bigint").alias("c"), "frame")
+        mixed = panes_rows.unionByName(probe_rows).withColumn(
+            "day", F.coalesce("day", local_day_num(F.col("t") - F.lit(pane_ms), tz)))
+        total = F.try_sum("c")
+        values = {}
+        for k in lengths:
+            now = total.over(by_group.rangeBetween(Window.unboundedPreceding, 0))
+            before = total.over(by_group.rangeBetween(Window.unboundedPreceding, -k))
+            values[str(k)] = F.try_subtract(now, F.coalesce(before, F.lit(0).cast("bigint")))
+        if "today" in wholes:
+            values["today"] = total.over(Window.partitionBy(*GROUP, "day").orderBy("t").rangeBetween(
+                Window.unboundedPreceding, 0))
+        framed = mixed.select(*GROUP, "spec_id", "t", "frame",
+                              *[v.alias(f"_v{i}") for i, v in enumerate(values.values())])
+        pick = None
+        for i, name in enumerate(values):
+            cond = F.col("frame") == F.lit(name)
+            pick = F.when(cond, F.col(f"_v{i}")) if pick is None else pick.when(cond, F.col(f"_v{i}"))
+        parts.append(framed.where(F.col("frame").isNotNull()).select(
+            *GROUP, "spec_id", F.col("t").alias("pane_end_ms"), "frame", pick.alias("total")))
+    if "yesterday" in wholes:
+        daily = gp.groupBy(*GROUP, "spec_id", "day").agg(F.sum("c").alias("total"))
+        prior = daily.select(*GROUP, "spec_id", (F.col("day") + 1).alias("day"), "total")
+        parts.append(active.join(prior, [*ENTITY, "spec_id", "day"]).select(
+            *GROUP, "spec_id", F.col("t").alias("pane_end_ms"), F.lit("yesterday").alias("frame"), "total"))
+
+    totals = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     w = _windows(cs, pane_ms).withColumn(
         "frame", F.coalesce(F.col("whole"), F.col("window_ms").cast("string")))
     rows = totals.join(w, ["spec_id", "frame"])
