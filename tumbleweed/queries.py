@@ -24,9 +24,13 @@ from tumbleweed.sources.standin import event_records, lineitem_records, order_re
 MINUTE, HOUR, SECOND = 60_000, 3_600_000, 1_000
 
 
+# The test tables are written in UTC: whole-day windows use UTC days.
+DAY_ZONE = "UTC"
+
+
 def _job(spark: SparkSession, ids=None, pane_ms: int = MINUTE, specs=EVENT_SPECS) -> FeatureJob:
     chosen = [s for s in specs if ids is None or s["id"] in ids]
-    return FeatureJob(specs_from_json(spark, chosen), pane_ms=pane_ms)
+    return FeatureJob(specs_from_json(spark, chosen), pane_ms=pane_ms, tz=DAY_ZONE)
 
 
 def _typed(features: DataFrame) -> DataFrame:

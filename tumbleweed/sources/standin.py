@@ -35,7 +35,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _ms(col: str):
-    return F.unix_millis(F.col(col).cast("timestamp"))
+    """Epoch ms of a TIMESTAMP_NTZ column, read as UTC whatever the session zone."""
+    return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col})")
 
 
 def _records(df: DataFrame, topic, key, event) -> DataFrame:
