@@ -95,58 +95,61 @@ NUMERIC_KINDS = ("count", "sum", "max", "min")
 ITEM_KINDS = ("list", "set", "latest")
 
 
-def build_panes(routed: DataFrame, pane_ms: int, max_capacity: int | None = None,
-                kinds: set[str] | None = None) -> DataFrame:
-    """Batch pane build over routed long rows (output of ``route_windowed``).
-
-    One map-side-combined aggregation serves every kind, so the upstream
-    (parse, fan-out, route) runs once.  All its buffers are fixed-width
-    (counts, sums, extremes, times), which keeps it on the hash aggregate:
-
-    * numeric kinds group by the pane key alone;
-    * LIST groups by (pane, value, time), SET and LATEST by (pane, value) --
-      duplicates collapse map-side and a hot pane spreads over tasks by value.
+def pane_partials(routed: DataFrame, pane_ms: int) -> DataFrame:
+    """Level-1 partials for every kind in one map-side-combined aggregation.
 
-    The item kinds then keep their newest ``capacity`` entries per pane
-    (LATEST: one) with ``row_number``; WindowGroupLimit trims each task's
-    candidates before that second, much smaller exchange.
+    All buffers are fixed-width (counts, sums, extremes, times), which keeps
+    it on the hash aggregate.  Numeric kinds group by the pane key; LIST by
+    (pane, value, time), SET and LATEST by (pane, value) -- duplicates
+    collapse map-side and a hot pane spreads over tasks by value.
     """
-    kinds = set(NUMERIC_KINDS + ITEM_KINDS) if kinds is None else set(kinds)
     rows = _contributing(routed).withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), pane_ms))
     kind = F.col("kind")
     is_item = kind.isin(*ITEM_KINDS)
-    fused = rows.groupBy(
+    return rows.groupBy(
         *PANE_KEYS,
         F.when(is_item, F.col("val")).alias("_v"),
         F.when(kind == "list", F.col("item_ms")).alias("_t"),
     ).agg(*_fixed_width_aggs(), F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity"))
 
+
+def panes_from_partials(partials: DataFrame, max_capacity: int | None = None,
+                        kinds: set[str] | None = None) -> DataFrame:
+    """Partials -> the pane table: numeric rows as they are; item kinds keep
+    their newest ``capacity`` entries per pane (LATEST: one) with
+    ``row_number`` -- the literal bound lets WindowGroupLimit trim each task's
+    candidates before the exchange."""
+    kinds = set(NUMERIC_KINDS + ITEM_KINDS) if kinds is None else set(kinds)
     parts = []
     if kinds & set(NUMERIC_KINDS):
-        numeric = fused.where(~is_item).select(
+        parts.append(partials.where(F.col("kind").isin(*NUMERIC_KINDS)).select(
             *PANE_KEYS, "cnt",
             F.coalesce("_sum_l", "_max_l", "_min_l").alias("num_long"),
             F.coalesce("_sum_d", "_max_d", "_min_d").alias("num_double"),
             F.lit(None).cast(ITEM_TYPE).alias("items"),
             F.lit(None).cast("string").alias("latest_value"), F.lit(None).cast("bigint").alias("latest_ms"),
-        )
-        parts.append(numeric)
+        ))
     if kinds & set(ITEM_KINDS):
-        parts.append(_item_panes(fused.where(is_item), max_capacity))
+        parts.append(_item_panes(partials.where(F.col("kind").isin(*ITEM_KINDS)), max_capacity))
     if not parts:
-        return fused.where(F.lit(False)).select(*PANE_KEYS, "cnt").select(
-            *PANE_KEYS, "cnt", F.lit(None).cast("bigint").alias("num_long"),
-            F.lit(None).cast("double").alias("num_double"), F.lit(None).cast(ITEM_TYPE).alias("items"),
-            F.lit(None).cast("string").alias("latest_value"), F.lit(None).cast("bigint").alias("latest_ms"))
+        return _item_panes(partials.where(F.lit(False)), max_capacity)
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def build_panes(routed: DataFrame, pane_ms: int, max_capacity: int | None = None,
+                kinds: set[str] | None = None) -> DataFrame:
+    """Batch pane build over routed long rows (output of ``route_windowed``).
+
+    Lazy form; ``FeatureJob.materialized_panes`` persists the partials first
+    so the parse runs once for both the numeric and the item branch.
+    """
+    return panes_from_partials(pane_partials(routed, pane_ms), max_capacity, kinds)
+
+
 def _item_panes(candidates: DataFrame, max_capacity: int | None) -> DataFrame:
-    """Newest entries per pane: LIST (value, time) pairs, SET values, LATEST one value."""
     newest = Window.partitionBy(*PANE_KEYS).orderBy(F.col("item_ms").desc(), F.col("_v").desc())
     ranked = candidates.withColumn("_rn", F.row_number().over(newest))
-    limit = max(int(max_capacity or 1), 1)
-    ranked = ranked.where(F.col("_rn") <= F.lit(limit))  # a literal bound enables WindowGroupLimit
+    ranked = ranked.where(F.col("_rn") <= F.lit(max(int(max_capacity or 1), 1)))
     keep = F.when(F.col("kind") == "latest", F.lit(1)).otherwise(F.col("capacity"))
     is_latest = F.col("kind") == "latest"
     return (
@@ -154,15 +157,16 @@ def _item_panes(candidates: DataFrame, max_capacity: int | None) -> DataFrame:
         .groupBy(*PANE_KEYS)
         .agg(
             F.count(F.lit(1)).alias("cnt"),
-            F.sort_array(F.collect_list(F.when(~is_latest, F.struct(
-                F.col("item_ms").alias("ts"), F.col("_v").alias("value")))), asc=False).alias("items"),
+            F.collect_list(F.when(~is_latest, F.struct(
+                F.col("item_ms").alias("ts"), F.col("_v").alias("value")))).alias("items"),
             F.max(F.when(is_latest, F.col("_v"))).alias("latest_value"),
             F.max(F.when(is_latest, F.col("item_ms"))).alias("latest_ms"),
         )
         .select(
             *PANE_KEYS, "cnt", F.lit(None).cast("bigint").alias("num_long"),
             F.lit(None).cast("double").alias("num_double"),
-            F.when(~is_latest, F.col("items")).alias("items"), "latest_value", "latest_ms",
+            F.when(F.size("items") > 0, F.sort_array("items", asc=False)).alias("items"),
+            "latest_value", "latest_ms",
         )
     )
 

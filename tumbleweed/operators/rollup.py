@@ -116,6 +116,7 @@ def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str |
 
 def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes, prepartitioned):
     params = _spec_params(cs).where(F.col("spec_id").isin(*ids))
+    panes = panes.where(F.col("kind").isin(*_FAMILIES[family][0]))
     long_x = F.when(F.col("spec_kind") == "count", F.col("cnt")).otherwise(F.col("num_long"))
     x = {"exact": long_x, "sum_double": F.col("num_double")}.get(
         family, F.struct(long_x.alias("l"), F.col("num_double").alias("d")))
@@ -196,7 +197,7 @@ def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz:
     if not lengths and not wholes:
         return _none(panes)
 
-    gp = panes.join(params, ["feature", "id_type"]).select(
+    gp = panes.where(F.col("kind") == "count").join(params, ["feature", "id_type"]).select(
         *ENTITY, "spec_id", "sub_key", F.col("pane_end_ms").alias("t"), F.col("cnt").alias("c"),
         local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz).alias("day"))
     active = gp.select(*ENTITY, "spec_id", "t", "day").distinct()
@@ -290,7 +291,7 @@ def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
     no sort.  Otherwise the whole look-back is gathered and sorted.
     """
     params = _spec_params(cs).where(F.col("spec_kind") == "list")
-    p = (panes.join(params, ["feature", "id_type"])
+    p = (panes.where(F.col("kind") == "list").join(params, ["feature", "id_type"])
          .select(*ENTITY, "spec_id", "pane_end_ms", "items", "capacity", "need_ts"))
     p = p if prepartitioned else p.repartition(*ENTITY)
     by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
@@ -320,7 +321,7 @@ def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
 def rollup_set(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, prepartitioned: bool = False) -> DataFrame:
     """SET: newest ``capacity`` distinct values in the look-back, each at its newest time."""
     params = _spec_params(cs).where(F.col("spec_kind") == "set")
-    p = (panes.join(params, ["feature", "id_type"])
+    p = (panes.where(F.col("kind") == "set").join(params, ["feature", "id_type"])
          .select(*ENTITY, "spec_id", "pane_end_ms", "items", "capacity", "need_ts"))
     p = p if prepartitioned else p.repartition(*ENTITY)
     by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")

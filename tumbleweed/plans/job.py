@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tumbleweed.operators.atoms import atom_features
 from tumbleweed.operators.fanout import fan_out
-from tumbleweed.operators.panes import build_panes
+from tumbleweed.operators.panes import PANE_COLUMNS, build_panes, pane_partials, panes_from_partials
 from tumbleweed.operators.rollup import rollup_all
 from tumbleweed.operators.route import route_windowed
 from tumbleweed.plans.compile import CompiledSpecs, compile_specs
@@ -54,14 +54,24 @@ class FeatureJob:
     def materialized_panes(self, records: DataFrame) -> DataFrame:
         """Write the pane table to the shared checkpoint folder and read it back.
 
-        Every roll-up reads the same panes, lineage is cut there (a lost
-        executor re-reads the table instead of re-parsing the events), and the
-        table is what a later incremental run appends to.
+        The partials feed two branches (numeric rows, and the item kinds'
+        top-K); they are persisted for the duration of the write so the
+        parse, fan-out and route run once.  The written pane table is what
+        every roll-up reads: lineage is cut there (a lost executor re-reads a
+        table, never re-parses events), and an incremental run appends to it.
         """
+        from pyspark import StorageLevel
+
         spark = records.sparkSession
+        cs = self.compiled
         path = scratch_path(spark, "panes")
-        self.panes(records).write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        partials = pane_partials(self.routed(records), self.pane_ms).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            panes_from_partials(partials, cs.max_capacity(), cs.kinds_at(self.pane_ms)).write \
+                .mode("overwrite").partitionBy("kind").parquet(path)
+        finally:
+            partials.unpersist()
+        return spark.read.parquet(path).select(*PANE_COLUMNS)
 
     def windowed_features(self, records: DataFrame | None = None, panes: DataFrame | None = None) -> DataFrame:
         if panes is None:
