@@ -58,3 +58,24 @@ def test_stream_matches_batch_and_drops_late(spark):
     by_name = {(r.ts - base, r.feature_name): r.value_long for r in feats.collect()}
     assert by_name[(11 * MIN, "s_10m")] == 4
     assert by_name[(11 * MIN, "c_10m")] == 5      # panes at 4, 6 and 11 minutes
+
+
+def test_spec_refresher_restarts_only_on_change(spark):
+    from tumbleweed.streaming.job import SpecRefresher
+
+    root = f"{checkpoint_root(spark)}/test-refresh-{uuid.uuid4().hex[:8]}"
+    src = f"{root}/src"
+    _write(spark, src, [event("u", 1_000), event("u", 200_000)])
+    current = {"specs": [{**spec(1, "COUNT", "c"), "updateTime": "2024-01-01T00:00:00"}]}
+    refresher = SpecRefresher(
+        lambda: specs_from_json(spark, current["specs"]),
+        lambda: spark.readStream.schema(RECORD_SCHEMA).json(src),
+        StreamPaths(f"{root}/panes", f"{root}/features", f"{root}/ckpt"),
+        trigger={"availableNow": True})
+    assert refresher.poll() is True
+    refresher.query.awaitTermination()
+    assert refresher.poll() is False                      # unchanged specs: keep running
+    current["specs"] = current["specs"] + [{**spec(2, "COUNT", "d"), "updateTime": "2024-01-02T00:00:00"}]
+    assert refresher.poll() is True                       # changed: restart on the same checkpoint
+    refresher.query.awaitTermination()
+    assert refresher.query.exception() is None

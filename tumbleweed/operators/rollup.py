@@ -18,6 +18,9 @@ hot entity is bounded by the time span, not by its event count.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -354,28 +357,52 @@ def rollup_latest(panes: DataFrame, cs: CompiledSpecs) -> DataFrame:
     return _emit(p, F.col("feature"), F.lit(None), F.lit(None), F.col("latest_value"), F.lit("string"))
 
 
+@dataclass(frozen=True)
+class FeatureKind:
+    """Extension point for a feature kind.
+
+    ``applies`` picks the compiled specs the kind serves; ``rollup`` turns
+    the pane table into that kind's feature rows.  The pane level is shared
+    by all kinds (one fixed pane schema), so a kind only adds a roll-up.
+    """
+
+    name: str
+    applies: Callable[[object], bool]
+    rollup: Callable[..., DataFrame]
+
+
+def _numeric_spec(r) -> bool:
+    return r.kind in ("sum", "max", "min") or (r.kind == "count" and r.group_by is None)
+
+
+# Kind registry (X2): roll-ups keyed by name, each run only when a spec needs it.
+KIND_REGISTRY: dict[str, FeatureKind] = {
+    "numeric": FeatureKind("numeric", _numeric_spec,
+                           lambda p, cs, ms, tz, clock: rollup_numeric(p, cs, ms, tz)),
+    "grouped_count": FeatureKind("grouped_count", lambda r: r.kind == "count" and r.group_by is not None,
+                                 lambda p, cs, ms, tz, clock: rollup_grouped_count(p, cs, ms, tz)),
+    "list": FeatureKind("list", lambda r: r.kind == "list",
+                        lambda p, cs, ms, tz, clock: rollup_list(p, cs, ms, clock)),
+    "set": FeatureKind("set", lambda r: r.kind == "set",
+                       lambda p, cs, ms, tz, clock: rollup_set(p, cs, ms)),
+    "latest": FeatureKind("latest", lambda r: r.kind == "latest",
+                          lambda p, cs, ms, tz, clock: rollup_latest(p, cs)),
+}
+
+
 def rollup_all(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None,
                clock_field: str = DEFAULT_EVENT_TIME_FIELD) -> DataFrame:
     """All windowed features of one cadence, unioned on the feature schema.
 
-    Only the roll-ups some spec needs are planned.
+    Only the roll-ups some spec at this cadence needs are planned.  Each
+    branch keeps only its own kinds (partition pruning plus a map-side
+    broadcast join) before its exchange, so together the branches shuffle
+    the pane table once.
     """
-    kinds = cs.kinds_at(pane_ms)
-    grouped = {r.feature for r in cs.rows["specs"] if r.kind == "count" and r.group_by is not None}
-    ungrouped = {r.feature for r in cs.rows["specs"] if r.kind in ("count", "sum", "max", "min")} - grouped
-    # Each branch keeps only its own kinds (a map-side broadcast join) before
-    # its exchange, so together the branches shuffle the pane table once.
-    parts = []
-    if ungrouped and kinds & {"count", "sum", "max", "min"}:
-        parts.append(rollup_numeric(panes, cs, pane_ms, tz))
-    if grouped and "count" in kinds:
-        parts.append(rollup_grouped_count(panes, cs, pane_ms, tz))
-    if "list" in kinds:
-        parts.append(rollup_list(panes, cs, pane_ms, clock_field))
-    if "set" in kinds:
-        parts.append(rollup_set(panes, cs, pane_ms))
-    if "latest" in kinds:
-        parts.append(rollup_latest(panes, cs))
+    routed = {r.spec_id for r in cs.rows["routes"] if r.cadence_ms == pane_ms}
+    specs = [r for r in cs.rows["specs"] if r.spec_id in routed]
+    parts = [kind.rollup(panes, cs, pane_ms, tz, clock_field)
+             for kind in KIND_REGISTRY.values() if any(kind.applies(r) for r in specs)]
     if not parts:
         return _none(panes)
     out = parts[0]

@@ -19,6 +19,7 @@ checkpoint (T6).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,5 +141,36 @@ def spec_version(specs: DataFrame):
     return specs.agg(F.max("updateTime")).first()[0]
 
 
+class SpecRefresher:
+    """Live reconfiguration.
+
+    Routing runs before the stateful pane aggregation, so new specs cannot be
+    swapped into a running query.  ``poll`` reads the spec source's newest
+    ``updateTime``; when it changed, the query is stopped, the specs are
+    recompiled and the query restarts on the same checkpoint -- the pane
+    schema is fixed, so open panes carry over.  Call ``poll`` on a timer (the
+    reference polls every 10 s).
+    """
+
+    def __init__(self, load_specs: Callable[[], DataFrame], records: Callable[[], DataFrame],
+                 paths: StreamPaths, pane_ms: int = 60_000, **stream_kw):
+        self.load_specs, self.records, self.paths = load_specs, records, paths
+        self.pane_ms, self.stream_kw = pane_ms, stream_kw
+        self.version = None
+        self.query = None
+
+    def poll(self) -> bool:
+        """Start or restart when the specs changed; True when (re)started."""
+        specs = self.load_specs()
+        version = spec_version(specs)
+        if self.query is not None and version == self.version:
+            return False
+        job = FeatureJob(specs, pane_ms=self.pane_ms)
+        self.query = restart_with_new_specs(specs.sparkSession, self.query, job, self.records(),
+                                            self.paths, **self.stream_kw)
+        self.version = version
+        return True
+
+
 __all__ = ["pane_stream", "start_feature_stream", "StreamPaths", "FeatureBatchWriter",
-           "run_pane_stream_from_table", "restart_with_new_specs", "spec_version", "PANE_KEYS"]
+           "run_pane_stream_from_table", "restart_with_new_specs", "spec_version", "SpecRefresher", "PANE_KEYS"]
