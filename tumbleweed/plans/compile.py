@@ -80,6 +80,19 @@ class CompiledSpecs:
         caps = [r.capacity for r in self.rows["specs"] if r.kind in ("list", "set") and r.capacity]
         return max(caps) if caps else None
 
+    def restrict_windows(self, names) -> "CompiledSpecs":
+        """A copy whose roll-ups compute only the named windows.
+
+        Feature-level pruning: frames for windows nobody reads are never
+        planned.  Routing (and so the pane table) is unchanged.
+        """
+        import dataclasses
+
+        keep = [w for w in self.rows["windows"] if w.window in set(names)]
+        rows = dict(self.rows, windows=keep)
+        table = literal_table(self.specs.sparkSession, [tuple(w) for w in keep], WINDOW_COLUMNS)
+        return dataclasses.replace(self, windows=table, rows=rows)
+
     def route_table(self, cadence_ms: int) -> DataFrame:
         """Routes of one cadence joined with their spec parameters (windowed kinds)."""
         specs = self._kind_of()

@@ -73,10 +73,13 @@ class FeatureJob:
             partials.unpersist()
         return spark.read.parquet(path).select(*PANE_COLUMNS)
 
-    def windowed_features(self, records: DataFrame | None = None, panes: DataFrame | None = None) -> DataFrame:
+    def windowed_features(self, records: DataFrame | None = None, panes: DataFrame | None = None,
+                          windows=None) -> DataFrame:
+        """Windowed features; ``windows`` (names) limits which look-backs are computed."""
         if panes is None:
             panes = self.materialized_panes(records) if self.materialize else self.panes(records)
-        return rollup_all(panes, self.compiled, self.pane_ms, self.tz)
+        cs = self.compiled if windows is None else self.compiled.restrict_windows(windows)
+        return rollup_all(panes, cs, self.pane_ms, self.tz)
 
     def atom_features(self, records: DataFrame) -> DataFrame:
         return atom_features(self.fanned(records), self.compiled)

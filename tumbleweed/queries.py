@@ -41,9 +41,9 @@ def _typed(features: DataFrame) -> DataFrame:
     )
 
 
-def _windowed(spark, sf, ids, pane_ms=MINUTE, specs=EVENT_SPECS, records=event_records):
+def _windowed(spark, sf, ids, pane_ms=MINUTE, specs=EVENT_SPECS, records=event_records, windows=None):
     job = _job(spark, ids, pane_ms, specs)
-    return job.windowed_features(records(spark, sf))
+    return job.windowed_features(records(spark, sf), windows=windows)
 
 
 # --------------------------------------------------------------------------- sources / routing
@@ -116,9 +116,7 @@ def retention_panes(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------- roll-ups
 def _features_q(ids, names=None, pane_ms=MINUTE, specs=EVENT_SPECS, records=event_records):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        out = _windowed(spark, sf, ids, pane_ms, specs, records)
-        if names is not None:
-            out = out.where(F.col("window").isin(*names))
+        out = _windowed(spark, sf, ids, pane_ms, specs, records, windows=names)
         return _typed(out).select("id", "feature_name", "ts", "value_long", "value_double", "value_text")
     return run
 
