@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"stream_panes", "stream_features"}
+SLOW = {"stream_panes", "stream_features", "stream_recent"}
 
 
 def _norm(v):

@@ -95,6 +95,16 @@ NUMERIC_KINDS = ("count", "sum", "max", "min")
 ITEM_KINDS = ("list", "set", "latest")
 
 
+def _partial_keys(rows: DataFrame):
+    kind = F.col("kind")
+    is_item = kind.isin(*ITEM_KINDS)
+    return [F.when(is_item, F.col("val")).alias("_v"), F.when(kind == "list", F.col("item_ms")).alias("_t")]
+
+
+def _partial_aggs():
+    return [*_fixed_width_aggs(), F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity")]
+
+
 def pane_partials(routed: DataFrame, pane_ms: int) -> DataFrame:
     """Level-1 partials for every kind in one map-side-combined aggregation.
 
@@ -104,13 +114,22 @@ def pane_partials(routed: DataFrame, pane_ms: int) -> DataFrame:
     collapse map-side and a hot pane spreads over tasks by value.
     """
     rows = _contributing(routed).withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), pane_ms))
-    kind = F.col("kind")
-    is_item = kind.isin(*ITEM_KINDS)
-    return rows.groupBy(
-        *PANE_KEYS,
-        F.when(is_item, F.col("val")).alias("_v"),
-        F.when(kind == "list", F.col("item_ms")).alias("_t"),
-    ).agg(*_fixed_width_aggs(), F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity"))
+    return rows.groupBy(*PANE_KEYS, *_partial_keys(rows)).agg(*_partial_aggs())
+
+
+def pane_partials_streaming(routed: DataFrame, pane_ms: int) -> DataFrame:
+    """The same partials as a stateful streaming aggregation.
+
+    ``routed`` carries the watermarked ``event_ts``; state rows are keyed like
+    the batch partials, so no state row grows with a pane's distinct values.
+    Append mode emits a pane's partials once, when the watermark passes it.
+    """
+    rows = _contributing(routed, extra=("event_ts",))
+    pane = F.window("event_ts", f"{pane_ms // 1000} seconds")
+    keys = ["id", "id_type", "feature", "kind", "sub_key"]
+    agg = rows.groupBy(pane.alias("pane"), *keys, *_partial_keys(rows)).agg(*_partial_aggs())
+    return agg.select(*keys, F.unix_millis(F.col("pane.end")).alias("pane_end_ms"),
+                      *[c for c in agg.columns if c not in ("pane", *keys)])
 
 
 def panes_from_partials(partials: DataFrame, max_capacity: int | None = None,
@@ -171,46 +190,6 @@ def _item_panes(candidates: DataFrame, max_capacity: int | None) -> DataFrame:
     )
 
 
-def build_panes_streaming(routed: DataFrame, pane_ms: int) -> DataFrame:
-    """Stateful pane aggregation for a watermarked stream.
-
-    ``routed`` must carry the watermarked ``event_ts`` timestamp column.
-    Items are kept as a set in the state store and trimmed to capacity when
-    the pane closes (append mode emits each pane once).
-    """
-    rows = _contributing(routed, extra=("event_ts",))
-    pane = F.window("event_ts", f"{pane_ms // 1000} seconds")
-    keys = ["id", "id_type", "feature", "kind", "sub_key"]
-    agg = rows.groupBy(pane.alias("pane"), *keys).agg(
-        *_numeric_aggs(),
-        F.collect_set(F.when(F.col("kind").isin("list", "set"),
-                             F.struct(F.col("item_ms").alias("ts"), F.col("val").alias("value")))).alias("_items"),
-        F.max("capacity").alias("_cap"),
-    )
-    out = agg.select(
-        *keys, F.unix_millis(F.col("pane.end")).alias("pane_end_ms"), "cnt",
-        F.coalesce("_sum_l", "_max_l", "_min_l").alias("num_long"),
-        F.coalesce("_sum_d", "_max_d", "_min_d").alias("num_double"),
-        F.when(F.size("_items") > 0, F.col("_items")).alias("items"),
-        "latest_value", "latest_ms", "_cap",
-    )
-    return trim_items(out)
-
-
-def trim_items(panes: DataFrame) -> DataFrame:
-    """Newest ``capacity`` items of a pane; SET keeps one entry per value."""
-    sorted_items = F.sort_array(F.col("items"), asc=False)
-    # SET: first (newest) occurrence of each value, in newest-first order
-    values = F.array_distinct(F.transform(sorted_items, lambda x: x["value"]))
-    set_items = F.transform(
-        values, lambda v: F.element_at(sorted_items, F.array_position(F.transform(sorted_items, lambda x: x["value"]), v).cast("int")))
-    chosen = F.when(F.col("kind") == "set", set_items).otherwise(sorted_items)
-    trimmed = F.when(F.col("items").isNotNull(), F.slice(chosen, 1, F.col("_cap")))
-    return panes.withColumn("items", trimmed).withColumn(
-        "cnt", F.when(F.col("items").isNotNull(), F.size("items")).otherwise(F.col("cnt"))
-    ).drop("_cap").select(*PANE_COLUMNS)
-
-
 def build_session_panes(routed: DataFrame, gap_ms: int) -> DataFrame:
     """Session partials: the same aggregates over gap-separated sessions.
 

@@ -430,6 +430,20 @@ def _stream_features() -> str:
 STREAM_FEATURES = _stream_features()
 
 
+def _stream_recent() -> str:
+    parts = [
+        _items("recent_k", {"3h": 3 * HOUR, "24h": DAY}, 5, False, False, "CAST(k AS VARCHAR)"),
+        _items("recent_type", {"24h": DAY}, 3, False, True, "event_type"),
+    ]
+    body = _union(*[s for _, s in parts],
+                  f"SELECT {_out(name=repr('last_type'), ts='pe', vt='event_type')} FROM lt WHERE rn = 1")
+    return _with(EV, *[c for c, _ in parts], _LATEST_CTE) + _closed(
+        f"SELECT id, feature_name, ts, value_text FROM ({body}) u", "ts")
+
+
+STREAM_RECENT = _stream_recent()
+
+
 ORACLES = {
     "parse_events": PARSE_EVENTS,
     "dim_fanout": DIM_FANOUT,
@@ -465,4 +479,5 @@ ORACLES = {
     "lineitem_part_demand": LINEITEM_PART_DEMAND,
     "stream_panes": STREAM_PANES,
     "stream_features": STREAM_FEATURES,
+    "stream_recent": STREAM_RECENT,
 }

@@ -191,6 +191,14 @@ def stream_features(spark: SparkSession, sf: str) -> DataFrame:
     return _typed(features).select("id", "feature_name", "ts", "value_long")
 
 
+def stream_recent(spark: SparkSession, sf: str) -> DataFrame:
+    """LIST, SET and LATEST through the stream (item partials in state, top-K per closed pane)."""
+    from tumbleweed.streaming.job import run_pane_stream_from_table
+
+    features = run_pane_stream_from_table(spark, sf, _job(spark, {9, 11, 13}))[1]
+    return _typed(features).select("id", "feature_name", "ts", "value_text")
+
+
 QUERIES = {
     "parse_events": parse_events_q,
     "dim_fanout": dim_fanout,
@@ -226,4 +234,5 @@ QUERIES = {
     "lineitem_part_demand": lineitem_part_demand,
     "stream_panes": stream_panes,
     "stream_features": stream_features,
+    "stream_recent": stream_recent,
 }

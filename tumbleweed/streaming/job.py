@@ -2,9 +2,10 @@
 
     readStream (kafka / json / parquet records)
       -> parse -> fan-out -> broadcast route join           (stateless)
-      -> withWatermark(event_ts) -> pane aggregation         (state store, append)
+      -> withWatermark(event_ts) -> pane partials            (state store, append)
       -> foreachBatch:
-           1. write the closed panes of this batch to the pane table,
+           1. fold the closed partials into panes (top-K for item kinds) and
+              write them to the pane table,
               under ``batch_id=<n>`` with overwrite, so a replayed batch
               replaces its own output instead of duplicating it (T5);
            2. read the history those panes look back on (pruned to the
@@ -25,7 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tumbleweed.operators.panes import PANE_COLUMNS, PANE_KEYS, build_panes_streaming, retention_ms
+from tumbleweed.operators.panes import (PANE_COLUMNS, PANE_KEYS, pane_partials_streaming, panes_from_partials,
+                                        retention_ms)
 from tumbleweed.operators.rollup import rollup_all
 from tumbleweed.plans.job import FeatureJob
 from tumbleweed.session import scratch_path
@@ -33,11 +35,11 @@ from tumbleweed.sources.records import RECORD_SCHEMA
 
 
 def pane_stream(job: FeatureJob, records: DataFrame, delay: str = "1 minute") -> DataFrame:
-    """Streaming panes of ``records`` (a streaming ``(topic, key, value)`` frame)."""
+    """Streaming pane partials of ``records`` (a streaming ``(topic, key, value)`` frame)."""
     routed = job.routed(records)
     # withWatermark needs a TIMESTAMP (not NTZ) column
     routed = routed.withColumn("event_ts", F.timestamp_millis("event_ms")).withWatermark("event_ts", delay)
-    return build_panes_streaming(routed, job.pane_ms)
+    return pane_partials_streaming(routed, job.pane_ms)
 
 
 @dataclass
@@ -58,7 +60,10 @@ class FeatureBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        panes = batch.select(*PANE_COLUMNS).withColumn(
+        cs = self.job.compiled
+        # closed panes' partials -> pane rows (item kinds keep their newest entries)
+        closed = panes_from_partials(batch, cs.max_capacity(), cs.kinds_at(self.job.pane_ms))
+        panes = closed.select(*PANE_COLUMNS).withColumn(
             "pane_date", F.to_date(F.timestamp_millis("pane_end_ms")))
         panes.write.mode("overwrite").parquet(f"{self.paths.panes}/batch_id={batch_id}")
         current = spark.read.parquet(f"{self.paths.panes}/batch_id={batch_id}")
