@@ -322,30 +322,51 @@ def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
 
 
 def rollup_set(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, prepartitioned: bool = False) -> DataFrame:
-    """SET: newest ``capacity`` distinct values in the look-back, each at its newest time."""
-    params = _spec_params(cs).where(F.col("spec_kind") == "set")
-    p = (panes.where(F.col("kind") == "set").join(params, ["feature", "id_type"])
-         .select(*ENTITY, "spec_id", "pane_end_ms", "items", "capacity", "need_ts"))
-    p = p if prepartitioned else p.repartition(*ENTITY)
-    by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
-    picked = {}
-    lengths = cs.window_lengths(("set",), pane_ms)
+    """SET: newest ``capacity`` distinct values in the look-back, each at its newest time.
+
+    No active pane gathers its look-back.  A value's pane entry is *current*
+    from its pane until the value's next pane or until it leaves the
+    look-back, ``[t, min(next, t + w))`` -- so at any pane end each distinct
+    value has at most one current entry.  A range join on (entity, w, bucket
+    of length w) pairs entries with the active panes they are current for;
+    ``row_number() <= K`` per pane keeps the newest (WindowGroupLimit trims
+    each task first).  Work is split by value and by time bucket, never
+    gathered per entity.
+    """
+    ids = [r.spec_id for r in cs.rows["specs"] if r.kind == "set"]
+    lengths = sorted({w.window_ms for w in cs.rows["windows"]
+                      if w.spec_id in ids and w.cadence_ms == pane_ms and w.whole is None})
     if not lengths:
         return _none(panes)
-    for length in lengths:
-        gathered = F.collect_list("items").over(by_time.rangeBetween(-(length - 1), 0))
-        picked[length] = F.sort_array(F.flatten(gathered), asc=False)
-    framed = p.select(*ENTITY, "spec_id", "pane_end_ms", "need_ts", "capacity",
-                      *[v.alias(f"_i{k}") for k, v in picked.items()])
-    rows = framed.join(_windows(cs, pane_ms).where(F.col("whole").isNull()), "spec_id")
-    merged = _pick(F.col("window_ms"), {k: F.col(f"_i{k}") for k in picked})
-    rows = rows.withColumn("_m", merged)
-    # newest first, so the first occurrence of a value carries its newest time
-    values = F.slice(F.array_distinct(F.transform("_m", lambda x: x["value"])), 1, F.col("capacity"))
-    firsts = F.transform(values, lambda v: F.element_at(
-        F.col("_m"), F.array_position(F.transform("_m", lambda x: x["value"]), v).cast("int")))
+    params = _spec_params(cs).where(F.col("spec_kind") == "set")
+    p = (panes.where(F.col("kind") == "set").join(params, ["feature", "id_type"])
+         .select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts"))
+    active = p.select(*ENTITY, "spec_id", "t", "capacity", "need_ts")
+    entries = p.select(*ENTITY, "spec_id", "t", F.explode("items").alias("x")).select(
+        *ENTITY, "spec_id", "t", F.col("x.value").alias("v"), F.col("x.ts").alias("ts"))
+    nxt = F.lead("t").over(Window.partitionBy(*ENTITY, "v").orderBy("t"))
+    entries = entries.withColumn("next_t", nxt)
+    # one row per (entry, look-back): current on [t, min(next, t + w)), in buckets of length w
+    spans = entries.select("*", F.explode(F.array(*[F.lit(k).cast("bigint") for k in lengths])).alias("w"))
+    spans = spans.withColumn("e", F.least(F.coalesce("next_t", F.col("t") + F.col("w")), F.col("t") + F.col("w")))
+    spans = spans.select(*ENTITY, "spec_id", "v", "ts", "w", "t", "e", F.explode(F.sequence(
+        F.floor(F.col("t") / F.col("w")), F.floor((F.col("e") - 1) / F.col("w")))).alias("b"))
+    probes = active.select(*ENTITY, "spec_id", F.col("t").alias("probe_t"), "capacity", "need_ts",
+                           F.explode(F.array(*[F.lit(k).cast("bigint") for k in lengths])).alias("w"))
+    probes = probes.withColumn("b", F.floor(F.col("probe_t") / F.col("w")))
+    pairs = probes.join(spans, [*ENTITY, "spec_id", "w", "b"]).where(
+        (F.col("probe_t") >= F.col("t")) & (F.col("probe_t") < F.col("e")))
+    newest = Window.partitionBy(*ENTITY, "spec_id", "w", "b", "probe_t").orderBy(F.col("ts").desc(), F.col("v").desc())
+    kmax = max([r.capacity for r in cs.rows["specs"] if r.kind == "set"] + [1])
+    ranked = pairs.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= F.lit(kmax))
+    kept = ranked.where(F.col("_rn") <= F.col("capacity")).groupBy(
+        *ENTITY, "spec_id", "w", "b", "probe_t", "need_ts").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("ts"), F.col("v").alias("value"))), asc=False).alias("items"))
+    rows = kept.select(*ENTITY, "spec_id", F.col("probe_t").alias("pane_end_ms"), "need_ts", "items",
+                       F.col("w").alias("window_ms")).join(
+        _windows(cs, pane_ms).where(F.col("whole").isNull()), ["spec_id", "window_ms"])
     return _emit(rows, F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
-                 _render_items(firsts, F.col("need_ts")), F.lit("set"))
+                 _render_items(F.col("items"), F.col("need_ts")), F.lit("set"))
 
 
 # --------------------------------------------------------------------------- latest
