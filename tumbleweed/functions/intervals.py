@@ -11,7 +11,7 @@ import re
 # Unit spellings and their length in milliseconds.
 UNIT_MS = {"s": 1_000, "m": 60_000, "min": 60_000, "h": 3_600_000, "d": 86_400_000}
 
-# Same grammar as a SQL regex, so the spec compiler can parse on the executors.
+# The grammar as a regular expression (also usable with rlike in SQL).
 INTERVAL_SQL_PATTERN = r"^([0-9]+)(s|m|min|h|d)$"
 _PATTERN = re.compile(INTERVAL_SQL_PATTERN)
 
@@ -28,15 +28,3 @@ def parse_interval_ms(text: str | None) -> int | None:
         return None
     n = int(m.group(1))
     return n * UNIT_MS[m.group(2)] if n > 0 else None
-
-
-def interval_ms_col(col):
-    """Column version of :func:`parse_interval_ms` (NULL when invalid)."""
-    from pyspark.sql import functions as F
-
-    trimmed = F.trim(col)
-    n = F.regexp_extract(trimmed, INTERVAL_SQL_PATTERN, 1)
-    unit = F.regexp_extract(trimmed, INTERVAL_SQL_PATTERN, 2)
-    unit_ms = F.coalesce(*[F.when(unit == u, F.lit(ms)) for u, ms in UNIT_MS.items()])
-    value = n.try_cast("bigint") * unit_ms
-    return F.when(trimmed.rlike(INTERVAL_SQL_PATTERN) & (value > 0), value)

@@ -81,16 +81,6 @@ def _numeric_aggs():
     return _fixed_width_aggs() + _latest_aggs()
 
 
-def _finish_numeric(df: DataFrame) -> DataFrame:
-    return df.select(
-        *PANE_KEYS, "cnt",
-        F.coalesce("_sum_l", "_max_l", "_min_l").alias("num_long"),
-        F.coalesce("_sum_d", "_max_d", "_min_d").alias("num_double"),
-        F.lit(None).cast(ITEM_TYPE).alias("items"),
-        "latest_value", "latest_ms",
-    )
-
-
 NUMERIC_KINDS = ("count", "sum", "max", "min")
 ITEM_KINDS = ("list", "set", "latest")
 

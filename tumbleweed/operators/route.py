@@ -1,8 +1,8 @@
 """Event -> spec routing.
 
-The route table is tiny (spec count x routes x cadences) and is broadcast
-behind a row-count check; beyond the bound the join falls back to a shuffle
-join.  One event fans out to every spec routed to its
+The route table is tiny (spec count x routes x cadences); its row count is
+checked when the specs are compiled (``MAX_SPEC_ROWS``), which is what makes
+broadcasting it safe.  One event fans out to every spec routed to its
 (biz_type, event_type, target_type, id_type).
 """
 
@@ -16,11 +16,6 @@ from tumbleweed.operators.fanout import strip_id_prefix
 from tumbleweed.plans.compile import CompiledSpecs, literal_table
 
 ROUTE_KEYS = ["biz_type", "event_type", "target_type", "id_type"]
-# A route/spec table larger than this is not broadcast (it is config, so this
-# only trips on a misconfigured spec service).
-BROADCAST_MAX_ROWS = 200_000
-
-
 def spec_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a spec-derived table.
 
@@ -30,16 +25,6 @@ def spec_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is within ``max_rows``.
-
-    Spec-derived tables pass ``known_rows`` (counted at compile time); other
-    frames are counted here, and beyond the bound the join stays a shuffle join.
-    """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def route_windowed(fanned: DataFrame, cs: CompiledSpecs, cadence_ms: int) -> DataFrame:
     """Routed long rows for the windowed kinds at one pane cadence.
 

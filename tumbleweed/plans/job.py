@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tumbleweed.operators.atoms import atom_features
 from tumbleweed.operators.fanout import fan_out
@@ -51,7 +50,7 @@ class FeatureJob:
         cs = self.compiled
         return build_panes(self.routed(records), self.pane_ms, cs.max_capacity(), cs.kinds_at(self.pane_ms))
 
-    def materialized_panes(self, records: DataFrame) -> DataFrame:
+    def materialized_panes(self, records: DataFrame, fanned: DataFrame | None = None) -> DataFrame:
         """Write the pane table to the shared checkpoint folder and read it back.
 
         The partials feed two branches (numeric rows, and the item kinds'
@@ -65,7 +64,9 @@ class FeatureJob:
         spark = records.sparkSession
         cs = self.compiled
         path = scratch_path(spark, "panes")
-        partials = pane_partials(self.routed(records), self.pane_ms).persist(StorageLevel.MEMORY_AND_DISK)
+        fanned = self.fanned(records) if fanned is None else fanned
+        routed = route_windowed(fanned, cs, self.pane_ms)
+        partials = pane_partials(routed, self.pane_ms).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             panes_from_partials(partials, cs.max_capacity(), cs.kinds_at(self.pane_ms)).write \
                 .mode("overwrite").partitionBy("kind").parquet(path)
@@ -85,5 +86,29 @@ class FeatureJob:
         return atom_features(self.fanned(records), self.compiled)
 
     def features(self, records: DataFrame) -> DataFrame:
-        """All features, windowed and atom, on one schema."""
-        return self.windowed_features(records).unionByName(self.atom_features(records))
+        """All features, windowed and atom, on one schema.
+
+        When materializing, the parsed and fanned events are persisted while
+        both the pane table and the atom features are written to the shared
+        folder, so each record is parsed once; the result reads both back.
+        """
+        if not self.materialize:
+            return self.windowed_features(records).unionByName(self.atom_features(records))
+        from pyspark import StorageLevel
+
+        spark = records.sparkSession
+        has_atoms = any(r.kind == "atom" for r in self.compiled.rows["specs"])
+        fanned = self.fanned(records)
+        if has_atoms:
+            fanned = fanned.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            panes = self.materialized_panes(records, fanned)
+            windowed = rollup_all(panes, self.compiled, self.pane_ms, self.tz)
+            if not has_atoms:
+                return windowed
+            path = scratch_path(spark, "atoms")
+            atom_features(fanned, self.compiled).write.mode("overwrite").parquet(path)
+        finally:
+            if has_atoms:
+                fanned.unpersist()
+        return windowed.unionByName(spark.read.parquet(path))
