@@ -31,6 +31,7 @@ class FeatureJob:
     tz: str | None = None
     topic_dims: dict | None = None
     materialize: bool = True
+    pane_path: str | None = None     # durable pane table location; default: a fresh folder under spark.checkpoint.dir
     compiled: CompiledSpecs = field(init=False)
 
     def __post_init__(self):
@@ -63,7 +64,7 @@ class FeatureJob:
 
         spark = records.sparkSession
         cs = self.compiled
-        path = scratch_path(spark, "panes")
+        path = self.pane_path or scratch_path(spark, "panes")
         fanned = self.fanned(records) if fanned is None else fanned
         routed = route_windowed(fanned, cs, self.pane_ms)
         partials = pane_partials(routed, self.pane_ms).persist(StorageLevel.MEMORY_AND_DISK)
