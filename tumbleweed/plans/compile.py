@@ -93,6 +93,43 @@ class CompiledSpecs:
         table = literal_table(self.specs.sparkSession, [tuple(w) for w in keep], WINDOW_COLUMNS)
         return dataclasses.replace(self, windows=table, rows=rows)
 
+    def restrict_features(self, names) -> "CompiledSpecs":
+        """A copy that computes only the features named (e.g. those a sink persists).
+
+        A window survives when some spec's ``<prefix>_<window>`` (or, for a
+        grouped COUNT, ``<prefix>_<group>_<window>``) is named; atom fields by
+        their output name; LATEST by its bare prefix.  Specs left with nothing
+        to compute lose their routes, so their events never reach the pane
+        build.
+        """
+        import dataclasses
+
+        names = set(names)
+        specs = {r.spec_id: r for r in self.rows["specs"]}
+
+        def wanted(w) -> bool:
+            sp = specs[w.spec_id]
+            if sp.kind == "latest":
+                return sp.feature in names
+            if sp.kind == "count" and sp.group_by is not None:
+                return any(n.startswith(sp.feature + "_") and n.endswith("_" + w.window) for n in names)
+            return f"{sp.feature}_{w.window}" in names
+
+        windows = [w for w in self.rows["windows"] if wanted(w)]
+        atoms = [a for a in self.rows["atom_fields"] if a.out_name in names]
+        live = {w.spec_id for w in windows} | {a.spec_id for a in atoms}
+        # LATEST needs a window only for its cadence; keep one when it is named
+        routes = [r for r in self.rows["routes"] if r.spec_id in live
+                  and (r.cadence_ms is None or any(w.spec_id == r.spec_id and w.cadence_ms == r.cadence_ms
+                                                    for w in windows))]
+        rows = dict(self.rows, windows=windows, atom_fields=atoms, routes=routes)
+        spark = self.specs.sparkSession
+        return dataclasses.replace(
+            self, rows=rows,
+            windows=literal_table(spark, [tuple(w) for w in windows], WINDOW_COLUMNS),
+            atom_fields=literal_table(spark, [tuple(a) for a in atoms], ATOM_COLUMNS),
+            routes=literal_table(spark, [tuple(r) for r in routes], ROUTE_COLUMNS))
+
     def route_table(self, cadence_ms: int) -> DataFrame:
         """Routes of one cadence joined with their spec parameters (windowed kinds)."""
         specs = self._kind_of()

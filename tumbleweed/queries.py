@@ -151,6 +151,9 @@ def all_features(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------- sinks
 def _cells(spark: SparkSession, sf: str) -> DataFrame:
     job = _job(spark, {1, 4, 11, 13, 14})
+    # compute only what a cell sink persists
+    persisted = [r.feature_name for r in job.compiled.rows["sink_fields"]]
+    job.compiled = job.compiled.restrict_features(persisted)
     return serving_cells(job.features(event_records(spark, sf)), job.compiled)
 
 
