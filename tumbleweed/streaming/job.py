@@ -128,8 +128,16 @@ def run_pane_stream_from_table(spark: SparkSession, sf_dir: str, job: FeatureJob
     write_record_files(spark, event_records(spark, sf_dir), source)
     paths = StreamPaths(panes=f"{root}/panes", features=f"{root}/features", checkpoint=f"{root}/checkpoint")
     records = (spark.readStream.schema(RECORD_SCHEMA).option("maxFilesPerTrigger", 1).json(source))
-    query = start_feature_stream(job, records, paths, delay=delay, trigger={"availableNow": True})
-    query.awaitTermination()
+    # The state store keeps spark.sql.shuffle.partitions partitions for the
+    # life of a checkpoint; size this run's state to the cluster's cores.
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        query = start_feature_stream(job, records, paths, delay=delay, trigger={"availableNow": True})
+        query.awaitTermination()
+    finally:
+        spark.conf.set(key, previous)
     return read_outputs(spark, paths)
 
 
