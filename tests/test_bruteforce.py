@@ -32,6 +32,9 @@ def _naive(events, kind, window_ms, capacity=None, group=False):
             elif kind == "list":
                 pairs = sorted({(e["ext"]["eventTime"], e["ext"]["v"]) for e in inside}, reverse=True)
                 out[(uid, "", end)] = [v for _, v in pairs[:capacity]]
+            elif kind == "list_t2":
+                pairs = sorted({(e["ext"]["t2"], e["ext"]["v"]) for e in inside}, reverse=True)
+                out[(uid, "", end)] = [f"{v}|{t}" for t, v in pairs[:capacity]]
             elif kind == "set":
                 newest = {}
                 for e in inside:
@@ -48,7 +51,7 @@ def _events(seed, n=400, users=3, span_min=90):
     for _ in range(n):
         t = BASE + rnd.randrange(span_min * MIN)
         evs.append(event(f"u{rnd.randrange(users)}", t, v=rnd.choice("abcdef"), g=rnd.choice("pqr"),
-                         x=rnd.randrange(100)))
+                         x=rnd.randrange(100), t2=rnd.randrange(10**9)))
     return evs
 
 
@@ -60,17 +63,18 @@ def test_random_against_naive(spark):
         spec(3, "COUNT", "gc", windows=("10m", "30m"), groupByField="ext.g"),
         spec(4, "SUM", "sm", windows=("30m",), field="ext.x", fieldType="long"),
         spec(5, "MAX", "mx", windows=("10m",), field="ext.x", fieldType="long"),
+        spec(6, "LIST", "lt", windows=("10m",), field="ext.v", capacity=3, eventTimeField="ext.t2", needTs=True),
     ]
     got = {(r.id, r.feature_name, r.ts): (r.value_long, r.value_text) for r in features(spark, specs, evs).collect()}
     checks = [("st", "set", 10 * MIN, 3, False, "10m"), ("st", "set", 30 * MIN, 3, False, "30m"),
               ("ls", "list", 10 * MIN, 4, False, "10m"), ("gc", "count", 10 * MIN, None, True, "10m"),
               ("gc", "count", 30 * MIN, None, True, "30m"), ("sm", "sum", 30 * MIN, None, False, "30m"),
-              ("mx", "max", 10 * MIN, None, False, "10m")]
+              ("mx", "max", 10 * MIN, None, False, "10m"), ("lt", "list_t2", 10 * MIN, 3, False, "10m")]
     for prefix, kind, w, cap, grp, wname in checks:
         want = _naive(evs, kind, w, cap, grp)
         mine = {}
         for (uid, name, ts), (vl, vt) in got.items():
             if name.startswith(prefix + "_") and name.endswith("_" + wname):
                 middle = name[len(prefix):-len(wname) - 1]
-                mine[(uid, middle, ts)] = json.loads(vt) if kind in ("list", "set") else vl
+                mine[(uid, middle, ts)] = json.loads(vt) if kind in ("list", "set", "list_t2") else vl
         assert mine == want, (prefix, wname)

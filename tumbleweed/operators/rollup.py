@@ -291,62 +291,65 @@ def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
     When item times are the pane clock, newer panes hold only newer items and
     every pane holds at least one, so the newest K items sit in the newest K
     panes: a ROWS frame of K panes, cut to the look-back, is exact and needs
-    no sort.  Otherwise the whole look-back is gathered and sorted.
+    no sort.  Otherwise (a custom ``eventTimeField``) candidates are paired
+    with the panes that can see them by an interval join
+    (:func:`_interval_topk`); no look-back is gathered.
     """
     params = _spec_params(cs).where(F.col("spec_kind") == "list")
     p = (panes.where(F.col("kind") == "list").join(params, ["feature", "id_type"])
          .select(*ENTITY, "spec_id", "pane_end_ms", "items", "capacity", "need_ts"))
-    p = p if prepartitioned else p.repartition(*ENTITY)
     by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
-    picked = {}
     frames = cs.list_frames(pane_ms, clock_field)
     if not frames:
         return _none(panes)
-    for length, k, aligned in frames:
-        if aligned:
+    aligned = [(length, k) for length, k, ok in frames if ok]
+    unaligned = sorted(length for length, _, ok in frames if not ok)
+    parts = []
+    if aligned:
+        p = p if prepartitioned else p.repartition(*ENTITY)
+        picked = {}
+        for length, k in aligned:
             rows_back = max(1, min(int(k), length // pane_ms + 1))
             recent = F.collect_list(F.struct("pane_end_ms", "items")).over(
                 by_time.rowsBetween(-(rows_back - 1), 0))
             in_range = F.filter(recent, lambda x: x["pane_end_ms"] > F.col("pane_end_ms") - F.lit(length))
             newest_first = F.flatten(F.transform(F.reverse(in_range), lambda x: x["items"]))
-        else:
-            gathered = F.collect_list("items").over(by_time.rangeBetween(-(length - 1), 0))
-            newest_first = F.sort_array(F.flatten(gathered), asc=False)
-        picked[length] = F.slice(newest_first, 1, F.col("capacity"))
-    framed = p.select(*ENTITY, "spec_id", "pane_end_ms", "need_ts",
-                      *[v.alias(f"_i{k}") for k, v in picked.items()])
-    rows = framed.join(_windows(cs, pane_ms).where(F.col("whole").isNull()), "spec_id")
-    items = _pick(F.col("window_ms"), {k: F.col(f"_i{k}") for k in picked})
-    return _emit(rows, F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
-                 _render_items(items, F.col("need_ts")), F.lit("list"))
-
-
-def rollup_set(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, prepartitioned: bool = False) -> DataFrame:
-    """SET: newest ``capacity`` distinct values in the look-back, each at its newest time.
-
-    No active pane gathers its look-back.  A value's pane entry is *current*
-    from its pane until the value's next pane or until it leaves the
-    look-back, ``[t, min(next, t + w))`` -- so at any pane end each distinct
-    value has at most one current entry.  A range join on (entity, w, bucket
-    of length w) pairs entries with the active panes they are current for;
-    ``row_number() <= K`` per pane keeps the newest (WindowGroupLimit trims
-    each task first).  Work is split by value and by time bucket, never
-    gathered per entity.
+            picked[length] = F.slice(newest_first, 1, F.col("capacity"))
+        framed = p.select(*ENTITY, "spec_id", "pane_end_ms", "need_ts",
+                          *[v.alias(f"_i{k}") for k, v in picked.items()])
+        rows = framed.join(_windows(cs, pane_ms).where(F.col("whole").isNull()), "spec_id")
+        rows = rows.where(F.col("window_ms").isin(*picked.keys()))
+        items = _pick(F.col("window_ms"), {k: F.col(f"_i{k}") for k in picked})
+        parts.append(_emit(rows, F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
+                           _render_items(items, F.col("need_ts")), F.lit("list")))
+    if unaligned:
+        # item times are not the pane clock: candidates by interval join, never a gathered look-back
+        q = p.select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts")
+        rows = _interval_topk(q, cs, pane_ms, "list", unaligned, distinct_values=False).join(
+            _windows(cs, pane_ms).where(F.col("whole").isNull()), ["spec_id", "window_ms"])
+        parts.append(_emit(rows, F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
+                           _render_items(F.col("items"), F.col("need_ts")), F.lit("list")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _interval_topk(p: DataFrame, cs: CompiledSpecs, pane_ms: int, kind: str, lengths: list[int],
+                   distinct_values: bool) -> DataFrame:
+    """Newest ``capacity`` items per active pane without gathering a look-back.
+
+    ``p`` holds one row per pane: ``(id, id_type, feature, spec_id, t, items,
+    capacity, need_ts)``.  Each pane entry is a candidate for the pane ends
+    it can be seen from: ``[t, t + w)``, cut at the value's next pane when
+    values are distinct (SET).  A range join on (entity, w, bucket of length
+    w) pairs candidates with active panes; ``row_number() <= K`` per pane
+    keeps the newest (WindowGroupLimit trims each task first).
     """
-    ids = [r.spec_id for r in cs.rows["specs"] if r.kind == "set"]
-    lengths = sorted({w.window_ms for w in cs.rows["windows"]
-                      if w.spec_id in ids and w.cadence_ms == pane_ms and w.whole is None})
-    if not lengths:
-        return _none(panes)
-    params = _spec_params(cs).where(F.col("spec_kind") == "set")
-    p = (panes.where(F.col("kind") == "set").join(params, ["feature", "id_type"])
-         .select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts"))
     active = p.select(*ENTITY, "spec_id", "t", "capacity", "need_ts")
     entries = p.select(*ENTITY, "spec_id", "t", F.explode("items").alias("x")).select(
         *ENTITY, "spec_id", "t", F.col("x.value").alias("v"), F.col("x.ts").alias("ts"))
-    nxt = F.lead("t").over(Window.partitionBy(*ENTITY, "v").orderBy("t"))
-    entries = entries.withColumn("next_t", nxt)
-    # one row per (entry, look-back): current on [t, min(next, t + w)), in buckets of length w
+    if distinct_values:
+        entries = entries.withColumn("next_t", F.lead("t").over(Window.partitionBy(*ENTITY, "v").orderBy("t")))
+    else:
+        entries = entries.withColumn("next_t", F.lit(None).cast("bigint"))
     spans = entries.select("*", F.explode(F.array(*[F.lit(k).cast("bigint") for k in lengths])).alias("w"))
     spans = spans.withColumn("e", F.least(F.coalesce("next_t", F.col("t") + F.col("w")), F.col("t") + F.col("w")))
     spans = spans.select(*ENTITY, "spec_id", "v", "ts", "w", "t", "e", F.explode(F.sequence(
@@ -356,14 +359,33 @@ def rollup_set(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, prepartitioned
     probes = probes.withColumn("b", F.floor(F.col("probe_t") / F.col("w")))
     pairs = probes.join(spans, [*ENTITY, "spec_id", "w", "b"]).where(
         (F.col("probe_t") >= F.col("t")) & (F.col("probe_t") < F.col("e")))
-    newest = Window.partitionBy(*ENTITY, "spec_id", "w", "b", "probe_t").orderBy(F.col("ts").desc(), F.col("v").desc())
-    kmax = max([r.capacity for r in cs.rows["specs"] if r.kind == "set"] + [1])
+    newest = Window.partitionBy(*ENTITY, "spec_id", "w", "b", "probe_t").orderBy(
+        F.col("ts").desc(), F.col("v").desc())
+    kmax = max([r.capacity for r in cs.rows["specs"] if r.kind == kind] + [1])
     ranked = pairs.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= F.lit(kmax))
     kept = ranked.where(F.col("_rn") <= F.col("capacity")).groupBy(
         *ENTITY, "spec_id", "w", "b", "probe_t", "need_ts").agg(
         F.sort_array(F.collect_list(F.struct(F.col("ts"), F.col("v").alias("value"))), asc=False).alias("items"))
-    rows = kept.select(*ENTITY, "spec_id", F.col("probe_t").alias("pane_end_ms"), "need_ts", "items",
-                       F.col("w").alias("window_ms")).join(
+    return kept.select(*ENTITY, "spec_id", F.col("probe_t").alias("pane_end_ms"), "need_ts", "items",
+                       F.col("w").alias("window_ms"))
+
+
+def rollup_set(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, prepartitioned: bool = False) -> DataFrame:
+    """SET: newest ``capacity`` distinct values in the look-back, each at its newest time.
+
+    No active pane gathers its look-back: a value's pane entry is current on
+    ``[t, min(next pane of that value, t + w))``, so each distinct value has at
+    most one current entry at any pane end (see :func:`_interval_topk`).
+    """
+    ids = [r.spec_id for r in cs.rows["specs"] if r.kind == "set"]
+    lengths = sorted({w.window_ms for w in cs.rows["windows"]
+                      if w.spec_id in ids and w.cadence_ms == pane_ms and w.whole is None})
+    if not lengths:
+        return _none(panes)
+    params = _spec_params(cs).where(F.col("spec_kind") == "set")
+    p = (panes.where(F.col("kind") == "set").join(params, ["feature", "id_type"])
+         .select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts"))
+    rows = _interval_topk(p, cs, pane_ms, "set", lengths, distinct_values=True).join(
         _windows(cs, pane_ms).where(F.col("whole").isNull()), ["spec_id", "window_ms"])
     return _emit(rows, F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
                  _render_items(F.col("items"), F.col("need_ts")), F.lit("set"))
