@@ -43,3 +43,18 @@ def test_sinks(spark):
     msgs = feature_messages(cells).collect()
     assert len(msgs) == 2 and all(m.biz_type == "game" for m in msgs)
     assert msgs[0].value.startswith('{"id":"id42","dataType":"uid"')
+
+
+def test_restrict_features_prunes_windows_atoms_and_routes(spark):
+    specs = [spec(1, "COUNT", "c", windows=("10m", "3h")),
+             spec(2, "COUNT", "g", windows=("10m",), groupByField="ext.g"),
+             spec(3, "SUM", "s", windows=("10m",), field="ext.x", fieldType="long"),
+             {**spec(4, "ATOM", "a", fields=[{"sourceField": "ext.g", "featureName": "g"},
+                                             {"sourceField": "ext.x", "featureName": "x"}]), "windows": []}]
+    job = FeatureJob(specs_from_json(spark, specs), materialize=False)
+    job.compiled = job.compiled.restrict_features(["c_3h", "g_p_10m", "a_x"])
+    assert {(w.spec_id, w.window) for w in job.compiled.rows["windows"]} == {(1, "3h"), (2, "10m")}
+    assert {r.spec_id for r in job.compiled.rows["routes"]} == {1, 2, 4}      # spec 3 is never routed
+    evs = [event("u", 30_000, g="p", x=5)]
+    names = {r.feature_name for r in job.features(make_records(spark, evs)).collect()}
+    assert names == {"c_3h", "g_p_10m", "a_x"}
