@@ -43,19 +43,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for written intermediates and checkpoints.
+
+    ``spark.checkpoint.dir`` names it on a cluster.  Only a local session may
+    go without: it gets a folder of its own.  A cluster session without the
+    setting is refused, because a machine-local folder would lose rows there.
+    """
     conf = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if conf:
-        if spark.sparkContext.getCheckpointDir() is None:
+        if current is None:
             spark.sparkContext.setCheckpointDir(conf)
         return conf.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        # the context already has one (set by an earlier call); reuse its parent
-        return current.rstrip("/").rsplit("/", 1)[0]
-    scratch = tempfile.mkdtemp(prefix="tumbleweed-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
+    if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tumbleweed-ckpt-", dir="/tmp"))
+        current = spark.sparkContext.getCheckpointDir()
+    # the context keeps its checkpoints in a sub-folder of the one it was given
+    return current.rstrip("/").rsplit("/", 1)[0]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
