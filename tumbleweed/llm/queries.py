@@ -9,9 +9,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tumbleweed.llm import chat, standin, urls
+from tumbleweed.llm import ann, chat, neardup, standin, topk, urls
 from tumbleweed.llm.common import table
 
+
+def op1_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every embedding whose id is divisible by 20, by inner product."""
+    return ann.search(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best integer inner products of every embedding whose id is divisible by 100."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS z FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.z::DOUBLE[], c.z::DOUBLE[])::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle-set size and component of every document; two-word shingles, similarity 0.8."""
+    return neardup.link_components(table(spark, sf_dir, "documents"), ngram=2, percent=80)
+
+
 #: The rules of the URL query: fixed values of its contract.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -71,11 +98,15 @@ FROM rows_ GROUP BY conv_id
 """
 
 QUERIES = {
+    "op1_ann_search": op1_ann_search,
+    "op2_topk_search": op2_topk_search,
+    "op5_near_dup": op5_near_dup,
     "op8_url_filter": op8_url_filter,
     "op9_chat_format": op9_chat_format,
 }
 
 ORACLES = {
+    "op2_topk_search": OP2_SQL,
     "op8_url_filter": OP8_SQL,
     "op9_chat_format": OP9_SQL,
 }
