@@ -45,3 +45,13 @@ def ascii_lower(c: Column) -> Column:
 
 def blocks_for(rows: int, per_block: int) -> int:
     return max(1, math.ceil(rows / per_block))
+
+
+def computed(c: Column) -> Column:
+    """``c``, computed once.
+
+    A projected expression is copied into filters and lambdas above it, which
+    would split a text anew for each of its words.  A one-element ``explode``
+    is a step that the optimiser doesn't look through.
+    """
+    return F.explode(F.array(c))

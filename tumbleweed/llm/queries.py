@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tumbleweed.llm import ann, chat, neardup, standin, topk, urls
+from tumbleweed.llm import ann, chat, licenses, neardup, packing, pieces, quality, secrets, standin, topk, urls
 from tumbleweed.llm.common import table
 
 
@@ -34,11 +34,38 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score and prediction of every document; learned from labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled piece ids of every whole text, seeded by doc_id, and whether decoding them gives the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pieces.decode(pieces.encode(docs))
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle-set size and component of every document; two-word shingles, similarity 0.8."""
     return neardup.link_components(table(spark, sf_dir, "documents"), ngram=2, percent=80)
 
 
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets found in every document: place, length, digest and the forest's probability."""
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.trained(docs, standin.labelled_findings(docs)))
+    return found.where("is_secret").select("doc_id", F.col("start").cast("long").alias("start"), F.length("candidate").cast("long").alias("length"),
+                                           F.sha2("candidate", 256).alias("secret_sha256"), "probability")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket, batch and slot of every segment of every document, in byte tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 #: The rules of the URL query: fixed values of its contract.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -97,12 +124,23 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows_ GROUP BY conv_id
 """
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses found in every document, with containment and the first word of the best window."""
+    templates = spark.createDataFrame(licenses.TEMPLATES, "license string, text string")
+    return licenses.scan(table(spark, sf_dir, "documents"), templates)
+
+
 QUERIES = {
     "op1_ann_search": op1_ann_search,
     "op2_topk_search": op2_topk_search,
+    "op3_quality": op3_quality,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_near_dup": op5_near_dup,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
     "op9_chat_format": op9_chat_format,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES = {

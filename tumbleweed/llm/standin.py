@@ -28,3 +28,49 @@ def chat_records(conversations: DataFrame) -> DataFrame:
               .when((F.size("t") % 2 == 1) & F.forall("t", lambda m: m["role"].isin("system", "user", "assistant")), shared)
               .otherwise(plain))
     return convs.select("conv_id", record.alias("record"))
+
+
+def labelled_findings(documents: DataFrame, per_kind: int = 400) -> DataFrame:
+    """Labelled findings ``(candidate, before, after, path, label)`` for training.
+
+    No given table holds labelled findings.  Contexts are words of the first
+    ``per_kind`` documents in the order of hashed ids; values are digests of those
+    ids in the formats named below.  Label 1: values in a credential's place.
+    Label 0: the same kinds of values in other places (commits, checksums, ids,
+    card numbers, paths), words, identifiers and placeholders.
+    """
+    base = (documents.where("doc_id is not null and text is not null")
+            .select("doc_id", "text").orderBy(F.xxhash64("doc_id", F.lit("findings")), "doc_id", "text").limit(per_kind)
+            .select("doc_id", F.split("text", r"\s+").alias("w")))
+    # (text before, kind of value, text after, label)
+    positive = [(name + sign, kind, sign[-1] if sign[-1] in "\"'" else "", 1)
+                for name, sign in (("token", ' = "'), ("TOKEN", ' = "'), ("api_key", ": "), ("secret", " = '"), ("password", "="),
+                                   ("Authorization", ": Bearer "), ("access_key", ' => "'))
+                for kind in ("hex 40", "HEX 40", "code 32", "hex 32", "code 56")]
+    negative = [(before, kind, "", 0) for before, kind in (
+        ("commit ", "hex 40"), ("sha256: ", "hex 64"), ("md5 = ", "hex 32"), ("checksum=", "hex 40"), ("uuid ", "uuid"), ("id: ", "uuid"),
+        ("card ", "number"), ("", "number"), ("order ", "number"), ("", "words"), ("", "words"), ("", "name"), ("https://", "path"),
+        ('token = "', "xxxxxxxxxxxxxxxxxxxxxxxx"), ("password = ", "your-password-goes-here"), ("api_key: ", "name"),
+        ("", "----------------------------"), ("", "================================"))]
+    recipes = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(b).alias("name"), F.lit(v).alias("kind"), F.lit(a).alias("close"), F.lit(y).alias("label"))
+                        for k, (b, v, a, y) in enumerate(positive + negative)])
+    rows = base.withColumn("r", F.explode(recipes)).select("doc_id", "w", "r.*")
+    word = lambda i: F.get("w", F.pmod(F.xxhash64("doc_id", "k", F.lit(i)), F.size("w")).cast("int"))
+    letters = lambda i: F.regexp_replace(word(i), "[^A-Za-z]", "")
+    rows = (rows.withColumn("hex", F.sha2(F.concat_ws("-", F.col("doc_id").cast("string"), F.col("k").cast("string")), 512))
+            .withColumn("ws", F.array(*[letters(i) for i in range(4, 8)])))
+    piece = lambda at, n: F.substring("hex", at, n)
+    code = F.translate(F.base64(F.unhex("hex")), "+/=", "xyz")
+    values = {"hex 32": piece(1, 32), "hex 40": piece(1, 40), "HEX 40": F.upper(piece(1, 40)), "hex 64": piece(1, 64),
+              "code 32": F.substring(code, 1, 32), "code 56": F.substring(code, 1, 56),
+              "uuid": F.concat_ws("-", piece(1, 8), piece(9, 4), piece(13, 4), piece(17, 4), piece(21, 12)),
+              "number": F.concat(F.lit("4"), F.substring(F.translate("hex", "abcdef", ""), 1, 15)),
+              "words": F.array_join("ws", ""), "name": F.array_join("ws", "_"), "path": F.array_join("ws", "/")}
+    value = F.col("kind")
+    for kind, v in values.items():
+        value = F.when(F.col("kind") == kind, v).otherwise(value)
+    paths = F.array(*[F.lit(p) for p in ("src/app.py", "config/settings.yaml", "docs/page", "web", "")])
+    return rows.select(value.alias("candidate"), F.concat(word(0), F.lit(" "), word(1), F.lit(" "), F.col("name")).alias("before"),
+                       F.concat(F.col("close"), F.lit(" "), word(2)).alias("after"),
+                       F.get(paths, F.pmod(F.xxhash64("doc_id", "k", F.lit(3)), F.lit(5)).cast("int")).alias("path"),
+                       "label").where("length(candidate) >= 16")
