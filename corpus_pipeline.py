@@ -9,10 +9,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tumbleweed.llm import neardup, packing, quality, secrets, standin
 from tumbleweed.llm.common import table
 from tumbleweed.session import scratch_path
 
-STAGES: list = []
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; it learns from the labelled ones that are not held out."""
+    return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8)."""
+    return neardup.drop_copies(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their secrets replaced by a mark."""
+    return secrets.redact(docs, secrets.trained(docs, standin.labelled_findings(docs)))
+
+
+def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Length buckets and token-budget batches of all documents."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("MinHash near-dedup", drop_near_copies),
+    ("secret scans", redact_secrets),
+    ("packing", pack_batches),
+]
 
 #: The stages train models and verify near copies; SQL cannot express them.
 ORACLE_SQL = None
@@ -22,7 +49,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
