@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tumbleweed.functions.fields import expression_sql, is_plain_path
+from tumbleweed.functions.fields import is_plain_path, nested_path_sql
 from tumbleweed.functions.intervals import parse_interval_ms
 from tumbleweed.functions.scalars import local_day_num, row_key, timestamped_value
 
@@ -18,7 +18,9 @@ def test_intervals():
 def test_plain_paths():
     assert is_plain_path("uid") and is_plain_path("ext.pay") and is_plain_path("eventType")
     assert not is_plain_path("ext.a.b") and not is_plain_path("ext.k * 10") and not is_plain_path(None)
-    assert expression_sql("ext.o.a") == "get_json_object(try_element_at(ext, 'o'), '$.a')"
+    assert nested_path_sql("ext.o.a") == "get_json_object(try_element_at(ext, 'o'), '$.a')"
+    assert nested_path_sql("pay.amount") == "get_json_object(try_element_at(attrs, 'pay'), '$.amount')"
+    assert nested_path_sql("ext.a") is None and nested_path_sql("upper(x)") is None
 
 
 def test_row_key_and_cache_text(spark):

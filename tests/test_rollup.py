@@ -15,7 +15,7 @@ def at(pane_end):
 def test_pane_history_f2(spark):
     """F-2: partial 3 at T, T-5m, T-30m, T-1h, T-2h, T-3h, T-4h."""
     offsets = [0, 5 * MIN, 30 * MIN, HOUR, 2 * HOUR, 3 * HOUR, 4 * HOUR]
-    uid = "201460988054200030"
+    uid = "entity-17"
     evs = [event(uid, at(T - o), latitude=3) for o in offsets]
     evs += [event(uid, at(T - o), latitude=0) for o in offsets for _ in range(2)]
     specs = [
@@ -28,7 +28,9 @@ def test_pane_history_f2(spark):
     assert out[(uid, "lat_10m", T)] == 6
     assert out[(uid, "lat_3h", T)] == 15          # T-3h is outside (T-3h, T]
     assert out[(uid, "n_10m", T)] == 6 and out[(uid, "n_3h", T)] == 15
-    assert not any(k[1] == "lat_5m" for k in out)  # 5m has the 1-second cadence
+    # 5m has the 1-second cadence: a value at the end of each active second, none at minute ends
+    assert out[(uid, "lat_5m", at(T) + 1_000)] == 3 and out[(uid, "lat_5m", at(T - 5 * MIN) + 1_000)] == 3
+    assert sum(k[1] == "lat_5m" for k in out) == len(offsets)
 
 
 def test_set_newest_first_f3(spark):
@@ -126,3 +128,39 @@ def test_atoms_skip_blank(spark):
               "windows": []}]
     out = as_dict(features(spark, specs, [event("u", 5, v="x"), event("u", 6, v=" ")]))
     assert out == {("u", "a_v", 5): "x"}
+
+
+LONG = 2**63 - 1
+
+
+def test_history_outside_a_window_never_hurts_a_sum(spark):
+    """A running total may leave BIGINT; each window has a sum of its own."""
+    evs = [event("u", at(T), k=str(LONG)), event("u", at(T + HOUR), k="5"), event("u", at(T + 2 * HOUR), k="7")]
+    out = as_dict(features(spark, [spec(1, "SUM", "s", windows=("10m",), field="ext.k", fieldType="long")], evs), value="value_long")
+    assert out == {("u", "s_10m", T): LONG, ("u", "s_10m", T + HOUR): 5, ("u", "s_10m", T + 2 * HOUR): 7}
+
+
+def test_a_sum_beyond_bigint_is_null(spark):
+    """In one pane, and over the panes of a window; later windows recover."""
+    evs = [event("u", at(T), k=str(LONG)), event("u", at(T) + 1_000, k="1"), event("u", at(T + MIN), k="5"), event("u", at(T + 20 * MIN), k="6"),
+           event("v", at(T), k=str(LONG)), event("v", at(T + MIN), k="5")]
+    out = as_dict(features(spark, [spec(1, "SUM", "s", windows=("10m",), field="ext.k", fieldType="long")], evs), value="value_long")
+    assert out == {("u", "s_10m", T): None, ("u", "s_10m", T + MIN): None, ("u", "s_10m", T + 20 * MIN): 6,
+                   ("v", "s_10m", T): LONG, ("v", "s_10m", T + MIN): None}
+
+
+def test_set_keeps_the_greatest_custom_time(spark):
+    """A later pane with an older item time does not hide the newer time."""
+    evs = [event("u", at(T), v="x", t2=900), event("u", at(T + MIN), v="x", t2=50), event("u", at(T + MIN), v="y", t2=100),
+           event("u", at(T + 12 * MIN), v="y", t2=7)]
+    out = as_dict(features(spark, [spec(1, "SET", "s", field="ext.v", capacity=2, eventTimeField="ext.t2", needTs=True)], evs))
+    assert json.loads(out[("u", "s_10m", T + MIN)]) == ["x|900", "y|100"]
+    assert json.loads(out[("u", "s_10m", T + 12 * MIN)]) == ["y|7"]
+
+
+def test_all_cadences_in_one_job(spark):
+    specs = [spec(1, "COUNT", "m", windows=("10m",)), spec(2, "COUNT", "h", windows=("3h",), delay="1h"),
+             {**spec(3, "ATOM", "a", fields=[{"sourceField": "ext.g", "featureName": "g"}]), "windows": []}]
+    out = as_dict(features(spark, specs, [event("u", at(T), g="p"), event("u", at(T) + 40_000, g="q")]))
+    assert out == {("u", "m_10m", T): "1", ("u", "m_10m", T + MIN): "2", ("u", "h_3h", T): "1", ("u", "h_3h", T + HOUR): "2",
+                   ("u", "a_g", at(T)): "p", ("u", "a_g", at(T) + 40_000): "q"}

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def blank(col: Column) -> Column:
-    """True when NULL, empty or whitespace only (a Java ``isBlank``)."""
-    return F.coalesce(F.trim(col), F.lit("")) == F.lit("")
+    """True when NULL, empty or white space only, tabs and line ends included."""
+    return ~F.coalesce(col.rlike(r"[^\s\x1c-\x1f]"), F.lit(False))
 
 
 def not_blank(col: Column) -> Column:

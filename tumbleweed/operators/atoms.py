@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tumbleweed.functions.fields import field_value
+from tumbleweed.functions.fields import field_value, lenient
 from tumbleweed.functions.scalars import not_blank
-from tumbleweed.operators.route import route_atoms, spec_broadcast
-from tumbleweed.plans.compile import CompiledSpecs, literal_table
+from tumbleweed.operators.route import route_atoms
+from tumbleweed.plans.compile import CompiledSpecs, literal_table, spec_broadcast
 
 
 def atom_features(fanned: DataFrame, cs: CompiledSpecs) -> DataFrame:
@@ -23,14 +23,15 @@ def atom_features(fanned: DataFrame, cs: CompiledSpecs) -> DataFrame:
     fields = literal_table(
         fanned.sparkSession, [(sid, f) for sid, f in sorted(by_spec.items())],
         "spec_id int, fields array<struct<source_field:string,out_name:string>>")
-    routed = route_atoms(fanned, cs).join(spec_broadcast(fields), "spec_id")
-    one = routed.select("id", "id_type", F.col("event_ms"), "ext", "attrs",
+    routed = route_atoms(fanned, cs).join(
+        spec_broadcast(fields, len(cs.rows["atom_fields"])), "spec_id")
+    one = routed.select("id", "id_type", "uid", "biz_type", "event_type", "target_type", "event_ms", "ext", "attrs",
                         F.explode("fields").alias("f"))
-    value = field_value(F.col("f.source_field"), cs.expressions)
-    out = one.select(
-        "id", "id_type", F.col("f.out_name").alias("feature_name"),
-        F.col("event_ms").alias("ts"), value.alias("value_text"),
-    )
+    with lenient(fanned.sparkSession):
+        out = one.select(
+            "id", "id_type", F.col("f.out_name").alias("feature_name"),
+            F.col("event_ms").alias("ts"), field_value(F.col("f.source_field"), cs.expressions).alias("value_text"),
+        )
     return out.where(not_blank(F.col("value_text"))).select(
         "id", "id_type", F.lit(None).cast("string").alias("feature"), "feature_name",
         F.lit(None).cast("string").alias("window"), "ts",

@@ -3,7 +3,7 @@
 All specs of all kinds share one pane table with a fixed schema, so a spec
 change never changes the state schema (T6):
 
-    id, id_type, feature, kind, sub_key, pane_end_ms,
+    id, id_type, feature, kind, sub_key, cadence_ms, pane_end_ms,
     cnt, num_long, num_double, items array<struct<ts,value>>, latest_value, latest_ms
 
 * numeric kinds and LATEST: one ``groupBy`` with built-in aggregates, planned
@@ -23,9 +23,12 @@ from pyspark.sql.window import Window
 
 from tumbleweed.functions.scalars import pane_end_ms
 
-PANE_KEYS = ["id", "id_type", "feature", "kind", "sub_key", "pane_end_ms"]
+PANE_KEYS = ["id", "id_type", "feature", "kind", "sub_key", "cadence_ms", "pane_end_ms"]
 PANE_COLUMNS = PANE_KEYS + ["cnt", "num_long", "num_double", "items", "latest_value", "latest_ms"]
 ITEM_TYPE = "array<struct<ts:bigint,value:string>>"
+PANE_SCHEMA = ("id string, id_type string, feature string, kind string, sub_key string, cadence_ms bigint, "
+               f"pane_end_ms bigint, cnt bigint, num_long bigint, num_double double, items {ITEM_TYPE}, "
+               "latest_value string, latest_ms bigint")
 
 
 def _contributing(routed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -43,7 +46,7 @@ def _contributing(routed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     )
     sub_key = F.when((kind == "count") & F.col("grouped"), F.col("grp")).otherwise(F.lit(""))
     return routed.where(keep).select(
-        "id", "id_type", "feature", "kind", sub_key.alias("sub_key"), "event_ms",
+        "id", "id_type", "feature", "kind", sub_key.alias("sub_key"), "cadence_ms", "event_ms",
         "val", "item_ms", "capacity",
         x_long.alias("x_long"), x_double.alias("x_double"), *extra,
     )
@@ -63,24 +66,6 @@ def _fixed_width_aggs():
     ]
 
 
-def _latest_aggs():
-    """LATEST partial: the value at the newest event time; ties -> greatest value.
-
-    Its buffer holds a string, which rules out the fixed-width hash map, so
-    it is aggregated apart from the numeric kinds.
-    """
-    kind = F.col("kind")
-    return [
-        F.max_by(F.when(kind == "latest", F.col("val")),
-                 F.when(kind == "latest", F.struct("item_ms", "val"))).alias("latest_value"),
-        F.max(F.when(kind == "latest", F.col("item_ms"))).alias("latest_ms"),
-    ]
-
-
-def _numeric_aggs():
-    return _fixed_width_aggs() + _latest_aggs()
-
-
 NUMERIC_KINDS = ("count", "sum", "max", "min")
 ITEM_KINDS = ("list", "set", "latest")
 
@@ -95,15 +80,15 @@ def _partial_aggs():
     return [*_fixed_width_aggs(), F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity")]
 
 
-def pane_partials(routed: DataFrame, pane_ms: int) -> DataFrame:
-    """Level-1 partials for every kind in one map-side-combined aggregation.
+def pane_partials(routed: DataFrame) -> DataFrame:
+    """Level-1 partials for every kind and cadence in one map-side-combined aggregation.
 
     All buffers are fixed-width (counts, sums, extremes, times), which keeps
     it on the hash aggregate.  Numeric kinds group by the pane key; LIST by
     (pane, value, time), SET and LATEST by (pane, value) -- duplicates
     collapse map-side and a hot pane spreads over tasks by value.
     """
-    rows = _contributing(routed).withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), pane_ms))
+    rows = _contributing(routed).withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), F.col("cadence_ms")))
     return rows.groupBy(*PANE_KEYS, *_partial_keys(rows)).agg(*_partial_aggs())
 
 
@@ -116,7 +101,7 @@ def pane_partials_streaming(routed: DataFrame, pane_ms: int) -> DataFrame:
     """
     rows = _contributing(routed, extra=("event_ts",))
     pane = F.window("event_ts", f"{pane_ms // 1000} seconds")
-    keys = ["id", "id_type", "feature", "kind", "sub_key"]
+    keys = ["id", "id_type", "feature", "kind", "sub_key", "cadence_ms"]
     agg = rows.groupBy(pane.alias("pane"), *keys, *_partial_keys(rows)).agg(*_partial_aggs())
     return agg.select(*keys, F.unix_millis(F.col("pane.end")).alias("pane_end_ms"),
                       *[c for c in agg.columns if c not in ("pane", *keys)])
@@ -145,14 +130,14 @@ def panes_from_partials(partials: DataFrame, max_capacity: int | None = None,
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def build_panes(routed: DataFrame, pane_ms: int, max_capacity: int | None = None,
+def build_panes(routed: DataFrame, max_capacity: int | None = None,
                 kinds: set[str] | None = None) -> DataFrame:
     """Batch pane build over routed long rows (output of ``route_windowed``).
 
     Lazy form; ``FeatureJob.materialized_panes`` persists the partials first
     so the parse runs once for both the numeric and the item branch.
     """
-    return panes_from_partials(pane_partials(routed, pane_ms), max_capacity, kinds)
+    return panes_from_partials(pane_partials(routed), max_capacity, kinds)
 
 
 def _item_panes(candidates: DataFrame, max_capacity: int | None) -> DataFrame:
@@ -184,14 +169,16 @@ def build_session_panes(routed: DataFrame, gap_ms: int) -> DataFrame:
     """Session partials: the same aggregates over gap-separated sessions.
 
     ``session_window`` merges partials whose windows overlap -- the combine
-    step a session window needs -- with built-in aggregates.
+    step a session window needs -- with built-in aggregates.  Item kinds then
+    join their entries to the session they fall in, which never gathers a
+    session: duplicates fold map-side and ``row_number`` keeps the newest
+    ``capacity`` (LATEST: one).
     """
-    rows = _contributing(routed).where(F.col("kind").isin("count", "sum", "max", "min"))
-    rows = rows.withColumn("_ts", F.timestamp_millis("event_ms"))
+    rows = _contributing(routed).withColumn("_ts", F.timestamp_millis("event_ms"))
     session = F.session_window("_ts", f"{gap_ms // 1000} seconds")
     keys = ["id", "id_type", "feature", "kind", "sub_key"]
-    agg = rows.groupBy(session.alias("s"), *keys).agg(*_numeric_aggs())
-    return agg.select(
+    agg = rows.groupBy(session.alias("s"), *keys).agg(*_fixed_width_aggs())
+    sessions = agg.select(
         *keys,
         F.unix_millis(F.col("s.start")).alias("session_start_ms"),
         F.unix_millis(F.col("s.end")).alias("session_end_ms"),
@@ -199,6 +186,22 @@ def build_session_panes(routed: DataFrame, gap_ms: int) -> DataFrame:
         F.coalesce("_sum_l", "_max_l", "_min_l").alias("num_long"),
         F.coalesce("_sum_d", "_max_d", "_min_d").alias("num_double"),
     )
+    entries = (rows.where(F.col("kind").isin(*ITEM_KINDS))
+               .groupBy(*keys, F.col("val").alias("_v"), F.when(F.col("kind") == "list", F.col("item_ms")).alias("_t"), "event_ms")
+               .agg(F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity")))
+    # the session of an entry: the last one that starts no later
+    marks = (sessions.where(F.col("kind").isin(*ITEM_KINDS)).select(*keys, F.col("session_start_ms").alias("at"), F.col("session_start_ms").alias("start"))
+             .withColumn("first", F.lit(0)))
+    both = marks.unionByName(entries.withColumn("first", F.lit(1)).withColumnRenamed("event_ms", "at"), allowMissingColumns=True)
+    started = F.last("start", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("at", "first"))
+    placed = both.withColumn("session_start_ms", started).where(F.col("first") == 1)
+    of_session = [*keys, "session_start_ms"]
+    folded = placed.groupBy(*of_session, "_v", "_t").agg(F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity"))
+    newest = Window.partitionBy(*of_session).orderBy(F.col("item_ms").desc(), F.col("_v").desc())
+    limit = F.when(F.col("kind") == "latest", F.lit(1)).otherwise(F.col("capacity"))
+    items = (folded.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= limit).groupBy(*of_session)
+             .agg(F.sort_array(F.collect_list(F.struct(F.col("item_ms").alias("ts"), F.col("_v").alias("value"))), asc=False).alias("items")))
+    return sessions.join(items, of_session, "left")
 
 
 def retention_ms(cs) -> DataFrame:
@@ -221,7 +224,7 @@ def retain_panes(panes: DataFrame, cs, as_of_ms, pane_ms: int) -> DataFrame:
     A broadcast join with the per-feature retention, then a filter; on a
     date-partitioned pane table the same predicate prunes whole partitions.
     """
-    from tumbleweed.operators.route import spec_broadcast
+    from tumbleweed.plans.compile import spec_broadcast
 
-    kept = panes.join(spec_broadcast(retention_ms(cs)), ["feature", "id_type"])
+    kept = panes.join(spec_broadcast(retention_ms(cs), len(cs.rows["windows"])), ["feature", "id_type"])
     return kept.where(F.col("pane_end_ms") > F.lit(as_of_ms) - F.col("retention_ms")).drop("retention_ms")

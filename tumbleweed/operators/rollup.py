@@ -5,15 +5,15 @@ pane's end (A11).  One hash exchange on ``(id, id_type, feature)`` feeds all
 window frames; each key holds at most one row per pane (and sub key), so a
 hot entity is bounded by the time span, not by its event count.
 
-* COUNT / SUM / MAX / MIN: RANGE frames ``(T - w, T]`` on ``pane_end_ms``
-  (decision D2), one frame per distinct look-back length, all in one sort.
+* COUNT, long SUM: differences of two growing frames; double SUM, MAX, MIN:
+  RANGE frames ``(T - w, T]`` on ``pane_end_ms`` (decision D2).
 * ``today``: growing frame within the local day; ``yesterday``: RANGE frame
-  ``day - 1`` on the day number -- no join for either.
-* grouped COUNT: partials of all groups are gathered over the frame, so
-  groups absent from the current pane are carried over (A2).
-* LIST: the newest K items lie in the newest K panes, so a ROWS frame of K
-  panes (cut to the look-back) is exact.
-* SET: the frame's partials newest-first; first occurrence per value (D5).
+  ``day - 1`` on the day number.
+* grouped COUNT: per-group islands of presence range-join the entity's active
+  panes, so groups absent from the current pane are carried over (A2).
+* LIST on the pane clock: the newest K items lie in the newest K panes, so a
+  ROWS frame of K panes (cut to the look-back) is exact.
+* SET, and LIST with a custom item time: interval join and ``row_number``.
 """
 
 from __future__ import annotations
@@ -26,8 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tumbleweed.functions.scalars import local_day_num
-from tumbleweed.operators.route import spec_broadcast
-from tumbleweed.plans.compile import CompiledSpecs
+from tumbleweed.plans.compile import CompiledSpecs, spec_broadcast
 from tumbleweed.sources.events import DEFAULT_EVENT_TIME_FIELD
 
 ENTITY = ["id", "id_type", "feature"]
@@ -38,12 +37,12 @@ FEATURE_COLUMNS = ["id", "id_type", "feature", "feature_name", "window", "ts",
 def _spec_params(cs: CompiledSpecs) -> DataFrame:
     return spec_broadcast(cs.specs.where(F.col("kind") != "atom").select(
         "spec_id", "feature", "id_type", F.col("kind").alias("spec_kind"), "field_type",
-        F.col("group_by").isNotNull().alias("grouped"), "capacity", "need_ts"))
+        F.col("group_by").isNotNull().alias("grouped"), "capacity", "need_ts"), len(cs.rows["specs"]))
 
 
 def _windows(cs: CompiledSpecs, pane_ms: int) -> DataFrame:
     return spec_broadcast(cs.windows.where(F.col("cadence_ms") == pane_ms).select(
-        "spec_id", "window", "window_ms", "whole"))
+        "spec_id", "window", "window_ms", "whole"), len(cs.rows["windows"]))
 
 
 def _pick(length_col: Column, by_length: dict[int, Column]) -> Column:
@@ -73,24 +72,25 @@ def _none(panes: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- numeric
 # family -> (spec kinds, field types it covers)
 _FAMILIES = {
-    "exact": (("count", "sum"), (None, "long")),   # COUNT and long SUM
+    "count": (("count",), (None,)),
+    "sum_long": (("sum",), ("long",)),
     "sum_double": (("sum",), ("double",)),
     "max": (("max",), ("long", "double")),
     "min": (("min",), ("long", "double")),
 }
 
 
-def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None,
-                   prepartitioned: bool = False) -> DataFrame:
+def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None) -> DataFrame:
     """COUNT (ungrouped), SUM, MAX, MIN over relative and whole-day windows.
 
     One branch per aggregate family; each row evaluates only its own
     function, once per distinct look-back:
 
     * COUNT and long SUM: ``S(T) = C(T) - C(T - w)`` with ``C`` the running
-      total -- two growing frames, linear in the panes, exact in BIGINT (a
-      running total beyond BIGINT makes the value NULL instead of failing
-      the job, D16);
+      total -- two growing frames, linear in the panes.  A long SUM runs in
+      DECIMAL, so history outside the window never matters; a window whose
+      own sum leaves BIGINT, or that holds a pane whose sum did, emits NULL
+      (D16);
     * double SUM: sliding RANGE frame ``(T - w, T]`` (no cancellation);
     * MAX / MIN: sliding frames over ``struct(long, double)``, so long and
       double specs share one window function;
@@ -108,7 +108,7 @@ def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str |
         lengths = sorted({w.window_ms for w in wins if w.whole is None})
         wholes = sorted({w.whole for w in wins if w.whole is not None})
         if lengths or wholes:
-            parts.append(_numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes, prepartitioned))
+            parts.append(_numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes))
     if not parts:
         return _none(panes)
     out = parts[0]
@@ -117,28 +117,43 @@ def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str |
     return out
 
 
-def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes, prepartitioned):
+def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes):
     params = _spec_params(cs).where(F.col("spec_id").isin(*ids))
     panes = panes.where(F.col("kind").isin(*_FAMILIES[family][0]))
     long_x = F.when(F.col("spec_kind") == "count", F.col("cnt")).otherwise(F.col("num_long"))
-    x = {"exact": long_x, "sum_double": F.col("num_double")}.get(
+    x = {"count": long_x, "sum_long": long_x.cast("decimal(19,0)"), "sum_double": F.col("num_double")}.get(
         family, F.struct(long_x.alias("l"), F.col("num_double").alias("d")))
     p = panes.join(params, ["feature", "id_type"]).select(
         *ENTITY, "spec_id", "field_type", "pane_end_ms", x.alias("x"),
+        # a SUM pane always has a contributing value: a missing sum is one that left BIGINT
+        F.col("num_long").isNull().cast("int").alias("over"),
         local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz).alias("day"),
     )
-    p = p if prepartitioned else p.repartition(*ENTITY)
+    p = p.repartition(*ENTITY)
     by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
-    agg = {"exact": F.try_sum, "sum_double": F.try_sum, "max": F.max, "min": F.min}[family]
+    agg = {"count": F.sum, "sum_long": F.sum, "sum_double": F.try_sum, "max": F.max, "min": F.min}[family]
+
+    def growing(total: Column, length: int) -> Column:
+        """A total over ``(T - length, T]`` as the difference of two running totals."""
+        now = total.over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        before = total.over(by_time.rangeBetween(Window.unboundedPreceding, -length))
+        return now - F.coalesce(before, F.lit(0))
+
+    def fitting(total: Column, over: Column) -> Column:
+        return F.when(F.coalesce(over, F.lit(0)) == 0, F.coalesce(total, F.lit(0)).try_cast("bigint"))
 
     def window_value(length: int) -> Column:
-        if family == "exact":
-            total = F.try_sum("x")
-            now = total.over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            before = total.over(by_time.rangeBetween(Window.unboundedPreceding, -length))
-            return F.try_subtract(now, F.coalesce(before, F.lit(0).cast("bigint")))
+        if family == "count":
+            return growing(agg("x"), length)
+        if family == "sum_long":
+            return fitting(growing(agg("x"), length), growing(F.sum("over"), length))
         return agg("x").over(by_time.rangeBetween(-(length - 1), 0))
 
+    def whole_value(frame) -> Column:
+        if family == "sum_long":
+            return fitting(agg("x").over(frame), F.sum("over").over(frame))
+        return agg("x").over(frame)
+
     whole_frames = {
         "today": Window.partitionBy(*ENTITY, "day").orderBy("pane_end_ms").rowsBetween(
             Window.unboundedPreceding, Window.currentRow),
@@ -147,13 +162,14 @@ def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes, prepar
     framed = p.select(
         *ENTITY, "spec_id", "field_type", "pane_end_ms",
         *[window_value(k).alias(f"_w{k}") for k in lengths],
-        *[agg("x").over(whole_frames[name]).alias(f"_w_{name}") for name in wholes],
+        *[whole_value(whole_frames[name]).alias(f"_w_{name}") for name in wholes],
+        *([F.count(F.lit(1)).over(whole_frames["yesterday"]).alias("_n_yesterday")] if "yesterday" in wholes else []),
     )
     rows = framed.join(_windows(cs, pane_ms), "spec_id")
     value = _pick(F.col("window_ms"), {k: F.col(f"_w{k}") for k in lengths})
     for name in wholes:
         value = F.when(F.col("whole") == name, F.col(f"_w_{name}")).otherwise(value)
-    if family == "exact":
+    if family in ("count", "sum_long"):
         long_v, double_v = value, F.lit(None)
     elif family == "sum_double":
         long_v, double_v = F.lit(None), value
@@ -161,19 +177,19 @@ def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes, prepar
         is_double = F.col("field_type") == "double"
         long_v, double_v = F.when(~is_double, value["l"]), F.when(is_double, value["d"])
     text = F.coalesce(long_v.cast("string"), double_v.cast("string"))
-    vtype = F.lit("long") if family == "exact" else F.lit("double") if family == "sum_double" else \
+    vtype = F.lit("long") if family in ("count", "sum_long") else F.lit("double") if family == "sum_double" else \
         F.when(F.col("field_type") == "double", F.lit("double")).otherwise(F.lit("long"))
-    out = _emit(rows, F.concat_ws("_", "feature", "window"), long_v, double_v, text, vtype)
-    # an empty look-back (yesterday without panes) emits nothing
-    return out.where(F.col("value_text").isNotNull())
+    # an empty look-back (yesterday without panes) emits nothing; a sum beyond its type emits NULL
+    some = (F.col("whole").isNull() | (F.col("whole") != "yesterday") | (F.col("_n_yesterday") > 0)) if "yesterday" in wholes else F.lit(True)
+    rows = rows.where(some) if family.startswith("sum") else rows.where(text.isNotNull())
+    return _emit(rows, F.concat_ws("_", "feature", "window"), long_v, double_v, text, vtype)
 
 
 # --------------------------------------------------------------------------- grouped count
 GROUP = ENTITY + ["sub_key"]
 
 
-def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None,
-                         prepartitioned: bool = False) -> DataFrame:
+def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None) -> DataFrame:
     """Grouped COUNT: every group seen in the look-back, at every active pane (A2).
 
     Nothing gathers all groups of an entity: work is partitioned by
@@ -244,12 +260,12 @@ def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz:
         probe_rows = pairs.select(*GROUP, "spec_id", "t", "day", F.lit(0).cast("bigint").alias("c"), "frame")
         mixed = panes_rows.unionByName(probe_rows).withColumn(
             "day", F.coalesce("day", local_day_num(F.col("t") - F.lit(pane_ms), tz)))
-        total = F.try_sum("c")
+        total = F.sum("c")
         values = {}
         for k in lengths:
             now = total.over(by_group.rangeBetween(Window.unboundedPreceding, 0))
             before = total.over(by_group.rangeBetween(Window.unboundedPreceding, -k))
-            values[str(k)] = F.try_subtract(now, F.coalesce(before, F.lit(0).cast("bigint")))
+            values[str(k)] = now - F.coalesce(before, F.lit(0).cast("bigint"))
         if "today" in wholes:
             values["today"] = total.over(Window.partitionBy(*GROUP, "day").orderBy("t").rangeBetween(
                 Window.unboundedPreceding, 0))
@@ -285,7 +301,7 @@ def _render_items(items: Column, need_ts: Column) -> Column:
 
 
 def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
-                clock_field: str = DEFAULT_EVENT_TIME_FIELD, prepartitioned: bool = False) -> DataFrame:
+                clock_field: str = DEFAULT_EVENT_TIME_FIELD) -> DataFrame:
     """LIST: newest ``capacity`` (value, time) items in the look-back.
 
     When item times are the pane clock, newer panes hold only newer items and
@@ -306,7 +322,7 @@ def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
     unaligned = sorted(length for length, _, ok in frames if not ok)
     parts = []
     if aligned:
-        p = p if prepartitioned else p.repartition(*ENTITY)
+        p = p.repartition(*ENTITY)
         picked = {}
         for length, k in aligned:
             rows_back = max(1, min(int(k), length // pane_ms + 1))
@@ -333,20 +349,21 @@ def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
 
 
 def _interval_topk(p: DataFrame, cs: CompiledSpecs, pane_ms: int, kind: str, lengths: list[int],
-                   distinct_values: bool) -> DataFrame:
+                   distinct_values: bool, aligned: bool = False) -> DataFrame:
     """Newest ``capacity`` items per active pane without gathering a look-back.
 
     ``p`` holds one row per pane: ``(id, id_type, feature, spec_id, t, items,
     capacity, need_ts)``.  Each pane entry is a candidate for the pane ends
     it can be seen from: ``[t, t + w)``, cut at the value's next pane when
-    values are distinct (SET).  A range join on (entity, w, bucket of length
+    values are distinct (SET) and item times are the pane clock (``aligned``),
+    so that a later pane never holds an older time.  A range join on (entity, w, bucket of length
     w) pairs candidates with active panes; ``row_number() <= K`` per pane
     keeps the newest (WindowGroupLimit trims each task first).
     """
     active = p.select(*ENTITY, "spec_id", "t", "capacity", "need_ts")
     entries = p.select(*ENTITY, "spec_id", "t", F.explode("items").alias("x")).select(
         *ENTITY, "spec_id", "t", F.col("x.value").alias("v"), F.col("x.ts").alias("ts"))
-    if distinct_values:
+    if distinct_values and aligned:
         entries = entries.withColumn("next_t", F.lead("t").over(Window.partitionBy(*ENTITY, "v").orderBy("t")))
     else:
         entries = entries.withColumn("next_t", F.lit(None).cast("bigint"))
@@ -359,6 +376,10 @@ def _interval_topk(p: DataFrame, cs: CompiledSpecs, pane_ms: int, kind: str, len
     probes = probes.withColumn("b", F.floor(F.col("probe_t") / F.col("w")))
     pairs = probes.join(spans, [*ENTITY, "spec_id", "w", "b"]).where(
         (F.col("probe_t") >= F.col("t")) & (F.col("probe_t") < F.col("e")))
+    if distinct_values and not aligned:
+        # entries of one value may overlap: the greatest time counts, before the top K is taken
+        pairs = (pairs.groupBy(*ENTITY, "spec_id", "w", "b", "probe_t", "capacity", "need_ts", "v")
+                 .agg(F.max("ts").alias("ts")))
     newest = Window.partitionBy(*ENTITY, "spec_id", "w", "b", "probe_t").orderBy(
         F.col("ts").desc(), F.col("v").desc())
     kmax = max([r.capacity for r in cs.rows["specs"] if r.kind == kind] + [1])
@@ -370,25 +391,31 @@ def _interval_topk(p: DataFrame, cs: CompiledSpecs, pane_ms: int, kind: str, len
                        F.col("w").alias("window_ms"))
 
 
-def rollup_set(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, prepartitioned: bool = False) -> DataFrame:
+def rollup_set(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
+               clock_field: str = DEFAULT_EVENT_TIME_FIELD) -> DataFrame:
     """SET: newest ``capacity`` distinct values in the look-back, each at its newest time.
 
     No active pane gathers its look-back: a value's pane entry is current on
     ``[t, min(next pane of that value, t + w))``, so each distinct value has at
     most one current entry at any pane end (see :func:`_interval_topk`).
     """
-    ids = [r.spec_id for r in cs.rows["specs"] if r.kind == "set"]
-    lengths = sorted({w.window_ms for w in cs.rows["windows"]
-                      if w.spec_id in ids and w.cadence_ms == pane_ms and w.whole is None})
-    if not lengths:
+    parts = []
+    for aligned in (True, False):
+        ids = [r.spec_id for r in cs.rows["specs"] if r.kind == "set" and (r.time_field == clock_field) == aligned]
+        lengths = sorted({w.window_ms for w in cs.rows["windows"]
+                          if w.spec_id in ids and w.cadence_ms == pane_ms and w.whole is None})
+        if not lengths:
+            continue
+        params = _spec_params(cs).where((F.col("spec_kind") == "set") & F.col("spec_id").isin(*ids))
+        p = (panes.where(F.col("kind") == "set").join(params, ["feature", "id_type"])
+             .select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts"))
+        rows = _interval_topk(p, cs, pane_ms, "set", lengths, distinct_values=True, aligned=aligned).join(
+            _windows(cs, pane_ms).where(F.col("whole").isNull()), ["spec_id", "window_ms"])
+        parts.append(_emit(rows, F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
+                           _render_items(F.col("items"), F.col("need_ts")), F.lit("set")))
+    if not parts:
         return _none(panes)
-    params = _spec_params(cs).where(F.col("spec_kind") == "set")
-    p = (panes.where(F.col("kind") == "set").join(params, ["feature", "id_type"])
-         .select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts"))
-    rows = _interval_topk(p, cs, pane_ms, "set", lengths, distinct_values=True).join(
-        _windows(cs, pane_ms).where(F.col("whole").isNull()), ["spec_id", "window_ms"])
-    return _emit(rows, F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
-                 _render_items(F.col("items"), F.col("need_ts")), F.lit("set"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 # --------------------------------------------------------------------------- latest
@@ -427,7 +454,7 @@ KIND_REGISTRY: dict[str, FeatureKind] = {
     "list": FeatureKind("list", lambda r: r.kind == "list",
                         lambda p, cs, ms, tz, clock: rollup_list(p, cs, ms, clock)),
     "set": FeatureKind("set", lambda r: r.kind == "set",
-                       lambda p, cs, ms, tz, clock: rollup_set(p, cs, ms)),
+                       lambda p, cs, ms, tz, clock: rollup_set(p, cs, ms, clock)),
     "latest": FeatureKind("latest", lambda r: r.kind == "latest",
                           lambda p, cs, ms, tz, clock: rollup_latest(p, cs)),
 }
@@ -442,6 +469,7 @@ def rollup_all(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None
     broadcast join) before its exchange, so together the branches shuffle
     the pane table once.
     """
+    panes = panes.where(F.col("cadence_ms") == pane_ms)
     routed = {r.spec_id for r in cs.rows["routes"] if r.cadence_ms == pane_ms}
     specs = [r for r in cs.rows["specs"] if r.spec_id in routed]
     parts = [kind.rollup(panes, cs, pane_ms, tz, clock_field)

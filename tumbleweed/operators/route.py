@@ -1,8 +1,8 @@
 """Event -> spec routing.
 
-The route table is tiny (spec count x routes x cadences); its row count is
-checked when the specs are compiled (``MAX_SPEC_ROWS``), which is what makes
-broadcasting it safe.  One event fans out to every spec routed to its
+The route table has a row per spec, route and cadence.  Its rows are counted
+when the specs are compiled; it is broadcast up to a limit (``BROADCAST_ROWS``)
+and left to the planner beyond it.  One event fans out to every spec routed to its
 (biz_type, event_type, target_type, id_type).
 """
 
@@ -11,39 +11,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tumbleweed.functions.fields import field_value
+from tumbleweed.functions.fields import field_value, lenient
 from tumbleweed.operators.fanout import strip_id_prefix
-from tumbleweed.plans.compile import CompiledSpecs, literal_table
+from tumbleweed.plans.compile import CompiledSpecs, literal_table, spec_broadcast
 
 ROUTE_KEYS = ["biz_type", "event_type", "target_type", "id_type"]
-def spec_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a spec-derived table.
-
-    Its row count was bounded when the specs were compiled (``MAX_SPEC_ROWS``),
-    so it cannot grow with the event data.
-    """
-    return F.broadcast(df)
 
 
-def route_windowed(fanned: DataFrame, cs: CompiledSpecs, cadence_ms: int) -> DataFrame:
-    """Routed long rows for the windowed kinds at one pane cadence.
+def route_windowed(fanned: DataFrame, cs: CompiledSpecs, *cadences: int) -> DataFrame:
+    """Routed long rows for the windowed kinds at these pane cadences.
 
-    Output: ``id, id_type, feature, kind, spec_id, event_ms, val, grp, item_ms``
-    plus the spec parameters used by the pane build.
+    Output: ``id, id_type, feature, kind, spec_id, cadence_ms, event_ms, val, grp,
+    item_ms`` plus the spec parameters used by the pane build.  A spec routed at
+    several cadences gives a row for each, from one scan.
     """
-    table = F.broadcast(cs.route_table(cadence_ms))  # bounded by the spec set (checked at compile)
+    table = spec_broadcast(cs.route_table(list(cadences)), len(cs.rows["routes"]))
     joined = fanned.where(F.col("event_ms").isNotNull()).join(table, ROUTE_KEYS)
     ev = cs.expressions
-    return joined.select(
-        strip_id_prefix(F.col("id")).alias("id"),
-        "id_type", "feature", "kind", "spec_id", "event_ms",
-        F.when(F.col("kind") != "count", field_value(F.col("field"), ev)).alias("val"),
-        F.when(F.col("group_by").isNotNull(), field_value(F.col("group_by"), ev)).alias("grp"),
-        F.col("group_by").isNotNull().alias("grouped"),
-        F.when(F.col("kind").isin("list", "set", "latest"),
-               field_value(F.col("time_field"), ev).try_cast("bigint")).alias("item_ms"),
-        "field_type", "capacity",
-    )
+    with lenient(fanned.sparkSession):
+        return joined.select(
+            strip_id_prefix(F.col("id")).alias("id"),
+            "id_type", "feature", "kind", "spec_id", "cadence_ms", "event_ms",
+            F.when(F.col("kind") != "count", field_value(F.col("field"), ev)).alias("val"),
+            F.when(F.col("group_by").isNotNull(), field_value(F.col("group_by"), ev)).alias("grp"),
+            F.col("group_by").isNotNull().alias("grouped"),
+            F.when(F.col("kind").isin("list", "set", "latest"),
+                   field_value(F.col("time_field"), ev).try_cast("bigint")).alias("item_ms"),
+            "field_type", "capacity",
+        )
 
 
 def route_atoms(fanned: DataFrame, cs: CompiledSpecs) -> DataFrame:
@@ -53,4 +48,4 @@ def route_atoms(fanned: DataFrame, cs: CompiledSpecs) -> DataFrame:
     table = literal_table(fanned.sparkSession, [(r.spec_id, r.biz_type, r.event_type, r.target_type, r.id_type)
                                                 for r in routes],
                           "spec_id int, biz_type string, event_type string, target_type string, id_type string")
-    return fanned.join(F.broadcast(table), ROUTE_KEYS)
+    return fanned.join(spec_broadcast(table, len(routes)), ROUTE_KEYS)

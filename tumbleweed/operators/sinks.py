@@ -6,14 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tumbleweed.functions.scalars import row_key
-from tumbleweed.operators.route import spec_broadcast
-from tumbleweed.plans.compile import CELL_SINK_TYPES, CompiledSpecs
-
-
-def feature_rows(features: DataFrame) -> DataFrame:
-    """The long feature format ``(id, id_type, feature_name, value, value_type, ts)``."""
-    return features.select("id", "id_type", "feature_name", F.col("value_text").alias("value"),
-                           "value_type", "ts")
+from tumbleweed.plans.compile import CELL_SINK_TYPES, CompiledSpecs, spec_broadcast
 
 
 def serving_cells(features: DataFrame, cs: CompiledSpecs) -> DataFrame:
@@ -21,7 +14,7 @@ def serving_cells(features: DataFrame, cs: CompiledSpecs) -> DataFrame:
 
     Unmapped features are not persisted.
     """
-    mapping = spec_broadcast(cs.sink_fields.where(F.col("sink_type").isin(*CELL_SINK_TYPES)))
+    mapping = spec_broadcast(cs.sink_fields.where(F.col("sink_type").isin(*CELL_SINK_TYPES)), len(cs.rows["sink_fields"]))
     joined = features.join(mapping, "feature_name")
     return joined.select(
         "table", row_key(F.col("id")).alias("row_key"), "column", "ts",
@@ -67,3 +60,26 @@ def feature_messages(cells: DataFrame, topic: str = "feature-out") -> DataFrame:
 def output_counts(cells: DataFrame) -> DataFrame:
     """Persisted-feature counter per column."""
     return cells.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _write_cells(features: DataFrame, cs: CompiledSpecs, root: str, part: str) -> None:
+    path = f"{root}/cells/{part}"
+    serving_cells(features, cs).write.mode("overwrite").parquet(path)
+    feature_messages(features.sparkSession.read.parquet(path)).write.mode("overwrite").parquet(f"{root}/messages/{part}")
+
+
+#: Writers by sink type (O5): each takes (features, compiled specs, root folder, part) and replaces that part.
+SINK_WRITERS = {kind: _write_cells for kind in CELL_SINK_TYPES}
+
+
+def write_sinks(features: DataFrame, cs: CompiledSpecs, root: str, part: str) -> list[str]:
+    """Write the mapped features through the writer of each sink type the specs name.
+
+    Cells go to ``<root>/cells/<part>``, and their messages to
+    ``<root>/messages/<part>``; writing a part again replaces it, so a replayed
+    batch leaves nothing twice.  Returns the sink types that have no writer.
+    """
+    types = {r.sink_type for r in cs.rows["sink_fields"]}
+    for writer in {SINK_WRITERS[t] for t in types if t in SINK_WRITERS}:
+        writer(features, cs, root, part)
+    return sorted(str(t) for t in types if t not in SINK_WRITERS)

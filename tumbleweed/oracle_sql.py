@@ -319,8 +319,11 @@ def _all_parts() -> list[tuple[str, str]]:
     ]
 
 
-def _with_id_type(sql_parts: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    return sql_parts
+# the other cadences: one-hour and one-second panes
+_OTHER_CADENCES = [
+    _numeric("evt_cnt_hourly", "", "count", {"3h": 3 * HOUR, "24h": DAY}, "long", pane=HOUR),
+    _numeric("evt_cnt_sliding", "", "count", {"5m": 5 * MIN}, "long", pane=1000),
+]
 
 
 _LATEST_CTE = f"""lt AS (SELECT uid AS id, {_pane('event_ms')} AS pe, event_type,
@@ -328,17 +331,20 @@ _LATEST_CTE = f"""lt AS (SELECT uid AS id, {_pane('event_ms')} AS pe, event_type
       FROM ev)"""
 
 
+_ATOMS = _union(
+    f"SELECT 'uid' AS id_type, {_out(id_expr='uid', name=repr('evt_value'), ts='event_ms', vt='CAST(v AS VARCHAR)')} FROM ev",
+    f"SELECT 'uid', {_out(id_expr='uid', name=repr('evt_type'), ts='event_ms', vt='event_type')} FROM ev",
+    f"SELECT 'uid', {_out(id_expr='uid', name=repr('evt_k10'), ts='event_ms', vt='CAST(k * 10 AS VARCHAR)')} FROM ev",
+)
+
+
 def _all_features_sql() -> str:
-    parts = _all_parts()
-    id_types = ["uid"] * (len(parts) - 2) + ["targetUid", "anchorUid"]
+    minute = _all_parts()
+    parts = minute + _OTHER_CADENCES
+    id_types = ["uid"] * (len(minute) - 2) + ["targetUid", "anchorUid"] + ["uid"] * len(_OTHER_CADENCES)
     selects = [f"SELECT '{t}' AS id_type, * FROM ({s})" for (_, s), t in zip(parts, id_types)]
     selects.append(f"SELECT 'uid' AS id_type, {_out(name=repr('last_type'), ts='pe', vt='event_type')} FROM lt WHERE rn = 1")
-    atoms = _union(
-        f"SELECT 'uid' AS id_type, {_out(id_expr='uid', name=repr('evt_value'), ts='event_ms', vt='CAST(v AS VARCHAR)')} FROM ev",
-        f"SELECT 'uid', {_out(id_expr='uid', name=repr('evt_type'), ts='event_ms', vt='event_type')} FROM ev",
-        f"SELECT 'uid', {_out(id_expr='uid', name=repr('evt_k10'), ts='event_ms', vt='CAST(k * 10 AS VARCHAR)')} FROM ev",
-    )
-    body = _union(*selects, atoms)
+    body = _union(*selects, _ATOMS)
     return (_with(EV, *[c for c, _ in parts], _LATEST_CTE) +
             "SELECT id, id_type, feature_name, ts, value_long, round(value_double, 2) AS value_double, value_text FROM (\n"
             + body + "\n) u")
@@ -444,6 +450,35 @@ def _stream_recent() -> str:
 STREAM_RECENT = _stream_recent()
 
 
+def _stream_all() -> str:
+    """Every one-minute feature of a closed pane, and every atom."""
+    parts = _all_parts()
+    id_types = ["uid"] * (len(parts) - 2) + ["targetUid", "anchorUid"]
+    windowed = _union(*[f"SELECT '{t}' AS id_type, * FROM ({s})" for (_, s), t in zip(parts, id_types)],
+                      f"SELECT 'uid' AS id_type, {_out(name=repr('last_type'), ts='pe', vt='event_type')} FROM lt WHERE rn = 1")
+    columns = "id, id_type, feature_name, ts, value_long, round(value_double, 2) AS value_double, value_text"
+    return (_with(EV, *[c for c, _ in parts], _LATEST_CTE)
+            + _closed(f"SELECT {columns} FROM ({windowed}) u", "ts")
+            + f" UNION ALL SELECT {columns} FROM ({_ATOMS}) v")
+
+
+STREAM_ALL_FEATURES = _stream_all()
+
+
+# cells of closed panes and of atoms (which wait for no pane)
+_STREAM_CELLS = _cells_sql() + f""",
+closed AS (SELECT * FROM cells WHERE "column" = 'type' OR ts <= (SELECT max(event_ms) FROM ev) - {_STREAM_DELAY})
+"""
+STREAM_CELLS = _STREAM_CELLS + 'SELECT "table", row_key, "column", ts, value, ttl_ms FROM closed'
+# windowed and atom cells come from two queries, so each has messages of its own
+STREAM_MESSAGES = _STREAM_CELLS + """,
+dedup AS (SELECT id, id_type, biz_type, ts, "column" = 'type' AS atom, "column", max(value) AS value FROM closed
+          WHERE biz_type IS NOT NULL GROUP BY ALL)
+SELECT id, id_type, biz_type, ts, CAST(count(*) OVER (PARTITION BY id, id_type, biz_type, ts, atom) AS INTEGER) AS n_columns,
+       "column", value
+FROM dedup"""
+
+
 ORACLES = {
     "parse_events": PARSE_EVENTS,
     "dim_fanout": DIM_FANOUT,
@@ -480,4 +515,7 @@ ORACLES = {
     "stream_panes": STREAM_PANES,
     "stream_features": STREAM_FEATURES,
     "stream_recent": STREAM_RECENT,
+    "stream_all_features": STREAM_ALL_FEATURES,
+    "stream_cells": STREAM_CELLS,
+    "stream_messages": STREAM_MESSAGES,
 }

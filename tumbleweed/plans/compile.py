@@ -1,7 +1,7 @@
 """Spec compiler: spec rows -> routing, window and sink tables.
 
 A spec set is configuration -- like the text of a query -- so it is read once
-(its size checked) and compiled on the driver.  The outputs are small tables
+and compiled on the driver.  The outputs are small tables
 (one row per spec x route, spec x window, feature x sink column) whose size
 is bounded by the spec set, never by the events; they enter the data plans
 as literal broadcast tables.  Distinct non-plain field expressions become
@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tumbleweed.functions.fields import expression_sql, is_plain_path
+from tumbleweed.functions.fields import compile_expressions
 from tumbleweed.functions.intervals import WHOLE_WINDOWS
 from tumbleweed.sources.events import DEFAULT_EVENT_TIME_FIELD
 
@@ -53,16 +53,6 @@ class CompiledSpecs:
         return [(w, specs[w.spec_id]) for w in self.rows["windows"]
                 if w.whole is None and w.cadence_ms == cadence_ms and specs[w.spec_id].kind in kinds]
 
-    def window_lengths(self, kinds: tuple[str, ...], cadence_ms: int) -> list[int]:
-        """Distinct relative look-back lengths for ``kinds`` at one cadence."""
-        return sorted({w.window_ms for w, _ in self._relative(kinds, cadence_ms)})
-
-    def whole_windows(self, kinds: tuple[str, ...], cadence_ms: int) -> list[str]:
-        """Whole-day window names used by ``kinds`` at one cadence."""
-        specs = self._kind_of()
-        return sorted({w.whole for w in self.rows["windows"]
-                       if w.whole is not None and w.cadence_ms == cadence_ms and specs[w.spec_id].kind in kinds})
-
     def list_frames(self, cadence_ms: int, clock_field: str) -> list[tuple[int, int, bool]]:
         """(window_ms, largest capacity, items follow the pane clock) of LIST specs."""
         acc: dict[int, tuple[int, bool]] = {}
@@ -71,10 +61,14 @@ class CompiledSpecs:
             acc[w.window_ms] = (max(k, spec.capacity), aligned and spec.time_field == clock_field)
         return sorted((ms, k, a) for ms, (k, a) in acc.items())
 
-    def kinds_at(self, cadence_ms: int) -> set[str]:
-        """Kinds with at least one route at this cadence."""
+    def cadences(self) -> list[int]:
+        """Pane lengths that some windowed spec is routed at."""
+        return sorted({r.cadence_ms for r in self.rows["routes"] if r.cadence_ms is not None})
+
+    def kinds_at(self, *cadences: int) -> set[str]:
+        """Kinds with at least one route at these cadences."""
         specs = self._kind_of()
-        return {specs[r.spec_id].kind for r in self.rows["routes"] if r.cadence_ms == cadence_ms}
+        return {specs[r.spec_id].kind for r in self.rows["routes"] if r.cadence_ms in cadences}
 
     def max_capacity(self) -> int | None:
         caps = [r.capacity for r in self.rows["specs"] if r.kind in ("list", "set") and r.capacity]
@@ -130,21 +124,19 @@ class CompiledSpecs:
             atom_fields=literal_table(spark, [tuple(a) for a in atoms], ATOM_COLUMNS),
             routes=literal_table(spark, [tuple(r) for r in routes], ROUTE_COLUMNS))
 
-    def route_table(self, cadence_ms: int) -> DataFrame:
-        """Routes of one cadence joined with their spec parameters (windowed kinds)."""
+    def route_table(self, cadences: list[int]) -> DataFrame:
+        """Routes of these cadences joined with their spec parameters (windowed kinds)."""
         specs = self._kind_of()
-        cols = ["biz_type", "event_type", "target_type", "id_type", "spec_id", "kind", "feature", "field",
-                "field_type", "group_by", "time_field", "capacity"]
         out = []
         for r in self.rows["routes"]:
-            if r.cadence_ms == cadence_ms and specs[r.spec_id].kind != "atom":
+            if r.cadence_ms in cadences and specs[r.spec_id].kind != "atom":
                 sp = specs[r.spec_id]
-                out.append((r.biz_type, r.event_type, r.target_type, r.id_type, sp.spec_id, sp.kind, sp.feature,
-                            sp.field, sp.field_type, sp.group_by, sp.time_field, sp.capacity))
-        schema = ("biz_type string, event_type string, target_type string, id_type string, spec_id int, "
-                  "kind string, feature string, field string, field_type string, group_by string, "
+                out.append((r.biz_type, r.event_type, r.target_type, r.id_type, r.cadence_ms, sp.spec_id, sp.kind,
+                            sp.feature, sp.field, sp.field_type, sp.group_by, sp.time_field, sp.capacity))
+        schema = ("biz_type string, event_type string, target_type string, id_type string, cadence_ms bigint, "
+                  "spec_id int, kind string, feature string, field string, field_type string, group_by string, "
                   "time_field string, capacity int")
-        return literal_table(self.specs.sparkSession, out, schema, cols)
+        return literal_table(self.specs.sparkSession, out, schema)
 
 
 def _is_blank(v) -> bool:
@@ -236,21 +228,28 @@ def _normalise(r) -> dict:
 def compile_specs(specs: DataFrame) -> CompiledSpecs:
     """Validate and compile a spec set.
 
-    The spec set is configuration (its size is checked against
-    ``MAX_SPEC_ROWS``), so it is read once and compiled on the driver, like a
-    query text; the tables it yields are carried into the data plans.
+    The spec set is configuration, so it is read once and compiled on the
+    driver, like a query text; the tables it yields are carried into the data
+    plans, and their rows are counted, which decides whether they may be
+    broadcast.
     """
     spark = specs.sparkSession
-    parsed = [_normalise(r) for r in _collect(specs)]
+    parsed = [_normalise(r) for r in specs.collect()]
 
     # D3: one spec per (prefix, id type) -- the lowest id keeps it
     first_owner: dict[tuple, int] = {}
     for sp in sorted(parsed, key=lambda x: (x["spec_id"] is None, x["spec_id"] or 0)):
         first_owner.setdefault((sp["feature"], sp["id_type"]), sp["spec_id"])
 
+    def texts_of(sp: dict) -> list[str]:
+        return [t for t in (sp["field"], sp["group_by"], sp["time_field"], *(f["sourceField"] for f in sp["atom_fields"]))
+                if not _is_blank(t)]
+
+    expressions, unresolved = compile_expressions(spark, {t for sp in parsed for t in texts_of(sp)})
+
     validation, valid = [], []
     for sp in parsed:
-        errs = []
+        errs = [f"bad expression: {t}" for t in texts_of(sp) if t in unresolved]
         err = _spec_error(sp)
         if err is None and first_owner[(sp["feature"], sp["id_type"])] != sp["spec_id"]:
             err = "duplicate featureNamePrefix for idType"
@@ -315,53 +314,37 @@ def compile_specs(specs: DataFrame) -> CompiledSpecs:
         named[name] = [Row(**dict(zip(fields, r))) for r in rows[name]]
     frames = {name: literal_table(spark, rows[name], schemas[name]) for name in schemas}
 
-    # Non-plain expressions become literal branches of the plan.
-    texts = {t for r in named["specs"] for t in (r.field, r.group_by, r.time_field) if t}
-    texts |= {r.source_field for r in named["atom_fields"]}
-    expressions = {t: expression_sql(t) for t in texts if not is_plain_path(t)}
     return CompiledSpecs(**frames, expressions=expressions, rows=named)
 
 
-# Spec-derived tables are configuration, bounded by the number of specs.
-MAX_SPEC_ROWS = 100_000
-_LITERAL_MAX_ROWS = 2_000
+#: Spec-derived tables up to this many rows are broadcast; past it the planner chooses by size.
+BROADCAST_ROWS = 100_000
 
 
-def _collect(df: DataFrame) -> list:
-    rows = df.limit(MAX_SPEC_ROWS + 1).collect()
-    if len(rows) > MAX_SPEC_ROWS:
-        raise ValueError(f"spec table exceeds {MAX_SPEC_ROWS} rows")
-    return rows
-
-
-def _literal(value, dtype):
-    """A typed literal column, including arrays of structs."""
-    from pyspark.sql.types import ArrayType, StructType
-
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, ArrayType):
-        return F.array(*[_literal(v, dtype.elementType) for v in value]).cast(dtype)
-    if isinstance(dtype, StructType):
-        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(tuple(value), dtype.fields)])
-    return F.lit(value).cast(dtype)
+def spec_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` with a broadcast hint if its ``rows`` (counted when it was compiled) allow it."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def literal_table(spark, rows: list, schema, names: list[str] | None = None) -> DataFrame:
-    """A small table carried inside the plan as a literal (no RDD, no job).
+    """A table carried inside the plan as one JSON literal: no job, and one call whatever its size."""
+    import json
 
-    Its size is bounded by the spec set, which is what makes broadcasting it
-    safe.  Large spec sets fall back to a parallelized frame.
-    """
     from pyspark.sql.types import StructType
 
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     names = names or schema.fieldNames()
-    if not rows or len(rows) > _LITERAL_MAX_ROWS:
-        return spark.createDataFrame([tuple(r) for r in rows], schema)
-    structs = [
-        F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(tuple(r), schema.fields)])
-        for r in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs))).select(*names)
+
+    def plain(value, dtype):
+        if value is None:
+            return None
+        if hasattr(dtype, "elementType"):
+            return [plain(v, dtype.elementType) for v in value]
+        if hasattr(dtype, "fields"):
+            return {f.name: plain(v, f.dataType) for v, f in zip(tuple(value), dtype.fields)}
+        return value
+
+    text = json.dumps([plain(tuple(r), schema) for r in rows])
+    parsed = F.from_json(F.lit(text), f"array<{schema.simpleString()}>")
+    return spark.range(1).select(F.inline(parsed)).select(*names)

@@ -1,8 +1,8 @@
 """The batch feature job: records -> events -> fan-out -> route -> panes -> features.
 
-Plan shape (per cadence): scan -> parse (codegen) -> explode dims ->
-broadcast route join -> pane HashAggregate (partial / exchange / final) ->
-exchange on (id, id_type, feature) -> window frames -> broadcast window join.
+Plan shape: scan -> parse (codegen) -> explode dims -> route join -> pane
+HashAggregate over all cadences (partial / exchange / final) -> pane table;
+per cadence: exchange on (id, id_type, feature) -> window frames -> window join.
 Atom features need no shuffle at all.
 """
 
@@ -11,10 +11,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tumbleweed.operators.atoms import atom_features
 from tumbleweed.operators.fanout import fan_out
-from tumbleweed.operators.panes import PANE_COLUMNS, build_panes, pane_partials, panes_from_partials
+from tumbleweed.operators.panes import PANE_COLUMNS, PANE_SCHEMA, build_panes, pane_partials, panes_from_partials
 from tumbleweed.operators.rollup import rollup_all
 from tumbleweed.operators.route import route_windowed
 from tumbleweed.plans.compile import CompiledSpecs, compile_specs
@@ -47,37 +48,44 @@ class FeatureJob:
     def routed(self, records: DataFrame) -> DataFrame:
         return route_windowed(self.fanned(records), self.compiled, self.pane_ms)
 
-    def panes(self, records: DataFrame) -> DataFrame:
-        cs = self.compiled
-        return build_panes(self.routed(records), self.pane_ms, cs.max_capacity(), cs.kinds_at(self.pane_ms))
+    def panes(self, records: DataFrame, *cadences: int) -> DataFrame:
+        """The pane table of these cadences (default: the job's own), not written anywhere."""
+        cs, cadences = self.compiled, cadences or (self.pane_ms,)
+        routed = route_windowed(self.fanned(records), cs, *cadences)
+        return build_panes(routed, cs.max_capacity(), cs.kinds_at(*cadences))
 
-    def materialized_panes(self, records: DataFrame, fanned: DataFrame | None = None) -> DataFrame:
-        """Write the pane table to the shared checkpoint folder and read it back.
+    def materialized_panes(self, records: DataFrame, *cadences: int) -> DataFrame:
+        """Write the pane table and read it back.
 
         The partials feed two branches (numeric rows, and the item kinds'
         top-K); they are persisted for the duration of the write so the
-        parse, fan-out and route run once.  The written pane table is what
-        every roll-up reads: lineage is cut there (a lost executor re-reads a
-        table, never re-parses events), and an incremental run appends to it.
+        parse, fan-out and route run once, for all cadences.  The written pane
+        table is what every roll-up reads: lineage is cut there (a lost
+        executor re-reads a table, never re-parses events).
+
+        With ``pane_path`` the table is durable and holds earlier runs' dates
+        too: a run replaces the dates its records fall on, so it must be given
+        all records of those dates.
         """
         from pyspark import StorageLevel
 
         spark = records.sparkSession
-        cs = self.compiled
+        cs, cadences = self.compiled, cadences or (self.pane_ms,)
         path = self.pane_path or scratch_path(spark, "panes")
-        fanned = self.fanned(records) if fanned is None else fanned
-        routed = route_windowed(fanned, cs, self.pane_ms)
-        partials = pane_partials(routed, self.pane_ms).persist(StorageLevel.MEMORY_AND_DISK)
+        partials = pane_partials(route_windowed(self.fanned(records), cs, *cadences)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            panes_from_partials(partials, cs.max_capacity(), cs.kinds_at(self.pane_ms)).write \
-                .mode("overwrite").partitionBy("kind").parquet(path)
+            (panes_from_partials(partials, cs.max_capacity(), cs.kinds_at(*cadences))
+             .withColumn("pane_date", F.to_date(F.timestamp_millis(F.col("pane_end_ms") - 1)))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("cadence_ms", "kind", "pane_date").parquet(path))
         finally:
             partials.unpersist()
-        return spark.read.parquet(path).select(*PANE_COLUMNS)
+        panes = spark.read.schema(PANE_SCHEMA + ", pane_date date").parquet(path)
+        return panes.where(F.col("cadence_ms").isin(*cadences)).select(*PANE_COLUMNS)
 
     def windowed_features(self, records: DataFrame | None = None, panes: DataFrame | None = None,
                           windows=None) -> DataFrame:
-        """Windowed features; ``windows`` (names) limits which look-backs are computed."""
+        """Windowed features of the job's cadence; ``windows`` (names) limits which look-backs are computed."""
         if panes is None:
             panes = self.materialized_panes(records) if self.materialize else self.panes(records)
         cs = self.compiled if windows is None else self.compiled.restrict_windows(windows)
@@ -87,29 +95,20 @@ class FeatureJob:
         return atom_features(self.fanned(records), self.compiled)
 
     def features(self, records: DataFrame) -> DataFrame:
-        """All features, windowed and atom, on one schema.
+        """All features on one schema: windowed ones of every cadence, and atoms.
 
-        When materializing, the parsed and fanned events are persisted while
-        both the pane table and the atom features are written to the shared
-        folder, so each record is parsed once; the result reads both back.
+        The pane tables of all cadences come from one pass over the records;
+        atoms, which need no shuffle, are a second, narrower one, taken when
+        the result is read.
         """
-        if not self.materialize:
-            return self.windowed_features(records).unionByName(self.atom_features(records))
-        from pyspark import StorageLevel
-
-        spark = records.sparkSession
-        has_atoms = any(r.kind == "atom" for r in self.compiled.rows["specs"])
-        fanned = self.fanned(records)
-        if has_atoms:
-            fanned = fanned.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            panes = self.materialized_panes(records, fanned)
-            windowed = rollup_all(panes, self.compiled, self.pane_ms, self.tz)
-            if not has_atoms:
-                return windowed
-            path = scratch_path(spark, "atoms")
-            atom_features(fanned, self.compiled).write.mode("overwrite").parquet(path)
-        finally:
-            if has_atoms:
-                fanned.unpersist()
-        return windowed.unionByName(spark.read.parquet(path))
+        cadences = self.compiled.cadences()
+        parts = []
+        if cadences:
+            panes = self.materialized_panes(records, *cadences) if self.materialize else self.panes(records, *cadences)
+            parts = [rollup_all(panes, self.compiled, c, self.tz) for c in cadences]
+        if self.compiled.rows["atom_fields"] or not parts:
+            parts.append(self.atom_features(records))
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out

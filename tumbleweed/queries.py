@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from tumbleweed.operators.fanout import fan_out
 from tumbleweed.operators.panes import build_session_panes, retain_panes
-from tumbleweed.operators.route import ROUTE_KEYS, spec_broadcast
+from tumbleweed.operators.route import ROUTE_KEYS
 from tumbleweed.operators.sinks import cell_snapshot, feature_messages, output_counts, serving_cells
 from tumbleweed.plans.catalog import EVENT_SPECS, LINEITEM_SPECS, ORDER_SPECS
+from tumbleweed.plans.compile import spec_broadcast
 from tumbleweed.plans.job import FeatureJob
 from tumbleweed.sources.events import parse_events
 from tumbleweed.sources.specs import specs_from_json
@@ -77,7 +78,7 @@ def spec_validation(spark: SparkSession, sf: str) -> DataFrame:
     cs = job.compiled
     routes = cs.routes.select("spec_id", *ROUTE_KEYS).distinct()
     fanned = job.fanned(event_records(spark, sf))
-    counts = fanned.join(spec_broadcast(routes), ROUTE_KEYS).groupBy("spec_id").agg(
+    counts = fanned.join(spec_broadcast(routes, len(cs.rows["routes"])), ROUTE_KEYS).groupBy("spec_id").agg(
         F.count(F.lit(1)).alias("routed_events"))
     specs = specs_from_json(spark, EVENT_SPECS).select(F.col("id").alias("spec_id"),
                                                        F.col("featureNamePrefix").alias("feature"))
@@ -142,7 +143,7 @@ lineitem_part_demand = _features_q(None, specs=LINEITEM_SPECS, records=lineitem_
 
 
 def all_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Every 1-minute windowed feature and every atom feature, one schema."""
+    """Every windowed feature of every cadence and every atom feature, one schema."""
     job = _job(spark)
     records = event_records(spark, sf)
     return _typed(job.features(records))
@@ -202,6 +203,33 @@ def stream_recent(spark: SparkSession, sf: str) -> DataFrame:
     return _typed(features).select("id", "feature_name", "ts", "value_text")
 
 
+def stream_all_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Every kind of one-minute feature, and the atoms, through the stream."""
+    from tumbleweed.streaming.job import run_pane_stream_from_table
+
+    features = run_pane_stream_from_table(spark, sf, _job(spark, set(range(1, 17))))[1]
+    return _typed(features)
+
+
+def _stream_sink(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    from tumbleweed.streaming.job import catch_up_from_table
+
+    job = _job(spark, {1, 4, 11, 13, 14})
+    job.compiled = job.compiled.restrict_features([r.feature_name for r in job.compiled.rows["sink_fields"]])
+    return spark.read.parquet(f"{catch_up_from_table(spark, sf, job).sinks}/{name}")
+
+
+def stream_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Serving cells as the stream's sink writer leaves them."""
+    return _stream_sink(spark, sf, "cells").select("table", "row_key", "column", "ts", "value", "ttl_ms")
+
+
+def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Feature messages as the stream's sink writer leaves them."""
+    return _stream_sink(spark, sf, "messages").select(
+        "id", "id_type", "biz_type", "ts", F.size("kv").alias("n_columns"), F.explode("kv").alias("column", "value"))
+
+
 QUERIES = {
     "parse_events": parse_events_q,
     "dim_fanout": dim_fanout,
@@ -238,4 +266,7 @@ QUERIES = {
     "stream_panes": stream_panes,
     "stream_features": stream_features,
     "stream_recent": stream_recent,
+    "stream_all_features": stream_all_features,
+    "stream_cells": stream_cells,
+    "stream_messages": stream_messages,
 }

@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 UID, EXT, BIZ_TYPE, EVENT_TYPE, TARGET_TYPE = "uid", "ext", "bizType", "eventType", "targetType"
 DEFAULT_EVENT_TIME_FIELD = "ext.eventTime"
 
+# Clocks outside the years 0001 to 9999 can be no event time: arithmetic on them overflows.
+MIN_EVENT_MS, MAX_EVENT_MS = -62_135_596_800_000, 253_402_300_799_999
+
 EVENT_COLUMNS = ["topic", "uid", "biz_type", "event_type", "target_type",
                  "event_ms", "ext", "attrs"]
 
@@ -61,7 +64,8 @@ def parse_events(records: DataFrame, event_time_field: str = DEFAULT_EVENT_TIME_
     )
     # Rows without an event time stay: atom features do not need one; the
     # windowed path drops them before the pane build.
-    reason = F.when(F.col("attrs").isNull(), F.lit("malformed json"))
+    reason = (F.when(F.col("attrs").isNull(), F.lit("malformed json"))
+              .when(~F.col("event_ms").between(MIN_EVENT_MS, MAX_EVENT_MS), F.lit("clock out of range")))
     events = shaped.where(reason.isNull()).select(*EVENT_COLUMNS)
     if not with_rejects:
         return events

@@ -26,12 +26,13 @@ def read_records(spark: SparkSession, fmt: str, path: str | None = None, *,
     """Open a record source by format name (``kafka``, ``json``, ``parquet``...).
 
     For ``kafka`` the options carry ``kafka.bootstrap.servers`` / ``subscribe``;
-    ``startingOffsets`` defaults to ``latest`` as in the reference consumer.
+    ``startingOffsets`` defaults to ``latest`` for a stream; a batch read takes
+    everything there is (``earliest``; Spark refuses ``latest`` there).
     """
     opts = dict(options or {})
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
-        opts.setdefault("startingOffsets", "latest")
+        opts.setdefault("startingOffsets", "latest" if streaming else "earliest")
         return decode_records(reader.format("kafka").options(**opts).load())
     reader = reader.format(fmt).options(**opts)
     if fmt in ("json", "csv") or streaming:

@@ -8,9 +8,11 @@
               write them to the pane table,
               under ``batch_id=<n>`` with overwrite, so a replayed batch
               replaces its own output instead of duplicating it (T5);
-           2. read the history those panes look back on (pruned to the
-              retention horizon), roll up, keep the rows of this batch's
-              panes, write them the same idempotent way.
+           2. read the history those panes look back on (the batch's entities
+              and features, pruned by date and retention), roll up, keep the
+              rows of this batch's panes, write them and what the sinks take of
+              them the same idempotent way.
+    readStream -> parse -> fan-out -> atoms -> foreachBatch: features, sinks (stateless)
 
 Panes close in watermark order, so when a batch arrives every older pane is
 already in the table and the roll-up sees complete history.  The state schema
@@ -26,12 +28,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tumbleweed.operators.panes import (PANE_COLUMNS, PANE_KEYS, pane_partials_streaming, panes_from_partials,
-                                        retention_ms)
+from tumbleweed.operators.panes import (PANE_COLUMNS, PANE_KEYS, PANE_SCHEMA, pane_partials_streaming, panes_from_partials,
+                                        retain_panes, retention_ms)
 from tumbleweed.operators.rollup import rollup_all
+from tumbleweed.operators.sinks import write_sinks
 from tumbleweed.plans.job import FeatureJob
 from tumbleweed.session import scratch_path
-from tumbleweed.sources.records import RECORD_SCHEMA
+from tumbleweed.sources.records import read_records
 
 
 def pane_stream(job: FeatureJob, records: DataFrame, delay: str = "1 minute") -> DataFrame:
@@ -47,10 +50,11 @@ class StreamPaths:
     panes: str
     features: str
     checkpoint: str
+    sinks: str | None = None     # where sink writers put cells and messages; None: features only
 
 
 class FeatureBatchWriter:
-    """``foreachBatch`` handler: persist panes, roll up, persist features."""
+    """``foreachBatch`` handler: persist panes, roll up, persist features, write sinks."""
 
     def __init__(self, job: FeatureJob, paths: StreamPaths):
         self.job = job
@@ -60,51 +64,120 @@ class FeatureBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        cs = self.job.compiled
-        # closed panes' partials -> pane rows (item kinds keep their newest entries)
-        closed = panes_from_partials(batch, cs.max_capacity(), cs.kinds_at(self.job.pane_ms))
-        panes = closed.select(*PANE_COLUMNS).withColumn(
-            "pane_date", F.to_date(F.timestamp_millis("pane_end_ms")))
-        panes.write.mode("overwrite").parquet(f"{self.paths.panes}/batch_id={batch_id}")
-        current = spark.read.parquet(f"{self.paths.panes}/batch_id={batch_id}")
+        cs, pane_ms = self.job.compiled, self.job.pane_ms
+        part = f"batch_id={batch_id}"
+        # closed panes' partials -> pane rows (item kinds keep their newest entries).  Two branches read
+        # the batch; without this the stateful part would run twice.
+        batch.persist()
+        try:
+            (panes_from_partials(batch, cs.max_capacity(), cs.kinds_at(pane_ms)).select(*PANE_COLUMNS)
+             .withColumn("pane_date", F.to_date(F.timestamp_millis(F.col("pane_end_ms") - 1)))
+             .write.mode("overwrite").partitionBy("pane_date", "kind").parquet(f"{self.paths.panes}/{part}"))
+        finally:
+            batch.unpersist()
+        current = spark.read.schema(PANE_SCHEMA + ", pane_date date").parquet(f"{self.paths.panes}/{part}")
         bounds = current.agg(F.min("pane_end_ms").alias("lo")).first()
-        if bounds is None or bounds.lo is None:
+        if bounds.lo is None:
             return
-        # history on the same look-back horizon; older batches only (replays overwrite their own)
+        # History is read for the batch's own entities and features only, by older batches' dates inside the
+        # horizon, and each feature by its own retention: the cost follows the batch, not the whole table.
+        keys = ["id", "id_type", "feature"]
+        oldest = F.to_date(F.timestamp_millis(F.lit(bounds.lo - self.horizon_ms)))
         history = (
-            spark.read.parquet(self.paths.panes)
-            .where((F.col("batch_id") < batch_id) & (F.col("pane_end_ms") > F.lit(bounds.lo - self.horizon_ms)))
-            .select(*PANE_COLUMNS)
+            spark.read.schema(PANE_SCHEMA + ", pane_date date, batch_id bigint").parquet(self.paths.panes)
+            .where((F.col("batch_id") < batch_id) & (F.col("pane_date") >= oldest))
+            .join(current.select(*keys).distinct(), keys, "left_semi")
         )
-        features = rollup_all(history.unionByName(current.select(*PANE_COLUMNS)),
-                              self.job.compiled, self.job.pane_ms, self.job.tz)
-        active = current.select("id", "id_type", "feature", F.col("pane_end_ms").alias("ts")).distinct()
-        mine = features.join(active, ["id", "id_type", "feature", "ts"], "left_semi")
-        mine.write.mode("overwrite").parquet(f"{self.paths.features}/batch_id={batch_id}")
+        history = retain_panes(history, cs, bounds.lo, pane_ms)
+        features = rollup_all(history.select(*PANE_COLUMNS).unionByName(current.select(*PANE_COLUMNS)), cs, pane_ms, self.job.tz)
+        active = current.select(*keys, F.col("pane_end_ms").alias("ts")).distinct()
+        write_features(features.join(active, [*keys, "ts"], "left_semi"), self.job, self.paths, f"source=windowed/{part}")
+
+
+class AtomBatchWriter:
+    """``foreachBatch`` handler of the stateless half: atom features of a batch's records."""
+
+    def __init__(self, job: FeatureJob, paths: StreamPaths):
+        self.job, self.paths = job, paths
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        write_features(self.job.atom_features(batch), self.job, self.paths, f"source=atom/batch_id={batch_id}")
+
+
+def write_features(features: DataFrame, job: FeatureJob, paths: StreamPaths, part: str) -> None:
+    """Write a batch's features, then what the sinks take of them; a replayed batch replaces its own output."""
+    path = f"{paths.features}/{part}"
+    features.write.mode("overwrite").parquet(path)
+    if paths.sinks:
+        write_sinks(features.sparkSession.read.schema(features.schema).parquet(path), job.compiled, paths.sinks, part)
+
+
+def expire_panes(spark: SparkSession, job: FeatureJob, paths: StreamPaths, as_of_ms: int) -> DataFrame:
+    """The panes still inside their retention, compacted: one rewrite of the table, to be swapped in by the operator."""
+    panes = spark.read.schema(PANE_SCHEMA + ", pane_date date, batch_id bigint").parquet(paths.panes)
+    return retain_panes(panes, job.compiled, as_of_ms, job.pane_ms)
+
+
+class FeatureStream:
+    """The queries of one job: windowed features, and atoms if a spec asks for them."""
+
+    def __init__(self, queries: list):
+        self.queries = queries
+
+    def awaitTermination(self, timeout: float | None = None):
+        return all([q.awaitTermination(timeout) if timeout else q.awaitTermination() or True for q in self.queries])
+
+    def processAllAvailable(self) -> None:
+        for q in self.queries:
+            q.processAllAvailable()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
+
+    @property
+    def isActive(self) -> bool:
+        return any(q.isActive for q in self.queries)
+
+    def exception(self):
+        return next((e for q in self.queries if (e := q.exception()) is not None), None)
+
+    def late_rows(self) -> int:
+        """Rows that came after the watermark, as counted in the kept progress reports."""
+        return sum(op.numRowsDroppedByWatermark for q in self.queries for p in q.recentProgress for op in p.stateOperators)
 
 
 def start_feature_stream(job: FeatureJob, records: DataFrame, paths: StreamPaths, *,
-                         delay: str = "1 minute", trigger: dict | None = None):
-    """Start the streaming job; returns the ``StreamingQuery``."""
-    panes = pane_stream(job, records, delay)
-    writer = (panes.writeStream.outputMode("append")
-              .option("checkpointLocation", paths.checkpoint)
-              .foreachBatch(FeatureBatchWriter(job, paths)))
-    writer = writer.trigger(**(trigger or {"processingTime": "1 second"}))
-    return writer.start()
+                         delay: str = "1 minute", trigger: dict | None = None) -> FeatureStream:
+    """Start the streaming job (windowed features, atoms, sinks)."""
+    trigger = trigger or {"processingTime": "1 second"}
+    queries = []
+    if job.compiled.kinds_at(job.pane_ms):
+        queries.append(pane_stream(job, records, delay).writeStream.outputMode("append")
+                       .option("checkpointLocation", paths.checkpoint)
+                       .foreachBatch(FeatureBatchWriter(job, paths)).trigger(**trigger).start())
+    if job.compiled.rows["atom_fields"]:
+        queries.append(records.writeStream.option("checkpointLocation", f"{paths.checkpoint}-atoms")
+                       .foreachBatch(AtomBatchWriter(job, paths)).trigger(**trigger).start())
+    return FeatureStream(queries)
 
 
 def read_outputs(spark: SparkSession, paths: StreamPaths) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(paths.panes), spark.read.parquet(paths.features)
+    panes = spark.read.schema(PANE_SCHEMA + ", pane_date date, batch_id bigint").parquet(paths.panes)
+    return panes, spark.read.parquet(paths.features)
 
 
 # --------------------------------------------------------------------------- catch-up runner
+FILES_PER_CHUNK = 2
+
+
 def write_record_files(spark: SparkSession, records: DataFrame, folder: str, chunks: int = 4) -> None:
-    """Lay records out as JSON files in event-time order, one append per chunk.
+    """Lay records out as JSON files in event-time order, ``FILES_PER_CHUNK`` files per chunk.
 
     The file source picks files up by modification time; appending the time
-    ranges one after another reproduces an in-order feed across micro-batches.
-    Records are staged once with their time slice, then each slice is copied.
+    ranges one after another, and reading a chunk's files together, reproduces
+    an in-order feed across micro-batches.  Records are staged once with their
+    time slice, then each slice is copied.
     """
     clock = F.get_json_object("value", "$.ext.eventTime").cast("bigint")
     staged = records.withColumn("_ms", clock)
@@ -115,30 +188,34 @@ def write_record_files(spark: SparkSession, records: DataFrame, folder: str, chu
      .drop("_ms").write.partitionBy("_slice").parquet(stage))
     for i in range(chunks):
         part = spark.read.parquet(stage).where(F.col("_slice") == i).drop("_slice")
-        part.coalesce(1).write.mode("append").json(folder)
+        part.repartition(FILES_PER_CHUNK).write.mode("append").json(folder)
 
 
-def run_pane_stream_from_table(spark: SparkSession, sf_dir: str, job: FeatureJob,
-                               delay: str = "1 minute") -> tuple[DataFrame, DataFrame]:
-    """Catch up a file stream of the ``events`` table with ``availableNow``."""
+def catch_up_from_table(spark: SparkSession, sf_dir: str, job: FeatureJob, delay: str = "1 minute") -> StreamPaths:
+    """Catch up a file stream of the ``events`` table with ``availableNow``; returns where the outputs are."""
     from tumbleweed.sources.standin import event_records
 
     root = scratch_path(spark, "stream")
     source = f"{root}/source"
     write_record_files(spark, event_records(spark, sf_dir), source)
-    paths = StreamPaths(panes=f"{root}/panes", features=f"{root}/features", checkpoint=f"{root}/checkpoint")
-    records = (spark.readStream.schema(RECORD_SCHEMA).option("maxFilesPerTrigger", 1).json(source))
+    paths = StreamPaths(panes=f"{root}/panes", features=f"{root}/features", checkpoint=f"{root}/checkpoint", sinks=f"{root}/sinks")
+    records = read_records(spark, "json", source, streaming=True, options={"maxFilesPerTrigger": str(FILES_PER_CHUNK)})
     # The state store keeps spark.sql.shuffle.partitions partitions for the
     # life of a checkpoint; size this run's state to the cluster's cores.
     key = "spark.sql.shuffle.partitions"
     previous = spark.conf.get(key)
     spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
     try:
-        query = start_feature_stream(job, records, paths, delay=delay, trigger={"availableNow": True})
-        query.awaitTermination()
+        start_feature_stream(job, records, paths, delay=delay, trigger={"availableNow": True}).awaitTermination()
     finally:
         spark.conf.set(key, previous)
-    return read_outputs(spark, paths)
+    return paths
+
+
+def run_pane_stream_from_table(spark: SparkSession, sf_dir: str, job: FeatureJob,
+                               delay: str = "1 minute") -> tuple[DataFrame, DataFrame]:
+    """Panes and features of :func:`catch_up_from_table`."""
+    return read_outputs(spark, catch_up_from_table(spark, sf_dir, job, delay))
 
 
 def restart_with_new_specs(spark: SparkSession, old_query, job: FeatureJob, records: DataFrame,
@@ -161,14 +238,14 @@ class SpecRefresher:
     swapped into a running query.  ``poll`` reads the spec source's newest
     ``updateTime``; when it changed, the query is stopped, the specs are
     recompiled and the query restarts on the same checkpoint -- the pane
-    schema is fixed, so open panes carry over.  Call ``poll`` on a timer (the
-    reference polls every 10 s).
+    schema is fixed, so open panes carry over.  ``make_job`` builds
+    the job from the new specs (zone, pane length, topics).  Call ``poll`` on a timer.
     """
 
     def __init__(self, load_specs: Callable[[], DataFrame], records: Callable[[], DataFrame],
-                 paths: StreamPaths, pane_ms: int = 60_000, **stream_kw):
+                 paths: StreamPaths, make_job: Callable[[DataFrame], FeatureJob] = FeatureJob, **stream_kw):
         self.load_specs, self.records, self.paths = load_specs, records, paths
-        self.pane_ms, self.stream_kw = pane_ms, stream_kw
+        self.make_job, self.stream_kw = make_job, stream_kw
         self.version = None
         self.query = None
 
@@ -178,7 +255,7 @@ class SpecRefresher:
         version = spec_version(specs)
         if self.query is not None and version == self.version:
             return False
-        job = FeatureJob(specs, pane_ms=self.pane_ms)
+        job = self.make_job(specs)
         self.query = restart_with_new_specs(specs.sparkSession, self.query, job, self.records(),
                                             self.paths, **self.stream_kw)
         self.version = version
