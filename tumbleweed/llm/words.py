@@ -24,7 +24,7 @@ _BACK = pow(_STEP, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _power(n: int) -> list[np.ndarray]:
+def powers(n: int) -> list[np.ndarray]:
     """Powers of the step and of its inverse, up to ``n`` at least."""
     if len(_powers[0]) <= n:
         for i, base in enumerate((_STEP, _BACK)):
@@ -49,7 +49,7 @@ def _hash_piece(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside[1:-1] = ~SPACE[buf]
     edge = np.diff(inside)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    up, down = _power(len(buf))
+    up, down = powers(len(buf))
     sums = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum(_VALUE[buf] * up[:len(buf)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts]), starts
