@@ -12,7 +12,7 @@ from tumbleweed.oracle_sql import ORACLES
 from tumbleweed.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"stream_panes", "stream_features", "stream_recent"}
+SLOW = {"stream_panes", "stream_features", "stream_recent", "stream_all_features", "stream_messages"}
 
 
 def _norm(v):

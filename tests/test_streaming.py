@@ -79,3 +79,33 @@ def test_spec_refresher_restarts_only_on_change(spark):
     assert refresher.poll() is True                       # changed: restart on the same checkpoint
     refresher.query.awaitTermination()
     assert refresher.query.exception() is None
+
+
+def test_replayed_batches_leave_nothing_twice(spark):
+    """Every output of a batch is replaced when the batch is replayed (T5); sinks are written by type."""
+    from conftest import make_records
+    from tumbleweed.operators.panes import pane_partials
+    from tumbleweed.operators.route import route_windowed
+    from tumbleweed.streaming.job import AtomBatchWriter, FeatureBatchWriter
+
+    root = f"{checkpoint_root(spark)}/test-replay-{uuid.uuid4().hex[:8]}"
+    specs = [spec(1, "COUNT", "c", windows=("10m",)), spec(2, "SET", "s", windows=("10m",), field="ext.v", capacity=2),
+             {**spec(3, "ATOM", "a", fields=[{"sourceField": "ext.v", "featureName": "v"}]), "windows": []}]
+    specs[0]["sinks"] = [{"type": "hbase", "fields": {"c_10m": {"table": "t", "ttl": 60, "rename": "n"}}},
+                         {"type": "unheard-of", "fields": {"c_10m": {"table": "t", "ttl": 60, "rename": "n"}}}]
+    specs[2]["sinks"] = [{"type": "cells", "fields": {"a_v": {"table": "t", "ttl": 0, "rename": "v"}}}]
+    job = FeatureJob(specs_from_json(spark, specs))
+    paths = StreamPaths(f"{root}/panes", f"{root}/features", f"{root}/ckpt", f"{root}/sinks")
+    batches = [make_records(spark, [event("u", 10_000, v="x"), event("w", 20_000, v="y")]), make_records(spark, [event("u", 70_000, v="z")])]
+    for n in (0, 1, 1, 0, 1):
+        FeatureBatchWriter(job, paths)(pane_partials(route_windowed(job.fanned(batches[n]), job.compiled, MIN)), n)
+        AtomBatchWriter(job, paths)(batches[n], n)
+    _, feats = read_outputs(spark, paths)
+    rows = sorted((r.id, r.feature_name, r.ts, r.value_text) for r in feats.collect())
+    assert rows == [("u", "a_v", 10_000, "x"), ("u", "a_v", 70_000, "z"), ("u", "c_10m", MIN, "1"), ("u", "c_10m", 2 * MIN, "2"),
+                    ("u", "s_10m", MIN, '["x"]'), ("u", "s_10m", 2 * MIN, '["z","x"]'),
+                    ("w", "a_v", 20_000, "y"), ("w", "c_10m", MIN, "1"), ("w", "s_10m", MIN, '["y"]')]
+    cells = sorted((r.row_key, r.column, r.ts, r.value) for r in spark.read.parquet(f"{root}/sinks/cells").collect())
+    assert cells == [("uu", "n", MIN, "1"), ("uu", "n", 2 * MIN, "2"), ("uu", "v", 10_000, "x"), ("uu", "v", 70_000, "z"),
+                     ("ww", "n", MIN, "1"), ("ww", "v", 20_000, "y")]
+    assert spark.read.parquet(f"{root}/sinks/messages").count() == 6

@@ -91,9 +91,11 @@ def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str |
       DECIMAL, so history outside the window never matters; a window whose
       own sum leaves BIGINT, or that holds a pane whose sum did, emits NULL
       (D16);
-    * double SUM: sliding RANGE frame ``(T - w, T]`` (no cancellation);
-    * MAX / MIN: sliding frames over ``struct(long, double)``, so long and
-      double specs share one window function;
+    * double SUM, MAX, MIN (over ``struct(long, double)``, so long and double
+      specs share one function): time is cut into blocks of length ``w``; the
+      look-back is the end of one block and the beginning of the next
+      (:func:`_two_blocks`) -- linear, without cancellation, and a busy key is
+      spread over its blocks;
     * ``today``: growing frame within the local day; ``yesterday``: RANGE
       frame over the previous day number.
     """
@@ -145,9 +147,7 @@ def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes):
     def window_value(length: int) -> Column:
         if family == "count":
             return growing(agg("x"), length)
-        if family == "sum_long":
-            return fitting(growing(agg("x"), length), growing(F.sum("over"), length))
-        return agg("x").over(by_time.rangeBetween(-(length - 1), 0))
+        return fitting(growing(agg("x"), length), growing(F.sum("over"), length))
 
     def whole_value(frame) -> Column:
         if family == "sum_long":
@@ -159,16 +159,30 @@ def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes):
             Window.unboundedPreceding, Window.currentRow),
         "yesterday": Window.partitionBy(*ENTITY).orderBy("day").rangeBetween(-1, -1),
     }
+    blocks = None
+    if family not in ("count", "sum_long") and lengths:
+        blocks, lengths = _two_blocks(p, lengths, agg), []
     framed = p.select(
         *ENTITY, "spec_id", "field_type", "pane_end_ms",
         *[window_value(k).alias(f"_w{k}") for k in lengths],
         *[whole_value(whole_frames[name]).alias(f"_w_{name}") for name in wholes],
         *([F.count(F.lit(1)).over(whole_frames["yesterday"]).alias("_n_yesterday")] if "yesterday" in wholes else []),
     )
-    rows = framed.join(_windows(cs, pane_ms), "spec_id")
+    windows = _windows(cs, pane_ms)
     value = _pick(F.col("window_ms"), {k: F.col(f"_w{k}") for k in lengths})
     for name in wholes:
         value = F.when(F.col("whole") == name, F.col(f"_w_{name}")).otherwise(value)
+    keep = [*ENTITY, "field_type", "pane_end_ms", "window", "whole"]
+    n_yesterday = F.col("_n_yesterday") if "yesterday" in wholes else F.lit(None).cast("bigint")
+    parts = []
+    if blocks is None or wholes:
+        wide = windows if blocks is None else windows.where(F.col("whole").isNotNull())
+        parts.append(framed.join(wide, "spec_id").select(*keep, value.alias("value"), n_yesterday.alias("_n_yesterday")))
+    if blocks is not None:
+        parts.append(blocks.join(windows.where(F.col("whole").isNull()), ["spec_id", "window_ms"])
+                     .select(*keep, "value", F.lit(None).cast("bigint").alias("_n_yesterday")))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    value = F.col("value")
     if family in ("count", "sum_long"):
         long_v, double_v = value, F.lit(None)
     elif family == "sum_double":
@@ -185,6 +199,32 @@ def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes):
     return _emit(rows, F.concat_ws("_", "feature", "window"), long_v, double_v, text, vtype)
 
 
+def _two_blocks(p: DataFrame, lengths: list[int], agg) -> DataFrame:
+    """``value`` over ``(T - w, T]`` for each pane end ``T`` and length ``w``, in linear time.
+
+    With blocks ``(b * w, (b + 1) * w]``, the look-back of a pane in block ``b``
+    is the part of block ``b - 1`` after ``T - w`` and the part of block ``b`` up
+    to ``T``.  Both are growing frames inside one block.  An entry at ``t`` whose
+    block-end aggregate is ``S`` is placed in the next block at ``t + w``; the
+    first one beyond ``T`` there starts the look-back.
+    """
+    keys = [*ENTITY, "spec_id", "window_ms", "b"]
+    rows = p.withColumn("window_ms", F.explode(F.array(*[F.lit(k).cast("bigint") for k in lengths])))
+    rows = rows.withColumn("b", F.floor((F.col("pane_end_ms") - 1) / F.col("window_ms")))
+    in_block = Window.partitionBy(*keys)
+    so_far = agg("x").over(in_block.orderBy("pane_end_ms").rowsBetween(Window.unboundedPreceding, 0))
+    to_end = agg("x").over(in_block.orderBy(F.desc("pane_end_ms")).rowsBetween(Window.unboundedPreceding, 0))
+    ends = rows.select(*keys, "field_type", "pane_end_ms", so_far.alias("head"), to_end.alias("tail"))
+    own = ends.select(*keys, "field_type", F.col("pane_end_ms").alias("at"), F.lit(1).alias("own"), "head", F.lit(None).cast(ends.schema["tail"].dataType).alias("tail"))
+    moved = ends.select(*ENTITY, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), "field_type", (F.col("pane_end_ms") + F.col("window_ms")).alias("at"),
+                        F.lit(0).alias("own"), F.lit(None).cast(ends.schema["head"].dataType).alias("head"), "tail")
+    # backwards in time: the last moved entry seen before T is the first one after it; one exactly at T is outside
+    backwards = in_block.orderBy(F.desc("at"), F.desc("own")).rowsBetween(Window.unboundedPreceding, 0)
+    both = own.unionByName(moved).withColumn("tail", F.last("tail", ignorenulls=True).over(backwards)).where(F.col("own") == 1)
+    merged = {F.max: F.greatest, F.min: F.least}.get(agg, lambda x, y: x + F.coalesce(y, F.lit(0.0)))
+    return both.select(*ENTITY, "spec_id", "window_ms", "field_type", F.col("at").alias("pane_end_ms"), merged(F.col("head"), F.col("tail")).alias("value"))
+
+
 # --------------------------------------------------------------------------- grouped count
 GROUP = ENTITY + ["sub_key"]
 

@@ -169,7 +169,8 @@ def _numeric(prefix: str, value_expr: str, agg: str, windows: dict[str, int], ki
     selects = []
     for name, width in windows.items():
         val = _frame(f"{roll}(x)", width)
-        vl, vd = (val, "NULL") if kind == "long" else ("NULL", val)
+        # a long sum beyond its type is NULL
+        vl, vd = (f"TRY_CAST({val} AS BIGINT)", "NULL") if kind == "long" else ("NULL", val)
         selects.append(f"SELECT {_out(name=repr(prefix + '_' + name), ts='pe', vl=vl, vd=vd)} FROM p_{prefix}")
     return cte, _union(*selects)
 
@@ -221,7 +222,7 @@ def _items(prefix: str, windows: dict[str, int], cap: int, need_ts: bool, distin
         picked = f"""SELECT a.id, a.pe, w.name, i.val, i.t
              FROM act_{prefix} a CROSS JOIN w_{prefix} w JOIN it_{prefix} i
                ON i.id = a.id AND i.pe > a.pe - w.ms AND i.pe <= a.pe"""
-    cte = f"""it_{prefix} AS (SELECT DISTINCT {id_expr} AS id, {val_expr} AS val, {time} AS t, {_pane(time)} AS pe FROM {src}),
+    cte = f"""it_{prefix} AS (SELECT DISTINCT {id_expr} AS id, {val_expr} AS val, {time} AS t, {_pane('event_ms')} AS pe FROM {src}),
 act_{prefix} AS (SELECT DISTINCT id, pe FROM it_{prefix}),
 w_{prefix} AS (SELECT * FROM (VALUES {", ".join(f"('{n}', {ms})" for n, ms in windows.items())}) t(name, ms)),
 r_{prefix} AS (SELECT *, row_number() OVER (PARTITION BY id, pe, name ORDER BY t DESC, val DESC) AS rn
@@ -236,6 +237,13 @@ RECENT_LIST_TS = _q(_items("recent_k_ts", {"24h": DAY}, 3, True, False, "CAST(k
 RECENT_SET = _q(_items("recent_type", {"24h": DAY}, 3, False, True, "event_type"))
 RECENT_SET_TS = _q(_items("recent_type_ts", {"3h": 3 * HOUR}, 2, True, True, "event_type"))
 
+# item times that are not the pane clock
+RECENT_SET_CUSTOM_TIME = _q(_items("type_by_k", {"3h": 3 * HOUR, "24h": DAY}, 2, True, True, "event_type", time="k"))
+# running totals far beyond BIGINT, most windows inside it
+REL_SUM_HUGE = _q(_numeric("k_huge", "CAST(k AS HUGEINT) * 90000000000000000", "sum", W3, "long"))
+# ids 'acct:<n>' lose their prefix; every seventh event has an id of white space
+PREFIXED_IDS = _q(_numeric("evt_cnt", "", "count", W3, "long", filt="anchor <> 0"))
+
 LATEST_VALUE = _with(EV, f"""
 l AS (SELECT uid AS id, {_pane('event_ms')} AS pe, event_type,
              row_number() OVER (PARTITION BY uid, {_pane('event_ms')} ORDER BY event_ms DESC, event_type DESC) AS rn
@@ -393,6 +401,10 @@ SELECT "table", row_key, "column", max(ts) AS ts, arg_max(value, (ts, value)) AS
        'ts:' || CAST(max(ts) AS VARCHAR) || ',' || arg_max(value, (ts, value)) AS cache_text
 FROM cells GROUP BY ALL"""
 
+# cells that have not expired when the newest event happens
+CELL_SNAPSHOT_LIVE = (f"SELECT * FROM ({CELL_SNAPSHOT}) s WHERE expires_at_ms IS NULL OR "
+                      "expires_at_ms > (SELECT max(epoch_us(ts) // 1000) FROM events)")
+
 FEATURE_MESSAGES = _cells_sql() + """,
 dedup AS (SELECT id, id_type, biz_type, ts, "column", max(value) AS value FROM cells
           WHERE biz_type IS NOT NULL GROUP BY ALL)
@@ -497,6 +509,10 @@ ORACLES = {
     "recent_list_ts": RECENT_LIST_TS,
     "recent_set": RECENT_SET,
     "recent_set_ts": RECENT_SET_TS,
+    "recent_set_custom_time": RECENT_SET_CUSTOM_TIME,
+    "rel_sum_huge": REL_SUM_HUGE,
+    "prefixed_ids": PREFIXED_IDS,
+    "cell_snapshot_live": CELL_SNAPSHOT_LIVE,
     "latest_value": LATEST_VALUE,
     "whole_today": WHOLE_TODAY,
     "whole_yesterday": WHOLE_YESTERDAY,

@@ -109,6 +109,17 @@ EXPECTED_ERRORS = {
 }
 
 
+# Cases at the edges: item times that are not the pane clock, sums near the end of their type.
+EDGE_SPECS: list[dict] = [
+    {"id": 301, "configType": "SET", "bizType": "", "idType": "uid", "featureNamePrefix": "type_by_k",
+     "typeConfig": ALL_EVENTS, "aggConfig": {"field": "eventType", "capacity": 2, "needTs": True, "eventTimeField": "ext.k"},
+     "windows": rel("3h", "24h"), "sinks": []},
+    {"id": 302, "configType": "SUM", "bizType": "", "idType": "uid", "featureNamePrefix": "k_huge",
+     "typeConfig": ALL_EVENTS, "aggConfig": {"field": "ext.k * 90000000000000000", "fieldType": "long"},
+     "windows": rel("10m", "3h", "24h"), "sinks": []},
+]
+
+
 ORDER_PLACED = [{"bizType": "order", "eventType": "placed", "targetType": "shop"}]
 ORDER_SPECS: list[dict] = [
     {"id": 101, "configType": "COUNT", "bizType": "order", "idType": "uid", "featureNamePrefix": "cust_orders",

@@ -15,12 +15,12 @@ from tumbleweed.operators.fanout import fan_out
 from tumbleweed.operators.panes import build_session_panes, retain_panes
 from tumbleweed.operators.route import ROUTE_KEYS
 from tumbleweed.operators.sinks import cell_snapshot, feature_messages, output_counts, serving_cells
-from tumbleweed.plans.catalog import EVENT_SPECS, LINEITEM_SPECS, ORDER_SPECS
+from tumbleweed.plans.catalog import EDGE_SPECS, EVENT_SPECS, LINEITEM_SPECS, ORDER_SPECS
 from tumbleweed.plans.compile import spec_broadcast
 from tumbleweed.plans.job import FeatureJob
 from tumbleweed.sources.events import parse_events
 from tumbleweed.sources.specs import specs_from_json
-from tumbleweed.sources.standin import event_records, lineitem_records, order_records
+from tumbleweed.sources.standin import event_records, lineitem_records, order_records, prefixed_event_records
 
 MINUTE, HOUR, SECOND = 60_000, 3_600_000, 1_000
 
@@ -138,6 +138,9 @@ whole_yesterday = _features_q({1, 2, 4}, ["yesterday"])
 hourly_cadence = _features_q({17}, pane_ms=HOUR)
 second_cadence = _features_q({18}, pane_ms=SECOND)
 target_dims = _features_q({15, 16})
+recent_set_custom_time = _features_q({301}, specs=EDGE_SPECS)
+rel_sum_huge = _features_q({302}, specs=EDGE_SPECS)
+prefixed_ids = _features_q({1}, ["10m", "3h", "24h"], records=prefixed_event_records)
 orders_spend_windows = _features_q(None, specs=ORDER_SPECS, records=order_records)
 lineitem_part_demand = _features_q(None, specs=LINEITEM_SPECS, records=lineitem_records)
 
@@ -170,6 +173,17 @@ def cell_snapshot_q(spark: SparkSession, sf: str) -> DataFrame:
                        timestamped_value(F.col("ts"), F.col("value")).alias("cache_text"))
 
 
+def cell_snapshot_live(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest version of each cell that has not expired when the newest event happens (O3)."""
+    from tumbleweed.functions.scalars import timestamped_value
+
+    # a scalar aggregate: the clock of this backfill
+    as_of = parse_events(event_records(spark, sf)).agg(F.max("event_ms")).first()[0]
+    snap = cell_snapshot(_cells(spark, sf), as_of)
+    return snap.select("table", "row_key", "column", "ts", "value", "expires_at_ms",
+                       timestamped_value(F.col("ts"), F.col("value")).alias("cache_text"))
+
+
 def feature_messages_q(spark: SparkSession, sf: str) -> DataFrame:
     msgs = feature_messages(_cells(spark, sf))
     return msgs.select("id", "id_type", "biz_type", "ts", F.size("kv").alias("n_columns"),
@@ -248,6 +262,10 @@ QUERIES = {
     "recent_list_ts": recent_list_ts,
     "recent_set": recent_set,
     "recent_set_ts": recent_set_ts,
+    "recent_set_custom_time": recent_set_custom_time,
+    "rel_sum_huge": rel_sum_huge,
+    "prefixed_ids": prefixed_ids,
+    "cell_snapshot_live": cell_snapshot_live,
     "latest_value": latest_value,
     "whole_today": whole_today,
     "whole_yesterday": whole_yesterday,

@@ -24,14 +24,7 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    # The test tables are single-row-group files, so a scan is one task.  A
-    # bus topic delivers records on many partitions; spread the rows the same
-    # way.  (A large scan already has more splits than cores: no shuffle.)
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        df = df.repartition(parallelism)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ms(col: str):
@@ -43,12 +36,12 @@ def _records(df: DataFrame, topic, key, event) -> DataFrame:
     return df.select(topic.alias("topic"), key.cast("string").alias("key"), F.to_json(event).alias("value"))
 
 
-def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_records(spark: SparkSession, sf_dir: str, uid=None) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     purchase = F.col("event_type") == "purchase"
     k = F.get_json_object("props", "$.k").try_cast("bigint")
     event = F.struct(
-        F.col("user_id").alias("uid"),
+        (F.col("user_id") if uid is None else uid).alias("uid"),
         F.when(purchase, "order").otherwise("social").alias("bizType"),
         F.col("event_type").alias("eventType"),
         F.lit("user").alias("targetType"),
@@ -60,6 +53,11 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(ev, F.when(purchase, "ORDER").otherwise("LIVEROOM"), F.col("user_id"), event)
 
 
+def prefixed_event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_records`` with ids ``acct:<user_id>``, and white space for every seventh event."""
+    return event_records(spark, sf_dir, F.when(F.col("event_id") % 7 == 0, F.lit(" \t")).otherwise(F.concat(F.lit("acct:"), F.col("user_id").cast("string"))))
+
+
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     event = F.struct(
