@@ -11,10 +11,9 @@ host labels, length of the path) are formed, so a URL makes at most as many
 candidates as there are shapes.  Candidates that the Bloom filter cannot rule
 out go to an exact equi-join with the rules, which removes false positives.
 
-The filter is blocked: one 64-byte block per key, one bit in each of its eight
-words, so a probe touches one cache line.  It takes ``bits_per_key`` bits a rule
-up to ``max_filter_bytes``; past that it lets more candidates through, and the
-join still gives the same result.  It is the only thing broadcast by hand.
+The filter (see ``bloom``) has a bounded size; past it more candidates come
+through, and the join still gives the same result.  It is the only thing
+broadcast by hand.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path and
 fits no rule; repeated rows are each answered; columns of the input named like
@@ -23,15 +22,14 @@ an output column are replaced.
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tumbleweed.llm import bloom
 from tumbleweed.llm.common import ascii_lower, quoted, without
 
 OUTPUT = ["host", "path", "rule", "verdict"]
-WORDS = 8
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -47,40 +45,12 @@ def _key(host: Column, path: Column) -> Column:
     return F.xxhash64(host, path)
 
 
-def _bits(key: Column) -> Column:
-    return F.xxhash64(key, F.lit("bits"))
-
-
-def build_filter(rules: DataFrame, bits_per_key: int = 16, max_filter_bytes: int = 32 << 20) -> np.ndarray:
-    """The filter as an array of blocks of eight 64-bit words.
-
-    Bits are set by a distributed ``bit_or`` per block; the driver receives the
-    finished blocks only, ``max_filter_bytes`` at most.
-    """
-    keys = rules.select(_key(F.col("host"), F.col("path")).alias("k"))
-    n = keys.count()
-    blocks = int(min(max(1, -(-n * bits_per_key // (64 * WORDS))), max_filter_bytes // (8 * WORDS)))
-    bit = lambda i: F.expr(f"shiftleft(1L, cast(shiftrightunsigned(b, {6 * i}) & 63 as int))")
-    parts = (keys.withColumn("b", _bits(F.col("k")))
-             .groupBy(F.expr(f"pmod(k, {blocks}L)").alias("block"))
-             .agg(*[F.bit_or(bit(i)).alias(f"w{i}") for i in range(WORDS)]))
-    out = np.zeros((blocks, WORDS), dtype=np.uint64)
-    for r in parts.toLocalIterator():
-        out[r["block"]] = np.array([r[f"w{i}"] for i in range(WORDS)], dtype=np.int64).view(np.uint64)
-    return out
-
-
-def _probe(spark, bloom: np.ndarray):
-    shared = spark.sparkContext.broadcast(bloom)
+def _probe(spark, blocks):
+    shared = spark.sparkContext.broadcast(blocks)
 
     @F.pandas_udf("boolean")
     def maybe(key: pd.Series, bits: pd.Series) -> pd.Series:
-        words = shared.value
-        k = key.to_numpy(np.int64)
-        b = bits.to_numpy(np.int64).view(np.uint64)
-        block = words[np.mod(k, len(words))]
-        shift = (b[:, None] >> (np.uint64(6) * np.arange(WORDS, dtype=np.uint64))) & np.uint64(63)
-        return pd.Series((((block >> shift) & np.uint64(1)) == 1).all(axis=1))
+        return pd.Series(bloom.may_hold(shared.value, key.to_numpy(), bits.to_numpy()))
 
     return maybe
 
@@ -103,12 +73,12 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     if not shapes:
         decided = pairs.select("h", "p", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict")).limit(0)
     else:
-        maybe = _probe(spark, build_filter(rules))
+        maybe = _probe(spark, bloom.build(rules.select(_key(F.col("host"), F.col("path")).alias("k"))))
         candidates = (pairs
                       .select("h", "p", F.explode(F.filter(F.array(*[shape(n, m) for n, m in sorted(shapes)]), lambda c: c.isNotNull())).alias("c"))
                       .select("h", "p", "c.host", "c.path")
                       .withColumn("k", _key(F.col("host"), F.col("path"))))
-        hits = candidates.where(maybe(F.col("k"), _bits(F.col("k")))).join(rules, ["host", "path"])
+        hits = candidates.where(maybe(F.col("k"), bloom.bits_of(F.col("k")))).join(rules, ["host", "path"])
         rank = F.struct(F.length(F.concat("host", "path")), F.length("host"), F.concat("host", "path"), F.col("verdict"))
         decided = hits.groupBy("h", "p").agg(F.max(rank).alias("r")).select("h", "p", F.col("r.col3").alias("rule"), F.col("r.verdict").alias("verdict"))
     out = kept.join(decided, (F.col("__url_host") == F.col("h")) & (F.col("__url_path") == F.col("p")), "left")
