@@ -17,6 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows in a partition of a table of short rows.
+PARTITION_ROWS = 250_000
+
+
+def by_rows(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in as many partitions as ``rows`` short rows need, if it has more.
+
+    A shuffle's files are one for each partition before it: links and labels are
+    few against the documents, and would otherwise leave files of a few bytes.
+    """
+    return df.coalesce(max(1, math.ceil(rows / PARTITION_ROWS)))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder.
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tumbleweed.llm.common import cut
+from tumbleweed.llm.common import by_rows, cut
 
 
 def _state(links: DataFrame) -> tuple:
@@ -27,16 +27,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     star = cut(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     before = _state(star)
+    small_enough = lambda df: by_rows(df, before[0])
+    star = small_enough(star)
     while before[0]:
         # from the larger end: every larger neighbour of u points to the least of u and its neighbours
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(least, F.col("u") == F.col("c"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        large = small_enough(both.where("v > u").join(least, F.col("u") == F.col("c"))
+                             .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"))
         # from the smaller end: u and its smaller neighbours point to the least of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        star = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        star = small_enough(cut(small_enough(small.unionByName(low.select("u", F.col("m").alias("v")))).distinct()))
         after = _state(star)
         if after == before:
             break
