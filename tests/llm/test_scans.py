@@ -1,0 +1,102 @@
+"""Secret and license scans."""
+
+import re
+
+import pytest
+from llm_helpers import documents
+
+from tumbleweed.llm import licenses, secrets, standin
+from tumbleweed.llm.queries import QUERIES
+
+HEX = "0123456789abcdef0123456789abcdef01234567"[::-1]
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    return secrets.trained(docs, standin.labelled_findings(docs, per_kind=150))
+
+
+def test_candidates_keep_places(spark):
+    rows = [(1, f'é token = "{HEX}" then\n{HEX}'), (2, None), (3, ""), (4, "short words only"), (5, "x" * 100_000), (1, f'é token = "{HEX}" then\n{HEX}'),
+            (6, "é" + HEX)]
+    got = secrets.candidates(documents(spark, rows).selectExpr("*", "1 as start", "2 as candidate")).collect()
+    texts = {i: t for i, t in rows}
+    assert all(texts[r["doc_id"]][r["start"]:r["start"] + len(r["candidate"])] == r["candidate"] for r in got)
+    assert sorted((r["doc_id"], len(r["candidate"])) for r in got) == [(1, 40)] * 4 + [(5, 100_000)]
+    assert {r["before"][-9:] for r in got if r["doc_id"] == 1} >= {'token = "'}
+
+
+def test_forest_tells_secrets_from_lookalikes(spark, forest):
+    code = "q8ZtXv3mPw7RkLb2NcYh5JdGs9FaUeVo"
+    yes = [f'the token = "{HEX}" and', f"api_key: {code} ", f"password={code}", f"Authorization: Bearer {code}"]
+    no = [f"fixed in commit {HEX} today", f"sha256: {HEX}", "call 4929963689861572 now", 'token = "xxxxxxxxxxxxxxxxxxxxxxxx"', "internationalization", "=" * 40,
+          "id: 0f0a884c-3828-413e-8984-37be11c4438d"]
+    df = documents(spark, list(enumerate(yes + no)))
+    got = {r["doc_id"]: r["is_secret"] for r in secrets.scan(df, forest).collect()}
+    assert got == {i: i < len(yes) for i in range(len(yes + no))}
+
+
+def test_redaction(spark, forest):
+    rows = [(1, f'a token = "{HEX}" b token = "{HEX}"'), (2, "clean"), (3, None), (None, f'token = "{HEX}"'), (None, "other"), (2, "clean")]
+    df = documents(spark, rows)
+    out = secrets.redact(df, forest)
+    assert out.columns == df.columns
+    got = sorted(((r["doc_id"] or -1), r["text"] or "", r["n_chars"] or 0) for r in out.collect())
+    clean = 'a token = "[SECRET]" b token = "[SECRET]"'
+    assert got == sorted([(1, clean, len(clean)), (2, "clean", 5), (2, "clean", 5), (3, "", 0), (-1, 'token = "[SECRET]"', 18), (-1, "other", 5)])
+    assert secrets.redact(df.limit(0), forest).count() == 0
+    assert secrets.scan(df.drop("source"), forest).where("is_secret").count() == 3
+
+
+def test_without_labels_everything_counts(spark):
+    df = documents(spark, [(1, f"see {HEX}")])
+    findings = standin.labelled_findings(df).limit(0)
+    assert [r["is_secret"] for r in secrets.scan(df, secrets.trained(df, findings)).collect()] == [True]
+
+
+def test_secret_query_finds_all_assigned_digests(spark):
+    sf = "/root/testdata/sf0.01"
+    want = sorted((r["doc_id"], m.start(1)) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()
+                  for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r["text"] or ""))
+    got = sorted((r["doc_id"], r["start"]) for r in QUERIES["op6_secret_scan"](spark, sf).collect())
+    assert want and got == want
+
+
+def words_of(text):
+    return [w for w in re.split(r"[^\w]|_", (text or "").lower()) if w]
+
+
+def brute(rows, templates):
+    """Documents and licenses where some span of the template's length holds 0.8 of its shingles."""
+    out = set()
+    sh = lambda w: [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+    for i, text in rows:
+        s = sh(words_of(text))
+        for name, t in templates:
+            want = sh(words_of(t))
+            if any(len(set(want) & set(s[a:a + len(want)])) >= 0.8 * len(set(want)) for a in range(max(1, len(s) - len(want) + 1)) if want):
+                out.add((i, name))
+    return out
+
+
+def test_licenses_equal_brute_force(spark, sf_dir):
+    sf = "/root/testdata/sf0.01"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = QUERIES["op10_license_scan"](spark, sf).collect()
+    assert {(r["doc_id"], r["license"]) for r in got} == brute(rows, licenses.TEMPLATES) != set()
+
+
+def test_license_edges(spark):
+    mit = licenses.TEMPLATES[1][1]
+    w = mit.split()
+    noise = lambda k, n: " ".join(f"n{k}x{i}" for i in range(n))
+    rows = [(1, noise(1, 300) + " " + mit.upper().replace(" ", " ** ") + " " + noise(2, 50)), (2, noise(3, 57) + " " + " ".join(w[:20] + ["changed"] + w[21:])),
+            (3, " ".join(w[:len(w) // 2])), (4, None), (5, ""), (6, "four words are few"), (7, noise(4, 200_000) + " Released under the MIT License."),
+            (8, "Released under the MIT License. " * 3), (8, "Released under the MIT License. " * 3), (9, " ".join(w[::-1]))]
+    df = documents(spark, rows).selectExpr("*", "1 as license", "2 as containment", "3 as h")
+    templates = spark.createDataFrame(licenses.TEMPLATES, "license string, text string")
+    got = {(r["doc_id"], r["license"]): (r["containment"], r["start"]) for r in licenses.scan(df, templates).collect()}
+    assert set(got) == brute([r for r in rows if r[0] != 7], licenses.TEMPLATES) | {(7, "MIT")}
+    assert got[(1, "MIT")][0] == 1.0 and 0.8 <= got[(2, "MIT")][0] < 1 and got[(7, "MIT")] == (1.0, 200_000) and got[(8, "MIT")] == (1.0, 0)
+    assert licenses.scan(df.limit(0), templates).count() == 0 and licenses.scan(df, templates.limit(0)).count() == 0
