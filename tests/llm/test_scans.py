@@ -30,7 +30,7 @@ def test_candidates_keep_places(spark):
 def test_forest_tells_secrets_from_lookalikes(spark, forest):
     code = "q8ZtXv3mPw7RkLb2NcYh5JdGs9FaUeVo"
     yes = [f'the token = "{HEX}" and', f"api_key: {code} ", f"password={code}", f"Authorization: Bearer {code}"]
-    no = [f"fixed in commit {HEX} today", f"sha256: {HEX}", "call 4929963689861572 now", 'token = "xxxxxxxxxxxxxxxxxxxxxxxx"', "internationalization", "=" * 40,
+    no = [f"fixed in commit {HEX} today", f"sha256: {HEX}", "call 4929963689861572 now", 'token = "xxxxxxxxxxxxxxxxxxxxxxxx"', "internationalization", "-" * 40,
           "id: 0f0a884c-3828-413e-8984-37be11c4438d"]
     df = documents(spark, list(enumerate(yes + no)))
     got = {r["doc_id"]: r["is_secret"] for r in secrets.scan(df, forest).collect()}

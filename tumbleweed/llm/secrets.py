@@ -1,7 +1,8 @@
 r"""Secret scan: candidates from a pattern, false positives removed by a random forest.
 
 A candidate is a maximal run of at least ``MIN_LENGTH`` characters of
-``[A-Za-z0-9_/+=-]`` that no other letter or digit touches.  The text between two
+``[A-Za-z0-9_/+-]``, with up to two ``=`` after it, that no other letter or digit
+touches.  The text between two
 candidates gives the neighbouring words.  All of it is SQL expressions: a text is
 split once at its candidates, and only candidates with their neighbourhoods travel
 on.
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from tumbleweed.llm.common import computed, cut, quoted
 
 MIN_LENGTH = 16
-CANDIDATE = r"(?<![\p{L}\p{N}_/+=-])[A-Za-z0-9_/+=-]{16,}(?![\p{L}\p{N}_/+=-])"
+CANDIDATE = r"(?<![\p{L}\p{N}_/+-])[A-Za-z0-9_/+-]{16,}+={0,2}+(?![\p{L}\p{N}_/+-])"
 NEAR = 48
 REDACTED = "[SECRET]"
 

@@ -39,8 +39,10 @@ def labelled_findings(documents: DataFrame, per_kind: int = 400) -> DataFrame:
     Label 0: the same kinds of values in other places (commits, checksums, ids,
     card numbers, paths), words, identifiers and placeholders.
     """
-    base = (documents.where("doc_id is not null and text is not null")
-            .select("doc_id", "text").orderBy(F.xxhash64("doc_id", F.lit("findings")), "doc_id", "text").limit(per_kind)
+    usable = documents.where("doc_id is not null and text is not null")
+    chosen = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit("findings")), "doc_id").limit(per_kind)
+    # per_kind ids at most: texts stay where they are but for these
+    base = (usable.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
             .select("doc_id", F.split("text", r"\s+").alias("w")))
     # (text before, kind of value, text after, label)
     positive = [(name + sign, kind, sign[-1] if sign[-1] in "\"'" else "", 1)
@@ -51,7 +53,7 @@ def labelled_findings(documents: DataFrame, per_kind: int = 400) -> DataFrame:
         ("commit ", "hex 40"), ("sha256: ", "hex 64"), ("md5 = ", "hex 32"), ("checksum=", "hex 40"), ("uuid ", "uuid"), ("id: ", "uuid"),
         ("card ", "number"), ("", "number"), ("order ", "number"), ("", "words"), ("", "words"), ("", "name"), ("https://", "path"),
         ('token = "', "xxxxxxxxxxxxxxxxxxxxxxxx"), ("password = ", "your-password-goes-here"), ("api_key: ", "name"),
-        ("", "----------------------------"), ("", "================================"))]
+        ("", "----------------------------"))]
     recipes = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(b).alias("name"), F.lit(v).alias("kind"), F.lit(a).alias("close"), F.lit(y).alias("label"))
                         for k, (b, v, a, y) in enumerate(positive + negative)])
     rows = base.withColumn("r", F.explode(recipes)).select("doc_id", "w", "r.*")
