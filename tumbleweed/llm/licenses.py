@@ -30,6 +30,8 @@ from tumbleweed.llm.common import computed, cut, quoted
 SHINGLE = 5
 BANDS = 16
 CONTAINMENT = 0.8
+#: Up to so many anchors, templates are broadcast; past it the planner joins by size.
+BROADCAST_ANCHORS = 4096
 #: Public notices, a fixed list of (license, text).
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
@@ -101,6 +103,8 @@ def scan(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: st
     if not hashes:
         return docs.select(quoted(doc_id).alias("doc_id"), F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).cast("long").alias("start")).limit(0)
     wanted = F.array(*[F.lit(h).cast("long") for h in sorted(hashes)])
+    if len(hashes) <= BROADCAST_ANCHORS:
+        ready = F.broadcast(ready)
     hashed = (docs.select(quoted(doc_id).alias("doc_id"), computed(words(quoted(text).cast("string"))).alias("w"))
               .select("doc_id", computed(shingle_hashes(F.col("w"))).alias("h")))
     hits = F.filter(F.transform("h", lambda h, i: F.struct(i.alias("at"), h.alias("anchor"))), lambda x: F.array_contains(wanted, x["anchor"]))

@@ -65,23 +65,23 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     kept = without(pages.withColumn("__url_host", host).withColumn("__url_path", path), OUTPUT)
 
     # The verdict depends on host and path alone: each distinct pair is judged once.
-    pairs = kept.select(F.col("__url_host").alias("h"), F.col("__url_path").alias("p")).distinct()
-    labels = F.split("h", r"\.", -1)
+    pairs = kept.select(F.col("__url_host").alias("__h"), F.col("__url_path").alias("__p")).distinct()
+    labels = F.split("__h", r"\.", -1)
     shape = lambda n, m: F.when(
-        (F.size(labels) >= n) & (F.length("p") >= m),
-        F.struct(F.substring_index("h", ".", -n).alias("host"), F.substring("p", 1, m).alias("path")))
+        (F.size(labels) >= n) & (F.length("__p") >= m),
+        F.struct(F.substring_index("__h", ".", -n).alias("host"), F.substring("__p", 1, m).alias("path")))
     if not shapes:
-        decided = pairs.select("h", "p", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict")).limit(0)
+        decided = pairs.select("__h", "__p", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict")).limit(0)
     else:
         maybe = _probe(spark, bloom.build(rules.select(_key(F.col("host"), F.col("path")).alias("k"))))
         candidates = (pairs
-                      .select("h", "p", F.explode(F.filter(F.array(*[shape(n, m) for n, m in sorted(shapes)]), lambda c: c.isNotNull())).alias("c"))
-                      .select("h", "p", "c.host", "c.path")
+                      .select("__h", "__p", F.explode(F.filter(F.array(*[shape(n, m) for n, m in sorted(shapes)]), lambda c: c.isNotNull())).alias("c"))
+                      .select("__h", "__p", "c.host", "c.path")
                       .withColumn("k", _key(F.col("host"), F.col("path"))))
         hits = candidates.where(maybe(F.col("k"), bloom.bits_of(F.col("k")))).join(rules, ["host", "path"])
         rank = F.struct(F.length(F.concat("host", "path")), F.length("host"), F.concat("host", "path"), F.col("verdict"))
-        decided = hits.groupBy("h", "p").agg(F.max(rank).alias("r")).select("h", "p", F.col("r.col3").alias("rule"), F.col("r.verdict").alias("verdict"))
-    out = kept.join(decided, (F.col("__url_host") == F.col("h")) & (F.col("__url_path") == F.col("p")), "left")
+        decided = hits.groupBy("__h", "__p").agg(F.max(rank).alias("r")).select("__h", "__p", F.col("r.col3").alias("rule"), F.col("r.verdict").alias("verdict"))
+    out = kept.join(decided, (F.col("__url_host") == F.col("__h")) & (F.col("__url_path") == F.col("__p")), "left")
     plain = [quoted(c) for c in kept.columns if c not in ("__url_host", "__url_path")]
     return out.select(*plain, F.col("__url_host").alias("host"), F.col("__url_path").alias("path"), "rule",
                       F.coalesce("verdict", F.lit(default)).alias("verdict"))
