@@ -164,3 +164,27 @@ def test_all_cadences_in_one_job(spark):
     out = as_dict(features(spark, specs, [event("u", at(T), g="p"), event("u", at(T) + 40_000, g="q")]))
     assert out == {("u", "m_10m", T): "1", ("u", "m_10m", T + MIN): "2", ("u", "h_3h", T): "1", ("u", "h_3h", T + HOUR): "2",
                    ("u", "a_g", at(T)): "p", ("u", "a_g", at(T) + 40_000): "q"}
+
+
+def test_one_busy_key_equals_brute_force(spark):
+    """Thousands of one-second panes of a single key, over look-backs of several block lengths."""
+    import random
+
+    rng = random.Random(4)
+    times = sorted(rng.sample(range(1, 40_000), 3000))
+    evs = [event("u", 1_000 * t, x=rng.randrange(-50, 50)) for t in times]
+    values = {t + 1: e["ext"]["x"] for t, e in zip(times, evs)}      # by pane end in seconds
+    kinds = {"SUM": sum, "MAX": max, "MIN": min}
+    specs = [spec(i, k, k.lower(), windows=("7s", "5m", "3h"), delay="1s", field="ext.x", fieldType="double") for i, k in enumerate(kinds)]
+    specs.append(spec(9, "COUNT", "count", windows=("7s", "5m", "3h"), delay="1s"))
+    out = as_dict(features(spark, specs, evs, pane_ms=1_000), key=("feature_name", "ts"))
+    ends = sorted(values)
+    for name, w in (("7s", 7), ("5m", 300), ("3h", 10_800)):
+        lo = 0
+        for i, end in enumerate(ends):
+            while ends[lo] <= end - w:
+                lo += 1
+            seen = [values[t] for t in ends[lo:i + 1]]
+            assert out[(f"count_{name}", end * 1_000)] == str(len(seen))
+            for k, f in kinds.items():
+                assert float(out[(f"{k.lower()}_{name}", end * 1_000)]) == f(seen)

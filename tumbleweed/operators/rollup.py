@@ -5,8 +5,8 @@ pane's end (A11).  One hash exchange on ``(id, id_type, feature)`` feeds all
 window frames; each key holds at most one row per pane (and sub key), so a
 hot entity is bounded by the time span, not by its event count.
 
-* COUNT, long SUM: differences of two growing frames; double SUM, MAX, MIN:
-  RANGE frames ``(T - w, T]`` on ``pane_end_ms`` (decision D2).
+* COUNT, SUM, MAX, MIN over ``(T - w, T]`` (decision D2): the end of one time
+  block merged with the beginning of the next, both growing frames.
 * ``today``: growing frame within the local day; ``yesterday``: RANGE frame
   ``day - 1`` on the day number.
 * grouped COUNT: per-group islands of presence range-join the entity's active
@@ -70,6 +70,8 @@ def _none(panes: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- numeric
+# Stands for a pane sum that left BIGINT: no window that holds it comes back into range.
+BEYOND_BIGINT = "1" + "0" * 28
 # family -> (spec kinds, field types it covers)
 _FAMILIES = {
     "count": (("count",), (None,)),
@@ -84,18 +86,15 @@ def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str |
     """COUNT (ungrouped), SUM, MAX, MIN over relative and whole-day windows.
 
     One branch per aggregate family; each row evaluates only its own
-    function, once per distinct look-back:
-
-    * COUNT and long SUM: ``S(T) = C(T) - C(T - w)`` with ``C`` the running
-      total -- two growing frames, linear in the panes.  A long SUM runs in
-      DECIMAL, so history outside the window never matters; a window whose
-      own sum leaves BIGINT, or that holds a pane whose sum did, emits NULL
-      (D16);
-    * double SUM, MAX, MIN (over ``struct(long, double)``, so long and double
-      specs share one function): time is cut into blocks of length ``w``; the
-      look-back is the end of one block and the beginning of the next
-      (:func:`_two_blocks`) -- linear, without cancellation, and a busy key is
-      spread over its blocks;
+    function, once per distinct look-back length:
+
+    * look-backs: time is cut into blocks of length ``w``; a look-back is the
+      end of one block and the beginning of the next (:func:`_two_blocks`) --
+      linear, without cancellation, and a busy key is spread over its blocks;
+    * long SUM runs in DECIMAL and emits NULL where the window's sum, or the sum
+      of a pane in it, leaves BIGINT (D16);
+    * MAX / MIN run over ``struct(long, double)``, so long and double specs share
+      one function;
     * ``today``: growing frame within the local day; ``yesterday``: RANGE
       frame over the previous day number.
     """
@@ -123,66 +122,42 @@ def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes):
     params = _spec_params(cs).where(F.col("spec_id").isin(*ids))
     panes = panes.where(F.col("kind").isin(*_FAMILIES[family][0]))
     long_x = F.when(F.col("spec_kind") == "count", F.col("cnt")).otherwise(F.col("num_long"))
-    x = {"count": long_x, "sum_long": long_x.cast("decimal(19,0)"), "sum_double": F.col("num_double")}.get(
-        family, F.struct(long_x.alias("l"), F.col("num_double").alias("d")))
+    # a SUM pane always has a contributing value: a missing sum is one that left BIGINT
+    x = {"count": long_x, "sum_long": F.coalesce(long_x.cast("decimal(38,0)"), F.lit(BEYOND_BIGINT).cast("decimal(38,0)")),
+         "sum_double": F.col("num_double")}.get(family, F.struct(long_x.alias("l"), F.col("num_double").alias("d")))
     p = panes.join(params, ["feature", "id_type"]).select(
         *ENTITY, "spec_id", "field_type", "pane_end_ms", x.alias("x"),
-        # a SUM pane always has a contributing value: a missing sum is one that left BIGINT
-        F.col("num_long").isNull().cast("int").alias("over"),
         local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz).alias("day"),
     )
-    p = p.repartition(*ENTITY)
-    by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
-    agg = {"count": F.sum, "sum_long": F.sum, "sum_double": F.try_sum, "max": F.max, "min": F.min}[family]
-
-    def growing(total: Column, length: int) -> Column:
-        """A total over ``(T - length, T]`` as the difference of two running totals."""
-        now = total.over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        before = total.over(by_time.rangeBetween(Window.unboundedPreceding, -length))
-        return now - F.coalesce(before, F.lit(0))
-
-    def fitting(total: Column, over: Column) -> Column:
-        return F.when(F.coalesce(over, F.lit(0)) == 0, F.coalesce(total, F.lit(0)).try_cast("bigint"))
-
-    def window_value(length: int) -> Column:
-        if family == "count":
-            return growing(agg("x"), length)
-        return fitting(growing(agg("x"), length), growing(F.sum("over"), length))
-
-    def whole_value(frame) -> Column:
-        if family == "sum_long":
-            return fitting(agg("x").over(frame), F.sum("over").over(frame))
-        return agg("x").over(frame)
+    agg = {"count": F.sum, "sum_long": F.try_sum, "sum_double": F.try_sum, "max": F.max, "min": F.min}[family]
 
     whole_frames = {
         "today": Window.partitionBy(*ENTITY, "day").orderBy("pane_end_ms").rowsBetween(
             Window.unboundedPreceding, Window.currentRow),
         "yesterday": Window.partitionBy(*ENTITY).orderBy("day").rangeBetween(-1, -1),
     }
-    blocks = None
-    if family not in ("count", "sum_long") and lengths:
-        blocks, lengths = _two_blocks(p, lengths, agg), []
-    framed = p.select(
-        *ENTITY, "spec_id", "field_type", "pane_end_ms",
-        *[window_value(k).alias(f"_w{k}") for k in lengths],
-        *[whole_value(whole_frames[name]).alias(f"_w_{name}") for name in wholes],
-        *([F.count(F.lit(1)).over(whole_frames["yesterday"]).alias("_n_yesterday")] if "yesterday" in wholes else []),
-    )
     windows = _windows(cs, pane_ms)
-    value = _pick(F.col("window_ms"), {k: F.col(f"_w{k}") for k in lengths})
-    for name in wholes:
-        value = F.when(F.col("whole") == name, F.col(f"_w_{name}")).otherwise(value)
     keep = [*ENTITY, "field_type", "pane_end_ms", "window", "whole"]
-    n_yesterday = F.col("_n_yesterday") if "yesterday" in wholes else F.lit(None).cast("bigint")
+    n_yesterday = F.lit(None).cast("bigint")
     parts = []
-    if blocks is None or wholes:
-        wide = windows if blocks is None else windows.where(F.col("whole").isNotNull())
-        parts.append(framed.join(wide, "spec_id").select(*keep, value.alias("value"), n_yesterday.alias("_n_yesterday")))
-    if blocks is not None:
-        parts.append(blocks.join(windows.where(F.col("whole").isNull()), ["spec_id", "window_ms"])
-                     .select(*keep, "value", F.lit(None).cast("bigint").alias("_n_yesterday")))
+    if lengths:
+        parts.append(_two_blocks(p, lengths, agg).join(windows.where(F.col("whole").isNull()), ["spec_id", "window_ms"])
+                     .select(*keep, "value", n_yesterday.alias("n_yesterday")))
+    if wholes:
+        value = F.lit(None)
+        for name in wholes:
+            value = F.when(F.col("whole") == name, F.col(f"_w_{name}")).otherwise(value)
+            if name == "yesterday":
+                n_yesterday = F.col("_n_yesterday")
+        framed = p.repartition(*ENTITY).select(
+            *ENTITY, "spec_id", "field_type", "pane_end_ms",
+            *[agg("x").over(whole_frames[name]).alias(f"_w_{name}") for name in wholes],
+            *([F.count(F.lit(1)).over(whole_frames["yesterday"]).alias("_n_yesterday")] if "yesterday" in wholes else []),
+        )
+        parts.append(framed.join(windows.where(F.col("whole").isNotNull()), "spec_id")
+                     .select(*keep, value.alias("value"), n_yesterday.alias("n_yesterday")))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    value = F.col("value")
+    value = F.col("value").try_cast("bigint") if family == "sum_long" else F.col("value")
     if family in ("count", "sum_long"):
         long_v, double_v = value, F.lit(None)
     elif family == "sum_double":
@@ -194,7 +169,7 @@ def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes):
     vtype = F.lit("long") if family in ("count", "sum_long") else F.lit("double") if family == "sum_double" else \
         F.when(F.col("field_type") == "double", F.lit("double")).otherwise(F.lit("long"))
     # an empty look-back (yesterday without panes) emits nothing; a sum beyond its type emits NULL
-    some = (F.col("whole").isNull() | (F.col("whole") != "yesterday") | (F.col("_n_yesterday") > 0)) if "yesterday" in wholes else F.lit(True)
+    some = F.col("whole").isNull() | (F.col("whole") != "yesterday") | (F.col("n_yesterday") > 0)
     rows = rows.where(some) if family.startswith("sum") else rows.where(text.isNotNull())
     return _emit(rows, F.concat_ws("_", "feature", "window"), long_v, double_v, text, vtype)
 
@@ -221,7 +196,7 @@ def _two_blocks(p: DataFrame, lengths: list[int], agg) -> DataFrame:
     # backwards in time: the last moved entry seen before T is the first one after it; one exactly at T is outside
     backwards = in_block.orderBy(F.desc("at"), F.desc("own")).rowsBetween(Window.unboundedPreceding, 0)
     both = own.unionByName(moved).withColumn("tail", F.last("tail", ignorenulls=True).over(backwards)).where(F.col("own") == 1)
-    merged = {F.max: F.greatest, F.min: F.least}.get(agg, lambda x, y: x + F.coalesce(y, F.lit(0.0)))
+    merged = {F.max: F.greatest, F.min: F.least}.get(agg, lambda x, y: F.try_add(x, F.coalesce(y, F.lit(0))))
     return both.select(*ENTITY, "spec_id", "window_ms", "field_type", F.col("at").alias("pane_end_ms"), merged(F.col("head"), F.col("tail")).alias("value"))
 
 
