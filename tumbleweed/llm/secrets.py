@@ -8,7 +8,7 @@ split once at its candidates, and only candidates with their neighbourhoods trav
 on.
 
 Features of a candidate: its length; shares of character kinds and of transitions
-between kinds; how many different characters it has; how much of it dictionary
+between kinds; how it begins; how many different characters it has; how much of it dictionary
 words cover; marks of the path (test or example, configuration, code) and of the
 neighbouring words (credential words, an assignment just before, quotes, words
 that name hashes, ids and numbers).
@@ -38,6 +38,8 @@ REDACTED = "[SECRET]"
 
 CREDENTIAL = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|auth|credential|private|bearer|signature)"
 NAMED_OTHERWISE = r"(?i)(sha|md5|hash|commit|checksum|digest|uuid|guid|version|order|invoice|card|example|sample|placeholder)"
+# How keys of well-known services begin.
+KNOWN_PREFIX = r"^(AKIA|ASIA|AIza|gh[pousr]_|github_pat_|glpat-|sk-|sk_live_|xox[abprs]-|eyJ)"
 ASSIGNED = r"([=:]|=>)\s*[\"'`]?$"
 
 #: Transitions counted between neighbouring characters, as pairs of character kinds.
@@ -93,6 +95,7 @@ def features(found: DataFrame, words: DataFrame) -> tuple[DataFrame, list[str]]:
         "f_digits_only": c.rlike("^[0-9]+$").cast("int"),
         "f_letters_only": c.rlike("^[A-Za-z]+$").cast("int"),
         "f_uuid": c.rlike("(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").cast("int"),
+        "f_known_prefix": c.rlike(KNOWN_PREFIX).cast("int"),
         "f_longest_run": F.array_max(F.transform(F.regexp_extract_all(c, F.lit(r"([a-z]+|[A-Z]+|[0-9]+|[_/+=-]+)"), F.lit(1)), F.length)) / n,
         "f_vowel_turns": (_count(c, f"(?={VOWEL}{CONSONANT})") + _count(c, f"(?={CONSONANT}{VOWEL})")) / n,
         "f_repeats": _count(c, r"(?=(.)\1)") / n,

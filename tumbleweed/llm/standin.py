@@ -35,7 +35,8 @@ def labelled_findings(documents: DataFrame, per_kind: int = 400) -> DataFrame:
 
     No given table holds labelled findings.  Contexts are words of the first
     ``per_kind`` documents in the order of hashed ids; values are digests of those
-    ids in the formats named below.  Label 1: values in a credential's place.
+    ids in the formats named below.  Label 1: values in a credential's place, and
+    keys of well-known formats anywhere.
     Label 0: the same kinds of values in other places (commits, checksums, ids,
     card numbers, paths), words, identifiers and placeholders.
     """
@@ -48,7 +49,8 @@ def labelled_findings(documents: DataFrame, per_kind: int = 400) -> DataFrame:
     positive = [(name + sign, kind, sign[-1] if sign[-1] in "\"'" else "", 1)
                 for name, sign in (("token", ' = "'), ("TOKEN", ' = "'), ("api_key", ": "), ("secret", " = '"), ("password", "="),
                                    ("Authorization", ": Bearer "), ("access_key", ' => "'))
-                for kind in ("hex 40", "HEX 40", "code 32", "hex 32", "code 56")]
+                for kind in ("hex 40", "HEX 40", "code 32", "hex 32", "code 56", "hex 18", "code 20")]
+    positive += [(before, kind, "", 1) for kind in ("access key id", "access key letters", "personal token") for before in ("", "", "use ", "key ", '= "')]
     negative = [(before, kind, "", 0) for before, kind in (
         ("commit ", "hex 40"), ("sha256: ", "hex 64"), ("md5 = ", "hex 32"), ("checksum=", "hex 40"), ("uuid ", "uuid"), ("id: ", "uuid"),
         ("card ", "number"), ("", "number"), ("order ", "number"), ("", "words"), ("", "words"), ("", "name"), ("https://", "path"),
@@ -63,7 +65,9 @@ def labelled_findings(documents: DataFrame, per_kind: int = 400) -> DataFrame:
             .withColumn("ws", F.array(*[letters(i) for i in range(4, 8)])))
     piece = lambda at, n: F.substring("hex", at, n)
     code = F.translate(F.base64(F.unhex("hex")), "+/=", "xyz")
-    values = {"hex 32": piece(1, 32), "hex 40": piece(1, 40), "HEX 40": F.upper(piece(1, 40)), "hex 64": piece(1, 64),
+    capitals = F.upper(F.translate(piece(1, 16), "01", "qx"))
+    values = {"hex 18": piece(1, 18), "code 20": F.substring(code, 1, 20), "access key id": F.concat(F.lit("AKIA"), capitals), "access key letters": F.concat(F.lit("AKIA"), F.translate(piece(1, 16), "0123456789abcdef", "GHJKLMNPQRSTUVWX")),
+              "personal token": F.concat(F.lit("ghp_"), F.substring(code, 1, 36)), "hex 32": piece(1, 32), "hex 40": piece(1, 40), "HEX 40": F.upper(piece(1, 40)), "hex 64": piece(1, 64),
               "code 32": F.substring(code, 1, 32), "code 56": F.substring(code, 1, 56),
               "uuid": F.concat_ws("-", piece(1, 8), piece(9, 4), piece(13, 4), piece(17, 4), piece(21, 12)),
               "number": F.concat(F.lit("4"), F.substring(F.translate("hex", "abcdef", ""), 1, 15)),
