@@ -100,3 +100,27 @@ def test_license_edges(spark):
     assert set(got) == brute([r for r in rows if r[0] != 7], licenses.TEMPLATES) | {(7, "MIT")}
     assert got[(1, "MIT")][0] == 1.0 and 0.8 <= got[(2, "MIT")][0] < 1 and got[(7, "MIT")] == (1.0, 200_000) and got[(8, "MIT")] == (1.0, 0)
     assert licenses.scan(df.limit(0), templates).count() == 0 and licenses.scan(df, templates.limit(0)).count() == 0
+
+
+def test_versions_and_phrasings_of_licenses(spark):
+    gnu = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} License as published by the Free Software "
+           "Foundation; either version {} of the License, or (at your option) any later version.")
+    bsd2 = licenses.BSD_TERMS + " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS"
+    bsd3 = licenses.BSD_TERMS + " * " + licenses.BSD_NAMES + " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS"
+    isc = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+    cases = [("Licensed under the MIT License.", {"MIT"}), ("Licensed under the Apache License 2.0", {"Apache-2.0"}),
+             (gnu.format("program", "General Public", "2"), {"GPL-2.0"}), (gnu.format("program", "General Public", "3"), {"GPL-3.0"}),
+             (gnu.format("program", "Affero General Public", "3"), {"AGPL-3.0"}), (gnu.format("library", "Lesser General Public", "2.1"), {"LGPL-2.1"}),
+             (gnu.format("library", "Lesser General Public", "3"), {"LGPL-3.0"}), (bsd2, {"BSD-2-Clause"}), (bsd3, {"BSD-3-Clause"}),
+             ("made available under the terms of the Eclipse Public License v2.0", {"EPL-2.0"}),
+             ("the author has waived all copyright and related or neighboring rights to this work", {"CC0-1.0"}),
+             ("it is distributed under the zlib license", {"Zlib"}), (isc + ".", {"0BSD"}),
+             (isc + ", provided that the above copyright notice and this permission notice appear in all copies.", {"ISC"}),
+             ("licensed under the Apache License, Version 2.0 or released under the MIT license", {"Apache-2.0", "MIT"}),
+             ("the GNU General Public License version 2 or the GNU General Public License version 3", {"GPL-2.0", "GPL-3.0"}),
+             ("// SPDX-License-Identifier: GPL-2.0-only", {"GPL-2.0"}), ("licensed under CC BY-SA 3.0", {"CC-BY-SA-3.0"})]
+    df = documents(spark, [(i, f"some words before. {t} some words after") for i, (t, _) in enumerate(cases)])
+    got = {i: set() for i in range(len(cases))}
+    for r in licenses.scan(df, spark.createDataFrame(licenses.TEMPLATES, "license string, text string")).collect():
+        got[r["doc_id"]].add(r["license"])
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
