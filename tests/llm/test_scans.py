@@ -124,3 +124,15 @@ def test_versions_and_phrasings_of_licenses(spark):
     for r in licenses.scan(df, spark.createDataFrame(licenses.TEMPLATES, "license string, text string")).collect():
         got[r["doc_id"]].add(r["license"])
     assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
+def test_passwords_and_keys_after_other_scripts_are_candidates(spark):
+    texts = ['password="hunter2hunter2"', 'password = "Tr0ub4dor&3!x"', "postgres://app:s3cr3tPa55@db", f"密钥{HEX}密钥"]
+    got = {r["doc_id"]: r["candidate"] for r in secrets.candidates(documents(spark, list(enumerate(texts)))).collect()}
+    assert got == {0: "hunter2hunter2", 1: "Tr0ub4dor&3!x", 2: "s3cr3tPa55", 3: HEX}
+
+
+def test_short_passwords_are_redacted(spark, forest):
+    rows = [(0, 'a password="hunter2hunter2" b'), (1, 'a password = "Tr0ub4dor&3!x" b'), (2, "a postgres://app:s3cr3tPa55@db b")]
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(documents(spark, rows), forest).collect()}
+    assert got == {0: 'a password="[SECRET]" b', 1: 'a password = "[SECRET]" b', 2: "a postgres://app:[SECRET]@db b"}

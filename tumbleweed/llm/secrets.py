@@ -1,11 +1,16 @@
 r"""Secret scan: candidates from a pattern, false positives removed by a random forest.
 
-A candidate is a maximal run of at least ``MIN_LENGTH`` characters of
-``[A-Za-z0-9_/+-]``, with up to two ``=`` after it, that no other letter or digit
-touches.  The text between two
-candidates gives the neighbouring words.  All of it is SQL expressions: a text is
-split once at its candidates, and only candidates with their neighbourhoods travel
-on.
+A candidate is one of
+
+* what follows a credential word and an assignment (``password = "..."``), 8 or more
+  characters without spaces or quotes;
+* the password of ``user:password@`` in an address;
+* a maximal run of at least ``MIN_LENGTH`` characters of ``[A-Za-z0-9_/+-]``, with up
+  to two ``=`` after it, that no other Latin letter or digit touches.
+
+The ``NEAR`` characters of the text on each side of it, other candidates included,
+are its neighbourhood.  All of it is SQL expressions: a text is split once at its
+candidates, and only candidates with their neighbourhoods travel on.
 
 Features of a candidate: its length; shares of character kinds and of transitions
 between kinds; how it begins; how many different characters it has; how much of it dictionary
@@ -32,7 +37,20 @@ from pyspark.sql import functions as F
 from tumbleweed.llm.common import computed, cut, quoted
 
 MIN_LENGTH = 16
-CANDIDATE = r"(?<![\p{L}\p{N}_/+-])[A-Za-z0-9_/+-]{16,}+={0,2}+(?![\p{L}\p{N}_/+-])"
+ASSIGNED_LENGTH = 8
+# what ends just before an assigned value: a credential word with the rest of its name, then the sign
+NAMES = r"(?i:token|secret|passw(?:or)?d|passwd|passphrase|pwd|api[_-]?key|access[_-]?key|credentials?|private[_-]?key)"
+PLACE = NAMES + r"[A-Za-z0-9_-]{0,32}[\"'`]?[ \t]{0,8}(?:=>|:=|[=:])[ \t]{0,8}"
+# the short look-behinds come first: most places of a text fail there
+SIGN = r"(?<=[=:> \t\"'`])(?<=[=:>][ \t]{0,8}[\"'`]?)"
+# a value in quotes goes up to the closing quote; a bare one ends before closing marks
+QUOTED_VALUE = rf"(?<=[\"'`]){SIGN}(?<={PLACE}[\"'`])[^\s\"'`]{{{ASSIGNED_LENGTH},}}+"
+BARE_VALUE = rf"{SIGN}(?<={PLACE})(?![=:>])[^\s\"'`]{{{ASSIGNED_LENGTH - 1},}}[^\s\"'`,;.)\]}}>]"
+IN_ADDRESS = r"(?<=:)(?<=://[^\s/:@\"'`]{0,64}:)[^\s/@\"'`]++(?=@)"
+# a letter of another script may touch a run (text without spaces), a Latin one makes it part of a word
+TOUCHES = r"A-Za-z0-9_/+\u00AA\u00BA\u00C0-\u024F\u1E00-\u1EFF-"
+RUN = rf"(?<![{TOUCHES}])[A-Za-z0-9_/+-]{{{MIN_LENGTH},}}+={{0,2}}+(?![{TOUCHES}])"
+CANDIDATE = f"(?:{IN_ADDRESS}|{QUOTED_VALUE}|{BARE_VALUE}|{RUN})"
 NEAR = 48
 REDACTED = "[SECRET]"
 
@@ -60,10 +78,15 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
                          lambda c, g: F.struct(c.alias("c"), g.alias("g")))
     starts = F.aggregate(lengths, zero, lambda acc, x: F.struct(
         (acc["at"] + x["g"] + x["c"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"] + x["g"])).alias("starts")), lambda acc: acc["starts"])
+    # a gap and its candidate are six characters or more: so many of them hold the neighbourhood
+    n = NEAR // 6
+    tails = F.transform("c", lambda c, i: F.right(F.concat(F.get("gap", i), c), F.lit(NEAR)))
+    heads = F.transform("c", lambda c, i: F.left(F.concat(c, F.get("gap", i + 1)), F.lit(NEAR)))
     rows = F.transform("c", lambda c, i: F.struct(
         c.alias("candidate"), F.get("starts", i).alias("start"),
-        F.right(F.get("gap", i), F.lit(NEAR)).alias("before"), F.left(F.get("gap", i + 1), F.lit(NEAR)).alias("after")))
-    return (found.withColumn("starts", starts).withColumn("row", F.explode(rows))
+        F.right(F.concat(F.array_join(F.slice("tails", F.greatest(i + 1 - n, F.lit(1)), F.least(i, F.lit(n))), ""), F.get("gap", i)), F.lit(NEAR)).alias("before"),
+        F.left(F.concat(F.get("gap", i + 1), F.array_join(F.slice("heads", i + 2, F.lit(n)), "")), F.lit(NEAR)).alias("after")))
+    return (found.withColumn("starts", starts).withColumn("tails", tails).withColumn("heads", heads).withColumn("row", F.explode(rows))
             .select("doc_id", "text_hash", "path", "row.start", "row.candidate", "row.before", "row.after"))
 
 
@@ -96,20 +119,24 @@ def features(found: DataFrame, words: DataFrame) -> tuple[DataFrame, list[str]]:
         "f_letters_only": c.rlike("^[A-Za-z]+$").cast("int"),
         "f_uuid": c.rlike("(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").cast("int"),
         "f_known_prefix": c.rlike(KNOWN_PREFIX).cast("int"),
-        "f_longest_run": F.array_max(F.transform(F.regexp_extract_all(c, F.lit(r"([a-z]+|[A-Z]+|[0-9]+|[_/+=-]+)"), F.lit(1)), F.length)) / n,
+        "f_longest_run": F.array_max(F.transform(F.regexp_extract_all(c, F.lit(r"([a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+)"), F.lit(1)), F.length)) / n,
         "f_vowel_turns": (_count(c, f"(?={VOWEL}{CONSONANT})") + _count(c, f"(?={CONSONANT}{VOWEL})")) / n,
         "f_repeats": _count(c, r"(?=(.)\1)") / n,
         "f_covered": F.coalesce(F.col("covered"), F.lit(0)) / n,
     }
+    own["f_other"] = _count(c, "[^A-Za-z0-9_/+=-]") / n
+    own["f_code"] = c.rlike(r"[(){}<>$\[\]]|\*{4}").cast("int")
     own |= {f"f_{k}": _count(c, p) / n for k, p in KINDS.items()}
     own |= {f"f_{a}_{b}": _count(c, f"(?={p}{q})") / n for a, p in KINDS.items() for b, q in KINDS.items() if a != b and "mark" not in (a, b)}
     per_candidate = distinct.join(runs, "candidate", "left").select("candidate", *[v.cast("double").alias(k) for k, v in own.items()])
     around = {
         "f_credential": F.col("before").rlike(CREDENTIAL),
+        "f_placed": F.col("before").rlike(PLACE + "[\"'`]?$"),
         "f_assigned": F.col("before").rlike(ASSIGNED),
         "f_quoted": F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]"),
         "f_named_otherwise": F.col("before").rlike(NAMED_OTHERWISE) | c.rlike(NAMED_OTHERWISE),
         "f_in_address": F.col("before").rlike(r"[./:@]$"),
+        "f_address_password": F.col("before").rlike(r"://[^\s/:@]*:$") & F.col("after").rlike("^@"),
         "f_path_test": F.col("path").rlike("(?i)(test|example|sample|fixture|mock|doc)"),
         "f_path_config": F.col("path").rlike(r"(?i)(\.(env|ya?ml|json|ini|cfg|conf|toml|properties)$|config|settings)"),
         "f_path_code": F.col("path").rlike(r"(?i)\.(py|js|ts|java|go|rb|c|cc|cpp|rs|php|sh)$"),
@@ -160,12 +187,22 @@ def redact(docs: DataFrame, forest: Forest, doc_id: str = "doc_id", text: str =
 
     Secrets are gathered per distinct text, so what a group holds is bounded by that text.
     """
+    place = F.struct("start", F.length("candidate").alias("n"))
     hits = (scan(docs, forest, doc_id, text, path).where("is_secret")
             .groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-            .agg(F.array_sort(F.collect_set("candidate"), lambda a, b: F.length(b) - F.length(a)).alias("__secrets")))
+            .agg(F.array_sort(F.collect_set("candidate"), lambda a, b: F.length(b) - F.length(a)).alias("__secrets"), F.array_sort(F.collect_set(place)).alias("__places")))
     joined = docs.withColumn("__own_hash", F.xxhash64(quoted(text).cast("string"))).join(
         hits, quoted(doc_id).eqNullSafe(F.col("__id")) & (F.col("__own_hash") == F.col("__hash")), "left")
-    clean = F.when(F.col("__secrets").isNotNull(), F.aggregate("__secrets", quoted(text), lambda t, s: F.replace(t, s, F.lit(REDACTED)))).otherwise(quoted(text))
+    # every secret in its place; a long one also wherever else it stands (a short one may be part of a word)
+    t = quoted(text)
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    replaced = F.aggregate("__places", zero, lambda acc, x: F.struct(
+        (x["start"] + x["n"]).alias("at"), F.concat(acc["out"], F.substring(t, acc["at"] + 1, x["start"] - acc["at"]), F.lit(REDACTED)).alias("out")),
+        lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
+    long = F.filter("__secrets", lambda x: F.length(x) >= MIN_LENGTH)
+    clean = F.when(F.col("__secrets").isNotNull(), F.aggregate(long, replaced, lambda acc, x: F.replace(acc, x, F.lit(REDACTED)))).otherwise(t)
+    joined = joined.withColumn("__clean", computed(clean))
+    clean = F.col("__clean")
     columns = [clean.alias(c) if c == text else F.when(F.col("__secrets").isNotNull(), F.length(clean).cast(dict(docs.dtypes)[c])).otherwise(quoted(c)).alias(c)
                if c == size else quoted(c) for c in docs.columns]
     return joined.select(*columns)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tumbleweed.llm.common import cut
+from tumbleweed.llm.secrets import candidates
+
 
 def chat_records(conversations: DataFrame) -> DataFrame:
     """One JSON record per conversation, in one of four layouts.
@@ -51,7 +54,15 @@ def labelled_findings(documents: DataFrame, per_kind: int = 400) -> DataFrame:
                                    ("Authorization", ": Bearer "), ("access_key", ' => "'))
                 for kind in ("hex 40", "HEX 40", "code 32", "hex 32", "code 56", "hex 18", "code 20")]
     positive += [(before, kind, "", 1) for kind in ("access key id", "access key letters", "personal token") for before in ("", "", "use ", "key ", '= "')]
-    negative = [(before, kind, "", 0) for before, kind in (
+    signs = ((' = "', '"'), (": ", ""), ("=", ""), ('": "', '"'))
+    positive += [(name + sign, kind, close, 1) for name in ("aws_secret_access_key", "github_access_token", "GITHUB_CLIENT_SECRET_TOKEN", "database_password")
+                 for sign, close in signs for kind in ("hex 40", "code 32", "code 20", "hex 32")]
+    short = ("password 10", "password 14", "password marks", "password words")
+    positive += [(name + sign, kind, close, 1) for name in ("password", "db_password", "secret", "PASSWD") for sign, close in signs for kind in short]
+    positive += [(scheme, kind, "@db/x", 1) for scheme in ("postgres://app:", "https://user:", "amqp://svc:") for kind in short]
+    negative = [(name + sign, kind, close, 0) for name in ("password", "token", "secret", "api_key") for sign, close in signs
+                for kind in ("long word", "call", "variable", "********")]
+    negative += [(before, kind, "", 0) for before, kind in (
         ("commit ", "hex 40"), ("sha256: ", "hex 64"), ("md5 = ", "hex 32"), ("checksum=", "hex 40"), ("uuid ", "uuid"), ("id: ", "uuid"),
         ("card ", "number"), ("", "number"), ("order ", "number"), ("", "words"), ("", "words"), ("", "name"), ("https://", "path"),
         ('token = "', "xxxxxxxxxxxxxxxxxxxxxxxx"), ("password = ", "your-password-goes-here"), ("api_key: ", "name"),
@@ -71,12 +82,24 @@ def labelled_findings(documents: DataFrame, per_kind: int = 400) -> DataFrame:
               "code 32": F.substring(code, 1, 32), "code 56": F.substring(code, 1, 56),
               "uuid": F.concat_ws("-", piece(1, 8), piece(9, 4), piece(13, 4), piece(17, 4), piece(21, 12)),
               "number": F.concat(F.lit("4"), F.substring(F.translate("hex", "abcdef", ""), 1, 15)),
+              "password 10": F.substring(code, 1, 10), "password 14": F.substring(code, 3, 14),
+              "password marks": F.concat(F.substring(code, 1, 5), F.lit("&"), F.substring(code, 7, 3), F.lit("!"), F.substring(code, 11, 2)),
+              "password words": F.concat(F.lower(letters(4)), F.substring(F.translate("hex", "abcdef", ""), 1, 1), F.lower(letters(5)), F.substring(F.translate("hex", "abcdef", ""), 2, 2)),
+              "long word": F.lower(F.concat(letters(4), letters(5))), "call": F.concat(letters(4), F.lit("."), letters(5), F.lit("(request)")),
+              "variable": F.concat(F.lit("${"), F.upper(F.array_join("ws", "_")), F.lit("}")),
               "words": F.array_join("ws", ""), "name": F.array_join("ws", "_"), "path": F.array_join("ws", "/")}
     value = F.col("kind")
     for kind, v in values.items():
         value = F.when(F.col("kind") == kind, v).otherwise(value)
     paths = F.array(*[F.lit(p) for p in ("src/app.py", "config/settings.yaml", "docs/page", "web", "")])
-    return rows.select(value.alias("candidate"), F.concat(word(0), F.lit(" "), word(1), F.lit(" "), F.col("name")).alias("before"),
-                       F.concat(F.col("close"), F.lit(" "), word(2)).alias("after"),
-                       F.get(paths, F.pmod(F.xxhash64("doc_id", "k", F.lit(3)), F.lit(5)).cast("int")).alias("path"),
-                       "label").where("length(candidate) >= 16")
+    texts = rows.select(F.struct("doc_id", "k").alias("key"), value.alias("value"), F.concat(word(0), F.lit(" "), word(1), F.lit(" "), F.col("name")).alias("before"),
+                        F.concat(F.col("close"), F.lit(" "), word(2)).alias("after"),
+                        F.get(paths, F.pmod(F.xxhash64("doc_id", "k", F.lit(3)), F.lit(5)).cast("int")).alias("path"), "label")
+    texts = cut(texts)  # else every use of the value works it out anew
+    texts = texts.select(F.struct("key", F.length("before").alias("at"), F.length("value").alias("n"), "label").alias("id"),
+                         F.concat("before", "value", "after").alias("text"), "path")
+    # the value, or what the pattern takes of it, has the label; a candidate beside it is no secret
+    found = candidates(texts, "id", "text", "path")
+    at, end = F.col("doc_id.at"), F.col("doc_id.at") + F.col("doc_id.n")
+    inside = (F.col("start") < end) & (F.col("start") + F.length("candidate") > at)
+    return found.select("candidate", "before", "after", "path", F.when(inside, F.col("doc_id.label")).otherwise(0).alias("label"))
