@@ -136,3 +136,11 @@ def test_short_passwords_are_redacted(spark, forest):
     rows = [(0, 'a password="hunter2hunter2" b'), (1, 'a password = "Tr0ub4dor&3!x" b'), (2, "a postgres://app:s3cr3tPa55@db b")]
     got = {r["doc_id"]: r["text"] for r in secrets.redact(documents(spark, rows), forest).collect()}
     assert got == {0: 'a password="[SECRET]" b', 1: 'a password = "[SECRET]" b', 2: "a postgres://app:[SECRET]@db b"}
+
+
+def test_long_key_names_stay_in_the_neighbourhood(spark, forest):
+    rows = [(0, f'aws_secret_access_key = "{HEX}"'), (1, f"github_access_token: {HEX}"), (2, f"checksum of the file {HEX}")]
+    df = documents(spark, rows)
+    before = {r["doc_id"]: r["before"] for r in secrets.candidates(df).collect() if r["candidate"] == HEX}
+    assert before[0] == 'aws_secret_access_key = "' and before[1] == "github_access_token: "
+    assert {r["doc_id"] for r in secrets.scan(df, forest).collect() if r["is_secret"] and r["candidate"] == HEX} == {0, 1}
