@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tumbleweed.llm import ann, chat, licenses, neardup, packing, pieces, quality, secrets, standin, topk, urls
+from tumbleweed.llm import alignment, ann, chat, lexical, licenses, neardup, packing, pieces, quality, secrets, standin, topk, urls, wrappers
 from tumbleweed.llm.common import table
+from tumbleweed.session import scratch_path
 
 
 def op1_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,6 +131,47 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), templates)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id,
+                  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE item_id IS NOT NULL),
+stats AS (SELECT count(*)::BIGINT AS N, sum(len(terms))::BIGINT AS L FROM d WHERE len(terms) > 0),
+tf AS (SELECT row_id, doc_id, term, count(*)::BIGINT AS tf FROM (SELECT row_id, doc_id, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, stats GROUP BY term, N),
+m AS (SELECT row_id, 100 - 90 + (90 * len(terms)::BIGINT * N) // L AS m FROM d, stats WHERE len(terms) > 0),
+scored AS (SELECT i.item_id, tf.doc_id, tf.row_id, sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * m.m)))::BIGINT AS score
+           FROM i JOIN tf ON i.term = tf.term JOIN w ON w.term = tf.term JOIN m ON m.row_id = tf.row_id
+           WHERE tf.doc_id IS NOT NULL GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = wrappers.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizations of every text, with the corpus-wide counts of the linked ids."""
+    done = alignment.align(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    path = scratch_path(spark, "aligned")
+    (done.withColumn("groups_sha256", digest).drop("groups").withColumn("row_id", F.monotonically_increasing_id())
+     .write.parquet(path))
+    aligned = spark.read.parquet(path)
+    return alignment.count_links(aligned, alignment.link_counts(aligned), "row_id").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     "op1_ann_search": op1_ann_search,
     "op2_topk_search": op2_topk_search,
@@ -141,10 +183,14 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_chat_format": op9_chat_format,
     "op10_license_scan": op10_license_scan,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_html_text": op12_html_text,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES = {
     "op2_topk_search": OP2_SQL,
     "op8_url_filter": OP8_SQL,
     "op9_chat_format": OP9_SQL,
+    "op11_lexical_search": OP11_SQL,
 }
