@@ -3,7 +3,7 @@
 import json
 import random
 
-from conftest import event, features, spec
+from feature_helpers import event, features, spec
 
 MIN = 60_000
 BASE = 1_704_067_200_000

@@ -1,6 +1,6 @@
 """One bad spec, value, clock or id never touches the others."""
 
-from conftest import as_dict, event, features, make_records, spec
+from feature_helpers import as_dict, event, features, make_records, spec
 
 from tumbleweed.plans.compile import compile_specs
 from tumbleweed.plans.job import FeatureJob

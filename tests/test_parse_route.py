@@ -4,7 +4,7 @@ from tumbleweed.functions.fields import field_value
 from tumbleweed.operators.fanout import fan_out
 from tumbleweed.sources.events import parse_events
 
-from conftest import event, features, make_records, spec
+from feature_helpers import event, features, make_records, spec
 
 
 def test_nested_path_f1(spark):

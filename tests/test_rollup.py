@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import as_dict, event, features, spec
+from feature_helpers import as_dict, event, features, spec
 
 MIN, HOUR = 60_000, 3_600_000
 T = 1_704_067_200_000 + 10 * HOUR   # a pane end (2024-01-01 10:00 UTC)

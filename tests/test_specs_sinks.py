@@ -6,7 +6,7 @@ from tumbleweed.plans.compile import compile_specs
 from tumbleweed.plans.job import FeatureJob
 from tumbleweed.sources.specs import specs_from_json
 
-from conftest import event, make_records, spec
+from feature_helpers import event, make_records, spec
 
 
 def test_validation_isolates_bad_specs(spark):
@@ -27,6 +27,24 @@ def test_other_rules(spark):
                       4: "capacity must be >= 1", 5: "empty typeConfig"}
 
 
+def test_an_invalid_namesake_takes_nothing_down(spark):
+    specs = [{**spec(1, "MEDIAN", "c")}, spec(2, "COUNT", "c"), spec(3, "COUNT", "c"), spec(2, "COUNT", "other"), spec(4, "COUNT", "c", id_type="targetUid")]
+    job = FeatureJob(specs_from_json(spark, specs), materialize=False)
+    assert {(r.spec_id, r.error) for r in job.compiled.validation.collect()} == {
+        (1, "unknown kind: median"), (2, "duplicate id"), (3, "duplicate featureNamePrefix for idType")}
+    rows = job.features(make_records(spark, [event("u", 30_000)])).collect()
+    assert [(r.feature_name, r.value_long) for r in rows] == [("c_10m", 1)]
+
+
+def test_sink_types_without_writer_are_reported(spark):
+    s = spec(1, "COUNT", "c")
+    s["sinks"] = [{"type": "kafka", "fields": {}}, {"type": "hbase", "fields": {"c_10m": {"table": "t", "ttl": 0, "rename": "n"}}}, {"type": None, "fields": {}}]
+    job = FeatureJob(specs_from_json(spark, [s]), materialize=False)
+    assert {(r.spec_id, r.error) for r in job.compiled.validation.collect()} == {(1, "no writer for sink type: kafka"), (1, "no writer for sink type: null")}
+    cells = serving_cells(job.features(make_records(spark, [event("u", 30_000)])), job.compiled)
+    assert [r.column for r in cells.collect()] == ["n"]
+
+
 def test_sinks(spark):
     s = spec(1, "COUNT", "c", windows=("10m", "3h"))
     s["sinks"] = [{"type": "HBase", "fields": {"c_10m": {"table": "t", "ttl": 60, "rename": "cnt"},

@@ -13,7 +13,7 @@ from tumbleweed.sources.records import RECORD_SCHEMA
 from tumbleweed.sources.specs import specs_from_json
 from tumbleweed.streaming.job import StreamPaths, read_outputs, start_feature_stream
 
-from conftest import event, spec
+from feature_helpers import event, spec
 
 MIN = 60_000
 
@@ -83,7 +83,7 @@ def test_spec_refresher_restarts_only_on_change(spark):
 
 def test_replayed_batches_leave_nothing_twice(spark):
     """Every output of a batch is replaced when the batch is replayed (T5); sinks are written by type."""
-    from conftest import make_records
+    from feature_helpers import make_records
     from tumbleweed.operators.panes import pane_partials
     from tumbleweed.operators.route import route_windowed
     from tumbleweed.streaming.job import AtomBatchWriter, FeatureBatchWriter

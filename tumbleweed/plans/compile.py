@@ -236,11 +236,6 @@ def compile_specs(specs: DataFrame) -> CompiledSpecs:
     spark = specs.sparkSession
     parsed = [_normalise(r) for r in specs.collect()]
 
-    # D3: one spec per (prefix, id type) -- the lowest id keeps it
-    first_owner: dict[tuple, int] = {}
-    for sp in sorted(parsed, key=lambda x: (x["spec_id"] is None, x["spec_id"] or 0)):
-        first_owner.setdefault((sp["feature"], sp["id_type"]), sp["spec_id"])
-
     def texts_of(sp: dict) -> list[str]:
         return [t for t in (sp["field"], sp["group_by"], sp["time_field"], *(f["sourceField"] for f in sp["atom_fields"]))
                 if not _is_blank(t)]
@@ -248,17 +243,23 @@ def compile_specs(specs: DataFrame) -> CompiledSpecs:
     expressions, unresolved = compile_expressions(spark, {t for sp in parsed for t in texts_of(sp)})
 
     validation, valid = [], []
-    for sp in parsed:
+    owner: dict[tuple, int] = {}
+    ids: set[int] = set()
+    for sp in sorted(parsed, key=lambda x: (x["spec_id"] is None, x["spec_id"] or 0)):
         errs = [f"bad expression: {t}" for t in texts_of(sp) if t in unresolved]
         err = _spec_error(sp)
-        if err is None and first_owner[(sp["feature"], sp["id_type"])] != sp["spec_id"]:
-            err = "duplicate featureNamePrefix for idType"
         if err is not None:
             errs.append(err)
         errs += _window_errors(sp)
+        # D3: one spec per (prefix, id type) -- the lowest id among the valid ones keeps it
+        if not errs and owner.setdefault((sp["feature"], sp["id_type"]), sp["spec_id"]) != sp["spec_id"]:
+            errs.append("duplicate featureNamePrefix for idType")
+        if not errs and sp["spec_id"] in ids:
+            errs.append("duplicate id")
         if errs:
             validation.append((sp["spec_id"], sp["feature"], "; ".join(sorted(set(errs)))))
         else:
+            ids.add(sp["spec_id"])
             valid.append(sp)
 
     spec_rows, window_rows, route_rows, atom_rows, sink_rows = [], set(), set(), [], {}
@@ -288,6 +289,8 @@ def compile_specs(specs: DataFrame) -> CompiledSpecs:
                     atom_rows.append((sid, sp["feature"], f["sourceField"], name))
         for sink in sp["sinks"]:
             sink_type = sink["type"].lower() if sink["type"] is not None else None
+            if sink_type not in CELL_SINK_TYPES:  # O5: the spec runs, this sink takes nothing
+                validation.append((sid, sp["feature"], f"no writer for sink type: {sink_type if sink_type is not None else 'null'}"))
             for feature_name, m in (sink["fields"] or {}).items():
                 ttl = m["ttl"]
                 row = (feature_name, sink_type, m["table"], ttl * 1000 if ttl is not None and ttl > 0 else None,
