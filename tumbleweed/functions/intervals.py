@@ -28,3 +28,17 @@ def parse_interval_ms(text: str | None) -> int | None:
         return None
     n = int(m.group(1))
     return n * UNIT_MS[m.group(2)] if n > 0 else None
+
+
+def duration_ms(value: str | int) -> int:
+    """Milliseconds of a number, of ``'10m'``, or of a phrase such as ``'1 minute'`` or ``'90 seconds'``."""
+    if isinstance(value, int):
+        return value
+    number, _, unit = value.strip().partition(" ")
+    short = {"second": "s", "minute": "m", "hour": "h", "day": "d"}.get(unit.strip().rstrip("s"))
+    found = parse_interval_ms(number + short if short else value)
+    if found is None:
+        if number == "0":
+            return 0
+        raise ValueError(f"not a duration: {value!r}")
+    return found

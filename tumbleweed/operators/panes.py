@@ -30,6 +30,11 @@ PANE_SCHEMA = ("id string, id_type string, feature string, kind string, sub_key
                f"pane_end_ms bigint, cnt bigint, num_long bigint, num_double double, items {ITEM_TYPE}, "
                "latest_value string, latest_ms bigint")
 
+#: Partials as :func:`pane_partials` makes them (the stream keeps them in a table).
+PARTIAL_SCHEMA = ("id string, id_type string, feature string, kind string, sub_key string, cadence_ms bigint, "
+                  "pane_end_ms bigint, _v string, _t bigint, cnt bigint, _sum_l bigint, _max_l bigint, _min_l bigint, "
+                  "_sum_d double, _max_d double, _min_d double, item_ms bigint, capacity int")
+
 
 def _contributing(routed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Apply the per-kind null / parse rules (P13, D11) and derive the sub key."""
@@ -92,6 +97,31 @@ def pane_partials(routed: DataFrame) -> DataFrame:
     return rows.groupBy(*PANE_KEYS, *_partial_keys(rows)).agg(*_partial_aggs())
 
 
+def combine_partials(partials: DataFrame) -> DataFrame:
+    """Partials of the same (pane, entry) merged into one: the associative combine of every kind.
+
+    Sums add up (a long sum that left its type stays lost), counts add up,
+    extremes and times take their extremes; entries are part of the key.
+    """
+    lost = (F.col("kind") == "sum") & F.col("_sum_l").isNull() & F.col("_sum_d").isNull()
+    total = F.when(~F.max(lost), F.try_sum("_sum_l"))
+    return partials.groupBy(*PANE_KEYS, "_v", "_t").agg(
+        F.sum("cnt").alias("cnt"), total.alias("_sum_l"), F.max("_max_l").alias("_max_l"), F.min("_min_l").alias("_min_l"),
+        F.try_sum("_sum_d").alias("_sum_d"), F.max("_max_d").alias("_max_d"), F.min("_min_d").alias("_min_d"),
+        F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity"))
+
+
+def coarser_partials(partials: DataFrame, cadences: DataFrame) -> DataFrame:
+    """Base-cadence partials placed in the panes of every cadence their feature has.
+
+    ``cadences`` holds ``(feature, id_type, cadence_ms)``; every cadence is a
+    multiple of the base.  Not combined yet, so that panes can be chosen first.
+    """
+    placed = partials.drop("cadence_ms").join(cadences, ["feature", "id_type"])
+    width = F.col("cadence_ms")
+    return placed.withColumn("pane_end_ms", (F.ceil(F.col("pane_end_ms") / width) * width).cast("bigint"))
+
+
 def pane_partials_streaming(routed: DataFrame, pane_ms: int) -> DataFrame:
     """The same partials as a stateful streaming aggregation.
 

@@ -18,14 +18,15 @@ from tumbleweed.plans.compile import CompiledSpecs, literal_table, spec_broadcas
 ROUTE_KEYS = ["biz_type", "event_type", "target_type", "id_type"]
 
 
-def route_windowed(fanned: DataFrame, cs: CompiledSpecs, *cadences: int) -> DataFrame:
+def route_windowed(fanned: DataFrame, cs: CompiledSpecs, *cadences: int, as_cadence: int | None = None) -> DataFrame:
     """Routed long rows for the windowed kinds at these pane cadences.
 
     Output: ``id, id_type, feature, kind, spec_id, cadence_ms, event_ms, val, grp,
     item_ms`` plus the spec parameters used by the pane build.  A spec routed at
-    several cadences gives a row for each, from one scan.
+    several cadences gives a row for each, from one scan; with ``as_cadence`` it
+    gives one row, at that cadence.
     """
-    table = spec_broadcast(cs.route_table(list(cadences)), len(cs.rows["routes"]))
+    table = spec_broadcast(cs.route_table(list(cadences), as_cadence), len(cs.rows["routes"]))
     joined = fanned.where(F.col("event_ms").isNotNull()).join(table, ROUTE_KEYS)
     ev = cs.expressions
     with lenient(fanned.sparkSession):

@@ -22,13 +22,16 @@ def serving_cells(features: DataFrame, cs: CompiledSpecs) -> DataFrame:
     )
 
 
-def cell_snapshot(cells: DataFrame, as_of_ms=None) -> DataFrame:
+def cell_snapshot(cells: DataFrame, as_of_ms=None, version: str | None = None) -> DataFrame:
     """Newest version of each cell (O2); TTL applied when ``as_of_ms`` is given (O3).
 
-    ``groupBy`` with partial aggregation: a hot cell ships one partial per task.
+    ``version`` names a column (the stream's ``batch_id``) that tells which of
+    two cells of one time was written later.  ``groupBy`` with partial
+    aggregation: a hot cell ships one partial per task.
     """
+    order = ["ts", *([version] if version else []), "value"]
     snap = cells.groupBy("table", "row_key", "column").agg(
-        F.max_by(F.struct("value", "ttl_ms"), F.struct("ts", "value")).alias("v"),
+        F.max_by(F.struct("value", "ttl_ms"), F.struct(*order)).alias("v"),
         F.max("ts").alias("ts"),
     ).select("table", "row_key", "column", "ts", F.col("v.value").alias("value"),
              F.col("v.ttl_ms").alias("ttl_ms"),

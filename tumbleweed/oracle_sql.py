@@ -463,9 +463,10 @@ STREAM_RECENT = _stream_recent()
 
 
 def _stream_all() -> str:
-    """Every one-minute feature of a closed pane, and every atom."""
-    parts = _all_parts()
-    id_types = ["uid"] * (len(parts) - 2) + ["targetUid", "anchorUid"]
+    """Every feature of a closed pane of any cadence, and every atom."""
+    minute = _all_parts()
+    parts = minute + _OTHER_CADENCES
+    id_types = ["uid"] * (len(minute) - 2) + ["targetUid", "anchorUid"] + ["uid"] * len(_OTHER_CADENCES)
     windowed = _union(*[f"SELECT '{t}' AS id_type, * FROM ({s})" for (_, s), t in zip(parts, id_types)],
                       f"SELECT 'uid' AS id_type, {_out(name=repr('last_type'), ts='pe', vt='event_type')} FROM lt WHERE rn = 1")
     columns = "id, id_type, feature_name, ts, value_long, round(value_double, 2) AS value_double, value_text"
@@ -477,6 +478,47 @@ def _stream_all() -> str:
 STREAM_ALL_FEATURES = _stream_all()
 
 
+# panes inside their retention as of the last watermark
+_LAST_MARK = f"(SELECT max(event_ms) - {_STREAM_DELAY} FROM ev)"
+STREAM_RETENTION = _with(EV, "p AS (" + _union(
+    f"SELECT uid AS id, 'uid' AS id_type, 'evt_cnt' AS feature, '' AS sub_key, {_pane('event_ms')} AS pane_end_ms, "
+    f"count(*) AS cnt, CAST(NULL AS BIGINT) AS num_long, {2 * DAY} AS keep FROM ev GROUP BY ALL",
+    f"SELECT uid, 'uid', 'type_cnt', event_type, {_pane('event_ms')}, count(*), NULL, {2 * DAY} FROM ev GROUP BY ALL",
+    f"SELECT uid, 'uid', 'k_sum', '', {_pane('event_ms')}, count(*), CAST(sum(k) AS BIGINT), {2 * DAY} FROM ev GROUP BY ALL",
+    f"SELECT uid, 'uid', 'recent_k', '', pe, least(count(*), 5), NULL, {DAY} FROM "
+    f"(SELECT DISTINCT uid, {_pane('event_ms')} AS pe, k, event_ms FROM ev) GROUP BY uid, pe") + ")") + f"""
+SELECT id, id_type, feature, sub_key, pane_end_ms, cnt, num_long FROM p
+WHERE pane_end_ms <= {_LAST_MARK} AND pane_end_ms > {_LAST_MARK} - keep"""
+
+# the stream comes in four quarters of the time range
+_QUARTERS = """
+span AS (SELECT min(event_ms) AS lo, greatest(1, (max(event_ms) - min(event_ms)) // 4 + 1) AS width FROM ev),
+quarter AS (SELECT ev.*, (event_ms - lo) // width AS q FROM ev, span)"""
+
+# every seventh event comes a quarter late; it is late if its pane was closed by then
+STREAM_LATE_ROWS = _with(EV, _QUARTERS, f"""
+came AS (SELECT *, least(q + CASE WHEN anchor = 0 THEN 1 ELSE 0 END, 3) AS came FROM quarter),
+marks AS (SELECT c.n, (SELECT max(event_ms) - {_STREAM_DELAY} FROM came WHERE came <= c.n) AS mark FROM (VALUES (0), (1), (2)) c(n)),
+behind AS (SELECT count(*) AS n FROM came JOIN marks ON marks.n = came.came - 1 WHERE {_pane('event_ms')} <= mark)""",
+    *[c for c, _ in (_numeric("evt_cnt", "", "count", W3, "long"), _whole("evt_cnt", "count(*)", "today"),
+                     _whole("evt_cnt", "count(*)", "yesterday"), _numeric("k_sum", "k", "sum", W3, "long"),
+                     _whole("k_sum", "sum(k)", "today"), _whole("k_sum", "sum(k)", "yesterday"))]) + _closed(
+    "SELECT id, feature_name, ts, value_long, behind.n AS late_events, behind.n AS applied_events FROM (" + _union(
+        *[s for _, s in (_numeric("evt_cnt", "", "count", W3, "long"), _whole("evt_cnt", "count(*)", "today"),
+                         _whole("evt_cnt", "count(*)", "yesterday"), _numeric("k_sum", "k", "sum", W3, "long"),
+                         _whole("k_sum", "sum(k)", "today"), _whole("k_sum", "sum(k)", "yesterday"))]) + ") u, behind", "ts")
+
+# specs 1 and 4 in the first half of the stream, 1 and 7 in the second
+_CHANGED = [_numeric("evt_cnt", "", "count", W3, "long"), _whole("evt_cnt", "count(*)", "today"), _whole("evt_cnt", "count(*)", "yesterday"),
+            _numeric("k_max", "k", "max", {"3h": 3 * HOUR, "60m": HOUR, "1h": HOUR}, "long", src="second_half")]
+_DELETED = [_numeric("k_sum", "k", "sum", W3, "long"), _whole("k_sum", "sum(k)", "today"), _whole("k_sum", "sum(k)", "yesterday")]
+STREAM_SPEC_CHANGE = _with(EV, _QUARTERS, "second_half AS (SELECT * FROM quarter WHERE q >= 2)",
+                           *[c for c, _ in _CHANGED + _DELETED]) + (
+    _closed("SELECT id, feature_name, ts, value_long FROM (" + _union(*[s for _, s in _CHANGED]) + ") u", "ts")
+    + " UNION ALL SELECT id, feature_name, ts, value_long FROM (" + _union(*[s for _, s in _DELETED])
+    + f") d WHERE ts <= (SELECT max(event_ms) - {_STREAM_DELAY} FROM quarter WHERE q < 2)")
+
+
 # cells of closed panes and of atoms (which wait for no pane)
 _STREAM_CELLS = _cells_sql() + f""",
 closed AS (SELECT * FROM cells WHERE "column" = 'type' OR ts <= (SELECT max(event_ms) FROM ev) - {_STREAM_DELAY})
@@ -532,6 +574,9 @@ ORACLES = {
     "stream_features": STREAM_FEATURES,
     "stream_recent": STREAM_RECENT,
     "stream_all_features": STREAM_ALL_FEATURES,
+    "stream_retention": STREAM_RETENTION,
+    "stream_late_rows": STREAM_LATE_ROWS,
+    "stream_spec_change": STREAM_SPEC_CHANGE,
     "stream_cells": STREAM_CELLS,
     "stream_messages": STREAM_MESSAGES,
 }

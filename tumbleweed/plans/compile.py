@@ -124,19 +124,34 @@ class CompiledSpecs:
             atom_fields=literal_table(spark, [tuple(a) for a in atoms], ATOM_COLUMNS),
             routes=literal_table(spark, [tuple(r) for r in routes], ROUTE_COLUMNS))
 
-    def route_table(self, cadences: list[int]) -> DataFrame:
-        """Routes of these cadences joined with their spec parameters (windowed kinds)."""
+    def base_cadence(self) -> int | None:
+        """The pane length that every cadence is made of; None without windowed specs."""
+        import math
+
+        return math.gcd(*self.cadences()) if self.cadences() else None
+
+    def feature_cadences(self) -> tuple[DataFrame, int]:
+        """``(feature, id_type, cadence_ms)`` of the windowed specs, and the number of rows."""
+        specs = self._kind_of()
+        rows = sorted({(specs[r.spec_id].feature, r.id_type, r.cadence_ms) for r in self.rows["routes"] if r.cadence_ms is not None})
+        return literal_table(self.specs.sparkSession, rows, "feature string, id_type string, cadence_ms bigint"), len(rows)
+
+    def route_table(self, cadences: list[int], as_cadence: int | None = None) -> DataFrame:
+        """Routes of these cadences joined with their spec parameters (windowed kinds).
+
+        With ``as_cadence`` each spec and route is there once, at that cadence.
+        """
         specs = self._kind_of()
-        out = []
+        out = set()
         for r in self.rows["routes"]:
             if r.cadence_ms in cadences and specs[r.spec_id].kind != "atom":
                 sp = specs[r.spec_id]
-                out.append((r.biz_type, r.event_type, r.target_type, r.id_type, r.cadence_ms, sp.spec_id, sp.kind,
-                            sp.feature, sp.field, sp.field_type, sp.group_by, sp.time_field, sp.capacity))
+                out.add((r.biz_type, r.event_type, r.target_type, r.id_type, as_cadence or r.cadence_ms, sp.spec_id, sp.kind,
+                         sp.feature, sp.field, sp.field_type, sp.group_by, sp.time_field, sp.capacity))
         schema = ("biz_type string, event_type string, target_type string, id_type string, cadence_ms bigint, "
                   "spec_id int, kind string, feature string, field string, field_type string, group_by string, "
                   "time_field string, capacity int")
-        return literal_table(self.specs.sparkSession, out, schema)
+        return literal_table(self.specs.sparkSession, sorted(out, key=repr), schema)
 
 
 def _is_blank(v) -> bool:

@@ -8,6 +8,8 @@ oracle can be compared; the features themselves are computed in double.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ from tumbleweed.plans.catalog import EDGE_SPECS, EVENT_SPECS, LINEITEM_SPECS, OR
 from tumbleweed.plans.compile import spec_broadcast
 from tumbleweed.plans.job import FeatureJob
 from tumbleweed.sources.events import parse_events
-from tumbleweed.sources.specs import specs_from_json
+from tumbleweed.session import scratch_path
+from tumbleweed.sources.specs import read_specs, specs_from_json
 from tumbleweed.sources.standin import event_records, lineitem_records, order_records, prefixed_event_records
 
 MINUTE, HOUR, SECOND = 60_000, 3_600_000, 1_000
@@ -73,16 +76,18 @@ def atom_features_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def spec_validation(spark: SparkSession, sf: str) -> DataFrame:
-    """Per spec: rejection reason (if any) and the number of events routed to it."""
-    job = _job(spark)
+    """Per spec of a spec table: rejection reason (if any) and the number of events routed to it."""
+    path = scratch_path(spark, "specs")
+    spark.createDataFrame([(json.dumps(s),) for s in EVENT_SPECS], "value string").write.text(path)
+    specs = read_specs(spark, path)
+    job = FeatureJob(specs, tz=DAY_ZONE)
     cs = job.compiled
     routes = cs.routes.select("spec_id", *ROUTE_KEYS).distinct()
     fanned = job.fanned(event_records(spark, sf))
     counts = fanned.join(spec_broadcast(routes, len(cs.rows["routes"])), ROUTE_KEYS).groupBy("spec_id").agg(
         F.count(F.lit(1)).alias("routed_events"))
-    specs = specs_from_json(spark, EVENT_SPECS).select(F.col("id").alias("spec_id"),
-                                                       F.col("featureNamePrefix").alias("feature"))
-    return (specs.join(cs.validation.select("spec_id", "error"), "spec_id", "left")
+    named = specs.select(F.col("id").alias("spec_id"), F.col("featureNamePrefix").alias("feature"))
+    return (named.join(cs.validation.select("spec_id", "error"), "spec_id", "left")
             .join(counts, "spec_id", "left")
             .select("spec_id", "feature", "error",
                     F.coalesce("routed_events", F.lit(0)).cast("bigint").alias("routed_events")))
@@ -196,9 +201,10 @@ def output_counts_q(spark: SparkSession, sf: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- streaming
 def stream_panes(spark: SparkSession, sf: str) -> DataFrame:
-    from tumbleweed.streaming.job import run_pane_stream_from_table
+    """Panes by Spark's stateful aggregation under a watermark."""
+    from tumbleweed.streaming.job import stateful_panes_from_table
 
-    return run_pane_stream_from_table(spark, sf, _job(spark, {1, 2, 4}))[0].select(
+    return stateful_panes_from_table(spark, sf, _job(spark, {1, 2, 4})).select(
         "id", "id_type", "feature", "sub_key", "pane_end_ms", "cnt", "num_long")
 
 
@@ -210,7 +216,7 @@ def stream_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_recent(spark: SparkSession, sf: str) -> DataFrame:
-    """LIST, SET and LATEST through the stream (item partials in state, top-K per closed pane)."""
+    """LIST, SET and LATEST through the stream (item partials in the pane table, top-K per closed pane)."""
     from tumbleweed.streaming.job import run_pane_stream_from_table
 
     features = run_pane_stream_from_table(spark, sf, _job(spark, {9, 11, 13}))[1]
@@ -218,11 +224,51 @@ def stream_recent(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_all_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Every kind of one-minute feature, and the atoms, through the stream."""
+    """Every kind of feature at every cadence, and the atoms, through the stream."""
     from tumbleweed.streaming.job import run_pane_stream_from_table
 
-    features = run_pane_stream_from_table(spark, sf, _job(spark, set(range(1, 17))))[1]
-    return _typed(features)
+    return _typed(run_pane_stream_from_table(spark, sf, _job(spark))[1])
+
+
+def stream_retention(spark: SparkSession, sf: str) -> DataFrame:
+    """The pane table after enough batches to be trimmed and compacted: what is inside its retention."""
+    from tumbleweed.streaming.job import catch_up_from_table
+    from tumbleweed.streaming.pane_table import PaneTable
+
+    job = _job(spark, {1, 2, 4, 9})
+    table = PaneTable(spark, catch_up_from_table(spark, sf, job, chunks=10).panes)
+    version = table.latest()
+    kept = retain_panes(table.panes(version.panes), job.compiled, version.watermark, MINUTE)
+    return kept.select("id", "id_type", "feature", "sub_key", "pane_end_ms", "cnt", "num_long")
+
+
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Features where one event in seven comes a quarter late: counted, merged, and what looks back on them corrected."""
+    from tumbleweed.streaming.job import catch_up_from_table, read_features
+    from tumbleweed.streaming.pane_table import PaneTable
+
+    late = F.get_json_object("value", "$.ext.anchorUid") == "0"
+    paths = catch_up_from_table(spark, sf, _job(spark, {1, 4}), lateness="3650d", late=late)
+    version = PaneTable(spark, paths.panes).latest()
+    return _typed(read_features(spark, paths)).select(
+        "id", "feature_name", "ts", "value_long", F.lit(version.late).cast("bigint").alias("late_events"),
+        F.lit(version.applied).cast("bigint").alias("applied_events"))
+
+
+def stream_spec_change(spark: SparkSession, sf: str) -> DataFrame:
+    """Specs that change while the query runs: after half the batches one is deleted and one is new."""
+    from tumbleweed.streaming.job import SpecSource, run_pane_stream_from_table
+
+    now = {"specs": None}
+    source = SpecSource(lambda: specs_from_json(spark, now["specs"]), lambda specs: FeatureJob(specs, tz=DAY_ZONE), every_s=0)
+
+    def job_at(batch_id: int) -> FeatureJob:
+        ids = {1, 4} if batch_id < 2 else {1, 7}
+        now["specs"] = [s for s in EVENT_SPECS if s["id"] in ids]
+        return source(batch_id)
+
+    features = run_pane_stream_from_table(spark, sf, job_at)[1].where(F.col("source") == "windowed")
+    return _typed(features).select("id", "feature_name", "ts", "value_long")
 
 
 def _stream_sink(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -285,6 +331,9 @@ QUERIES = {
     "stream_features": stream_features,
     "stream_recent": stream_recent,
     "stream_all_features": stream_all_features,
+    "stream_retention": stream_retention,
+    "stream_late_rows": stream_late_rows,
+    "stream_spec_change": stream_spec_change,
     "stream_cells": stream_cells,
     "stream_messages": stream_messages,
 }

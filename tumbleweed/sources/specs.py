@@ -30,8 +30,9 @@ def specs_from_json(spark: SparkSession, specs: Iterable[dict | str]) -> DataFra
     return raw.select(F.from_json("spec", SPEC_SCHEMA).alias("s")).select("s.*")
 
 
-def read_specs(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+def read_specs(spark: SparkSession, path: str, fmt: str = "json", multi_line: bool = False) -> DataFrame:
+    """Specs from a file or folder: one JSON object a line (``multi_line``: one object or array a file), or a table with these columns."""
     reader = spark.read.format(fmt)
     if fmt == "json":
-        reader = reader.schema(SPEC_SCHEMA).option("multiLine", "true")
+        reader = reader.schema(SPEC_SCHEMA).option("multiLine", str(multi_line).lower())
     return reader.load(path)

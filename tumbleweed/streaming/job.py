@@ -1,44 +1,64 @@
-"""Structured Streaming feature job.
+"""Structured Streaming feature job.
 
     readStream (kafka / json / parquet records)
-      -> parse -> fan-out -> broadcast route join           (stateless)
-      -> withWatermark(event_ts) -> pane partials            (state store, append)
-      -> foreachBatch:
-           1. fold the closed partials into panes (top-K for item kinds) and
-              write them to the pane table,
-              under ``batch_id=<n>`` with overwrite, so a replayed batch
-              replaces its own output instead of duplicating it (T5);
-           2. read the history those panes look back on (the batch's entities
-              and features, pruned by date and retention), roll up, keep the
-              rows of this batch's panes, write them and what the sinks take of
-              them the same idempotent way.
-    readStream -> parse -> fan-out -> atoms -> foreachBatch: features, sinks (stateless)
-
-Panes close in watermark order, so when a batch arrives every older pane is
-already in the table and the roll-up sees complete history.  The state schema
-is the fixed pane schema, so specs can change between restarts on the same
-checkpoint (T6).
+      -> foreachBatch, for the specs of that moment:
+           1. parse -> fan-out -> route -> base-cadence partials of the batch,
+              appended to the pane table (one shuffle, combined map-side);
+           2. the panes of every cadence that the watermark has passed: their
+              partials, this batch's and earlier ones', combined;
+           3. the history those panes look back on, roll-up, features, sinks;
+           4. the new version of the pane table, which makes all of it count.
+    readStream -> foreachBatch: atoms -> features, sinks                (stateless)
+
+The *state* is the pane table: partials at the base cadence (the greatest length
+that divides every cadence in use), merged into second, minute and hour panes
+by one associative combine.  Routing happens inside the batch, so specs can be
+added, changed and deleted while the query runs, and its state outlives any
+checkpoint of operators.
+
+The *watermark* is the newest event time so far less ``delay``, kept in the
+table's version: a pane closes when it passes the pane's end.  An event whose base
+pane was closed before its batch is *late*: it is counted exactly and written to
+``late/``.  Within ``lateness`` it is merged all the same, and every closed
+pane it belongs to, and every feature that looks back on one, is computed again and
+written under the later batch: ``read_features`` gives each feature in its newest form.
+
+Everything a batch writes lies under its ``batch_id`` and is replaced when the batch
+is run again; a batch whose version is committed is not run again (T5).
+
+:func:`pane_stream` is the same partial aggregation as a stateful operator of
+Spark's, for one cadence and fixed specs (T1, T2).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tumbleweed.operators.panes import (PANE_COLUMNS, PANE_KEYS, PANE_SCHEMA, pane_partials_streaming, panes_from_partials,
-                                        retain_panes, retention_ms)
-from tumbleweed.operators.rollup import rollup_all
+from tumbleweed.functions.intervals import duration_ms
+from tumbleweed.functions.scalars import pane_end_ms
+from tumbleweed.operators.fanout import fan_out
+from tumbleweed.operators.panes import (PANE_COLUMNS, PANE_KEYS, PANE_SCHEMA, coarser_partials, combine_partials, pane_partials,
+                                        pane_partials_streaming, panes_from_partials, retain_panes, retention_ms)
+from tumbleweed.operators.rollup import FEATURE_COLUMNS, rollup_all
+from tumbleweed.operators.route import route_windowed
 from tumbleweed.operators.sinks import write_sinks
+from tumbleweed.plans.compile import spec_broadcast
 from tumbleweed.plans.job import FeatureJob
 from tumbleweed.session import scratch_path
 from tumbleweed.sources.records import read_records
+from tumbleweed.streaming.pane_table import PaneTable, Version
+
+#: A job, or what gives the job for a batch number.
+JobSource = FeatureJob | Callable[[int], FeatureJob]
+LONG_AGO = -(1 << 62)
 
 
 def pane_stream(job: FeatureJob, records: DataFrame, delay: str = "1 minute") -> DataFrame:
-    """Streaming pane partials of ``records`` (a streaming ``(topic, key, value)`` frame)."""
+    """Streaming pane partials of ``records`` (a streaming ``(topic, key, value)`` frame) by a stateful aggregation."""
     routed = job.routed(records)
     # withWatermark needs a TIMESTAMP (not NTZ) column
     routed = routed.withColumn("event_ts", F.timestamp_millis("event_ms")).withWatermark("event_ts", delay)
@@ -47,61 +67,138 @@ def pane_stream(job: FeatureJob, records: DataFrame, delay: str = "1 minute") ->
 
 @dataclass
 class StreamPaths:
-    panes: str
+    panes: str                   # the pane table's root
     features: str
     checkpoint: str
     sinks: str | None = None     # where sink writers put cells and messages; None: features only
 
 
-class FeatureBatchWriter:
-    """``foreachBatch`` handler: persist panes, roll up, persist features, write sinks."""
+def job_of(source: JobSource, batch_id: int) -> FeatureJob:
+    return source if isinstance(source, FeatureJob) else source(batch_id)
 
-    def __init__(self, job: FeatureJob, paths: StreamPaths):
-        self.job = job
-        self.paths = paths
-        row = retention_ms(job.compiled).agg(F.max("retention_ms")).first()
-        self.horizon_ms = int(row[0]) if row and row[0] is not None else 3_600_000
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        cs, pane_ms = self.job.compiled, self.job.pane_ms
-        part = f"batch_id={batch_id}"
-        # closed panes' partials -> pane rows (item kinds keep their newest entries).  Two branches read
-        # the batch; without this the stateful part would run twice.
-        batch.persist()
-        try:
-            (panes_from_partials(batch, cs.max_capacity(), cs.kinds_at(pane_ms)).select(*PANE_COLUMNS)
-             .withColumn("pane_date", F.to_date(F.timestamp_millis(F.col("pane_end_ms") - 1)))
-             .write.mode("overwrite").partitionBy("pane_date", "kind").parquet(f"{self.paths.panes}/{part}"))
-        finally:
-            batch.unpersist()
-        current = spark.read.schema(PANE_SCHEMA + ", pane_date date").parquet(f"{self.paths.panes}/{part}")
-        bounds = current.agg(F.min("pane_end_ms").alias("lo")).first()
-        if bounds.lo is None:
-            return
-        # History is read for the batch's own entities and features only, by older batches' dates inside the
-        # horizon, and each feature by its own retention: the cost follows the batch, not the whole table.
-        keys = ["id", "id_type", "feature"]
-        oldest = F.to_date(F.timestamp_millis(F.lit(bounds.lo - self.horizon_ms)))
-        history = (
-            spark.read.schema(PANE_SCHEMA + ", pane_date date, batch_id bigint").parquet(self.paths.panes)
-            .where((F.col("batch_id") < batch_id) & (F.col("pane_date") >= oldest))
-            .join(current.select(*keys).distinct(), keys, "left_semi")
-        )
-        history = retain_panes(history, cs, bounds.lo, pane_ms)
-        features = rollup_all(history.select(*PANE_COLUMNS).unionByName(current.select(*PANE_COLUMNS)), cs, pane_ms, self.job.tz)
+class FeatureBatchWriter:
+    """``foreachBatch`` handler of the windowed half."""
+
+    def __init__(self, job: JobSource, paths: StreamPaths, delay: str | int = 60_000, lateness: str | int = 0):
+        self.source, self.paths = job, paths
+        self.delay_ms, self.lateness_ms = duration_ms(delay), duration_ms(lateness)
+        self.table: PaneTable | None = None
+
+    def __call__(self, records: DataFrame, batch_id: int) -> None:
+        if self.table is None:
+            self.table = PaneTable(records.sparkSession, self.paths.panes)
+        before = self.table.latest()
+        if batch_id == before.number:
+            return  # everything was written and committed; only the query's own log missed it
+        if batch_id < before.number:
+            raise ValueError(f"batch {batch_id} comes after version {before.number} of the pane table: it belongs to another checkpoint")
+        job = job_of(self.source, batch_id)
+        base = job.compiled.base_cadence()
+        version = self._take_in(records, batch_id, before, job, base or 1_000)
+        if base is not None:
+            version = self._close_panes(batch_id, before, version, job)
+            version = self._compact(version, job)
+        self.table.commit(replace(version, number=batch_id))
+
+    # -- 1. the batch's events -----------------------------------------------------
+    def _take_in(self, records: DataFrame, batch_id: int, before: Version, job: FeatureJob, base: int) -> Version:
+        """Append the batch's partials; count its events and move the watermark."""
+        spark, table = records.sparkSession, self.table
+        watermark = LONG_AGO if before.watermark is None else before.watermark
+        end = pane_end_ms(F.col("event_ms"), base)
+        counts = [F.max("event_ms").alias("newest"), F.count("event_ms").alias("n"), F.count(F.when(end <= F.lit(watermark), 1)).alias("late")]
+        seen = Observation()
+        partials = pane_partials(route_windowed(fan_out(job.events(records).observe(seen, *counts), job.topic_dims), job.compiled,
+                                                *job.compiled.cadences(), as_cadence=base))
+        folder = table.write("partials", partials.where(F.col("pane_end_ms") > F.lit(watermark - self.lateness_ms)),
+                             f"partials/batch={batch_id}", batch_id)
+        # an empty result may have been found without its input: then there is little to count
+        counted = seen.get if folder else job.events(records).agg(*counts).first().asDict()
+        late = applied = 0
+        if counted["late"]:  # rare: the late events themselves, counted from what was written
+            path = f"{table.root}/late/batch_id={batch_id}"
+            (job.events(records).withColumn("pane_end_ms", end).where(F.col("pane_end_ms") <= F.lit(watermark))
+             .select("topic", "uid", "biz_type", "event_type", "target_type", "event_ms", "pane_end_ms",
+                     (F.col("pane_end_ms") > F.lit(watermark - self.lateness_ms)).alias("applied"), "attrs")
+             .write.mode("overwrite").parquet(path))
+            late, applied = spark.read.parquet(path).agg(F.count(F.lit(1)), F.count(F.when(F.col("applied"), 1))).first()
+        newest = counted["newest"]
+        after = before.watermark if newest is None else max(watermark, newest - self.delay_ms)
+        return replace(before, watermark=after, events=before.events + counted["n"], late=before.late + late, applied=before.applied + applied,
+                       partials=before.partials + ((folder,) if folder else ()))
+
+    # -- 2, 3. closed panes and their features ----------------------------------------
+    def _close_panes(self, batch_id: int, before: Version, version: Version, job: FeatureJob) -> Version:
+        spark, table, cs = self.table.spark, self.table, job.compiled
+        old, new = (LONG_AGO if v.watermark is None else v.watermark for v in (before, version))
+        late = version.applied > before.applied
+        if new <= old and not late:
+            return version
+        rows, n_rows = cs.feature_cadences()
+        cadences = spec_broadcast(rows, n_rows)
+        widest = max(cs.cadences())
+        first = (old - (self.lateness_ms if late else 0)) // widest * widest
+        placed = coarser_partials(table.read("partials", version.partials, first), cadences).where(F.col("pane_end_ms") <= F.lit(new))
+        chosen = placed.where(F.col("pane_end_ms") > F.lit(old))
+        pane = ["id", "id_type", "feature", "cadence_ms", "pane_end_ms"]
+        if late:  # closed panes that this batch's late partials belong to: all their partials again
+            touched = placed.where((F.col("batch_id") == batch_id) & (F.col("pane_end_ms") <= F.lit(old))).select(*pane).distinct()
+            chosen = chosen.unionByName(placed.where(F.col("pane_end_ms") <= F.lit(old)).join(touched, pane, "left_semi"))
+        panes = panes_from_partials(combine_partials(chosen), cs.max_capacity(), cs.kinds_at(*cs.cadences())).select(*PANE_COLUMNS)
+        folder = table.write("panes", panes, f"panes/batch={batch_id}", batch_id, corrects=late)
+        if folder is None:
+            return version
+        version = replace(version, panes=version.panes + (folder,))
+        current = table.read("panes", [folder])
+        # History is read for the batch's own entities and features only, from folders inside the horizon, and each
+        # feature by its own retention: the cost follows the batch, not the whole table.
+        keys = ["id", "id_type", "feature", "cadence_ms"]
+        horizon = self._horizon(job)
+        history = table.panes(version.panes, folder.lo - horizon).join(current.select(*keys).distinct(), keys, "left_semi")
+        history = retain_panes(history, cs, folder.lo, job.pane_ms).select(*PANE_COLUMNS)
         active = current.select(*keys, F.col("pane_end_ms").alias("ts")).distinct()
-        write_features(features.join(active, [*keys, "ts"], "left_semi"), self.job, self.paths, f"source=windowed/{part}")
+        if late:  # panes after a corrected one look back on it
+            redone = (current.where(F.col("pane_end_ms") <= F.lit(old)).groupBy(*keys)
+                      .agg(F.min("pane_end_ms").alias("lo"), F.max("pane_end_ms").alias("hi")))
+            after = (history.select(*keys, F.col("pane_end_ms").alias("ts")).join(redone, keys)
+                     .where((F.col("ts") > F.col("lo")) & (F.col("ts") < F.col("hi") + F.lit(horizon))).select(*keys, "ts"))
+            active = active.unionByName(after).distinct()
+        features = None
+        for cadence in cs.cadences():
+            part = (rollup_all(history, cs, cadence, job.tz)
+                    .join(active.where(F.col("cadence_ms") == cadence).drop("cadence_ms"), ["id", "id_type", "feature", "ts"], "left_semi"))
+            features = part if features is None else features.unionByName(part)
+        write_features(features.select(*FEATURE_COLUMNS), job, self.paths, f"source=windowed/batch_id={batch_id}")
+        return version
+
+    def _horizon(self, job: FeatureJob) -> int:
+        row = retention_ms(job.compiled).agg(F.max("retention_ms")).first()
+        return int(row[0]) if row and row[0] is not None else 3_600_000
+
+    # -- 4. retention ---------------------------------------------------------------
+    def _compact(self, version: Version, job: FeatureJob) -> Version:
+        """Drop what no open pane, no late event and no look-back needs any more; merge small folders."""
+        if version.watermark is None:
+            return version
+        cs = job.compiled
+        widest = max(cs.cadences())
+        spent = (version.watermark - self.lateness_ms) // widest * widest
+        as_of = version.watermark - self.lateness_ms
+        keep = {"partials": lambda rows: rows.where(F.col("pane_end_ms") > F.lit(spent)),
+                "panes": lambda rows: retain_panes(rows, cs, as_of, job.pane_ms).select(*PANE_COLUMNS, "batch_id")}
+        return self.table.compacted(version, {"partials": spent, "panes": as_of - self._horizon(job)}, keep)
 
 
 class AtomBatchWriter:
     """``foreachBatch`` handler of the stateless half: atom features of a batch's records."""
 
-    def __init__(self, job: FeatureJob, paths: StreamPaths):
-        self.job, self.paths = job, paths
+    def __init__(self, job: JobSource, paths: StreamPaths):
+        self.source, self.paths = job, paths
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        write_features(self.job.atom_features(batch), self.job, self.paths, f"source=atom/batch_id={batch_id}")
+        job = job_of(self.source, batch_id)
+        write_features(job.atom_features(batch).select(*FEATURE_COLUMNS), job, self.paths, f"source=atom/batch_id={batch_id}")
 
 
 def write_features(features: DataFrame, job: FeatureJob, paths: StreamPaths, part: str) -> None:
@@ -112,17 +209,11 @@ def write_features(features: DataFrame, job: FeatureJob, paths: StreamPaths, par
         write_sinks(features.sparkSession.read.schema(features.schema).parquet(path), job.compiled, paths.sinks, part)
 
 
-def expire_panes(spark: SparkSession, job: FeatureJob, paths: StreamPaths, as_of_ms: int) -> DataFrame:
-    """The panes still inside their retention, compacted: one rewrite of the table, to be swapped in by the operator."""
-    panes = spark.read.schema(PANE_SCHEMA + ", pane_date date, batch_id bigint").parquet(paths.panes)
-    return retain_panes(panes, job.compiled, as_of_ms, job.pane_ms)
-
-
 class FeatureStream:
     """The queries of one job: windowed features, and atoms if a spec asks for them."""
 
-    def __init__(self, queries: list):
-        self.queries = queries
+    def __init__(self, queries: list, paths: StreamPaths | None = None):
+        self.queries, self.paths = queries, paths
 
     def awaitTermination(self, timeout: float | None = None):
         return all([q.awaitTermination(timeout) if timeout else q.awaitTermination() or True for q in self.queries])
@@ -142,125 +233,161 @@ class FeatureStream:
     def exception(self):
         return next((e for q in self.queries if (e := q.exception()) is not None), None)
 
-    def late_rows(self) -> int:
-        """Rows that came after the watermark, as counted in the kept progress reports."""
-        return sum(op.numRowsDroppedByWatermark for q in self.queries for p in q.recentProgress for op in p.stateOperators)
+    def late_events(self, spark: SparkSession) -> tuple[int, int]:
+        """Events that came after their pane was closed, since the beginning, and how many of them were still merged."""
+        version = PaneTable(spark, self.paths.panes).latest()
+        return version.late, version.applied
+
 
+def start_feature_stream(job: JobSource, records: DataFrame, paths: StreamPaths, *, delay: str | int = "1 minute",
+                         lateness: str | int = 0, trigger: dict | None = None, atoms: bool | None = None) -> FeatureStream:
+    """Start the streaming job (windowed features of every cadence, atoms, sinks).
 
-def start_feature_stream(job: FeatureJob, records: DataFrame, paths: StreamPaths, *,
-                         delay: str = "1 minute", trigger: dict | None = None) -> FeatureStream:
-    """Start the streaming job (windowed features, atoms, sinks)."""
+    ``job`` may be a function of the batch number (see :class:`SpecSource`): each
+    batch then runs with the specs of that moment.  ``atoms`` starts the stateless half;
+    by default where the first job has atom specs, or the job can change.
+    """
     trigger = trigger or {"processingTime": "1 second"}
+    if atoms is None:
+        atoms = not isinstance(job, FeatureJob) or bool(job.compiled.rows["atom_fields"])
     queries = []
-    if job.compiled.kinds_at(job.pane_ms):
-        queries.append(pane_stream(job, records, delay).writeStream.outputMode("append")
-                       .option("checkpointLocation", paths.checkpoint)
-                       .foreachBatch(FeatureBatchWriter(job, paths)).trigger(**trigger).start())
-    if job.compiled.rows["atom_fields"]:
+    if not isinstance(job, FeatureJob) or job.compiled.cadences():
+        queries.append(records.writeStream.option("checkpointLocation", paths.checkpoint)
+                       .foreachBatch(FeatureBatchWriter(job, paths, delay, lateness)).trigger(**trigger).start())
+    if atoms:
         queries.append(records.writeStream.option("checkpointLocation", f"{paths.checkpoint}-atoms")
                        .foreachBatch(AtomBatchWriter(job, paths)).trigger(**trigger).start())
-    return FeatureStream(queries)
+    return FeatureStream(queries, paths)
+
+
+def read_panes(spark: SparkSession, paths: StreamPaths) -> DataFrame:
+    """The closed panes of the newest version, each in its newest form."""
+    table = PaneTable(spark, paths.panes)
+    return table.panes(table.latest().panes)
+
+
+def read_features(spark: SparkSession, paths: StreamPaths) -> DataFrame:
+    """Features, each in its newest form: a batch that corrects one has a higher ``batch_id``."""
+    features = spark.read.parquet(paths.features)
+    if not PaneTable(spark, paths.panes).latest().applied:
+        return features
+    key = ["id", "id_type", "feature", "feature_name", "ts"]
+    rest = [c for c in features.columns if c not in (*key, "source")]
+    windowed = (features.where(F.col("source") == "windowed").groupBy(*key).agg(F.max_by(F.struct(*rest), "batch_id").alias("v"))
+                .select(*key, *[F.col("v")[c].alias(c) for c in rest], F.lit("windowed").alias("source")))
+    return windowed.select(*features.columns).unionByName(features.where(F.col("source") != "windowed"))
 
 
 def read_outputs(spark: SparkSession, paths: StreamPaths) -> tuple[DataFrame, DataFrame]:
-    panes = spark.read.schema(PANE_SCHEMA + ", pane_date date, batch_id bigint").parquet(paths.panes)
-    return panes, spark.read.parquet(paths.features)
+    return read_panes(spark, paths), read_features(spark, paths)
 
 
 # --------------------------------------------------------------------------- catch-up runner
-FILES_PER_CHUNK = 2
+ROWS_PER_FILE = 500_000
 
 
-def write_record_files(spark: SparkSession, records: DataFrame, folder: str, chunks: int = 4) -> None:
-    """Lay records out as JSON files in event-time order, ``FILES_PER_CHUNK`` files per chunk.
+def write_record_files(spark: SparkSession, records: DataFrame, folder: str, chunks: int = 4, late=None) -> int:
+    """Lay records out as JSON files in event-time order; returns the number of files of a chunk, which follows its rows.
 
     The file source picks files up by modification time; appending the time
     ranges one after another, and reading a chunk's files together, reproduces
-    an in-order feed across micro-batches.  Records are staged once with their
-    time slice, then each slice is copied.
+    an in-order feed across micro-batches.  Where the condition ``late`` holds (on the
+    record's JSON), a record comes one chunk after its time.  Records are staged
+    once with their time slice, then each slice is copied.
     """
     clock = F.get_json_object("value", "$.ext.eventTime").cast("bigint")
     staged = records.withColumn("_ms", clock)
     bounds = staged.agg(F.min("_ms").alias("lo"), F.max("_ms").alias("hi")).first()
     width = max(1, (bounds.hi - bounds.lo) // chunks + 1)
     stage = f"{folder}-staging"
-    (staged.withColumn("_slice", ((F.col("_ms") - F.lit(bounds.lo)) / F.lit(width)).cast("int"))
+    behind = F.lit(0) if late is None else F.when(late, 1).otherwise(0)
+    (staged.withColumn("_slice", F.least(((F.col("_ms") - F.lit(bounds.lo)) / F.lit(width)).cast("int") + behind, F.lit(chunks - 1)))
      .drop("_ms").write.partitionBy("_slice").parquet(stage))
+    staged = spark.read.parquet(stage)
+    most = staged.groupBy("_slice").count().agg(F.max("count")).first()[0] or 1
+    files = -(-most // ROWS_PER_FILE)
     for i in range(chunks):
-        part = spark.read.parquet(stage).where(F.col("_slice") == i).drop("_slice")
-        part.repartition(FILES_PER_CHUNK).write.mode("append").json(folder)
+        part = staged.where(F.col("_slice") == i).drop("_slice")
+        part.repartition(files).write.mode("append").json(folder)
+    return files
 
 
-def catch_up_from_table(spark: SparkSession, sf_dir: str, job: FeatureJob, delay: str = "1 minute") -> StreamPaths:
+def catch_up_from_table(spark: SparkSession, sf_dir: str, job: JobSource, delay: str = "1 minute", lateness: str | int = 0, late=None,
+                        chunks: int = 4) -> StreamPaths:
     """Catch up a file stream of the ``events`` table with ``availableNow``; returns where the outputs are."""
     from tumbleweed.sources.standin import event_records
 
     root = scratch_path(spark, "stream")
     source = f"{root}/source"
-    write_record_files(spark, event_records(spark, sf_dir), source)
+    files = write_record_files(spark, event_records(spark, sf_dir), source, chunks, late)
     paths = StreamPaths(panes=f"{root}/panes", features=f"{root}/features", checkpoint=f"{root}/checkpoint", sinks=f"{root}/sinks")
-    records = read_records(spark, "json", source, streaming=True, options={"maxFilesPerTrigger": str(FILES_PER_CHUNK)})
-    # The state store keeps spark.sql.shuffle.partitions partitions for the
-    # life of a checkpoint; size this run's state to the cluster's cores.
+    records = read_records(spark, "json", source, streaming=True, options={"maxFilesPerTrigger": str(files)})
+    start_feature_stream(job, records, paths, delay=delay, lateness=lateness, trigger={"availableNow": True}).awaitTermination()
+    return paths
+
+
+def run_pane_stream_from_table(spark: SparkSession, sf_dir: str, job: JobSource, delay: str = "1 minute", **options) -> tuple[DataFrame, DataFrame]:
+    """Panes and features of :func:`catch_up_from_table`."""
+    return read_outputs(spark, catch_up_from_table(spark, sf_dir, job, delay, **options))
+
+
+def stateful_panes_from_table(spark: SparkSession, sf_dir: str, job: FeatureJob, delay: str = "1 minute") -> DataFrame:
+    """Pane partials of the ``events`` table by :func:`pane_stream`, through a parquet sink."""
+    from tumbleweed.sources.standin import event_records
+
+    root = scratch_path(spark, "stateful")
+    files = write_record_files(spark, event_records(spark, sf_dir), f"{root}/source")
+    records = read_records(spark, "json", f"{root}/source", streaming=True, options={"maxFilesPerTrigger": str(files)})
+    # The state store keeps spark.sql.shuffle.partitions partitions for the life of a checkpoint: size this run's to the cores.
     key = "spark.sql.shuffle.partitions"
     previous = spark.conf.get(key)
     spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
     try:
-        start_feature_stream(job, records, paths, delay=delay, trigger={"availableNow": True}).awaitTermination()
+        partials = pane_stream(job, records, delay)
+        (partials.writeStream.format("parquet").outputMode("append").option("path", f"{root}/partials")
+         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination())
     finally:
         spark.conf.set(key, previous)
-    return paths
+    done = spark.read.schema(partials.schema).parquet(f"{root}/partials")
+    return panes_from_partials(done, job.compiled.max_capacity(), job.compiled.kinds_at(job.pane_ms))
 
 
-def run_pane_stream_from_table(spark: SparkSession, sf_dir: str, job: FeatureJob,
-                               delay: str = "1 minute") -> tuple[DataFrame, DataFrame]:
-    """Panes and features of :func:`catch_up_from_table`."""
-    return read_outputs(spark, catch_up_from_table(spark, sf_dir, job, delay))
+# --------------------------------------------------------------------------- changing specs
+def spec_version(specs: DataFrame) -> str:
+    """The change marker of a spec set (S6): it differs when any spec is added, changed or deleted."""
+    row = specs.agg(F.count(F.lit(1)).alias("n"), F.max("updateTime").alias("t"),
+                    F.bit_xor(F.xxhash64(F.to_json(F.struct("*")))).alias("x")).first()
+    return f"{row.n}/{row.t}/{row.x}"
 
 
-def restart_with_new_specs(spark: SparkSession, old_query, job: FeatureJob, records: DataFrame,
-                           paths: StreamPaths, **kw):
-    """Live reconfiguration (S6, T6): stop, recompile, restart on the same checkpoint."""
-    if old_query is not None:
-        old_query.stop()
-    return start_feature_stream(job, records, paths, **kw)
+class SpecSource:
+    """The job for each micro-batch, compiled anew when the spec table has changed.
 
+    Routing happens inside the batch, so the running query goes on: a new spec counts
+    from the batch that first sees it, a deleted one gives no more features, and
+    partials of open panes are kept whatever changes.  The spec table is read
+    no more often than every ``every_s`` seconds.
+    """
 
-def spec_version(specs: DataFrame):
-    """The change marker polled by a refresh loop: newest ``updateTime``."""
-    return specs.agg(F.max("updateTime")).first()[0]
+    def __init__(self, load_specs: Callable[[], DataFrame], make_job: Callable[[DataFrame], FeatureJob] = FeatureJob, every_s: float = 10.0):
+        self.load_specs, self.make_job, self.every_s = load_specs, make_job, every_s
+        self.version: str | None = None
+        self.job: FeatureJob | None = None
+        self.compiled = 0
+        self._read_at = float("-inf")
 
+    def __call__(self, batch_id: int) -> FeatureJob:
+        import time
 
-class SpecRefresher:
-    """Live reconfiguration.
+        if time.monotonic() - self._read_at >= self.every_s:
+            specs = self.load_specs()
+            version = spec_version(specs)
+            self._read_at = time.monotonic()
+            if version != self.version:
+                self.job, self.version = self.make_job(specs), version
+                self.compiled += 1
+        return self.job
 
-    Routing runs before the stateful pane aggregation, so new specs cannot be
-    swapped into a running query.  ``poll`` reads the spec source's newest
-    ``updateTime``; when it changed, the query is stopped, the specs are
-    recompiled and the query restarts on the same checkpoint -- the pane
-    schema is fixed, so open panes carry over.  ``make_job`` builds
-    the job from the new specs (zone, pane length, topics).  Call ``poll`` on a timer.
-    """
 
-    def __init__(self, load_specs: Callable[[], DataFrame], records: Callable[[], DataFrame],
-                 paths: StreamPaths, make_job: Callable[[DataFrame], FeatureJob] = FeatureJob, **stream_kw):
-        self.load_specs, self.records, self.paths = load_specs, records, paths
-        self.make_job, self.stream_kw = make_job, stream_kw
-        self.version = None
-        self.query = None
-
-    def poll(self) -> bool:
-        """Start or restart when the specs changed; True when (re)started."""
-        specs = self.load_specs()
-        version = spec_version(specs)
-        if self.query is not None and version == self.version:
-            return False
-        job = self.make_job(specs)
-        self.query = restart_with_new_specs(specs.sparkSession, self.query, job, self.records(),
-                                            self.paths, **self.stream_kw)
-        self.version = version
-        return True
-
-
-__all__ = ["pane_stream", "start_feature_stream", "StreamPaths", "FeatureBatchWriter",
-           "run_pane_stream_from_table", "restart_with_new_specs", "spec_version", "SpecRefresher", "PANE_KEYS"]
+__all__ = ["pane_stream", "start_feature_stream", "StreamPaths", "FeatureBatchWriter", "AtomBatchWriter", "read_outputs", "read_panes",
+           "read_features", "run_pane_stream_from_table", "stateful_panes_from_table", "spec_version", "SpecSource", "PANE_KEYS", "PANE_SCHEMA"]
