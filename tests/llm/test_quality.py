@@ -55,3 +55,20 @@ def test_labels_of_held_out_rows_change_nothing(spark, sf_dir):
     flipped = labels.selectExpr("doc_id", "if(crc32(cast(cast(doc_id as string) as binary)) % 5 = 0, 1 - quality, quality) as quality")
     a, b = quality.fit(docs, labels), quality.fit(docs, flipped)
     assert np.array_equal(a.labels, b.labels) and np.array_equal(a.vectors, b.vectors)
+
+
+def test_ties_at_the_last_neighbour_share_its_votes():
+    rng = np.random.default_rng(3)
+    base = rng.poisson(0.05, size=(4, quality.TERMS)).astype(np.float32)
+    sample = base[[0] * 10 + [1] * 20 + [2] * 5]  # 20 equal documents for the 5 votes that are left
+    labels = np.array([1] * 10 + [0] * 15 + [1] * 5 + [0] * 5, dtype=float)
+    m = quality.Model(quality.term_weights((base > 0).sum(axis=0).astype(float), 4), None, None, labels)
+    m.basis = quality.latent_basis(m.weigh(base), 3).astype(np.float32)
+    m.vectors = m.latent(sample)
+    query = base[:1] * 3 + base[1:2]
+    cos = (m.latent(query) @ m.vectors.T)[0]
+    w = np.maximum(cos.astype(float), 0) ** quality.POWER
+    want = (w[:10].sum() + 5 * w[10] * 0.25) / (w[:10].sum() + 5 * w[10])
+    assert abs(m.scores(query)[0] - want) < 1e-5
+    back = quality.Model(m.idf, m.basis, m.vectors[::-1], labels[::-1])
+    assert back.scores(query)[0] == m.scores(query)[0]

@@ -19,7 +19,8 @@ Defined cases: null text counts as empty; a text without terms (or without a
 neighbour of positive cosine) scores the share of label 1 in the sample; without
 any usable label every score is 0.5; null ids are never learned from; labels
 other than 0 and 1 are left out, of repeated labels of one document the least
-counts; repeated rows are each scored; an empty table gives no rows.
+counts; sample documents at the cosine of the last neighbour share its votes; repeated
+rows are each scored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -139,11 +140,19 @@ class Model:
         if not len(self.labels):
             return np.full(len(counts), 0.5)
         cos = self.latent(counts) @ self.vectors.T
-        k = min(NEIGHBOURS, cos.shape[1])
-        at = np.argpartition(-cos, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cos, at, axis=1).astype(np.float64), 0) ** POWER
+        n = cos.shape[1]
+        k = min(NEIGHBOURS, n)
+        order = np.argpartition(-cos, sorted({k - 1, min(k, n - 1)}), axis=1)
+        at = order[:, :k]
+        near = np.take_along_axis(cos, at, axis=1)
+        label = self.labels[at]
+        if n > k:  # sample documents that equal the last neighbour share its votes
+            for row in np.flatnonzero(cos[np.arange(len(cos)), order[:, k]] == near[:, k - 1]):
+                last = near[row] == near[row, k - 1]
+                label[row, last] = self.labels[cos[row] == near[row, k - 1]].mean()
+        weight = np.maximum(near.astype(np.float64), 0) ** POWER
         total = weight.sum(axis=1)
-        vote = (weight * self.labels[at]).sum(axis=1) / np.maximum(total, 1e-300)
+        vote = (weight * label).sum(axis=1) / np.maximum(total, 1e-300)
         return np.round(np.where(total > 1e-9, vote, self.labels.mean()), 6)
 
 
@@ -182,16 +191,30 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             counts = term_counts(_texts(b.column(2)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([c.tobytes() for c in counts], pa.binary())], names=["doc_id", "y", "counts"])
 
-    picked = d.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")  # fit_rows ids at most
-    sample = sorted(picked.dropDuplicates(["doc_id"]).mapInArrow(rows, "doc_id long, y int, counts binary").toLocalIterator(), key=lambda r: r["doc_id"])
-    if not sample:
+    picked = d.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text").dropDuplicates(["doc_id"])  # fit_rows ids at most
+    counted = picked.mapInArrow(rows, "doc_id long, y int, counts binary")
+    # one task holds the sample's counts (fit_rows * TERMS floats); the driver gets the basis and the latent vectors
+    learned = {r["part"]: r["data"] for r in counted.repartition(1).mapInArrow(_learn(idf), "part string, data binary").collect()}
+    if not learned:
         return Model(idf, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
-    model = Model(idf, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.array([r["y"] for r in sample], dtype=np.float64))
-    counts = np.stack([np.frombuffer(r["counts"], np.float32) for r in sample])
-    del sample
-    model.basis = latent_basis(model.weigh(counts), DIMS).astype(np.float32)
-    model.vectors = model.latent(counts).astype(np.float32)
-    return model
+    y = np.frombuffer(learned["labels"], np.float64)
+    return Model(idf, np.frombuffer(learned["basis"], np.float32).reshape(TERMS, -1), np.frombuffer(learned["vectors"], np.float32).reshape(len(y), -1), y)
+
+
+def _learn(idf: np.ndarray):
+    """Basis, latent vectors and labels of a sample, as bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches([b for b in batches if b.num_rows], schema=pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("counts", pa.binary())]))
+        if not t.num_rows:
+            return
+        t = t.sort_by("doc_id")
+        counts = np.stack([np.frombuffer(c, np.float32) for c in t.column("counts").to_pylist()])
+        model = Model(idf, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
+        model.basis = latent_basis(model.weigh(counts), DIMS).astype(np.float32)
+        parts = {"basis": model.basis, "vectors": model.latent(counts).astype(np.float32), "labels": t.column("y").to_numpy().astype(np.float64)}
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts)), pa.array([np.ascontiguousarray(v).tobytes() for v in parts.values()], pa.binary())],
+                                         names=["part", "data"])
+    return run
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
