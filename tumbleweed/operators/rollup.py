@@ -1,19 +1,18 @@
 """Roll-up: pane partials -> windowed features (A1-A8 level 2, W2-W4, W8, A11, J3).
 
 Every (entity, feature) with a partial in a pane emits its features at that
-pane's end (A11).  One hash exchange on ``(id, id_type, feature)`` feeds all
-window frames; each key holds at most one row per pane (and sub key), so a
-hot entity is bounded by the time span, not by its event count.
+pane's end (A11).  Time is cut into blocks, of the look-back's length or days, and
+work is dealt by (key, block): a busy key is spread over its blocks, and no task
+sorts or holds more than the panes of one look-back, or day, of one key.
 
 * COUNT, SUM, MAX, MIN over ``(T - w, T]`` (decision D2): the end of one time
-  block merged with the beginning of the next, both growing frames.
-* ``today``: growing frame within the local day; ``yesterday``: RANGE frame
-  ``day - 1`` on the day number.
-* grouped COUNT: per-group islands of presence range-join the entity's active
-  panes, so groups absent from the current pane are carried over (A2).
-* LIST on the pane clock: the newest K items lie in the newest K panes, so a
-  ROWS frame of K panes (cut to the look-back) is exact.
-* SET, and LIST with a custom item time: interval join and ``row_number``.
+  block merged with the beginning of the next, both growing frames; all kinds
+  in the same passes.
+* ``today``: growing frame within the local day; ``yesterday``: totals of days,
+  joined with the next day's panes.
+* grouped COUNT: a group's first and last pane of each block tell which active
+  panes see it, so groups absent from the current pane are carried over (A2).
+* LIST and SET: running merges of at most ``capacity`` items.
 """
 
 from __future__ import annotations
@@ -26,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tumbleweed.functions.scalars import local_day_num
-from tumbleweed.plans.compile import CompiledSpecs, spec_broadcast
+from tumbleweed.operators.panes import ITEM_TYPE
+from tumbleweed.plans.compile import CompiledSpecs, literal_table, spec_broadcast
 from tumbleweed.sources.events import DEFAULT_EVENT_TIME_FIELD
 
 ENTITY = ["id", "id_type", "feature"]
@@ -45,14 +45,6 @@ def _windows(cs: CompiledSpecs, pane_ms: int) -> DataFrame:
         "spec_id", "window", "window_ms", "whole"), len(cs.rows["windows"]))
 
 
-def _pick(length_col: Column, by_length: dict[int, Column]) -> Column:
-    expr = None
-    for length, value in by_length.items():
-        cond = length_col == F.lit(length)
-        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
-    return F.lit(None) if expr is None else expr
-
-
 def _emit(df: DataFrame, name: Column, long_v: Column, double_v: Column, text_v: Column,
           vtype: Column) -> DataFrame:
     return df.select(
@@ -72,132 +64,142 @@ def _none(panes: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- numeric
 # Stands for a pane sum that left BIGINT: no window that holds it comes back into range.
 BEYOND_BIGINT = "1" + "0" * 28
-# family -> (spec kinds, field types it covers)
-_FAMILIES = {
-    "count": (("count",), (None,)),
-    "sum_long": (("sum",), ("long",)),
-    "sum_double": (("sum",), ("double",)),
-    "max": (("max",), ("long", "double")),
-    "min": (("min",), ("long", "double")),
-}
+
+
+@dataclass(frozen=True)
+class State:
+    """A running aggregate of the roll-up: input column, aggregate, and how two results merge."""
+
+    value: Column
+    agg: Callable[[str], Column]
+    merge: Callable[[Column, Column], Column]
+
+
+def _plus(x: Column, y: Column) -> Column:
+    return F.try_add(x, F.coalesce(y, F.lit(0)))
+
+
+def _states(kinds: set[tuple[str, str | None]]) -> dict[str, State]:
+    """The states that these (kind, field type) pairs need; a row fills the one of its kind.
+
+    A long SUM runs in DECIMAL and is NULL where the window's sum, or the sum of
+    a pane in it, leaves BIGINT (D16).  MAX and MIN run over ``struct(long,
+    double)``, so long and double specs share one function.
+    """
+    of = lambda kind, x: F.when(F.col("spec_kind") == kind, x)
+    # a SUM pane always has a contributing value: a missing sum is one that left BIGINT
+    exact = F.coalesce(F.col("num_long").cast("decimal(38,0)"), F.lit(BEYOND_BIGINT).cast("decimal(38,0)"))
+    either = F.struct(F.col("num_long").alias("l"), F.col("num_double").alias("d"))
+    is_long = F.col("field_type") == "long"
+    found = {}
+    if any(k == "count" for k, _ in kinds):
+        found["n"] = State(of("count", F.col("cnt")), F.sum, _plus)
+    if ("sum", "long") in kinds:
+        found["s"] = State(of("sum", F.when(is_long, exact)), F.try_sum, _plus)
+    if ("sum", "double") in kinds:
+        found["d"] = State(of("sum", F.when(~is_long, F.col("num_double"))), F.try_sum, _plus)
+    if any(k == "max" for k, _ in kinds):
+        found["hi"] = State(of("max", either), F.max, F.greatest)
+    if any(k == "min" for k, _ in kinds):
+        found["lo"] = State(of("min", either), F.min, F.least)
+    return found
 
 
 def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None) -> DataFrame:
     """COUNT (ungrouped), SUM, MAX, MIN over relative and whole-day windows.
 
-    One branch per aggregate family; each row evaluates only its own
-    function, once per distinct look-back length:
+    All kinds share their passes: a row has the states of its own kind and nulls
+    for the others, and goes once to each look-back length its spec has.
 
     * look-backs: time is cut into blocks of length ``w``; a look-back is the
       end of one block and the beginning of the next (:func:`_two_blocks`) --
       linear, without cancellation, and a busy key is spread over its blocks;
-    * long SUM runs in DECIMAL and emits NULL where the window's sum, or the sum
-      of a pane in it, leaves BIGINT (D16);
-    * MAX / MIN run over ``struct(long, double)``, so long and double specs share
-      one function;
-    * ``today``: growing frame within the local day; ``yesterday``: RANGE
-      frame over the previous day number.
+    * ``today``: growing frame within the key's day; ``yesterday``: totals of
+      days, joined with the next day's panes.  A busy key is spread over its days.
     """
-    parts = []
-    for family, (kinds, ftypes) in _FAMILIES.items():
-        ids = [r.spec_id for r in cs.rows["specs"]
-               if r.kind in kinds and r.group_by is None
-               and (r.field_type if r.kind != "count" else None) in ftypes]
-        if not ids:
-            continue
-        wins = [w for w in cs.rows["windows"] if w.spec_id in ids and w.cadence_ms == pane_ms]
-        lengths = sorted({w.window_ms for w in wins if w.whole is None})
-        wholes = sorted({w.whole for w in wins if w.whole is not None})
-        if lengths or wholes:
-            parts.append(_numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes))
-    if not parts:
+    specs = [r for r in cs.rows["specs"] if r.kind in ("sum", "max", "min") or (r.kind == "count" and r.group_by is None)]
+    ids = {r.spec_id for r in specs}
+    wins = [w for w in cs.rows["windows"] if w.spec_id in ids and w.cadence_ms == pane_ms]
+    if not wins:
         return _none(panes)
-    out = parts[0]
+    used = {w.spec_id for w in wins}
+    states = _states({(r.kind, r.field_type if r.kind != "count" else None) for r in specs if r.spec_id in used})
+    params = _spec_params(cs).where(F.col("spec_id").isin(*sorted(used)))
+    p = panes.where(F.col("kind").isin(*sorted({r.kind for r in specs}))).join(params, ["feature", "id_type"]).select(
+        *ENTITY, "spec_id", "spec_kind", "field_type", "pane_end_ms", *[v.value.alias(k) for k, v in states.items()],
+        local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz).alias("day"))
+    windows = _windows(cs, pane_ms)
+    wholes = {w.whole for w in wins if w.whole is not None}
+    keep = [*ENTITY, "spec_kind", "field_type", "pane_end_ms", "window", *states]
+    parts = []
+    if any(w.whole is None for w in wins):
+        rows = p.join(_lengths(cs, pane_ms, used), "spec_id")
+        done = _two_blocks(rows, [*ENTITY, "spec_id"], "pane_end_ms", states, ["spec_kind", "field_type"])
+        parts.append(done.join(windows.where(F.col("whole").isNull()), ["spec_id", "window_ms"]).select(*keep))
+    if "today" in wholes:
+        so_far = Window.partitionBy(*ENTITY, "spec_id", "day").orderBy("pane_end_ms").rowsBetween(Window.unboundedPreceding, 0)
+        done = p.select(*ENTITY, "spec_id", "spec_kind", "field_type", "pane_end_ms", *[v.agg(k).over(so_far).alias(k) for k, v in states.items()])
+        parts.append(done.join(windows.where(F.col("whole") == "today"), "spec_id").select(*keep))
+    if "yesterday" in wholes:
+        yesterday = windows.where(F.col("whole") == "yesterday").select("spec_id", "window")
+        days = (p.join(yesterday.select("spec_id"), "spec_id", "left_semi").groupBy(*ENTITY, "spec_id", (F.col("day") + 1).alias("day"))
+                .agg(*[v.agg(k).alias(k) for k, v in states.items()]))
+        parts.append(p.drop(*states).join(yesterday, "spec_id").join(days, [*ENTITY, "spec_id", "day"]).select(*keep))
+    rows = parts[0]
     for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        rows = rows.unionByName(part)
+    state = lambda k: F.col(k) if k in states else F.lit(None)
+    extreme = F.coalesce(*[F.col(k) for k in ("hi", "lo") if k in states]) if {"hi", "lo"} & set(states) else None
+    is_double = F.col("field_type") == "double"
+    kind = F.col("spec_kind")
+    long_v = F.when(kind == "count", state("n")).when(kind == "sum", state("s").try_cast("bigint"))
+    double_v = F.when(kind == "sum", state("d"))
+    if extreme is not None:
+        long_v = long_v.when(kind.isin("max", "min") & ~is_double, extreme["l"])
+        double_v = double_v.when(kind.isin("max", "min") & is_double, extreme["d"])
+    text = F.coalesce(long_v.cast("string"), double_v.cast("string"))
+    vtype = F.when((kind != "count") & is_double, F.lit("double")).otherwise(F.lit("long"))
+    # a sum beyond its type emits NULL
+    return _emit(rows.where((kind == "sum") | text.isNotNull()), F.concat_ws("_", "feature", "window"), long_v, double_v, text, vtype)
 
 
-def _numeric_family(panes, cs, pane_ms, tz, family, ids, lengths, wholes):
-    params = _spec_params(cs).where(F.col("spec_id").isin(*ids))
-    panes = panes.where(F.col("kind").isin(*_FAMILIES[family][0]))
-    long_x = F.when(F.col("spec_kind") == "count", F.col("cnt")).otherwise(F.col("num_long"))
-    # a SUM pane always has a contributing value: a missing sum is one that left BIGINT
-    x = {"count": long_x, "sum_long": F.coalesce(long_x.cast("decimal(38,0)"), F.lit(BEYOND_BIGINT).cast("decimal(38,0)")),
-         "sum_double": F.col("num_double")}.get(family, F.struct(long_x.alias("l"), F.col("num_double").alias("d")))
-    p = panes.join(params, ["feature", "id_type"]).select(
-        *ENTITY, "spec_id", "field_type", "pane_end_ms", x.alias("x"),
-        local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz).alias("day"),
-    )
-    agg = {"count": F.sum, "sum_long": F.try_sum, "sum_double": F.try_sum, "max": F.max, "min": F.min}[family]
+def _lengths(cs: CompiledSpecs, pane_ms: int, ids) -> DataFrame:
+    """``(spec_id, window_ms)``: the look-back lengths of these specs, each once."""
+    rows = sorted({(w.spec_id, w.window_ms) for w in cs.rows["windows"] if w.spec_id in ids and w.cadence_ms == pane_ms and w.whole is None})
+    return spec_broadcast(literal_table(cs.specs.sparkSession, rows, "spec_id int, window_ms bigint"), len(rows))
 
-    whole_frames = {
-        "today": Window.partitionBy(*ENTITY, "day").orderBy("pane_end_ms").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow),
-        "yesterday": Window.partitionBy(*ENTITY).orderBy("day").rangeBetween(-1, -1),
-    }
-    windows = _windows(cs, pane_ms)
-    keep = [*ENTITY, "field_type", "pane_end_ms", "window", "whole"]
-    n_yesterday = F.lit(None).cast("bigint")
-    parts = []
-    if lengths:
-        parts.append(_two_blocks(p, lengths, agg).join(windows.where(F.col("whole").isNull()), ["spec_id", "window_ms"])
-                     .select(*keep, "value", n_yesterday.alias("n_yesterday")))
-    if wholes:
-        value = F.lit(None)
-        for name in wholes:
-            value = F.when(F.col("whole") == name, F.col(f"_w_{name}")).otherwise(value)
-            if name == "yesterday":
-                n_yesterday = F.col("_n_yesterday")
-        framed = p.repartition(*ENTITY).select(
-            *ENTITY, "spec_id", "field_type", "pane_end_ms",
-            *[agg("x").over(whole_frames[name]).alias(f"_w_{name}") for name in wholes],
-            *([F.count(F.lit(1)).over(whole_frames["yesterday"]).alias("_n_yesterday")] if "yesterday" in wholes else []),
-        )
-        parts.append(framed.join(windows.where(F.col("whole").isNotNull()), "spec_id")
-                     .select(*keep, value.alias("value"), n_yesterday.alias("n_yesterday")))
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    value = F.col("value").try_cast("bigint") if family == "sum_long" else F.col("value")
-    if family in ("count", "sum_long"):
-        long_v, double_v = value, F.lit(None)
-    elif family == "sum_double":
-        long_v, double_v = F.lit(None), value
-    else:
-        is_double = F.col("field_type") == "double"
-        long_v, double_v = F.when(~is_double, value["l"]), F.when(is_double, value["d"])
-    text = F.coalesce(long_v.cast("string"), double_v.cast("string"))
-    vtype = F.lit("long") if family in ("count", "sum_long") else F.lit("double") if family == "sum_double" else \
-        F.when(F.col("field_type") == "double", F.lit("double")).otherwise(F.lit("long"))
-    # an empty look-back (yesterday without panes) emits nothing; a sum beyond its type emits NULL
-    some = F.col("whole").isNull() | (F.col("whole") != "yesterday") | (F.col("n_yesterday") > 0)
-    rows = rows.where(some) if family.startswith("sum") else rows.where(text.isNotNull())
-    return _emit(rows, F.concat_ws("_", "feature", "window"), long_v, double_v, text, vtype)
-
-
-def _two_blocks(p: DataFrame, lengths: list[int], agg) -> DataFrame:
-    """``value`` over ``(T - w, T]`` for each pane end ``T`` and length ``w``, in linear time.
-
-    With blocks ``(b * w, (b + 1) * w]``, the look-back of a pane in block ``b``
-    is the part of block ``b - 1`` after ``T - w`` and the part of block ``b`` up
-    to ``T``.  Both are growing frames inside one block.  An entry at ``t`` whose
-    block-end aggregate is ``S`` is placed in the next block at ``t + w``; the
-    first one beyond ``T`` there starts the look-back.
+
+def _block(t: str) -> Column:
+    """Number of the block ``(b * w, (b + 1) * w]`` that holds a pane end."""
+    return F.floor((F.col(t) - 1) / F.col("window_ms"))
+
+
+def _two_blocks(rows: DataFrame, key: list[str], t: str, states: dict[str, State], carry: list[str]) -> DataFrame:
+    """Every state over ``(T - w, T]`` for each row, in linear time.
+
+    ``rows`` hold one row per ``key``, ``window_ms`` (w) and ``t``; ``carry`` columns
+    are kept.  With blocks ``(b * w, (b + 1) * w]``, the look-back of a row in block
+    ``b`` is the part of block ``b - 1`` after ``T - w`` and the part of block ``b``
+    up to ``T``.  Both are growing frames inside one block.  An entry at ``t`` whose
+    block-end state is ``S`` is placed in the next block at ``t + w``; the first one
+    beyond ``T`` there starts the look-back.
     """
-    keys = [*ENTITY, "spec_id", "window_ms", "b"]
-    rows = p.withColumn("window_ms", F.explode(F.array(*[F.lit(k).cast("bigint") for k in lengths])))
-    rows = rows.withColumn("b", F.floor((F.col("pane_end_ms") - 1) / F.col("window_ms")))
+    keys = [*key, "window_ms", "b"]
+    rows = rows.withColumn("b", _block(t))
     in_block = Window.partitionBy(*keys)
-    so_far = agg("x").over(in_block.orderBy("pane_end_ms").rowsBetween(Window.unboundedPreceding, 0))
-    to_end = agg("x").over(in_block.orderBy(F.desc("pane_end_ms")).rowsBetween(Window.unboundedPreceding, 0))
-    ends = rows.select(*keys, "field_type", "pane_end_ms", so_far.alias("head"), to_end.alias("tail"))
-    own = ends.select(*keys, "field_type", F.col("pane_end_ms").alias("at"), F.lit(1).alias("own"), "head", F.lit(None).cast(ends.schema["tail"].dataType).alias("tail"))
-    moved = ends.select(*ENTITY, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), "field_type", (F.col("pane_end_ms") + F.col("window_ms")).alias("at"),
-                        F.lit(0).alias("own"), F.lit(None).cast(ends.schema["head"].dataType).alias("head"), "tail")
+    so_far = in_block.orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
+    to_end = in_block.orderBy(F.desc(t)).rowsBetween(Window.unboundedPreceding, 0)
+    ends = rows.select(*keys, t, *carry, F.struct(*[v.agg(k).over(so_far).alias(k) for k, v in states.items()]).alias("head"),
+                       F.struct(*[v.agg(k).over(to_end).alias(k) for k, v in states.items()]).alias("tail"))
+    kind = ends.schema["head"].dataType
+    own = ends.select(*keys, F.col(t).alias("at"), F.lit(1).alias("own"), *carry, "head", F.lit(None).cast(ends.schema["tail"].dataType).alias("tail"))
+    moved = ends.select(*key, "window_ms", (F.col("b") + 1).alias("b"), (F.col(t) + F.col("window_ms")).alias("at"), F.lit(0).alias("own"),
+                        *[F.lit(None).cast(ends.schema[c].dataType).alias(c) for c in carry], F.lit(None).cast(kind).alias("head"), "tail")
     # backwards in time: the last moved entry seen before T is the first one after it; one exactly at T is outside
     backwards = in_block.orderBy(F.desc("at"), F.desc("own")).rowsBetween(Window.unboundedPreceding, 0)
     both = own.unionByName(moved).withColumn("tail", F.last("tail", ignorenulls=True).over(backwards)).where(F.col("own") == 1)
-    merged = {F.max: F.greatest, F.min: F.least}.get(agg, lambda x, y: F.try_add(x, F.coalesce(y, F.lit(0))))
-    return both.select(*ENTITY, "spec_id", "window_ms", "field_type", F.col("at").alias("pane_end_ms"), merged(F.col("head"), F.col("tail")).alias("value"))
+    return both.select(*key, "window_ms", F.col("at").alias(t), *carry,
+                       *[v.merge(F.col("head")[k], F.col("tail")[k]).alias(k) for k, v in states.items()])
 
 
 # --------------------------------------------------------------------------- grouped count
@@ -207,100 +209,69 @@ GROUP = ENTITY + ["sub_key"]
 def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None) -> DataFrame:
     """Grouped COUNT: every group seen in the look-back, at every active pane (A2).
 
-    Nothing gathers all groups of an entity: work is partitioned by
-    (entity, group) wherever it can be, and by (entity, time bucket) where
-    groups meet the entity's active panes.
+    Nothing gathers all groups of an entity, or a group's whole history: work is
+    partitioned by (entity, group, block) wherever it can be, and by (entity,
+    block) where groups meet the entity's active panes.
 
-    1. islands -- per (entity, group), panes closer than ``w`` merge into one
-       interval of presence ``[first, last + w)`` (lag + running sum);
-    2. pairs   -- islands range-join the entity's active pane ends on
-       (entity, w, bucket of length w); islands of one group never overlap,
-       so the join emits exactly the output (group, pane) pairs, and a hot
-       entity's buckets are split by AQE's skew handling;
-    3. values  -- pairs join the group's own panes as zero-count probes, and a
-       running total per (entity, group) gives ``C(T) - C(T - w)`` -- linear.
+    1. presence -- a group is seen from a pane ``T`` of block ``b`` if its first
+       pane there is no later, or its last pane of block ``b - 1`` is after
+       ``T - w``: two extremes per (entity, group, block), combined map-side;
+    2. pairs    -- presence joins the entity's active panes on (entity, w, block):
+       exactly the output (group, pane) pairs, which AQE may split;
+    3. values   -- pairs join the group's own panes as zero-count probes, and
+       :func:`_two_blocks` adds up each look-back, in linear time.
 
     ``today`` pairs come from a same-day join with each group's first pane
     of the day; ``yesterday`` is an equi-join with the previous day's totals.
     """
     params = _spec_params(cs).where((F.col("spec_kind") == "count") & F.col("grouped"))
-    ids = [r.spec_id for r in cs.rows["specs"] if r.kind == "count" and r.group_by is not None]
+    ids = {r.spec_id for r in cs.rows["specs"] if r.kind == "count" and r.group_by is not None}
     wins = [w for w in cs.rows["windows"] if w.spec_id in ids and w.cadence_ms == pane_ms]
-    lengths = sorted({w.window_ms for w in wins if w.whole is None})
-    wholes = sorted({w.whole for w in wins if w.whole is not None})
-    if not lengths and not wholes:
+    wholes = {w.whole for w in wins if w.whole is not None}
+    if not wins:
         return _none(panes)
 
     gp = panes.where(F.col("kind") == "count").join(params, ["feature", "id_type"]).select(
         *ENTITY, "spec_id", "sub_key", F.col("pane_end_ms").alias("t"), F.col("cnt").alias("c"),
         local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz).alias("day"))
     active = gp.select(*ENTITY, "spec_id", "t", "day").distinct()
-    by_group = Window.partitionBy(*GROUP).orderBy("t")
-
-    pair_parts = []
-    if lengths:
-        # 1. islands for every look-back length in one pass over (entity, group)
-        prev = F.lag("t").over(by_group)
-        marked = gp.select(*GROUP, "spec_id", "t", *[
-            F.when(prev.isNull() | (F.col("t") - prev >= F.lit(k)), 1).otherwise(0).alias(f"_n{k}")
-            for k in lengths])
-        running = Window.partitionBy(*GROUP).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-        counted = marked.select(*GROUP, "spec_id", "t",
-                                *[F.sum(f"_n{k}").over(running).alias(f"_i{k}") for k in lengths])
-        numbered = counted.select(*GROUP, "spec_id", "t", F.explode(F.array(*[
-            F.struct(F.lit(k).cast("bigint").alias("w"), F.col(f"_i{k}").alias("island"))
-            for k in lengths])).alias("x"))
-        islands = (numbered.groupBy(*GROUP, "spec_id", F.col("x.w").alias("w"), F.col("x.island"))
-                   .agg(F.min("t").alias("s"), (F.max("t") + F.col("x.w")).alias("e")))
-        # 2. bucket of length w: an island [s, e) covers buckets s div w .. (e - 1) div w
-        buckets = islands.select(*GROUP, "spec_id", "w", "s", "e", F.explode(F.sequence(
-            F.floor(F.col("s") / F.col("w")), F.floor((F.col("e") - 1) / F.col("w")))).alias("b"))
-        probes = active.select(*ENTITY, "spec_id", "t", F.explode(F.array(*[
-            F.lit(k).cast("bigint") for k in lengths])).alias("w")).withColumn(
-            "b", F.floor(F.col("t") / F.col("w")))
-        rel_pairs = probes.join(buckets, [*ENTITY, "spec_id", "w", "b"]).where(
-            (F.col("t") >= F.col("s")) & (F.col("t") < F.col("e")))
-        pair_parts.append(rel_pairs.select(*GROUP, "spec_id", "t", F.lit(None).cast("int").alias("day"),
-                                           F.col("w").cast("string").alias("frame")))
-    if "today" in wholes:
-        firsts = gp.groupBy(*GROUP, "spec_id", "day").agg(F.min("t").alias("s"))
-        today_pairs = active.join(firsts, [*ENTITY, "spec_id", "day"]).where(F.col("t") >= F.col("s"))
-        pair_parts.append(today_pairs.select(*GROUP, "spec_id", "t", "day", F.lit("today").alias("frame")))
-
+    count = {"c": State(F.col("c"), F.sum, _plus)}
+    zero = F.lit(0).cast("bigint")
     parts = []
-    if pair_parts:
-        pairs = pair_parts[0] if len(pair_parts) == 1 else pair_parts[0].unionByName(pair_parts[1])
-        # 3. values: probes (count 0) among the group's panes, one partition per (entity, group)
-        panes_rows = gp.select(*GROUP, "spec_id", "t", "day", "c", F.lit(None).cast("string").alias("frame"))
-        probe_rows = pairs.select(*GROUP, "spec_id", "t", "day", F.lit(0).cast("bigint").alias("c"), "frame")
-        mixed = panes_rows.unionByName(probe_rows).withColumn(
-            "day", F.coalesce("day", local_day_num(F.col("t") - F.lit(pane_ms), tz)))
-        total = F.sum("c")
-        values = {}
-        for k in lengths:
-            now = total.over(by_group.rangeBetween(Window.unboundedPreceding, 0))
-            before = total.over(by_group.rangeBetween(Window.unboundedPreceding, -k))
-            values[str(k)] = now - F.coalesce(before, F.lit(0).cast("bigint"))
-        if "today" in wholes:
-            values["today"] = total.over(Window.partitionBy(*GROUP, "day").orderBy("t").rangeBetween(
-                Window.unboundedPreceding, 0))
-        framed = mixed.select(*GROUP, "spec_id", "t", "frame",
-                              *[v.alias(f"_v{i}") for i, v in enumerate(values.values())])
-        pick = None
-        for i, name in enumerate(values):
-            cond = F.col("frame") == F.lit(name)
-            pick = F.when(cond, F.col(f"_v{i}")) if pick is None else pick.when(cond, F.col(f"_v{i}"))
-        parts.append(framed.where(F.col("frame").isNotNull()).select(
-            *GROUP, "spec_id", F.col("t").alias("pane_end_ms"), "frame", pick.alias("total")))
+    if any(w.whole is None for w in wins):
+        lengths = _lengths(cs, pane_ms, ids)
+        blocked = [*GROUP, "spec_id", "window_ms", "b"]
+        at = gp.join(lengths, "spec_id").withColumn("b", _block("t"))
+        ends = at.groupBy(*blocked).agg(F.min("t").alias("since"), F.max("t").alias("last"))
+        nothing = F.lit(None).cast("bigint")
+        here = ends.select(*blocked, "since", nothing.alias("until"))
+        after = ends.select(*GROUP, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), nothing.alias("since"), (F.col("last") + F.col("window_ms")).alias("until"))
+        seen = here.unionByName(after).groupBy(*blocked).agg(F.max("since").alias("since"), F.max("until").alias("until"))
+        probes = active.join(lengths, "spec_id").withColumn("b", _block("t"))
+        pairs = probes.join(seen, [*ENTITY, "spec_id", "window_ms", "b"]).where((F.col("t") >= F.col("since")) | (F.col("t") < F.col("until")))
+        mixed = (at.select(*blocked, "t", "c", F.lit(0).alias("probe"))
+                 .unionByName(pairs.select(*blocked, "t", zero.alias("c"), F.lit(1).alias("probe")))
+                 .groupBy(*blocked, "t").agg(F.sum("c").alias("c"), F.max("probe").alias("probe")))
+        done = _two_blocks(mixed.drop("b"), [*GROUP, "spec_id"], "t", count, ["probe"]).where(F.col("probe") == 1)
+        parts.append(done.select(*GROUP, "spec_id", F.col("t").alias("pane_end_ms"), F.col("window_ms").cast("string").alias("frame"), F.col("c").alias("total")))
+    daily = [*GROUP, "spec_id", "day"]
+    if "today" in wholes:
+        firsts = gp.groupBy(*daily).agg(F.min("t").alias("since"))
+        pairs = active.join(firsts, [*ENTITY, "spec_id", "day"]).where(F.col("t") >= F.col("since"))
+        mixed = (gp.select(*daily, "t", "c", F.lit(0).alias("probe")).unionByName(pairs.select(*daily, "t", zero.alias("c"), F.lit(1).alias("probe")))
+                 .groupBy(*daily, "t").agg(F.sum("c").alias("c"), F.max("probe").alias("probe")))
+        so_far = F.sum("c").over(Window.partitionBy(*daily).orderBy("t").rowsBetween(Window.unboundedPreceding, 0))
+        parts.append(mixed.withColumn("total", so_far).where(F.col("probe") == 1).select(
+            *GROUP, "spec_id", F.col("t").alias("pane_end_ms"), F.lit("today").alias("frame"), "total"))
     if "yesterday" in wholes:
-        daily = gp.groupBy(*GROUP, "spec_id", "day").agg(F.sum("c").alias("total"))
-        prior = daily.select(*GROUP, "spec_id", (F.col("day") + 1).alias("day"), "total")
+        prior = gp.groupBy(*GROUP, "spec_id", (F.col("day") + 1).alias("day")).agg(F.sum("c").alias("total"))
         parts.append(active.join(prior, [*ENTITY, "spec_id", "day"]).select(
             *GROUP, "spec_id", F.col("t").alias("pane_end_ms"), F.lit("yesterday").alias("frame"), "total"))
 
-    totals = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    w = _windows(cs, pane_ms).withColumn(
-        "frame", F.coalesce(F.col("whole"), F.col("window_ms").cast("string")))
+    totals = parts[0]
+    for part in parts[1:]:
+        totals = totals.unionByName(part)
+    w = _windows(cs, pane_ms).withColumn("frame", F.coalesce(F.col("whole"), F.col("window_ms").cast("string")))
     rows = totals.join(w, ["spec_id", "frame"])
     return _emit(
         rows, F.concat_ws("_", "feature", "sub_key", "window"),
@@ -315,122 +286,95 @@ def _render_items(items: Column, need_ts: Column) -> Column:
         need_ts, F.concat(x["value"], F.lit("|"), x["ts"].cast("string"))).otherwise(x["value"])))
 
 
-def rollup_list(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
-                clock_field: str = DEFAULT_EVENT_TIME_FIELD) -> DataFrame:
-    """LIST: newest ``capacity`` (value, time) items in the look-back.
-
-    When item times are the pane clock, newer panes hold only newer items and
-    every pane holds at least one, so the newest K items sit in the newest K
-    panes: a ROWS frame of K panes, cut to the look-back, is exact and needs
-    no sort.  Otherwise (a custom ``eventTimeField``) candidates are paired
-    with the panes that can see them by an interval join
-    (:func:`_interval_topk`); no look-back is gathered.
+def rollup_items(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, kind: str, clock_field: str = DEFAULT_EVENT_TIME_FIELD) -> DataFrame:
+    """LIST: the newest ``capacity`` (value, time) items in the look-back (A6).  SET: the newest
+    ``capacity`` distinct values, each at its newest time (A7, D5).
     """
-    params = _spec_params(cs).where(F.col("spec_kind") == "list")
-    p = (panes.where(F.col("kind") == "list").join(params, ["feature", "id_type"])
-         .select(*ENTITY, "spec_id", "pane_end_ms", "items", "capacity", "need_ts"))
-    by_time = Window.partitionBy(*ENTITY).orderBy("pane_end_ms")
-    frames = cs.list_frames(pane_ms, clock_field)
-    if not frames:
-        return _none(panes)
-    aligned = [(length, k) for length, k, ok in frames if ok]
-    unaligned = sorted(length for length, _, ok in frames if not ok)
     parts = []
-    if aligned:
-        p = p.repartition(*ENTITY)
-        picked = {}
-        for length, k in aligned:
-            rows_back = max(1, min(int(k), length // pane_ms + 1))
-            recent = F.collect_list(F.struct("pane_end_ms", "items")).over(
-                by_time.rowsBetween(-(rows_back - 1), 0))
-            in_range = F.filter(recent, lambda x: x["pane_end_ms"] > F.col("pane_end_ms") - F.lit(length))
-            newest_first = F.flatten(F.transform(F.reverse(in_range), lambda x: x["items"]))
-            picked[length] = F.slice(newest_first, 1, F.col("capacity"))
-        framed = p.select(*ENTITY, "spec_id", "pane_end_ms", "need_ts",
-                          *[v.alias(f"_i{k}") for k, v in picked.items()])
-        rows = framed.join(_windows(cs, pane_ms).where(F.col("whole").isNull()), "spec_id")
-        rows = rows.where(F.col("window_ms").isin(*picked.keys()))
-        items = _pick(F.col("window_ms"), {k: F.col(f"_i{k}") for k in picked})
-        parts.append(_emit(rows, F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
-                           _render_items(items, F.col("need_ts")), F.lit("list")))
-    if unaligned:
-        # item times are not the pane clock: candidates by interval join, never a gathered look-back
-        q = p.select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts")
-        rows = _interval_topk(q, cs, pane_ms, "list", unaligned, distinct_values=False).join(
+    for on_clock in (True, False):
+        ids = {r.spec_id for r in cs.rows["specs"] if r.kind == kind and (r.time_field == clock_field) == on_clock}
+        wins = [w for w in cs.rows["windows"] if w.spec_id in ids and w.cadence_ms == pane_ms and w.whole is None]
+        if not wins:
+            continue
+        params = _spec_params(cs).where((F.col("spec_kind") == kind) & F.col("spec_id").isin(*sorted(ids)))
+        p = (panes.where(F.col("kind") == kind).join(params, ["feature", "id_type"])
+             .select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts").join(_lengths(cs, pane_ms, ids), "spec_id"))
+        rows = _newest_items(p, pane_ms, kind == "set", on_clock).join(
             _windows(cs, pane_ms).where(F.col("whole").isNull()), ["spec_id", "window_ms"])
-        parts.append(_emit(rows, F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
-                           _render_items(F.col("items"), F.col("need_ts")), F.lit("list")))
+        parts.append(_emit(rows.withColumnRenamed("t", "pane_end_ms"), F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
+                           _render_items(F.col("items"), F.col("need_ts")), F.lit(kind)))
+    if not parts:
+        return _none(panes)
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _interval_topk(p: DataFrame, cs: CompiledSpecs, pane_ms: int, kind: str, lengths: list[int],
-                   distinct_values: bool, aligned: bool = False) -> DataFrame:
-    """Newest ``capacity`` items per active pane without gathering a look-back.
+def _merged(x: Column, y: Column, capacity: Column, distinct_values: bool) -> Column:
+    """The newest ``capacity`` items of two arrays: the associative merge of LIST and SET."""
+    both = F.sort_array(F.concat(x, y), asc=False)
+    if distinct_values:  # newest first: a value's first item is its newest
+        both = F.aggregate(both, F.slice(x, 1, 0), lambda acc, e: F.when(F.exists(acc, lambda a: a["value"] == e["value"]), acc).otherwise(F.concat(acc, F.array(e))))
+    return F.slice(both, 1, capacity)
 
-    ``p`` holds one row per pane: ``(id, id_type, feature, spec_id, t, items,
-    capacity, need_ts)``.  Each pane entry is a candidate for the pane ends
-    it can be seen from: ``[t, t + w)``, cut at the value's next pane when
-    values are distinct (SET) and item times are the pane clock (``aligned``),
-    so that a later pane never holds an older time.  A range join on (entity, w, bucket of length
-    w) pairs candidates with active panes; ``row_number() <= K`` per pane
-    keeps the newest (WindowGroupLimit trims each task first).
-    """
-    active = p.select(*ENTITY, "spec_id", "t", "capacity", "need_ts")
-    entries = p.select(*ENTITY, "spec_id", "t", F.explode("items").alias("x")).select(
-        *ENTITY, "spec_id", "t", F.col("x.value").alias("v"), F.col("x.ts").alias("ts"))
-    if distinct_values and aligned:
-        entries = entries.withColumn("next_t", F.lead("t").over(Window.partitionBy(*ENTITY, "v").orderBy("t")))
-    else:
-        entries = entries.withColumn("next_t", F.lit(None).cast("bigint"))
-    spans = entries.select("*", F.explode(F.array(*[F.lit(k).cast("bigint") for k in lengths])).alias("w"))
-    spans = spans.withColumn("e", F.least(F.coalesce("next_t", F.col("t") + F.col("w")), F.col("t") + F.col("w")))
-    spans = spans.select(*ENTITY, "spec_id", "v", "ts", "w", "t", "e", F.explode(F.sequence(
-        F.floor(F.col("t") / F.col("w")), F.floor((F.col("e") - 1) / F.col("w")))).alias("b"))
-    probes = active.select(*ENTITY, "spec_id", F.col("t").alias("probe_t"), "capacity", "need_ts",
-                           F.explode(F.array(*[F.lit(k).cast("bigint") for k in lengths])).alias("w"))
-    probes = probes.withColumn("b", F.floor(F.col("probe_t") / F.col("w")))
-    pairs = probes.join(spans, [*ENTITY, "spec_id", "w", "b"]).where(
-        (F.col("probe_t") >= F.col("t")) & (F.col("probe_t") < F.col("e")))
-    if distinct_values and not aligned:
-        # entries of one value may overlap: the greatest time counts, before the top K is taken
-        pairs = (pairs.groupBy(*ENTITY, "spec_id", "w", "b", "probe_t", "capacity", "need_ts", "v")
-                 .agg(F.max("ts").alias("ts")))
-    newest = Window.partitionBy(*ENTITY, "spec_id", "w", "b", "probe_t").orderBy(
-        F.col("ts").desc(), F.col("v").desc())
-    kmax = max([r.capacity for r in cs.rows["specs"] if r.kind == kind] + [1])
-    ranked = pairs.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= F.lit(kmax))
-    kept = ranked.where(F.col("_rn") <= F.col("capacity")).groupBy(
-        *ENTITY, "spec_id", "w", "b", "probe_t", "need_ts").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("ts"), F.col("v").alias("value"))), asc=False).alias("items"))
-    return kept.select(*ENTITY, "spec_id", F.col("probe_t").alias("pane_end_ms"), "need_ts", "items",
-                       F.col("w").alias("window_ms"))
-
-
-def rollup_set(panes: DataFrame, cs: CompiledSpecs, pane_ms: int,
-               clock_field: str = DEFAULT_EVENT_TIME_FIELD) -> DataFrame:
-    """SET: newest ``capacity`` distinct values in the look-back, each at its newest time.
 
-    No active pane gathers its look-back: a value's pane entry is current on
-    ``[t, min(next pane of that value, t + w))``, so each distinct value has at
-    most one current entry at any pane end (see :func:`_interval_topk`).
+def _running(cells: Column, capacity: Column, distinct_values: bool) -> Column:
+    """For an array of ``(t, items)``: the merge of all items up to each ``t``."""
+    none = F.filter(cells, lambda c: F.lit(False))
+    last = lambda acc: F.coalesce(F.try_element_at(acc, F.lit(-1))["items"], F.array().cast(ITEM_TYPE))
+    return F.aggregate(cells, none, lambda acc, c: F.concat(acc, F.array(F.struct(
+        c["t"].alias("t"), _merged(last(acc), c["items"], capacity, distinct_values).alias("items")))))
+
+
+def _newest_items(p: DataFrame, pane_ms: int, distinct_values: bool, on_clock: bool) -> DataFrame:
+    """Newest items per active pane and look-back, with no more than ``capacity`` of them in any state.
+
+    Time is cut into blocks of the look-back's length ``w`` and these into about
+    ``sqrt(w / pane)`` cells.  Running merges go over the panes of a cell, and over the
+    cells of a block; a pane's *head* is the merge of both.  Where item times are the
+    pane clock, all items of the block before are older, so the look-back is the
+    head and that block's last items, as far as they are in reach.  With a time of
+    their own, items need the *tail* too: the merge of the panes after ``T - w`` in
+    the block before, from running merges in the other direction.
+
+    A task holds one block of one key: the panes of one look-back, whatever the
+    key's history; an array holds the items of one cell.
     """
-    parts = []
-    for aligned in (True, False):
-        ids = [r.spec_id for r in cs.rows["specs"] if r.kind == "set" and (r.time_field == clock_field) == aligned]
-        lengths = sorted({w.window_ms for w in cs.rows["windows"]
-                          if w.spec_id in ids and w.cadence_ms == pane_ms and w.whole is None})
-        if not lengths:
-            continue
-        params = _spec_params(cs).where((F.col("spec_kind") == "set") & F.col("spec_id").isin(*ids))
-        p = (panes.where(F.col("kind") == "set").join(params, ["feature", "id_type"])
-             .select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts"))
-        rows = _interval_topk(p, cs, pane_ms, "set", lengths, distinct_values=True, aligned=aligned).join(
-            _windows(cs, pane_ms).where(F.col("whole").isNull()), ["spec_id", "window_ms"])
-        parts.append(_emit(rows, F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
-                           _render_items(F.col("items"), F.col("need_ts")), F.lit("set")))
-    if not parts:
-        return _none(panes)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    block = [*ENTITY, "spec_id", "window_ms", "b"]
+    width = F.ceil(F.sqrt(F.col("window_ms") / F.lit(pane_ms))) * F.lit(pane_ms)
+    k, empty = F.col("capacity"), F.array().cast(ITEM_TYPE)
+    items = F.transform("items", lambda x: F.struct(x["ts"].alias("ts"), x["value"].alias("value")))
+    placed = (p.withColumn("b", _block("t")).withColumn("cell", F.floor((F.col("t") - 1 - F.col("b") * F.col("window_ms")) / width))
+              .withColumn("items", items).repartition(*[F.col(c) for c in block]))
+    cells = (placed.groupBy(*block, "cell").agg(F.array_sort(F.collect_list(F.struct("t", "items"))).alias("panes"),
+                                                F.first("capacity").alias("capacity"), F.first("need_ts").alias("need_ts")))
+    cells = cells.withColumn("heads", _running(F.col("panes"), k, distinct_values))
+    if not on_clock:
+        cells = cells.withColumn("tails", _running(F.reverse("panes"), k, distinct_values))
+    total = F.element_at("heads", -1)["items"]
+    sums = cells.groupBy(*block).agg(F.array_sort(F.collect_list(F.struct(F.col("cell").alias("t"), total.alias("items")))).alias("cells"), F.first("capacity").alias("capacity"))
+    sums = sums.withColumn("up", _running(F.col("cells"), k, distinct_values))
+    carried = [F.transform("up", lambda c, i: F.struct(c["t"].alias("cell"), F.coalesce(F.get("up", i - 1)["items"], empty).alias("before"), *(
+        [] if on_clock else [F.coalesce(F.try_element_at(F.filter("down", lambda d: d["t"] > c["t"]), F.lit(-1))["items"], empty).alias("after")])))]
+    if not on_clock:
+        sums = sums.withColumn("down", _running(F.reverse("cells"), k, distinct_values))
+    carry = sums.select(*block, F.inline(carried[0]))
+    rows = cells.join(carry, [*block, "cell"])
+    pane = F.explode("heads" if on_clock else F.zip_with("heads", F.reverse("tails"), lambda h, s: F.struct(h["t"].alias("t"), h["items"].alias("items"), s["items"].alias("rest"))))
+    rows = rows.select(*block, "capacity", "need_ts", *[c for c in ("before", "after") if c in rows.columns], pane.alias("x"))
+    rows = rows.select("*", F.col("x.t").alias("t"), _merged(F.col("x.items"), F.col("before"), k, distinct_values).alias("head"))
+    if on_clock:
+        prior = sums.select(*ENTITY, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), F.element_at("up", -1)["items"].alias("prior"))
+        rows = rows.join(prior, block, "left")
+        found = _merged(F.col("head"), F.coalesce("prior", empty), k, distinct_values)
+        reach = lambda x: (F.floor(x["ts"] / F.lit(pane_ms)) + 1) * F.lit(pane_ms) > F.col("t") - F.col("window_ms")
+        return rows.select(*ENTITY, "spec_id", "window_ms", "t", "need_ts", F.filter(found, reach).alias("items"))
+    rows = rows.withColumn("tail", _merged(F.col("x.rest"), F.col("after"), k, distinct_values))
+    own = rows.select(*block, "capacity", "need_ts", F.col("t").alias("at"), F.lit(1).alias("own"), "head", F.lit(None).cast(ITEM_TYPE).alias("tail"))
+    moved = rows.select(*ENTITY, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), "capacity", "need_ts", (F.col("t") + F.col("window_ms")).alias("at"),
+                        F.lit(0).alias("own"), F.lit(None).cast(ITEM_TYPE).alias("head"), "tail")
+    backwards = Window.partitionBy(*block).orderBy(F.desc("at"), F.desc("own")).rowsBetween(Window.unboundedPreceding, 0)
+    both = own.unionByName(moved).withColumn("tail", F.last("tail", ignorenulls=True).over(backwards)).where(F.col("own") == 1)
+    return both.select(*ENTITY, "spec_id", "window_ms", F.col("at").alias("t"), "need_ts",
+                       _merged(F.col("head"), F.coalesce("tail", empty), k, distinct_values).alias("items"))
 
 
 # --------------------------------------------------------------------------- latest
@@ -467,9 +411,9 @@ KIND_REGISTRY: dict[str, FeatureKind] = {
     "grouped_count": FeatureKind("grouped_count", lambda r: r.kind == "count" and r.group_by is not None,
                                  lambda p, cs, ms, tz, clock: rollup_grouped_count(p, cs, ms, tz)),
     "list": FeatureKind("list", lambda r: r.kind == "list",
-                        lambda p, cs, ms, tz, clock: rollup_list(p, cs, ms, clock)),
+                        lambda p, cs, ms, tz, clock: rollup_items(p, cs, ms, "list", clock)),
     "set": FeatureKind("set", lambda r: r.kind == "set",
-                       lambda p, cs, ms, tz, clock: rollup_set(p, cs, ms, clock)),
+                       lambda p, cs, ms, tz, clock: rollup_items(p, cs, ms, "set", clock)),
     "latest": FeatureKind("latest", lambda r: r.kind == "latest",
                           lambda p, cs, ms, tz, clock: rollup_latest(p, cs)),
 }

@@ -42,7 +42,7 @@ from tumbleweed.functions.intervals import duration_ms
 from tumbleweed.functions.scalars import pane_end_ms
 from tumbleweed.operators.fanout import fan_out
 from tumbleweed.operators.panes import (PANE_COLUMNS, PANE_KEYS, PANE_SCHEMA, coarser_partials, combine_partials, pane_partials,
-                                        pane_partials_streaming, panes_from_partials, retain_panes, retention_ms)
+                                        pane_partials_streaming, panes_from_partials, retain_panes)
 from tumbleweed.operators.rollup import FEATURE_COLUMNS, rollup_all
 from tumbleweed.operators.route import route_windowed
 from tumbleweed.operators.sinks import write_sinks
@@ -173,8 +173,9 @@ class FeatureBatchWriter:
         return version
 
     def _horizon(self, job: FeatureJob) -> int:
-        row = retention_ms(job.compiled).agg(F.max("retention_ms")).first()
-        return int(row[0]) if row and row[0] is not None else 3_600_000
+        """The longest retention of any feature (see ``retention_ms``)."""
+        whole = {"today": 24 * 3_600_000, "yesterday": 48 * 3_600_000}
+        return max([3_600_000, *[w.window_ms or whole.get(w.whole, 0) for w in job.compiled.rows["windows"]]])
 
     # -- 4. retention ---------------------------------------------------------------
     def _compact(self, version: Version, job: FeatureJob) -> Version:
