@@ -218,8 +218,9 @@ def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz:
        ``T - w``: two extremes per (entity, group, block), combined map-side;
     2. pairs    -- presence joins the entity's active panes on (entity, w, block):
        exactly the output (group, pane) pairs, which AQE may split;
-    3. values   -- pairs join the group's own panes as zero-count probes, and
-       :func:`_two_blocks` adds up each look-back, in linear time.
+    3. values   -- pairs join the group's own panes as zero-count probes; a pane
+       adds its count at ``t`` and takes it back at ``t + w``, so a running total
+       in (entity, group, block) is each look-back's count.
 
     ``today`` pairs come from a same-day join with each group's first pane
     of the day; ``yesterday`` is an equi-join with the previous day's totals.
@@ -235,32 +236,35 @@ def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz:
         *ENTITY, "spec_id", "sub_key", F.col("pane_end_ms").alias("t"), F.col("cnt").alias("c"),
         local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz).alias("day"))
     active = gp.select(*ENTITY, "spec_id", "t", "day").distinct()
-    count = {"c": State(F.col("c"), F.sum, _plus)}
     zero = F.lit(0).cast("bigint")
     parts = []
     if any(w.whole is None for w in wins):
         lengths = _lengths(cs, pane_ms, ids)
         blocked = [*GROUP, "spec_id", "window_ms", "b"]
         at = gp.join(lengths, "spec_id").withColumn("b", _block("t"))
-        ends = at.groupBy(*blocked).agg(F.min("t").alias("since"), F.max("t").alias("last"))
+        ends = at.groupBy(*blocked).agg(F.min("t").alias("since"), F.max("t").alias("last"), F.sum("c").alias("total"))
         nothing = F.lit(None).cast("bigint")
         here = ends.select(*blocked, "since", nothing.alias("until"))
         after = ends.select(*GROUP, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), nothing.alias("since"), (F.col("last") + F.col("window_ms")).alias("until"))
         seen = here.unionByName(after).groupBy(*blocked).agg(F.max("since").alias("since"), F.max("until").alias("until"))
         probes = active.join(lengths, "spec_id").withColumn("b", _block("t"))
         pairs = probes.join(seen, [*ENTITY, "spec_id", "window_ms", "b"]).where((F.col("t") >= F.col("since")) | (F.col("t") < F.col("until")))
-        mixed = (at.select(*blocked, "t", "c", F.lit(0).alias("probe"))
-                 .unionByName(pairs.select(*blocked, "t", zero.alias("c"), F.lit(1).alias("probe")))
-                 .groupBy(*blocked, "t").agg(F.sum("c").alias("c"), F.max("probe").alias("probe")))
-        done = _two_blocks(mixed.drop("b"), [*GROUP, "spec_id"], "t", count, ["probe"]).where(F.col("probe") == 1)
-        parts.append(done.select(*GROUP, "spec_id", F.col("t").alias("pane_end_ms"), F.col("window_ms").cast("string").alias("frame"), F.col("c").alias("total")))
+        # the next block starts with this one's total and takes each pane back when it leaves the look-back
+        next_b = [*GROUP, "spec_id", "window_ms", (F.col("b") + 1).alias("b")]
+        row = lambda df, keys, t, c, probe: df.select(*keys, t.alias("t"), c.alias("c"), F.lit(probe).alias("probe"))
+        mixed = (row(at, blocked, F.col("t"), F.col("c"), 0)
+                 .unionByName(row(ends, next_b, F.col("last"), F.col("total"), 0))
+                 .unionByName(row(at, next_b, F.col("t") + F.col("window_ms"), -F.col("c"), 0))
+                 .unionByName(row(pairs, blocked, F.col("t"), zero, 1)))
+        so_far = F.sum("c").over(Window.partitionBy(*blocked).orderBy("t").rangeBetween(Window.unboundedPreceding, 0))
+        done = mixed.withColumn("total", so_far).where(F.col("probe") == 1)
+        parts.append(done.select(*GROUP, "spec_id", F.col("t").alias("pane_end_ms"), F.col("window_ms").cast("string").alias("frame"), "total"))
     daily = [*GROUP, "spec_id", "day"]
     if "today" in wholes:
         firsts = gp.groupBy(*daily).agg(F.min("t").alias("since"))
         pairs = active.join(firsts, [*ENTITY, "spec_id", "day"]).where(F.col("t") >= F.col("since"))
-        mixed = (gp.select(*daily, "t", "c", F.lit(0).alias("probe")).unionByName(pairs.select(*daily, "t", zero.alias("c"), F.lit(1).alias("probe")))
-                 .groupBy(*daily, "t").agg(F.sum("c").alias("c"), F.max("probe").alias("probe")))
-        so_far = F.sum("c").over(Window.partitionBy(*daily).orderBy("t").rowsBetween(Window.unboundedPreceding, 0))
+        mixed = gp.select(*daily, "t", "c", F.lit(0).alias("probe")).unionByName(pairs.select(*daily, "t", zero.alias("c"), F.lit(1).alias("probe")))
+        so_far = F.sum("c").over(Window.partitionBy(*daily).orderBy("t").rangeBetween(Window.unboundedPreceding, 0))
         parts.append(mixed.withColumn("total", so_far).where(F.col("probe") == 1).select(
             *GROUP, "spec_id", F.col("t").alias("pane_end_ms"), F.lit("today").alias("frame"), "total"))
     if "yesterday" in wholes:
@@ -299,7 +303,7 @@ def rollup_items(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, kind: str, c
         params = _spec_params(cs).where((F.col("spec_kind") == kind) & F.col("spec_id").isin(*sorted(ids)))
         p = (panes.where(F.col("kind") == kind).join(params, ["feature", "id_type"])
              .select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts").join(_lengths(cs, pane_ms, ids), "spec_id"))
-        rows = _newest_items(p, pane_ms, kind == "set", on_clock).join(
+        rows = _newest_items(p, pane_ms, kind == "set", on_clock, max(w.window_ms for w in wins)).join(
             _windows(cs, pane_ms).where(F.col("whole").isNull()), ["spec_id", "window_ms"])
         parts.append(_emit(rows.withColumnRenamed("t", "pane_end_ms"), F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
                            _render_items(F.col("items"), F.col("need_ts")), F.lit(kind)))
@@ -312,10 +316,15 @@ def _merged(x: Column, y: Column, capacity: Column, distinct_values: bool) -> Co
     """The newest ``capacity`` items of two arrays: the associative merge of LIST and SET."""
     both = F.sort_array(F.concat(x, y), asc=False)
     if distinct_values:  # newest first: a value's first item is its newest
-        both = F.aggregate(both, F.slice(x, 1, 0), lambda acc, e: F.when(F.exists(acc, lambda a: a["value"] == e["value"]), acc).otherwise(F.concat(acc, F.array(e))))
+        both = F.aggregate(both, F.array().cast(ITEM_TYPE), lambda acc, e: F.when(F.exists(acc, lambda a: a["value"] == e["value"]), acc).otherwise(F.concat(acc, F.array(e))))
     return F.slice(both, 1, capacity)
 
 
+def _once(c: Column) -> Column:
+    """``c`` computed once: the optimiser copies a projected expression to each place that reads it, but not past an ``explode``."""
+    return F.explode(F.array(c))
+
+
 def _running(cells: Column, capacity: Column, distinct_values: bool) -> Column:
     """For an array of ``(t, items)``: the merge of all items up to each ``t``."""
     none = F.filter(cells, lambda c: F.lit(False))
@@ -324,12 +333,30 @@ def _running(cells: Column, capacity: Column, distinct_values: bool) -> Column:
         c["t"].alias("t"), _merged(last(acc), c["items"], capacity, distinct_values).alias("items")))))
 
 
-def _newest_items(p: DataFrame, pane_ms: int, distinct_values: bool, on_clock: bool) -> DataFrame:
+def _with_running(grouped, capacity: Column, distinct_values: bool, on_clock: bool) -> DataFrame:
+    """Each group's panes in time order, as running merges: ``heads``, and ``tails`` (backwards) unless items follow the clock."""
+    cells = grouped.agg(F.array_sort(F.collect_list(F.struct("t", "items"))).alias("panes"),
+                        F.first("capacity").alias("capacity"), F.first("need_ts").alias("need_ts"))
+    cells = cells.withColumn("heads", _once(_running(F.col("panes"), capacity, distinct_values)))
+    return cells if on_clock else cells.withColumn("tails", _once(_running(F.reverse("panes"), capacity, distinct_values)))
+
+
+def _panes_of(on_clock: bool) -> Column:
+    return F.explode("heads" if on_clock else F.zip_with("heads", F.reverse("tails"), lambda h, s: F.struct(
+        h["t"].alias("t"), h["items"].alias("items"), s["items"].alias("rest"))))
+
+
+#: Panes of a look-back up to which its block is one array.
+ARRAY_PANES = 2048
+
+
+def _newest_items(p: DataFrame, pane_ms: int, distinct_values: bool, on_clock: bool, longest_ms: int) -> DataFrame:
     """Newest items per active pane and look-back, with no more than ``capacity`` of them in any state.
 
-    Time is cut into blocks of the look-back's length ``w`` and these into about
-    ``sqrt(w / pane)`` cells.  Running merges go over the panes of a cell, and over the
-    cells of a block; a pane's *head* is the merge of both.  Where item times are the
+    Time is cut into blocks of the look-back's length ``w`` and these, where a
+    look-back may have more than ``ARRAY_PANES`` panes, into about ``sqrt(w / pane)``
+    cells.  Running merges go over the panes of a cell, and over the cells of a
+    block; a pane's *head* is the merge of both.  Where item times are the
     pane clock, all items of the block before are older, so the look-back is the
     head and that block's last items, as far as they are in reach.  With a time of
     their own, items need the *tail* too: the merge of the panes after ``T - w`` in
@@ -339,35 +366,38 @@ def _newest_items(p: DataFrame, pane_ms: int, distinct_values: bool, on_clock: b
     key's history; an array holds the items of one cell.
     """
     block = [*ENTITY, "spec_id", "window_ms", "b"]
-    width = F.ceil(F.sqrt(F.col("window_ms") / F.lit(pane_ms))) * F.lit(pane_ms)
     k, empty = F.col("capacity"), F.array().cast(ITEM_TYPE)
-    items = F.transform("items", lambda x: F.struct(x["ts"].alias("ts"), x["value"].alias("value")))
-    placed = (p.withColumn("b", _block("t")).withColumn("cell", F.floor((F.col("t") - 1 - F.col("b") * F.col("window_ms")) / width))
-              .withColumn("items", items).repartition(*[F.col(c) for c in block]))
-    cells = (placed.groupBy(*block, "cell").agg(F.array_sort(F.collect_list(F.struct("t", "items"))).alias("panes"),
-                                                F.first("capacity").alias("capacity"), F.first("need_ts").alias("need_ts")))
-    cells = cells.withColumn("heads", _running(F.col("panes"), k, distinct_values))
-    if not on_clock:
-        cells = cells.withColumn("tails", _running(F.reverse("panes"), k, distinct_values))
-    total = F.element_at("heads", -1)["items"]
-    sums = cells.groupBy(*block).agg(F.array_sort(F.collect_list(F.struct(F.col("cell").alias("t"), total.alias("items")))).alias("cells"), F.first("capacity").alias("capacity"))
-    sums = sums.withColumn("up", _running(F.col("cells"), k, distinct_values))
-    carried = [F.transform("up", lambda c, i: F.struct(c["t"].alias("cell"), F.coalesce(F.get("up", i - 1)["items"], empty).alias("before"), *(
-        [] if on_clock else [F.coalesce(F.try_element_at(F.filter("down", lambda d: d["t"] > c["t"]), F.lit(-1))["items"], empty).alias("after")])))]
-    if not on_clock:
-        sums = sums.withColumn("down", _running(F.reverse("cells"), k, distinct_values))
-    carry = sums.select(*block, F.inline(carried[0]))
-    rows = cells.join(carry, [*block, "cell"])
-    pane = F.explode("heads" if on_clock else F.zip_with("heads", F.reverse("tails"), lambda h, s: F.struct(h["t"].alias("t"), h["items"].alias("items"), s["items"].alias("rest"))))
-    rows = rows.select(*block, "capacity", "need_ts", *[c for c in ("before", "after") if c in rows.columns], pane.alias("x"))
-    rows = rows.select("*", F.col("x.t").alias("t"), _merged(F.col("x.items"), F.col("before"), k, distinct_values).alias("head"))
+    placed = p.withColumn("b", _block("t"))
+    if longest_ms // pane_ms <= ARRAY_PANES:
+        cells = _with_running(placed.groupBy(*block), k, distinct_values, on_clock)
+        sums = cells.select(*block, "capacity", F.element_at("heads", -1)["items"].alias("all"))
+        rows = cells.select(*block, "capacity", "need_ts", _panes_of(on_clock).alias("x"))
+        rows = rows.select(*block, "capacity", "need_ts", F.col("x.t").alias("t"), F.col("x.items").alias("head"), *([] if on_clock else [F.col("x.rest").alias("tail")]))
+    else:
+        width = F.ceil(F.sqrt(F.col("window_ms") / F.lit(pane_ms))) * F.lit(pane_ms)
+        placed = placed.withColumn("cell", F.floor((F.col("t") - 1 - F.col("b") * F.col("window_ms")) / width)).repartition(*[F.col(c) for c in block])
+        cells = _with_running(placed.groupBy(*block, "cell"), k, distinct_values, on_clock)
+        total = F.element_at("heads", -1)["items"]
+        sums = cells.groupBy(*block).agg(F.array_sort(F.collect_list(F.struct(F.col("cell").alias("t"), total.alias("items")))).alias("cells"), F.first("capacity").alias("capacity"))
+        sums = sums.withColumn("up", _once(_running(F.col("cells"), k, distinct_values)))
+        after = []
+        if not on_clock:
+            sums = sums.withColumn("down", _once(_running(F.reverse("cells"), k, distinct_values)))
+            after = [lambda c: F.coalesce(F.try_element_at(F.filter("down", lambda d: d["t"] > c["t"]), F.lit(-1))["items"], empty).alias("after")]
+        carry = sums.select(*block, F.inline(F.transform("up", lambda c, i: F.struct(
+            c["t"].alias("cell"), F.coalesce(F.get("up", i - 1)["items"], empty).alias("before"), *[f(c) for f in after]))))
+        sums = sums.select(*block, "capacity", F.element_at("up", -1)["items"].alias("all"))
+        rows = cells.join(carry, [*block, "cell"])
+        rows = rows.select(*block, "capacity", "need_ts", "before", *(["after"] if after else []), _panes_of(on_clock).alias("x"))
+        rows = rows.select("*", F.col("x.t").alias("t"), _once(_merged(F.col("x.items"), F.col("before"), k, distinct_values)).alias("head"))
+        if after:
+            rows = rows.withColumn("tail", _once(_merged(F.col("x.rest"), F.col("after"), k, distinct_values)))
     if on_clock:
-        prior = sums.select(*ENTITY, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), F.element_at("up", -1)["items"].alias("prior"))
+        prior = sums.select(*ENTITY, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), F.col("all").alias("prior"))
         rows = rows.join(prior, block, "left")
         found = _merged(F.col("head"), F.coalesce("prior", empty), k, distinct_values)
         reach = lambda x: (F.floor(x["ts"] / F.lit(pane_ms)) + 1) * F.lit(pane_ms) > F.col("t") - F.col("window_ms")
         return rows.select(*ENTITY, "spec_id", "window_ms", "t", "need_ts", F.filter(found, reach).alias("items"))
-    rows = rows.withColumn("tail", _merged(F.col("x.rest"), F.col("after"), k, distinct_values))
     own = rows.select(*block, "capacity", "need_ts", F.col("t").alias("at"), F.lit(1).alias("own"), "head", F.lit(None).cast(ITEM_TYPE).alias("tail"))
     moved = rows.select(*ENTITY, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), "capacity", "need_ts", (F.col("t") + F.col("window_ms")).alias("at"),
                         F.lit(0).alias("own"), F.lit(None).cast(ITEM_TYPE).alias("head"), "tail")

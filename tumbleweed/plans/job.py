@@ -74,13 +74,15 @@ class FeatureJob:
         path = self.pane_path or scratch_path(spark, "panes")
         partials = pane_partials(route_windowed(self.fanned(records), cs, *cadences)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            (panes_from_partials(partials, cs.max_capacity(), cs.kinds_at(*cadences))
-             .withColumn("pane_date", F.to_date(F.timestamp_millis(F.col("pane_end_ms") - 1)))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("cadence_ms", "kind", "pane_date").parquet(path))
+            panes = panes_from_partials(partials, cs.max_capacity(), cs.kinds_at(*cadences))
+            if self.pane_path:
+                panes = panes.withColumn("pane_date", F.to_date(F.timestamp_millis(F.col("pane_end_ms") - 1)))
+            # a run's own table is read as a whole: a folder for each date would only make small files
+            (panes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("cadence_ms", "kind", *(["pane_date"] if self.pane_path else [])).parquet(path))
         finally:
             partials.unpersist()
-        panes = spark.read.schema(PANE_SCHEMA + ", pane_date date").parquet(path)
+        panes = spark.read.schema(PANE_SCHEMA + (", pane_date date" if self.pane_path else "")).parquet(path)
         return panes.where(F.col("cadence_ms").isin(*cadences)).select(*PANE_COLUMNS)
 
     def windowed_features(self, records: DataFrame | None = None, panes: DataFrame | None = None,
