@@ -2,21 +2,28 @@ r"""Secret scan: candidates from a pattern, false positives removed by a random
 
 A candidate is one of
 
-* what follows a credential word and an assignment (``password = "..."``), 8 or more
-  characters without spaces or quotes;
-* the password of ``user:password@`` in an address;
+* what follows a name with a credential word in it and an assignment sign
+  (``password = "..."``), 8 characters or more: up to the closing quote on the same
+  line, spaces included, or up to the next space, quote or closing mark.  The
+  name, and the white space around the sign, line ends included, may be of any length;
+* the password of ``user:password@`` in an address, whatever the user's length;
 * a maximal run of at least ``MIN_LENGTH`` characters of ``[A-Za-z0-9_/+-]``, with up
   to two ``=`` after it, that no other Latin letter or digit touches.
 
-The ``NEAR`` characters of the text on each side of it, other candidates included,
-are its neighbourhood.  All of it is SQL expressions: a text is split once at its
-candidates, and only candidates with their neighbourhoods travel on.
+The pattern goes forward: name, sign and opening quote are matched together with
+the value and taken off again, so nothing bounds them.  The ``NEAR`` characters of the
+text on each side of a candidate, other candidates included, are its neighbourhood,
+in which long white space and long names before a value are shortened.  All of it
+is SQL expressions: a text is split once at its candidates, and only candidates
+with their neighbourhoods travel on.
 
 Features of a candidate: its length; shares of character kinds and of transitions
 between kinds; how it begins; how many different characters it has; how much of it dictionary
 words cover; marks of the path (test or example, configuration, code) and of the
 neighbouring words (credential words, an assignment just before, quotes, words
-that name hashes, ids and numbers).
+that name hashes, ids and numbers).  What depends on the candidate alone is worked out
+once per distinct candidate and joined to its places; candidates with one place in
+``HOT`` or more (``HOT`` of them at most) are broadcast, so none is a hot key.
 
 The forest is trained by Spark's own trees on labelled findings (``candidate,
 before, after, path, label``); ``max_findings`` bounds the rows used.
@@ -38,23 +45,27 @@ from tumbleweed.llm.common import computed, cut, quoted
 
 MIN_LENGTH = 16
 ASSIGNED_LENGTH = 8
-# what ends just before an assigned value: a credential word with the rest of its name, then the sign
 NAMES = r"(?i:token|secret|passw(?:or)?d|passwd|passphrase|pwd|api[_-]?key|access[_-]?key|credentials?|private[_-]?key)"
-PLACE = NAMES + r"[A-Za-z0-9_-]{0,32}[\"'`]?[ \t]{0,8}(?:=>|:=|[=:])[ \t]{0,8}"
-# the short look-behinds come first: most places of a text fail there
-SIGN = r"(?<=[=:> \t\"'`])(?<=[=:>][ \t]{0,8}[\"'`]?)"
+SIGN = r"(?:=>|:=|[=:])"
+# a credential word with the rest of its name, then the sign
+PLACE = NAMES + rf"[A-Za-z0-9_-]*+[\"'`]?\s*+{SIGN}\s*+"
 # a value in quotes goes up to the closing quote; a bare one ends before closing marks
-QUOTED_VALUE = rf"(?<=[\"'`]){SIGN}(?<={PLACE}[\"'`])[^\s\"'`]{{{ASSIGNED_LENGTH},}}+"
-BARE_VALUE = rf"{SIGN}(?<={PLACE})(?![=:>])[^\s\"'`]{{{ASSIGNED_LENGTH - 1},}}[^\s\"'`,;.)\]}}>]"
-IN_ADDRESS = r"(?<=:)(?<=://[^\s/:@\"'`]{0,64}:)[^\s/@\"'`]++(?=@)"
+VALUE = (rf"(?:\"[^\"\n]{{{ASSIGNED_LENGTH},}}+(?=\")|'[^'\n]{{{ASSIGNED_LENGTH},}}+(?=')|`[^`\n]{{{ASSIGNED_LENGTH},}}+(?=`)"
+         rf"|[\"'`]?(?![=:>])[^\s\"'`]{{{ASSIGNED_LENGTH - 1},}}[^\s\"'`,;.)\]}}>])")
+NAMED = rf"(?<![A-Za-z0-9_-])[A-Za-z0-9_/+.-]*?{PLACE}"
+ADDRESS = r"://[^\s/:@\"'`]*+:"
 # a letter of another script may touch a run (text without spaces), a Latin one makes it part of a word
 TOUCHES = r"A-Za-z0-9_/+\u00AA\u00BA\u00C0-\u024F\u1E00-\u1EFF-"
 RUN = rf"(?<![{TOUCHES}])[A-Za-z0-9_/+-]{{{MIN_LENGTH},}}+={{0,2}}+(?![{TOUCHES}])"
-CANDIDATE = f"(?:{IN_ADDRESS}|{QUOTED_VALUE}|{BARE_VALUE}|{RUN})"
+FOUND = rf"(?:{ADDRESS}[^\s/@\"'`]++(?=@)|{NAMED}{VALUE}|{RUN})"
+# what comes before the value in a match
+LEAD = rf"^(?:{ADDRESS}|[A-Za-z0-9_/+.-]*?{PLACE}[\"'`]?(?=[^=:>]))"
 NEAR = 48
+#: Candidates with one place in so many are broadcast; there can be no more of them.
+HOT = 1000
 REDACTED = "[SECRET]"
 
-CREDENTIAL = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|auth|credential|private|bearer|signature)"
+CREDENTIAL = r"(?i)(token|secret|passw|passphrase|pwd|api.?key|access.?key|auth|credential|private|bearer|signature)"
 NAMED_OTHERWISE = r"(?i)(sha|md5|hash|commit|checksum|digest|uuid|guid|version|order|invoice|card|example|sample|placeholder)"
 # How keys of well-known services begin.
 KNOWN_PREFIX = r"^(AKIA|ASIA|AIza|gh[pousr]_|github_pat_|glpat-|sk-|sk_live_|xox[abprs]-|eyJ)"
@@ -69,24 +80,30 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
     """``(doc_id, text_hash, path, start, candidate, before, after)`` of every candidate; ``start`` counts code points from 0."""
     t = quoted(text).cast("string")
     src = quoted(path).cast("string") if path in docs.columns else F.lit("")
-    found = (docs.where(t.rlike(CANDIDATE))
+    found = (docs.where(t.rlike(FOUND))
              .select(quoted(doc_id).alias("doc_id"), F.xxhash64(t).alias("text_hash"), F.coalesce(src, F.lit("")).alias("path"),
-                     F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0)).alias("c"), F.split(t, CANDIDATE, -1).alias("gap")))
+                     computed(F.regexp_extract_all(t, F.lit(FOUND), F.lit(0))).alias("whole"), F.split(t, FOUND, -1).alias("gap")))
+    found = found.withColumn("c", computed(F.transform("whole", lambda w: F.regexp_replace(w, LEAD, ""))))
+    found = found.withColumn("lead", F.zip_with("whole", "c", lambda w, c: F.left(w, F.length(w) - F.length(c))))
     # where each candidate starts: lengths of the gaps and candidates before it, added up
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-    lengths = F.zip_with(F.transform("c", F.length), F.slice(F.transform("gap", F.length), 1, F.size("c")),
-                         lambda c, g: F.struct(c.alias("c"), g.alias("g")))
+    lengths = F.transform("c", lambda c, i: F.struct(F.length(c).alias("c"), (F.length(F.get("gap", i)) + F.length(F.get("lead", i))).alias("g")))
     starts = F.aggregate(lengths, zero, lambda acc, x: F.struct(
         (acc["at"] + x["g"] + x["c"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"] + x["g"])).alias("starts")), lambda acc: acc["starts"])
-    # a gap and its candidate are six characters or more: so many of them hold the neighbourhood
-    n = NEAR // 6
+    found = found.withColumn("starts", starts)
+    # for the neighbourhood: white space before a value as one space, and of a name too long for it the credential word and the sign
+    short = lambda x: F.when(F.length(x) <= NEAR // 2, x).otherwise(F.regexp_replace(
+        F.regexp_replace(x, r"\s+", " "), rf"^[A-Za-z0-9_/+.-]*?({NAMES})[A-Za-z0-9_-]*+([\"'`]?\s*{SIGN}\s*[\"'`]?)$", "$1$2"))
+    found = found.withColumn("gap", computed(F.transform("gap", lambda g, i: F.concat(g, short(F.coalesce(F.get("lead", i), F.lit("")))))))
+    # a gap and its candidate are four characters or more: so many of them hold the neighbourhood
+    n = NEAR // 4
     tails = F.transform("c", lambda c, i: F.right(F.concat(F.get("gap", i), c), F.lit(NEAR)))
     heads = F.transform("c", lambda c, i: F.left(F.concat(c, F.get("gap", i + 1)), F.lit(NEAR)))
     rows = F.transform("c", lambda c, i: F.struct(
         c.alias("candidate"), F.get("starts", i).alias("start"),
         F.right(F.concat(F.array_join(F.slice("tails", F.greatest(i + 1 - n, F.lit(1)), F.least(i, F.lit(n))), ""), F.get("gap", i)), F.lit(NEAR)).alias("before"),
         F.left(F.concat(F.get("gap", i + 1), F.array_join(F.slice("heads", i + 2, F.lit(n)), "")), F.lit(NEAR)).alias("after")))
-    return (found.withColumn("starts", starts).withColumn("tails", tails).withColumn("heads", heads).withColumn("row", F.explode(rows))
+    return (found.withColumn("tails", tails).withColumn("heads", heads).withColumn("row", F.explode(rows))
             .select("doc_id", "text_hash", "path", "row.start", "row.candidate", "row.before", "row.after"))
 
 
@@ -104,11 +121,11 @@ def features(found: DataFrame, words: DataFrame) -> tuple[DataFrame, list[str]]:
     """``found`` with feature columns, and their names.
 
     What depends on the candidate alone is computed once per distinct candidate.
-    ``words`` is a dictionary of bounded size.
+    ``words`` is a dictionary of bounded size; ``found`` is read more than once.
     """
     c = F.col("candidate")
     n = F.length(c)
-    distinct = found.select("candidate").distinct()
+    distinct = found.groupBy("candidate").agg(F.count("*").alias("places"))
     runs = (distinct.select("candidate", F.explode(F.regexp_extract_all(F.lower(c), F.lit("[a-z]{4,}"), F.lit(0))).alias("word"))
             .join(words, "word").groupBy("candidate").agg(F.sum(F.length("word")).alias("covered")))
     own = {
@@ -128,7 +145,7 @@ def features(found: DataFrame, words: DataFrame) -> tuple[DataFrame, list[str]]:
     own["f_code"] = c.rlike(r"[(){}<>$\[\]]|\*{4}").cast("int")
     own |= {f"f_{k}": _count(c, p) / n for k, p in KINDS.items()}
     own |= {f"f_{a}_{b}": _count(c, f"(?={p}{q})") / n for a, p in KINDS.items() for b, q in KINDS.items() if a != b and "mark" not in (a, b)}
-    per_candidate = distinct.join(runs, "candidate", "left").select("candidate", *[v.cast("double").alias(k) for k, v in own.items()])
+    per_candidate = cut(distinct.join(runs, "candidate", "left").select("candidate", "places", *[v.cast("double").alias(k) for k, v in own.items()]))
     around = {
         "f_credential": F.col("before").rlike(CREDENTIAL),
         "f_placed": F.col("before").rlike(PLACE + "[\"'`]?$"),
@@ -141,8 +158,11 @@ def features(found: DataFrame, words: DataFrame) -> tuple[DataFrame, list[str]]:
         "f_path_config": F.col("path").rlike(r"(?i)(\.(env|ya?ml|json|ini|cfg|conf|toml|properties)$|config|settings)"),
         "f_path_code": F.col("path").rlike(r"(?i)\.(py|js|ts|java|go|rb|c|cc|cpp|rs|php|sh)$"),
     }
-    out = found.join(per_candidate, "candidate").select("*", *[v.cast("double").alias(k) for k, v in around.items()])
-    return out, [*own, *around]
+    least = max(2, -(-(per_candidate.agg(F.sum("places")).first()[0] or 0) // HOT))
+    hot = F.broadcast(per_candidate.where(F.col("places") >= least).drop("places"))
+    cold = per_candidate.where(F.col("places") < least).drop("places")
+    joined = found.join(hot, "candidate").unionByName(found.join(hot.select("candidate"), "candidate", "left_anti").join(cold, "candidate"))
+    return joined.select("*", *[v.cast("double").alias(k) for k, v in around.items()]), [*own, *around]
 
 
 class Forest:
