@@ -57,8 +57,30 @@ def test_exact_top_k_with_few_candidates_and_none(spark):
 def test_scores_stay_exact_beyond_doubles():
     a = np.array([[2**40 + 1, 3]], dtype=np.int64)
     assert topk.scores_of(a, np.array([[2**20 + 1, 1]], dtype=np.int64))[0, 0] == (2**40 + 1) * (2**20 + 1) + 3
-    with pytest.raises(OverflowError):
-        topk.scores_of(a * 2**20, a * 2**20)
+    assert topk.scores_of(a * 2**20, a * 2**20)[0, 0] == 2**63 - 1 and topk.scores_of(a * 2**20, a * -2**20)[0, 0] == -2**63
+
+
+def test_large_components_with_small_scores(spark):
+    """Finite vectors take part whatever their size, as long as a score itself has 64 bits."""
+    wide = lambda *at: [dict(at).get(i, 0.0) for i in range(64)]
+    rows = [(0, wide((0, 4e6))), (1, wide((1, 4e6))), (2, wide((0, 2.0), (1, -4e6))), (3, wide((0, -3e5), (5, 1.0))), (100, wide((0, 5e5), (1, -5e5)))]
+    got = sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 3, 100)
+                 .select("query_id", "rank", "vec_id", "score").collect())
+    z = {i: [int(1024 * x) for x in v] for i, v in rows}
+    want = []
+    for q in (0, 100):
+        best = sorted((-sum(a * b for a, b in zip(z[q], z[i])), i) for i in z if i != q)[:3]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert got == want
+    rng = np.random.default_rng(6)
+    a, b = (rng.integers(-2**33, 2**33, size=(6, 5)) for _ in range(2))
+    b[:, 4] = 0
+    exact = [[sum(int(x) * int(y) for x, y in zip(p, q)) for q in b] for p in a]
+    fits = all(-2**63 <= x < 2**63 for r in exact for x in r)
+    if fits:
+        assert topk.scores_of(a, b).tolist() == exact
+    c = np.array([[2**62, 2**62, -2**62]], dtype=np.int64)
+    assert topk.scores_of(c, np.array([[1, 1, 1], [2, -1, 1]])).tolist() == [[2**62, 0]]
 
 
 def test_ann_is_exact_where_everything_is_in_the_radius(spark):

@@ -13,8 +13,9 @@ global k-th value is never below a block's k-th, so counts at and above the
 global bin are complete, and a report has at most k bins.
 
 Defined cases: see ``vectors.usable``; with fewer than k candidates all are
-returned; an empty table gives no rows; a score or component beyond 64 bits
-raises ``OverflowError``.
+returned; an empty table gives no rows; a score beyond 64 bits (as of a very large
+vector with itself) counts as the nearest number of 64 bits; a component beyond 64
+bits fails the job.
 """
 
 from __future__ import annotations
@@ -32,13 +33,22 @@ QUERY_STEP = 128
 
 
 def scores_of(queries: np.ndarray, block: np.ndarray) -> np.ndarray:
-    """Integer inner products, exact: in doubles while every partial sum stays below 2**53."""
+    """Integer inner products, exact: in doubles while every partial sum stays below 2**53.
+
+    Larger ones are taken modulo 2**64, which is exact for every score that has 64
+    bits, whatever its partial sums; the scores that doubles can't show to be
+    in range are added up one by one, and cut off there.
+    """
     most = float(np.abs(queries).max(initial=0)) * float(np.abs(block).max(initial=0)) * block.shape[1]
+    near = queries.astype(np.float64) @ block.astype(np.float64).T
     if most < 2**53:
-        return (queries.astype(np.float64) @ block.astype(np.float64).T).astype(np.int64)
-    if most < 2**63:
-        return queries @ block.T
-    raise OverflowError("an inner product may leave 64 bits")
+        return near.astype(np.int64)
+    exact = queries @ block.T  # wraps around
+    if most >= 2**62:
+        slack = (np.abs(queries.astype(np.float64)) @ np.abs(block.astype(np.float64)).T) * (block.shape[1] + 2) * 2.0**-52
+        for i, j in zip(*np.nonzero(np.abs(near) + slack >= 2**63), strict=True):
+            exact[i, j] = min(max(sum(int(x) * int(y) for x, y in zip(queries[i], block[j], strict=True)), -2**63), 2**63 - 1)
+    return exact
 
 
 def _steps(c: pd.DataFrame, q: pd.DataFrame):
@@ -57,7 +67,8 @@ def _histogram(k: int, width: int):
             for qcid, lo, row in zip(part["cid"], part["lo"], scores, strict=True):
                 inside = row >= lo
                 # a score above the range counts in the last bin's successor, whose ids are known to be needed
-                bins = np.minimum((row[inside] - lo) // width, BINS)
+                above = row[inside].view(np.uint64) - np.array([lo], dtype=np.int64).view(np.uint64)  # up to 2**64 - 1
+                bins = np.minimum(above // np.uint64(width), np.uint64(BINS)).astype(np.int64)
                 values, where = np.unique(bins, return_inverse=True)
                 counts = np.bincount(where, weights=weight[inside]).astype(np.int64)
                 values, counts = values[::-1], counts[::-1]
@@ -94,7 +105,7 @@ def top_k(df: DataFrame, k: int, every: int, vec_id: str = "vec_id", vec: str =
     n_queries = distinct.count()
     if not sizes["n"] or not n_queries:
         return queries.select("query_id", F.lit(0).alias("rank"), F.col("cid").alias("vec_id"), F.col("cid").alias("score")).limit(0)
-    bound = int(sizes["square"] * (1 + 1e-9)) + 1  # |a . b| <= max |a|**2
+    bound = min(int(sizes["square"] * (1 + 1e-9)) + 1, 2**63)  # |a . b| <= max |a|**2
     width, need = 1, k + 1
     while width * BINS < 2 * bound + 1:
         width *= BINS
@@ -108,7 +119,7 @@ def top_k(df: DataFrame, k: int, every: int, vec_id: str = "vec_id", vec: str =
         reached = (counts.withColumn("above", above).groupBy(F.col("qcid").alias("cid"))
                    .agg(F.coalesce(F.max(F.when(F.col("above") >= need, F.col("bin"))), F.min("bin")).alias("bin")))
         state = cut(state.join(reached, "cid")
-                    .select("cid", "vec", (F.col("lo") + F.col("bin") * width).alias("lo")))
+                    .select("cid", "vec", F.expr(f"cast(lo + cast(bin AS decimal(20,0)) * cast({width} AS decimal(20,0)) AS bigint)").alias("lo")))
         if width == 1:
             break
         width //= BINS
