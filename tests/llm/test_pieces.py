@@ -65,6 +65,37 @@ def test_batches_change_nothing(vocabulary):
         assert np.array_equal(whole[i], sampler.sample([t], keys[i:i + 1])[0])
 
 
+def test_thresholds_are_the_same_bits_in_any_batch(vocabulary):
+    """The drawn edges' cumulative shares of a word depend on nothing but the word."""
+    rng = np.random.default_rng(8)
+    letters = list("etaoinshrdlu")
+    words = [" " + "".join(rng.choice(letters, size=int(n))) for n in rng.integers(2, 14, size=3000)]
+    table = pieces.PieceTable(vocabulary)
+
+    def lattice(some):
+        chars = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        sizes = np.array([len(w) for w in some])
+        return pieces.Lattice(chars, np.cumsum(sizes) - sizes, sizes, table, vocabulary, 1.0)
+
+    def shares(x, word):
+        """Thresholds of the edges of a word's last node and of every node before it."""
+        out, todo, known = [], [x.ends[word]], set()
+        while todo:
+            node = todo.pop()
+            if node in known or node == 0:
+                continue
+            known.add(node)
+            lo = x.first[node]
+            hi = x.first[node + 1] if node + 1 < len(x.first) else len(x.until)
+            out.append(tuple(x.until[lo:hi].tolist()))
+            todo += x.back[lo:hi].tolist()
+        return sorted(out)
+
+    whole = lattice(words)
+    for i in rng.choice(len(words), size=150, replace=False):
+        assert shares(whole, i) == shares(lattice([words[i]]), 0)
+
+
 def test_equal_hashes_do_not_mix_words(vocabulary, monkeypatch):
     """With powers of one, anagrams hash alike; comparing characters keeps them apart."""
     ones = [np.ones(10_000, np.uint64)] * 2

@@ -196,8 +196,11 @@ class Lattice:
             total = np.add.reduceat(e, head)
             alpha[a:b] = most + np.log(total)
             share[lo:hi] = e / total[own]
-        run = np.cumsum(share)
-        run -= (run[heads] - share[heads])[at]
+        # shares add up within each node alone, edge after edge: what else is in the batch can't change a bit of them
+        run, edges = share.copy(), np.diff(stops)
+        for k in range(1, int(edges.max(initial=0))):
+            on = heads[edges > k] + k
+            run[on] += run[on - 1]
         run[stops[1:] - 1] = 1.0
         self.until, self.first = run, np.concatenate([[-1], heads])
         self.slots = np.zeros((len(depths), SLOTS), dtype=np.uint8)
