@@ -91,11 +91,32 @@ def test_layouts_by_fingerprint(spark):
     plain, system = [("user", "q"), ("assistant", "a")], [("system", "s"), ("user", "q"), ("assistant", "a")]
     turns = {k: None if r["turns"] is None else [tuple(t) for t in r["turns"]] for k, r in out.items()}
     assert turns == {"messages": plain, "shared": plain, "prompt": plain, "system": system, "instruction": plain, "input": system, "unknown": None,
-                     "null value": [("user", "q")], "list": None, "broken": None, "null": None, "empty": None}
+                     "null value": [("user", "q")], "list": None, "broken": None, "null": None, "empty": []}
     assert all((r["formatted"] is None) == (r["turns"] is None) for r in out.values())
     assert out["prompt"]["fingerprint"] == hashlib.sha256(b"completion\nprompt").hexdigest() and out["unknown"]["fingerprint"]
 
 
+def test_further_fields_and_long_records(spark):
+    plain = [("user", "q"), ("assistant", "a")]
+    message = lambda role, text, **more: {"role": role, "content": text, **more}
+    long = "w \\u00e9 " * 250_000
+    records = {
+        "extra fields": {"id": 7, "messages": [message("user", "q", name="x"), message("assistant", "a", meta={"k": [1, 2]}, n1=3)], "tags": ["t"]},
+        "some lack a field": {"messages": [message("user", "q"), {"role": "assistant", "content": "a"}, {"role": "tool"}]},
+        "extra source": {"prompt": "q", "completion": "a", "source": {"u": "x"}},
+        "most specific": {"prompt": "q", "completion": "a", "system": "s", "lang": "en"},
+        "empty list": {"messages": [], "id": 1},
+        "messages is text": {"messages": "none", "instruction": "q", "output": "a"},
+        "long": {"messages": [message("user", long), message("assistant", "a")]},
+    }
+    out = {r["name"]: r for r in chat.format_chats(spark.createDataFrame([(k, json.dumps(v)) for k, v in records.items()], "name string, record string")).collect()}
+    turns = {k: [tuple(t) for t in r["turns"]] for k, r in out.items()}
+    assert turns.pop("long") == [("user", long), ("assistant", "a")]
+    assert turns == {"extra fields": plain, "some lack a field": [*plain, ("tool", "")], "extra source": plain,
+                     "most specific": [("system", "s"), *plain], "empty list": [], "messages is text": plain}
+    assert out["empty list"]["formatted"] == "" and len({r["fingerprint"] for r in out.values()}) == 6
+
+
 def test_chat_query_on_odd_rows(spark, tmp_path):
     from tumbleweed.llm.queries import op9_chat_format
 

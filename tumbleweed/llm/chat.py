@@ -1,10 +1,10 @@
 r"""Chat formatting: schema fingerprints pick declarative mappings to canonical turns.
 
-Input records are JSON strings in any of several layouts.  The nested field
-paths of a record (without value types) are hashed to a fingerprint; a table of
-declarative ``Layout`` s gives, for each known fingerprint, where turns are
-found.  Adding a layout is adding a row, not code.  All steps are SQL
-expressions.
+Input records are JSON strings in any of several layouts, of any size.  The nested
+field paths of a record (without value types) are hashed to a fingerprint; a table of
+declarative ``Layout`` s gives, for each known fingerprint of the paths it declares,
+where turns are found; further fields change nothing.  Adding a layout is adding a row,
+not code.  All steps are SQL expressions.
 
 Template, one turn after the other: ``### <role>: <text>``, a newline,
 ``</turn>``, a newline.  Inside roles and texts a backslash goes before every
@@ -17,7 +17,7 @@ formatted string that cover the escaped texts of the learned roles and nothing
 else.
 
 Defined cases: null text or role is empty text; a record without turns formats
-to an empty string; a record that is no JSON, or whose fingerprint is unknown,
+to an empty string; a record that is no JSON object, or that no layout fits,
 keeps a null ``turns`` and a null ``formatted``, with its fingerprint, so it can
 be reported; repeated records are each formatted.
 """
@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tumbleweed.llm.common import quoted, without
+from tumbleweed.llm.common import computed, quoted, without
 
 TURNS = "array<struct<role:string,text:string>>"
 END = "\n</turn>\n"
@@ -70,21 +70,23 @@ def shape_of(paths: tuple[str, ...]) -> str:
     return "\n".join(sorted(paths))
 
 
-def field_paths(record: Column) -> Column:
-    """Sorted nested field paths of a JSON record, ``[]`` for list elements; null when it is no JSON object.
+def field_paths(record: Column, lists: tuple[str, ...] = ("messages", "conversations")) -> Column:
+    """Sorted nested field paths of a JSON record; null when it is no JSON object.
 
-    The paths come from the schema that ``schema_of_variant`` derives for the
-    record: an object holds other objects to a depth of three, the depth of the
-    known layouts.
+    A field is its name; a field of ``lists`` that holds a list of objects is
+    ``name[].field`` for every field of its elements, ``name[]`` if it is empty.
+    Everything is read as text, so a record may be of any size.
     """
-    schema = F.schema_of_variant(F.try_parse_json(record))
-    # OBJECT<a: STRING, m: ARRAY<OBJECT<c: STRING, r: STRING>>>: value types go, names and nesting stay
-    bare = F.regexp_replace(schema, r": (STRING|VOID|BIGINT|DOUBLE|BOOLEAN|DECIMAL\([0-9,]+\)|VARIANT)", "")
-    inner = F.regexp_extract(bare, r"^OBJECT<([A-Za-z_]+): ARRAY<OBJECT<(.*)>>>$", 2)
-    outer = F.regexp_extract(bare, r"^OBJECT<([A-Za-z_]+): ARRAY<OBJECT<(.*)>>>$", 1)
-    flat = F.regexp_extract(bare, r"^OBJECT<(.*)>$", 1)
-    nested = F.transform(F.split(inner, ", "), lambda p: F.concat(outer, F.lit("[]."), p))
-    return F.when(bare.startswith("OBJECT<"), F.array_sort(F.when(F.length(outer) > 0, nested).otherwise(F.split(flat, ", "))))
+    keys = F.json_object_keys(record)
+    parsed = F.from_json(record, "struct<" + ",".join(f"`{k}`:array<map<string,string>>" for k in lists) + ">")
+    under = lambda k: lambda n: F.concat(F.lit(f"{k}[]."), n)
+    inner = F.array()
+    for k in lists:
+        names = F.array_distinct(F.flatten(F.transform(F.filter(parsed[k], lambda m: m.isNotNull()), F.map_keys)))
+        paths = F.when(F.size(parsed[k]) == 0, F.array(F.lit(f"{k}[]"))).otherwise(F.transform(names, under(k)))
+        inner = F.concat(inner, F.coalesce(F.when(parsed[k].isNotNull(), paths), F.array()))
+    plain = F.filter(keys, lambda key: ~F.coalesce(F.array_contains(F.array(*[F.when(parsed[k].isNotNull(), F.lit(k)) for k in lists]), key), F.lit(False)))
+    return F.array_sort(F.array_distinct(F.concat(plain, inner)))
 
 
 def _layout_turns(layout: Layout, record: Column) -> Column:
@@ -101,14 +103,22 @@ def _layout_turns(layout: Layout, record: Column) -> Column:
 
 
 def canonical_turns(records: DataFrame, column: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """Adds ``fingerprint`` (hash of the field paths) and ``turns`` of every record."""
-    paths = field_paths(quoted(column))
-    out = without(records, ["fingerprint", "turns"]).withColumn("fingerprint", F.sha2(F.array_join(paths, "\n"), 256))
+    """Adds ``fingerprint`` (hash of all field paths) and ``turns`` of every record.
+
+    A layout is selected by the hash of those of the record's paths that it declares:
+    other fields don't matter.  Of several layouts the one with most paths counts.
+    """
+    lists = tuple(dict.fromkeys(x.each[0] for x in layouts if x.each)) or ("messages",)
+    base = without(records, ["fingerprint", "turns"]).withColumn("__paths", computed(field_paths(quoted(column), lists)))
+    out = base.withColumn("fingerprint", F.sha2(F.array_join("__paths", "\n"), 256))
     turns = F.lit(None).cast(TURNS)
-    for layout in layouts:
-        known = F.sha2(F.lit(shape_of(layout.paths)), 256)
-        turns = F.when(F.col("fingerprint") == known, _layout_turns(layout, quoted(column)).cast(TURNS)).otherwise(turns)
-    return out.withColumn("turns", turns)
+    for layout in sorted(layouts, key=lambda x: len(x.paths)):
+        declared = F.array_intersect(F.col("__paths"), F.array(*[F.lit(p) for p in layout.paths]))
+        known = F.sha2(F.array_join(F.array_sort(declared), "\n"), 256) == F.sha2(F.lit(shape_of(layout.paths)), 256)
+        turns = F.when(known, _layout_turns(layout, quoted(column)).cast(TURNS)).otherwise(turns)
+        if layout.each:  # a list without messages shows no fields
+            turns = F.when(F.array_contains("__paths", f"{layout.each[0]}[]"), F.array().cast(TURNS)).otherwise(turns)
+    return out.withColumn("turns", turns).drop("__paths")
 
 
 def escape(c: Column) -> Column:
