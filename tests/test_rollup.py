@@ -188,3 +188,40 @@ def test_one_busy_key_equals_brute_force(spark):
             assert out[(f"count_{name}", end * 1_000)] == str(len(seen))
             for k, f in kinds.items():
                 assert float(out[(f"{k.lower()}_{name}", end * 1_000)]) == f(seen)
+
+
+def _random_items(n=400, seed=3):
+    import random
+
+    rng = random.Random(seed)
+    return [event(rng.choice("ab"), rng.randrange(0, 9_000_000), v=rng.choice("pqrst"), at=rng.randrange(0, 50)) for _ in range(n)]
+
+
+ITEM_SPECS = [spec(1, "LIST", "l", windows=("10m", "1h"), field="ext.v", capacity=4, needTs=True),
+              spec(2, "SET", "s", windows=("10m", "1h"), field="ext.v", capacity=3, needTs=True),
+              spec(3, "LIST", "lc", windows=("10m",), field="ext.v", capacity=4, needTs=True, eventTimeField="ext.at"),
+              spec(4, "SET", "sc", windows=("10m", "1h"), field="ext.v", capacity=3, needTs=True, eventTimeField="ext.at")]
+
+
+def test_items_in_cells_equal_items_in_one_array(spark, monkeypatch):
+    """Look-backs of many panes are merged in two levels; the result is that of one."""
+    from tumbleweed.operators import rollup
+
+    events = _random_items()
+    want = as_dict(features(spark, ITEM_SPECS, events))
+    monkeypatch.setattr(rollup, "ARRAY_PANES", 0)
+    assert as_dict(features(spark, ITEM_SPECS, events)) == want and len(want) > 800
+
+
+def test_no_task_holds_a_whole_history(spark):
+    """Every shuffle of panes is dealt by block or day as well as by key: a busy key is spread over them."""
+    import re
+
+    specs = [spec(1, "COUNT", "c", windows=("10m", "today", "yesterday")), spec(2, "COUNT", "g", windows=("10m", "today", "yesterday"), groupByField="ext.v"),
+             spec(3, "SUM", "s", windows=("1h", "today"), field="ext.at", fieldType="long"), *[{**s, "id": 10 + s["id"]} for s in ITEM_SPECS]]
+    df = features(spark, specs, _random_items(40))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    dealt = set(re.findall(r"hashpartitioning\(([^)]*)\)", plan))
+    by_key = [d for d in dealt if "feature#" in d]
+    assert by_key and all(re.search(r"\b(b|day|pane_end_ms|t|cell|_groupingexpression)#", d) for d in by_key), by_key
+    assert "Nested" not in plan and "Cartesian" not in plan
