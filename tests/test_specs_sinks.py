@@ -76,3 +76,15 @@ def test_restrict_features_prunes_windows_atoms_and_routes(spark):
     evs = [event("u", 30_000, g="p", x=5)]
     names = {r.feature_name for r in job.features(make_records(spark, evs)).collect()}
     assert names == {"c_3h", "g_p_10m", "a_x"}
+
+
+def test_batches_fire_by_count_or_time(spark):
+    from tumbleweed.operators.sinks import message_batches
+
+    rows = [("u", "uid", "b", 1_000 + i, f"c{i % 3}", str(i)) for i in range(5)] + [("u", "uid", None, 1_001, "x", "-"), ("u", "uid", "b", 2_500, "c0", "late"),
+                                                                                   ("w", "uid", "b", 1_000, "c0", "w"), ("w", "uid", "d", 1_000, "c1", "d")]
+    cells = spark.createDataFrame(rows, "id string, id_type string, biz_type string, ts long, column string, value string")
+    got = sorted((r.id, r.biz_type, r.ts, r.batch, tuple(sorted(r.kv.items()))) for r in message_batches(cells, max_rows=4).collect())
+    assert got == [("u", "b", 1_002, 0, (("c0", "0"), ("c1", "1"), ("c2", "2"))), ("u", "b", 1_004, 1, (("c0", "3"), ("c1", "4"))),
+                   ("u", "b", 2_500, 0, (("c0", "late"),)), ("w", "b", 1_000, 0, (("c0", "w"),)), ("w", "d", 1_000, 0, (("c1", "d"),))]
+    assert message_batches(cells.limit(0)).count() == 0

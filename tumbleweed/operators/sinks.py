@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tumbleweed.functions.scalars import row_key
 from tumbleweed.plans.compile import CELL_SINK_TYPES, CompiledSpecs, spec_broadcast
@@ -60,6 +61,26 @@ def feature_messages(cells: DataFrame, topic: str = "feature-out") -> DataFrame:
                           "id", "id_type", "biz_type", "ts", "kv")
 
 
+def message_batches(cells: DataFrame, max_rows: int = 100, interval_ms: int = 1_000, topic: str = "feature-out") -> DataFrame:
+    """Messages of count-or-timeout batches (W7, T3, O4): an entity's rows fire at ``max_rows``, or at the end of the interval.
+
+    On the event clock: an entity's rows of one interval, in the order of their
+    times, are cut after every ``max_rows``; each batch gives one message per bizType, in
+    which the last time of a column wins.  Work is dealt by (entity, interval), so
+    a busy entity is spread over its intervals.
+    """
+    entity = ["id", "id_type", "interval"]
+    placed = cells.withColumn("interval", F.floor(F.col("ts") / F.lit(interval_ms)))
+    before = F.row_number().over(Window.partitionBy(*entity).orderBy("ts", "column", "value")) - 1
+    batch = [*entity, "batch", "biz_type"]
+    fired = placed.withColumn("batch", F.floor(before / F.lit(max_rows))).where(F.col("biz_type").isNotNull())
+    columns = fired.groupBy(*batch, "column").agg(F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts"))
+    grouped = columns.groupBy(*batch).agg(
+        F.max("ts").alias("ts"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("column", "value")))).alias("kv"))
+    body = F.to_json(F.struct(F.col("id"), F.col("id_type").alias("dataType"), F.col("ts"), F.col("biz_type").alias("bizType"), F.col("kv")))
+    return grouped.select(F.lit(topic).alias("topic"), F.col("id").alias("key"), body.alias("value"), "id", "id_type", "biz_type", "ts", "batch", "kv")
+
+
 def output_counts(cells: DataFrame) -> DataFrame:
     """Persisted-feature counter per column."""
     return cells.groupBy("column").agg(F.count(F.lit(1)).alias("n"))

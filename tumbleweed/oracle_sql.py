@@ -412,6 +412,14 @@ SELECT id, id_type, biz_type, ts, CAST(count(*) OVER (PARTITION BY id, id_type,
        "column", value
 FROM dedup"""
 
+# two rows of an entity, or a second, make a batch
+MESSAGE_BATCHES = _cells_sql() + """,
+placed AS (SELECT *, ts // 1000 AS sec, (row_number() OVER (PARTITION BY id, id_type, ts // 1000 ORDER BY ts, "column", value) - 1) // 2 AS batch FROM cells),
+per_column AS (SELECT id, id_type, biz_type, sec, batch, "column", arg_max(value, (ts, value)) AS value, max(ts) AS last FROM placed
+               WHERE biz_type IS NOT NULL GROUP BY ALL)
+SELECT id, id_type, biz_type, max(last) OVER w AS ts, batch, CAST(count(*) OVER w AS INTEGER) AS n_columns, "column", value
+FROM per_column WINDOW w AS (PARTITION BY id, id_type, biz_type, sec, batch)"""
+
 OUTPUT_COUNTS = _cells_sql() + 'SELECT "column", count(*) AS n FROM cells GROUP BY ALL'
 
 
@@ -567,6 +575,7 @@ ORACLES = {
     "serving_cells": SERVING_CELLS,
     "cell_snapshot": CELL_SNAPSHOT,
     "feature_messages": FEATURE_MESSAGES,
+    "message_batches": MESSAGE_BATCHES,
     "output_counts": OUTPUT_COUNTS,
     "orders_spend_windows": ORDERS_SPEND_WINDOWS,
     "lineitem_part_demand": LINEITEM_PART_DEMAND,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tumbleweed.operators.fanout import fan_out
 from tumbleweed.operators.panes import build_session_panes, retain_panes
 from tumbleweed.operators.route import ROUTE_KEYS
-from tumbleweed.operators.sinks import cell_snapshot, feature_messages, output_counts, serving_cells
+from tumbleweed.operators.sinks import cell_snapshot, feature_messages, message_batches, output_counts, serving_cells
 from tumbleweed.plans.catalog import EDGE_SPECS, EVENT_SPECS, LINEITEM_SPECS, ORDER_SPECS
 from tumbleweed.plans.compile import spec_broadcast
 from tumbleweed.plans.job import FeatureJob
@@ -195,6 +195,12 @@ def feature_messages_q(spark: SparkSession, sf: str) -> DataFrame:
                        F.explode("kv").alias("column", "value"))
 
 
+def message_batches_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of batches of two rows, or a second, per entity."""
+    msgs = message_batches(_cells(spark, sf), max_rows=2)
+    return msgs.select("id", "id_type", "biz_type", "ts", "batch", F.size("kv").alias("n_columns"), F.explode("kv").alias("column", "value"))
+
+
 def output_counts_q(spark: SparkSession, sf: str) -> DataFrame:
     return output_counts(_cells(spark, sf))
 
@@ -324,6 +330,7 @@ QUERIES = {
     "serving_cells": serving_cells_q,
     "cell_snapshot": cell_snapshot_q,
     "feature_messages": feature_messages_q,
+    "message_batches": message_batches_q,
     "output_counts": output_counts_q,
     "orders_spend_windows": orders_spend_windows,
     "lineitem_part_demand": lineitem_part_demand,
