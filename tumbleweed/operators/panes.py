@@ -36,7 +36,7 @@ PARTIAL_SCHEMA = ("id string, id_type string, feature string, kind string, sub_k
                   "_sum_d double, _max_d double, _min_d double, item_ms bigint, capacity int")
 
 
-def _contributing(routed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+def contributing(routed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Apply the per-kind null / parse rules (P13, D11) and derive the sub key."""
     kind, ft, val = F.col("kind"), F.col("field_type"), F.col("val")
     as_long, as_double = val.try_cast("bigint"), val.try_cast("double")
@@ -75,13 +75,13 @@ NUMERIC_KINDS = ("count", "sum", "max", "min")
 ITEM_KINDS = ("list", "set", "latest")
 
 
-def _partial_keys(rows: DataFrame):
+def partial_keys(rows: DataFrame):
     kind = F.col("kind")
     is_item = kind.isin(*ITEM_KINDS)
     return [F.when(is_item, F.col("val")).alias("_v"), F.when(kind == "list", F.col("item_ms")).alias("_t")]
 
 
-def _partial_aggs():
+def partial_aggs():
     return [*_fixed_width_aggs(), F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity")]
 
 
@@ -93,8 +93,16 @@ def pane_partials(routed: DataFrame) -> DataFrame:
     (pane, value, time), SET and LATEST by (pane, value) -- duplicates
     collapse map-side and a hot pane spreads over tasks by value.
     """
-    rows = _contributing(routed).withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), F.col("cadence_ms")))
-    return rows.groupBy(*PANE_KEYS, *_partial_keys(rows)).agg(*_partial_aggs())
+    rows = contributing(routed).withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), F.col("cadence_ms")))
+    return rows.groupBy(*PANE_KEYS, *partial_keys(rows)).agg(*partial_aggs())
+
+
+def combine_aggs() -> list:
+    """The aggregates that merge partials of one group."""
+    lost = (F.col("kind") == "sum") & F.col("_sum_l").isNull() & F.col("_sum_d").isNull()
+    return [F.sum("cnt").alias("cnt"), F.when(~F.max(lost), F.try_sum("_sum_l")).alias("_sum_l"), F.max("_max_l").alias("_max_l"),
+            F.min("_min_l").alias("_min_l"), F.try_sum("_sum_d").alias("_sum_d"), F.max("_max_d").alias("_max_d"), F.min("_min_d").alias("_min_d"),
+            F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity")]
 
 
 def combine_partials(partials: DataFrame) -> DataFrame:
@@ -103,12 +111,7 @@ def combine_partials(partials: DataFrame) -> DataFrame:
     Sums add up (a long sum that left its type stays lost), counts add up,
     extremes and times take their extremes; entries are part of the key.
     """
-    lost = (F.col("kind") == "sum") & F.col("_sum_l").isNull() & F.col("_sum_d").isNull()
-    total = F.when(~F.max(lost), F.try_sum("_sum_l"))
-    return partials.groupBy(*PANE_KEYS, "_v", "_t").agg(
-        F.sum("cnt").alias("cnt"), total.alias("_sum_l"), F.max("_max_l").alias("_max_l"), F.min("_min_l").alias("_min_l"),
-        F.try_sum("_sum_d").alias("_sum_d"), F.max("_max_d").alias("_max_d"), F.min("_min_d").alias("_min_d"),
-        F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity"))
+    return partials.groupBy(*PANE_KEYS, "_v", "_t").agg(*combine_aggs())
 
 
 def coarser_partials(partials: DataFrame, cadences: DataFrame) -> DataFrame:
@@ -129,10 +132,10 @@ def pane_partials_streaming(routed: DataFrame, pane_ms: int) -> DataFrame:
     the batch partials, so no state row grows with a pane's distinct values.
     Append mode emits a pane's partials once, when the watermark passes it.
     """
-    rows = _contributing(routed, extra=("event_ts",))
+    rows = contributing(routed, extra=("event_ts",))
     pane = F.window("event_ts", f"{pane_ms // 1000} seconds")
     keys = ["id", "id_type", "feature", "kind", "sub_key", "cadence_ms"]
-    agg = rows.groupBy(pane.alias("pane"), *keys, *_partial_keys(rows)).agg(*_partial_aggs())
+    agg = rows.groupBy(pane.alias("pane"), *keys, *partial_keys(rows)).agg(*partial_aggs())
     return agg.select(*keys, F.unix_millis(F.col("pane.end")).alias("pane_end_ms"),
                       *[c for c in agg.columns if c not in ("pane", *keys)])
 
@@ -195,45 +198,6 @@ def _item_panes(candidates: DataFrame, max_capacity: int | None) -> DataFrame:
     )
 
 
-def build_session_panes(routed: DataFrame, gap_ms: int) -> DataFrame:
-    """Session partials: the same aggregates over gap-separated sessions.
-
-    ``session_window`` merges partials whose windows overlap -- the combine
-    step a session window needs -- with built-in aggregates.  Item kinds then
-    join their entries to the session they fall in, which never gathers a
-    session: duplicates fold map-side and ``row_number`` keeps the newest
-    ``capacity`` (LATEST: one).
-    """
-    rows = _contributing(routed).withColumn("_ts", F.timestamp_millis("event_ms"))
-    session = F.session_window("_ts", f"{gap_ms // 1000} seconds")
-    keys = ["id", "id_type", "feature", "kind", "sub_key"]
-    agg = rows.groupBy(session.alias("s"), *keys).agg(*_fixed_width_aggs())
-    sessions = agg.select(
-        *keys,
-        F.unix_millis(F.col("s.start")).alias("session_start_ms"),
-        F.unix_millis(F.col("s.end")).alias("session_end_ms"),
-        "cnt",
-        F.coalesce("_sum_l", "_max_l", "_min_l").alias("num_long"),
-        F.coalesce("_sum_d", "_max_d", "_min_d").alias("num_double"),
-    )
-    entries = (rows.where(F.col("kind").isin(*ITEM_KINDS))
-               .groupBy(*keys, F.col("val").alias("_v"), F.when(F.col("kind") == "list", F.col("item_ms")).alias("_t"), "event_ms")
-               .agg(F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity")))
-    # the session of an entry: the last one that starts no later
-    marks = (sessions.where(F.col("kind").isin(*ITEM_KINDS)).select(*keys, F.col("session_start_ms").alias("at"), F.col("session_start_ms").alias("start"))
-             .withColumn("first", F.lit(0)))
-    both = marks.unionByName(entries.withColumn("first", F.lit(1)).withColumnRenamed("event_ms", "at"), allowMissingColumns=True)
-    started = F.last("start", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("at", "first"))
-    placed = both.withColumn("session_start_ms", started).where(F.col("first") == 1)
-    of_session = [*keys, "session_start_ms"]
-    folded = placed.groupBy(*of_session, "_v", "_t").agg(F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity"))
-    newest = Window.partitionBy(*of_session).orderBy(F.col("item_ms").desc(), F.col("_v").desc())
-    limit = F.when(F.col("kind") == "latest", F.lit(1)).otherwise(F.col("capacity"))
-    items = (folded.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= limit).groupBy(*of_session)
-             .agg(F.sort_array(F.collect_list(F.struct(F.col("item_ms").alias("ts"), F.col("_v").alias("value"))), asc=False).alias("items")))
-    return sessions.join(items, of_session, "left")
-
-
 def retention_ms(cs) -> DataFrame:
     """Per (feature, id_type): how long its panes are needed.
 

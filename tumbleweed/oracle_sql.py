@@ -131,19 +131,26 @@ SELECT uid AS id, 'uid' AS id_type, 'type_cnt' AS feature, event_type AS sub_key
        {_pane('event_ms')} AS pane_end_ms, count(*) AS cnt
 FROM ev GROUP BY ALL"""
 
-SESSION_PARTIALS = _with(EV, """
-s AS (SELECT uid, event_ms, k,
-             CASE WHEN event_ms - lag(event_ms) OVER (PARTITION BY uid ORDER BY event_ms) < 600000
-                  THEN 0 ELSE 1 END AS fresh
-      FROM ev)""", """
-g AS (SELECT *, sum(fresh) OVER (PARTITION BY uid ORDER BY event_ms ROWS UNBOUNDED PRECEDING) AS sid FROM s)""",
-                         """
-sess AS (SELECT uid, min(event_ms) AS st, max(event_ms) + 600000 AS en, count(*) AS cnt, sum(k) AS ks
-         FROM g GROUP BY uid, sid)""") + _union(
-    "SELECT uid AS id, 'uid' AS id_type, 'evt_cnt' AS feature, st AS session_start_ms, en AS session_end_ms, "
-    "cnt, CAST(NULL AS BIGINT) AS num_long FROM sess",
-    "SELECT uid, 'uid', 'k_sum', st, en, cnt, CAST(ks AS BIGINT) FROM sess",
-)
+_SESSION_KEYS = ["evt_cnt", "type_cnt", "k_sum", "k_max", "k_min", "recent_k", "recent_type", "last_type"]
+_SESSION_VALUE = ("CASE feature WHEN 'k_sum' THEN sum(k) WHEN 'k_max' THEN max(k) WHEN 'k_min' THEN min(k) END")
+SESSION_PARTIALS = _with(EV, f"""
+r AS (SELECT uid, event_ms, k, event_type, f.feature, CASE WHEN f.feature = 'type_cnt' THEN event_type ELSE '' END AS sub_key,
+             CASE f.feature WHEN 'recent_k' THEN CAST(k AS VARCHAR) WHEN 'recent_type' THEN event_type WHEN 'last_type' THEN event_type END AS item
+      FROM ev, (VALUES {", ".join(f"('{k}')" for k in _SESSION_KEYS)}) f(feature))""", """
+s AS (SELECT *, CASE WHEN event_ms - lag(event_ms) OVER (PARTITION BY uid, feature, sub_key ORDER BY event_ms) < 600000
+                     THEN 0 ELSE 1 END AS fresh FROM r)""", """
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY uid, feature, sub_key ORDER BY event_ms ROWS UNBOUNDED PRECEDING) AS sid FROM s)""", f"""
+sess AS (SELECT uid, feature, sub_key, sid, min(event_ms) AS st, max(event_ms) + 600000 AS en, count(*) AS cnt, {_SESSION_VALUE} AS x
+         FROM g GROUP BY uid, feature, sub_key, sid)""", """
+e AS (SELECT uid, feature, sub_key, sid, item, max(event_ms) AS t FROM g WHERE item IS NOT NULL
+      GROUP BY uid, feature, sub_key, sid, item, CASE WHEN feature = 'recent_k' THEN event_ms END)""", """
+n AS (SELECT *, row_number() OVER (PARTITION BY uid, feature, sid ORDER BY t DESC, item DESC) AS rn FROM e)""", """
+i AS (SELECT uid, feature, sub_key, sid,
+             '[' || string_agg('{"ts":' || CAST(t AS VARCHAR) || ',"value":"' || item || '"}', ',' ORDER BY rn) || ']' AS items
+      FROM n WHERE rn <= CASE feature WHEN 'recent_k' THEN 5 WHEN 'recent_type' THEN 3 ELSE 1 END GROUP BY ALL)""") + """
+SELECT uid AS id, 'uid' AS id_type, feature, sub_key, st AS session_start_ms, en AS session_end_ms, cnt,
+       CAST(x AS BIGINT) AS num_long, items
+FROM sess LEFT JOIN i USING (uid, feature, sub_key, sid)"""
 
 _RETAIN = {"evt_cnt": 2 * DAY, "type_cnt": 2 * DAY, "k_sum": 2 * DAY, "recent_k": DAY}
 RETENTION_PANES = _with(EV, f"""
@@ -574,6 +581,7 @@ ORACLES = {
     "all_features": ALL_FEATURES,
     "serving_cells": SERVING_CELLS,
     "cell_snapshot": CELL_SNAPSHOT,
+    "snapshot_incremental": CELL_SNAPSHOT,
     "feature_messages": FEATURE_MESSAGES,
     "message_batches": MESSAGE_BATCHES,
     "output_counts": OUTPUT_COUNTS,

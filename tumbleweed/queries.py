@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tumbleweed.operators.fanout import fan_out
-from tumbleweed.operators.panes import build_session_panes, retain_panes
+from tumbleweed.operators.panes import retain_panes
 from tumbleweed.operators.route import ROUTE_KEYS
+from tumbleweed.operators.sessions import build_session_panes
 from tumbleweed.operators.sinks import cell_snapshot, feature_messages, message_batches, output_counts, serving_cells
+from tumbleweed.operators.snapshot import CellSnapshot
 from tumbleweed.plans.catalog import EDGE_SPECS, EVENT_SPECS, LINEITEM_SPECS, ORDER_SPECS
 from tumbleweed.plans.compile import spec_broadcast
 from tumbleweed.plans.job import FeatureJob
@@ -105,9 +107,11 @@ def pane_count_grouped(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def session_partials(spark: SparkSession, sf: str) -> DataFrame:
-    job = _job(spark, {1, 4})
+    """Sessions of every kind: COUNT (grouped too), SUM, MAX, MIN, LIST, SET and LATEST."""
+    job = _job(spark, {1, 2, 4, 7, 8, 9, 11, 13})
     panes = build_session_panes(job.routed(event_records(spark, sf)), gap_ms=10 * MINUTE)
-    return panes.select("id", "id_type", "feature", "session_start_ms", "session_end_ms", "cnt", "num_long")
+    return panes.select("id", "id_type", "feature", "sub_key", "session_start_ms", "session_end_ms", "cnt", "num_long",
+                        F.to_json("items").alias("items"))
 
 
 def retention_panes(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,6 +193,23 @@ def cell_snapshot_live(spark: SparkSession, sf: str) -> DataFrame:
                        timestamped_value(F.col("ts"), F.col("value")).alias("cache_text"))
 
 
+def snapshot_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The snapshot after four deltas, the last of them applied twice, each merged into the bucketed base (O2)."""
+    from tumbleweed.functions.scalars import timestamped_value
+
+    cells = _cells(spark, sf)
+    path = scratch_path(spark, "cells")
+    cells.write.parquet(path)
+    cells = spark.read.schema(cells.schema).parquet(path)
+    snapshot = CellSnapshot(spark, scratch_path(spark, "snapshot"))
+    cuts = cells.agg(F.percentile_approx("ts", [0.25, 0.5, 0.75])).first()[0] or [0, 0, 0]
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("ts")))
+    for number in (0, 1, 2, 3, 3):
+        snapshot.apply(cells.where(part == number), number)
+    return snapshot.read().select("table", "row_key", "column", "ts", "value", "expires_at_ms",
+                                  timestamped_value(F.col("ts"), F.col("value")).alias("cache_text"))
+
+
 def feature_messages_q(spark: SparkSession, sf: str) -> DataFrame:
     msgs = feature_messages(_cells(spark, sf))
     return msgs.select("id", "id_type", "biz_type", "ts", F.size("kv").alias("n_columns"),
@@ -329,6 +350,7 @@ QUERIES = {
     "all_features": all_features,
     "serving_cells": serving_cells_q,
     "cell_snapshot": cell_snapshot_q,
+    "snapshot_incremental": snapshot_incremental,
     "feature_messages": feature_messages_q,
     "message_batches": message_batches_q,
     "output_counts": output_counts_q,
