@@ -4,7 +4,7 @@ All specs of all kinds share one pane table with a fixed schema, so a spec
 change never changes the state schema (T6):
 
     id, id_type, feature, kind, sub_key, cadence_ms, pane_end_ms,
-    cnt, num_long, num_double, items array<struct<ts,value>>, latest_value, latest_ms
+    cnt, num_long, num_double, items array<struct<ts,value>>, latest_value, latest_ms, state
 
 * numeric kinds and LATEST: one ``groupBy`` with built-in aggregates, planned
   as partial + final HashAggregate, so a hot entity is pre-aggregated on the
@@ -22,18 +22,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tumbleweed.functions.scalars import pane_end_ms
+from tumbleweed.plans.kinds import FeatureKind, added_kinds
 
 PANE_KEYS = ["id", "id_type", "feature", "kind", "sub_key", "cadence_ms", "pane_end_ms"]
-PANE_COLUMNS = PANE_KEYS + ["cnt", "num_long", "num_double", "items", "latest_value", "latest_ms"]
+PANE_COLUMNS = PANE_KEYS + ["cnt", "num_long", "num_double", "items", "latest_value", "latest_ms", "state"]
 ITEM_TYPE = "array<struct<ts:bigint,value:string>>"
 PANE_SCHEMA = ("id string, id_type string, feature string, kind string, sub_key string, cadence_ms bigint, "
                f"pane_end_ms bigint, cnt bigint, num_long bigint, num_double double, items {ITEM_TYPE}, "
-               "latest_value string, latest_ms bigint")
+               "latest_value string, latest_ms bigint, state binary")
 
 #: Partials as :func:`pane_partials` makes them (the stream keeps them in a table).
 PARTIAL_SCHEMA = ("id string, id_type string, feature string, kind string, sub_key string, cadence_ms bigint, "
                   "pane_end_ms bigint, _v string, _t bigint, cnt bigint, _sum_l bigint, _max_l bigint, _min_l bigint, "
-                  "_sum_d double, _max_d double, _min_d double, item_ms bigint, capacity int")
+                  "_sum_d double, _max_d double, _min_d double, item_ms bigint, capacity int, state binary")
 
 
 def contributing(routed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -85,16 +86,30 @@ def partial_aggs():
     return [*_fixed_width_aggs(), F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity")]
 
 
-def pane_partials(routed: DataFrame) -> DataFrame:
+def pane_partials(routed: DataFrame, kinds=()) -> DataFrame:
     """Level-1 partials for every kind and cadence in one map-side-combined aggregation.
 
     All buffers are fixed-width (counts, sums, extremes, times), which keeps
     it on the hash aggregate.  Numeric kinds group by the pane key; LIST by
     (pane, value, time), SET and LATEST by (pane, value) -- duplicates
     collapse map-side and a hot pane spreads over tasks by value.
+
+    Kinds added from outside, if ``kinds`` names any, aggregate apart from these:
+    their binary states would take all rows off the hash aggregate.
     """
-    rows = contributing(routed).withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), F.col("cadence_ms")))
-    return rows.groupBy(*PANE_KEYS, *partial_keys(rows)).agg(*partial_aggs())
+    added = added_kinds(kinds)
+    shared = routed.where(~F.col("kind").isin(*[k.name for k in added])) if added else routed
+    rows = contributing(shared).withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), F.col("cadence_ms")))
+    out = rows.groupBy(*PANE_KEYS, *partial_keys(rows)).agg(*partial_aggs()).withColumn("state", F.lit(None).cast("binary"))
+    for kind in added:
+        out = out.unionByName(_state_partials(routed, kind), allowMissingColumns=True)
+    return out
+
+
+def _state_partials(routed: DataFrame, kind: FeatureKind) -> DataFrame:
+    rows = routed.where((F.col("kind") == kind.name) & kind.pane.keep()).withColumn("sub_key", kind.pane.sub_key())
+    rows = rows.withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), F.col("cadence_ms")))
+    return rows.groupBy(*PANE_KEYS).agg(F.count(F.lit(1)).alias("cnt"), kind.pane.partial().alias("state"))
 
 
 def combine_aggs() -> list:
@@ -105,13 +120,20 @@ def combine_aggs() -> list:
             F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity")]
 
 
-def combine_partials(partials: DataFrame) -> DataFrame:
+def combine_partials(partials: DataFrame, kinds=()) -> DataFrame:
     """Partials of the same (pane, entry) merged into one: the associative combine of every kind.
 
     Sums add up (a long sum that left its type stays lost), counts add up,
-    extremes and times take their extremes; entries are part of the key.
+    extremes and times take their extremes; entries are part of the key.  Kinds added
+    from outside, if ``kinds`` names any, merge their states themselves.
     """
-    return partials.groupBy(*PANE_KEYS, "_v", "_t").agg(*combine_aggs())
+    added = added_kinds(kinds)
+    shared = partials.where(~F.col("kind").isin(*[k.name for k in added])) if added else partials
+    out = shared.groupBy(*PANE_KEYS, "_v", "_t").agg(*combine_aggs()).withColumn("state", F.lit(None).cast("binary"))
+    for kind in added:
+        merged = partials.where(F.col("kind") == kind.name).groupBy(*PANE_KEYS).agg(F.sum("cnt").alias("cnt"), kind.pane.combine("state").alias("state"))
+        out = out.unionByName(merged, allowMissingColumns=True)
+    return out
 
 
 def coarser_partials(partials: DataFrame, cadences: DataFrame) -> DataFrame:
@@ -148,6 +170,10 @@ def panes_from_partials(partials: DataFrame, max_capacity: int | None = None,
     candidates before the exchange."""
     kinds = set(NUMERIC_KINDS + ITEM_KINDS) if kinds is None else set(kinds)
     parts = []
+    if added := added_kinds(kinds):
+        states = partials.where(F.col("kind").isin(*[k.name for k in added])).select(*PANE_KEYS, "cnt", "state")
+        nulls = _item_panes(partials.where(F.lit(False)), max_capacity)
+        parts.append(nulls.unionByName(states, allowMissingColumns=True))
     if kinds & set(NUMERIC_KINDS):
         parts.append(partials.where(F.col("kind").isin(*NUMERIC_KINDS)).select(
             *PANE_KEYS, "cnt",
@@ -155,12 +181,16 @@ def panes_from_partials(partials: DataFrame, max_capacity: int | None = None,
             F.coalesce("_sum_d", "_max_d", "_min_d").alias("num_double"),
             F.lit(None).cast(ITEM_TYPE).alias("items"),
             F.lit(None).cast("string").alias("latest_value"), F.lit(None).cast("bigint").alias("latest_ms"),
+            F.lit(None).cast("binary").alias("state"),
         ))
     if kinds & set(ITEM_KINDS):
         parts.append(_item_panes(partials.where(F.col("kind").isin(*ITEM_KINDS)), max_capacity))
     if not parts:
         return _item_panes(partials.where(F.lit(False)), max_capacity)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def build_panes(routed: DataFrame, max_capacity: int | None = None,
@@ -170,7 +200,7 @@ def build_panes(routed: DataFrame, max_capacity: int | None = None,
     Lazy form; ``FeatureJob.materialized_panes`` persists the partials first
     so the parse runs once for both the numeric and the item branch.
     """
-    return panes_from_partials(pane_partials(routed), max_capacity, kinds)
+    return panes_from_partials(pane_partials(routed, kinds or ()), max_capacity, kinds)
 
 
 def _item_panes(candidates: DataFrame, max_capacity: int | None) -> DataFrame:
@@ -193,7 +223,7 @@ def _item_panes(candidates: DataFrame, max_capacity: int | None) -> DataFrame:
             *PANE_KEYS, "cnt", F.lit(None).cast("bigint").alias("num_long"),
             F.lit(None).cast("double").alias("num_double"),
             F.when(F.size("items") > 0, F.sort_array("items", asc=False)).alias("items"),
-            "latest_value", "latest_ms",
+            "latest_value", "latest_ms", F.lit(None).cast("binary").alias("state"),
         )
     )
 

@@ -27,6 +27,7 @@ from pyspark.sql.window import Window
 from tumbleweed.functions.scalars import local_day_num
 from tumbleweed.operators.panes import ITEM_TYPE
 from tumbleweed.plans.compile import CompiledSpecs, literal_table, spec_broadcast
+from tumbleweed.plans.kinds import KIND_REGISTRY, FeatureKind, added_kind, register_kind
 from tumbleweed.sources.events import DEFAULT_EVENT_TIME_FIELD
 
 ENTITY = ["id", "id_type", "feature"]
@@ -206,6 +207,20 @@ def _two_blocks(rows: DataFrame, key: list[str], t: str, states: dict[str, State
 GROUP = ENTITY + ["sub_key"]
 
 
+def _seen_pairs(ends: DataFrame, active: DataFrame, lengths: DataFrame) -> DataFrame:
+    """The entity's active panes, each with the groups seen in its look-back.
+
+    ``ends`` holds the first (``since``) and last pane of each (group, block).
+    """
+    blocked = [*GROUP, "spec_id", "window_ms", "b"]
+    nothing = F.lit(None).cast("bigint")
+    here = ends.select(*blocked, "since", nothing.alias("until"))
+    after = ends.select(*GROUP, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), nothing.alias("since"), (F.col("last") + F.col("window_ms")).alias("until"))
+    seen = here.unionByName(after).groupBy(*blocked).agg(F.max("since").alias("since"), F.max("until").alias("until"))
+    probes = active.join(lengths, "spec_id").withColumn("b", _block("t"))
+    return probes.join(seen, [*ENTITY, "spec_id", "window_ms", "b"]).where((F.col("t") >= F.col("since")) | (F.col("t") < F.col("until")))
+
+
 def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None) -> DataFrame:
     """Grouped COUNT: every group seen in the look-back, at every active pane (A2).
 
@@ -243,12 +258,7 @@ def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz:
         blocked = [*GROUP, "spec_id", "window_ms", "b"]
         at = gp.join(lengths, "spec_id").withColumn("b", _block("t"))
         ends = at.groupBy(*blocked).agg(F.min("t").alias("since"), F.max("t").alias("last"), F.sum("c").alias("total"))
-        nothing = F.lit(None).cast("bigint")
-        here = ends.select(*blocked, "since", nothing.alias("until"))
-        after = ends.select(*GROUP, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), nothing.alias("since"), (F.col("last") + F.col("window_ms")).alias("until"))
-        seen = here.unionByName(after).groupBy(*blocked).agg(F.max("since").alias("since"), F.max("until").alias("until"))
-        probes = active.join(lengths, "spec_id").withColumn("b", _block("t"))
-        pairs = probes.join(seen, [*ENTITY, "spec_id", "window_ms", "b"]).where((F.col("t") >= F.col("since")) | (F.col("t") < F.col("until")))
+        pairs = _seen_pairs(ends, active, lengths)
         # the next block starts with this one's total and takes each pane back when it leaves the look-back
         next_b = [*GROUP, "spec_id", "window_ms", (F.col("b") + 1).alias("b")]
         row = lambda df, keys, t, c, probe: df.select(*keys, t.alias("t"), c.alias("c"), F.lit(probe).alias("probe"))
@@ -416,37 +426,49 @@ def rollup_latest(panes: DataFrame, cs: CompiledSpecs) -> DataFrame:
     return _emit(p, F.col("feature"), F.lit(None), F.lit(None), F.col("latest_value"), F.lit("string"))
 
 
-@dataclass(frozen=True)
-class FeatureKind:
-    """Extension point for a feature kind.
+# --------------------------------------------------------------------------- mergeable states
+def rollup_states(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, kind: str, count: Callable[[Column], Column]) -> DataFrame:
+    """Look-backs of an added kind: the sum over sub keys of ``count`` of the state merged over ``(T - w, T]``.
 
-    ``applies`` picks the compiled specs the kind serves; ``rollup`` turns
-    the pane table into that kind's feature rows.  The pane level is shared
-    by all kinds (one fixed pane schema), so a kind only adds a roll-up.
+    Sub keys seen in the look-back but not in the pane at ``T`` are carried over, as groups are (:func:`_seen_pairs`).
+    States merge by growing frames in (entity, sub key, block), in linear time; the
+    merge of a block's beginning and the end of the one before is the kind's combine again.
     """
-
-    name: str
-    applies: Callable[[object], bool]
-    rollup: Callable[..., DataFrame]
-
-
+    combine = added_kind(kind).pane.combine
+    ids = {r.spec_id for r in cs.rows["specs"] if r.kind == kind}
+    if not any(w.spec_id in ids and w.cadence_ms == pane_ms and w.whole is None for w in cs.rows["windows"]):
+        return _none(panes)
+    params = _spec_params(cs).where(F.col("spec_kind") == kind).select("feature", "id_type", "spec_id")
+    gp = panes.where(F.col("kind") == kind).join(params, ["feature", "id_type"]).select(
+        *ENTITY, "spec_id", "sub_key", F.col("pane_end_ms").alias("t"), "state")
+    lengths = _lengths(cs, pane_ms, ids)
+    blocked = [*GROUP, "spec_id", "window_ms", "b"]
+    ends = gp.join(lengths, "spec_id").withColumn("b", _block("t")).groupBy(*blocked).agg(F.min("t").alias("since"), F.max("t").alias("last"))
+    pairs = _seen_pairs(ends, gp.select(*ENTITY, "spec_id", "t").distinct(), lengths).select(*GROUP, "spec_id", "window_ms", "t")
+    rows = pairs.join(gp, [*GROUP, "spec_id", "t"], "left")
+    both = State(F.col("state"), combine, lambda head, tail: F.array(head, tail))
+    halves = _two_blocks(rows, [*GROUP, "spec_id"], "t", {"state": both}, []).withColumn("state", F.explode("state"))
+    merged = halves.groupBy(*GROUP, "spec_id", "window_ms", "t").agg(combine("state").alias("state"))
+    totals = merged.groupBy(*ENTITY, "spec_id", "window_ms", F.col("t").alias("pane_end_ms")).agg(F.sum(count(F.col("state"))).alias("total"))
+    rows = totals.join(_windows(cs, pane_ms).where(F.col("whole").isNull()), ["spec_id", "window_ms"])
+    return _emit(rows, F.concat_ws("_", "feature", "window"), F.col("total"), F.lit(None), F.col("total").cast("string"), F.lit("long"))
+
+
+# --------------------------------------------------------------------------- registry
 def _numeric_spec(r) -> bool:
     return r.kind in ("sum", "max", "min") or (r.kind == "count" and r.group_by is None)
 
 
-# Kind registry (X2): roll-ups keyed by name, each run only when a spec needs it.
-KIND_REGISTRY: dict[str, FeatureKind] = {
-    "numeric": FeatureKind("numeric", _numeric_spec,
-                           lambda p, cs, ms, tz, clock: rollup_numeric(p, cs, ms, tz)),
-    "grouped_count": FeatureKind("grouped_count", lambda r: r.kind == "count" and r.group_by is not None,
-                                 lambda p, cs, ms, tz, clock: rollup_grouped_count(p, cs, ms, tz)),
-    "list": FeatureKind("list", lambda r: r.kind == "list",
-                        lambda p, cs, ms, tz, clock: rollup_items(p, cs, ms, "list", clock)),
-    "set": FeatureKind("set", lambda r: r.kind == "set",
-                       lambda p, cs, ms, tz, clock: rollup_items(p, cs, ms, "set", clock)),
-    "latest": FeatureKind("latest", lambda r: r.kind == "latest",
-                          lambda p, cs, ms, tz, clock: rollup_latest(p, cs)),
-}
+# The built-in kinds
+for _kind in (
+    FeatureKind("numeric", _numeric_spec, lambda p, cs, ms, tz, clock: rollup_numeric(p, cs, ms, tz)),
+    FeatureKind("grouped_count", lambda r: r.kind == "count" and r.group_by is not None,
+                lambda p, cs, ms, tz, clock: rollup_grouped_count(p, cs, ms, tz)),
+    FeatureKind("list", lambda r: r.kind == "list", lambda p, cs, ms, tz, clock: rollup_items(p, cs, ms, "list", clock)),
+    FeatureKind("set", lambda r: r.kind == "set", lambda p, cs, ms, tz, clock: rollup_items(p, cs, ms, "set", clock)),
+    FeatureKind("latest", lambda r: r.kind == "latest", lambda p, cs, ms, tz, clock: rollup_latest(p, cs)),
+):
+    register_kind(_kind)
 
 
 def rollup_all(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None = None,

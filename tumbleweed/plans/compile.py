@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tumbleweed.functions.fields import compile_expressions
 from tumbleweed.functions.intervals import WHOLE_WINDOWS
+from tumbleweed.plans.kinds import added_kind
 from tumbleweed.sources.events import DEFAULT_EVENT_TIME_FIELD
 
 # Feature kinds of the spec format (configType, case-insensitive).
@@ -180,7 +181,7 @@ def _spec_error(sp: dict) -> str | None:
     kind = sp["kind"]
     if sp["spec_id"] is None:
         return "missing id"
-    if kind not in KINDS:
+    if kind not in KINDS and added_kind(kind) is None:
         return f"unknown kind: {kind if kind is not None else 'null'}"
     if _is_blank(sp["feature"]):
         return "blank featureNamePrefix"
@@ -196,14 +197,14 @@ def _spec_error(sp: dict) -> str | None:
         return "capacity must be >= 1"
     if kind == "atom" and not sp["atom_fields"]:
         return "atom spec without aggConfig.fields"
-    if kind in WINDOWED_KINDS and kind != "latest" and not sp["windows"]:
+    if kind not in ("atom", "latest") and not sp["windows"]:
         return "no windows"
-    return None
+    return added_kind(kind).validate(sp) if kind not in KINDS else None
 
 
 def _window_errors(sp: dict) -> list[str]:
     """Per-window rules (D10, D12); LATEST only uses its windows for the cadence."""
-    if sp["kind"] not in WINDOWED_KINDS or sp["kind"] == "latest":
+    if sp["kind"] in ("atom", "latest") or (sp["kind"] not in KINDS and added_kind(sp["kind"]) is None):
         return []
     out = []
     for w in sp["windows"]:

@@ -72,7 +72,7 @@ class FeatureJob:
         spark = records.sparkSession
         cs, cadences = self.compiled, cadences or (self.pane_ms,)
         path = self.pane_path or scratch_path(spark, "panes")
-        partials = pane_partials(route_windowed(self.fanned(records), cs, *cadences)).persist(StorageLevel.MEMORY_AND_DISK)
+        partials = pane_partials(route_windowed(self.fanned(records), cs, *cadences), cs.kinds_at(*cadences)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             panes = panes_from_partials(partials, cs.max_capacity(), cs.kinds_at(*cadences))
             if self.pane_path:

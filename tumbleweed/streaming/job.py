@@ -27,7 +27,7 @@ Everything a batch writes lies under its ``batch_id`` and is replaced when the b
 is run again; a batch whose version is committed is not run again (T5).
 
 :func:`pane_stream` is the same partial aggregation as a stateful operator of
-Spark's, for one cadence and fixed specs (T1, T2).
+Spark's, for one cadence, fixed specs and the built-in kinds (T1, T2).
 """
 
 from __future__ import annotations
@@ -48,6 +48,7 @@ from tumbleweed.operators.route import route_windowed
 from tumbleweed.operators.sinks import write_sinks
 from tumbleweed.plans.compile import spec_broadcast
 from tumbleweed.plans.job import FeatureJob
+from tumbleweed.plans.kinds import added_kinds
 from tumbleweed.session import scratch_path
 from tumbleweed.sources.records import read_records
 from tumbleweed.streaming.pane_table import PaneTable, Version
@@ -108,13 +109,17 @@ class FeatureBatchWriter:
         watermark = LONG_AGO if before.watermark is None else before.watermark
         end = pane_end_ms(F.col("event_ms"), base)
         counts = [F.max("event_ms").alias("newest"), F.count("event_ms").alias("n"), F.count(F.when(end <= F.lit(watermark), 1)).alias("late")]
-        seen = Observation()
-        partials = pane_partials(route_windowed(fan_out(job.events(records).observe(seen, *counts), job.topic_dims), job.compiled,
-                                                *job.compiled.cadences(), as_cadence=base))
+        kinds = job.compiled.kinds_at(*job.compiled.cadences())
+        events, seen = job.events(records), Observation()
+        # a kind with a pane level of its own reads the events a second time: they would be observed twice
+        observed = not added_kinds(kinds)
+        routed = route_windowed(fan_out(events.observe(seen, *counts) if observed else events, job.topic_dims), job.compiled,
+                                *job.compiled.cadences(), as_cadence=base)
+        partials = pane_partials(routed, kinds)
         folder = table.write("partials", partials.where(F.col("pane_end_ms") > F.lit(watermark - self.lateness_ms)),
                              f"partials/batch={batch_id}", batch_id)
         # an empty result may have been found without its input: then there is little to count
-        counted = seen.get if folder else job.events(records).agg(*counts).first().asDict()
+        counted = seen.get if folder and observed else events.agg(*counts).first().asDict()
         late = applied = 0
         if counted["late"]:  # rare: the late events themselves, counted from what was written
             path = f"{table.root}/late/batch_id={batch_id}"
@@ -145,7 +150,8 @@ class FeatureBatchWriter:
         if late:  # closed panes that this batch's late partials belong to: all their partials again
             touched = placed.where((F.col("batch_id") == batch_id) & (F.col("pane_end_ms") <= F.lit(old))).select(*pane).distinct()
             chosen = chosen.unionByName(placed.where(F.col("pane_end_ms") <= F.lit(old)).join(touched, pane, "left_semi"))
-        panes = panes_from_partials(combine_partials(chosen), cs.max_capacity(), cs.kinds_at(*cs.cadences())).select(*PANE_COLUMNS)
+        kinds = cs.kinds_at(*cs.cadences())
+        panes = panes_from_partials(combine_partials(chosen, kinds), cs.max_capacity(), kinds).select(*PANE_COLUMNS)
         folder = table.write("panes", panes, f"panes/batch={batch_id}", batch_id, corrects=late)
         if folder is None:
             return version
