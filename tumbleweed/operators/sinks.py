@@ -86,24 +86,28 @@ def output_counts(cells: DataFrame) -> DataFrame:
     return cells.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _write_cells(features: DataFrame, cs: CompiledSpecs, root: str, part: str) -> None:
+def _write_cells(features: DataFrame, cs: CompiledSpecs, root: str, part: str, message_rows: int | None) -> None:
     path = f"{root}/cells/{part}"
     serving_cells(features, cs).write.mode("overwrite").parquet(path)
-    feature_messages(features.sparkSession.read.parquet(path)).write.mode("overwrite").parquet(f"{root}/messages/{part}")
+    cells = features.sparkSession.read.parquet(path)
+    messages = feature_messages(cells) if message_rows is None else message_batches(cells, message_rows)
+    messages.write.mode("overwrite").parquet(f"{root}/messages/{part}")
 
 
-#: Writers by sink type (O5): each takes (features, compiled specs, root folder, part) and replaces that part.
+#: Writers by sink type (O5): each takes (features, compiled specs, root folder, part, rows of a message batch) and replaces that part.
 SINK_WRITERS = {kind: _write_cells for kind in CELL_SINK_TYPES}
 
 
-def write_sinks(features: DataFrame, cs: CompiledSpecs, root: str, part: str) -> list[str]:
+def write_sinks(features: DataFrame, cs: CompiledSpecs, root: str, part: str, message_rows: int | None = None) -> list[str]:
     """Write the mapped features through the writer of each sink type the specs name.
 
     Cells go to ``<root>/cells/<part>``, and their messages to
     ``<root>/messages/<part>``; writing a part again replaces it, so a replayed
-    batch leaves nothing twice.  Returns the sink types that have no writer.
+    batch leaves nothing twice.  ``message_rows`` makes a message for each batch of so
+    many rows of an entity, or a second (:func:`message_batches`), instead of one for
+    each time.  Returns the sink types that have no writer.
     """
     types = {r.sink_type for r in cs.rows["sink_fields"]}
     for writer in {SINK_WRITERS[t] for t in types if t in SINK_WRITERS}:
-        writer(features, cs, root, part)
+        writer(features, cs, root, part, message_rows)
     return sorted(str(t) for t in types if t not in SINK_WRITERS)

@@ -547,6 +547,14 @@ SELECT id, id_type, biz_type, ts, CAST(count(*) OVER (PARTITION BY id, id_type,
        "column", value
 FROM dedup"""
 
+STREAM_MESSAGE_BATCHES = _STREAM_CELLS + """,
+placed AS (SELECT *, "column" = 'type' AS atom, ts // 1000 AS sec,
+                  (row_number() OVER (PARTITION BY id, id_type, "column" = 'type', ts // 1000 ORDER BY ts, "column", value) - 1) // 2 AS batch FROM closed),
+per_column AS (SELECT id, id_type, biz_type, atom, sec, batch, "column", arg_max(value, (ts, value)) AS value, max(ts) AS last FROM placed
+               WHERE biz_type IS NOT NULL GROUP BY ALL)
+SELECT id, id_type, biz_type, max(last) OVER w AS ts, batch, CAST(count(*) OVER w AS INTEGER) AS n_columns, "column", value
+FROM per_column WINDOW w AS (PARTITION BY id, id_type, biz_type, atom, sec, batch)"""
+
 
 ORACLES = {
     "parse_events": PARSE_EVENTS,
@@ -596,4 +604,5 @@ ORACLES = {
     "stream_spec_change": STREAM_SPEC_CHANGE,
     "stream_cells": STREAM_CELLS,
     "stream_messages": STREAM_MESSAGES,
+    "stream_message_batches": STREAM_MESSAGE_BATCHES,
 }

@@ -298,12 +298,12 @@ def stream_spec_change(spark: SparkSession, sf: str) -> DataFrame:
     return _typed(features).select("id", "feature_name", "ts", "value_long")
 
 
-def _stream_sink(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def _stream_sink(spark: SparkSession, sf: str, name: str, **options) -> DataFrame:
     from tumbleweed.streaming.job import catch_up_from_table
 
     job = _job(spark, {1, 4, 11, 13, 14})
     job.compiled = job.compiled.restrict_features([r.feature_name for r in job.compiled.rows["sink_fields"]])
-    return spark.read.parquet(f"{catch_up_from_table(spark, sf, job).sinks}/{name}")
+    return spark.read.parquet(f"{catch_up_from_table(spark, sf, job, **options).sinks}/{name}")
 
 
 def stream_cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,6 +317,12 @@ def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
         "id", "id_type", "biz_type", "ts", F.size("kv").alias("n_columns"), F.explode("kv").alias("column", "value"))
 
 
+def stream_message_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of batches of two rows, or a second, per entity, as the stream's sink writer leaves them."""
+    return _stream_sink(spark, sf, "messages", message_rows=2).select(
+        "id", "id_type", "biz_type", "ts", "batch", F.size("kv").alias("n_columns"), F.explode("kv").alias("column", "value"))
+
+
 QUERIES = {
     "parse_events": parse_events_q,
     "dim_fanout": dim_fanout,
@@ -365,4 +371,5 @@ QUERIES = {
     "stream_spec_change": stream_spec_change,
     "stream_cells": stream_cells,
     "stream_messages": stream_messages,
+    "stream_message_batches": stream_message_batches,
 }

@@ -72,6 +72,7 @@ class StreamPaths:
     features: str
     checkpoint: str
     sinks: str | None = None     # where sink writers put cells and messages; None: features only
+    message_rows: int | None = None  # a message for so many rows of an entity, or a second; None: for each time
 
 
 def job_of(source: JobSource, batch_id: int) -> FeatureJob:
@@ -213,7 +214,7 @@ def write_features(features: DataFrame, job: FeatureJob, paths: StreamPaths, par
     path = f"{paths.features}/{part}"
     features.write.mode("overwrite").parquet(path)
     if paths.sinks:
-        write_sinks(features.sparkSession.read.schema(features.schema).parquet(path), job.compiled, paths.sinks, part)
+        write_sinks(features.sparkSession.read.schema(features.schema).parquet(path), job.compiled, paths.sinks, part, paths.message_rows)
 
 
 class FeatureStream:
@@ -320,14 +321,15 @@ def write_record_files(spark: SparkSession, records: DataFrame, folder: str, chu
 
 
 def catch_up_from_table(spark: SparkSession, sf_dir: str, job: JobSource, delay: str = "1 minute", lateness: str | int = 0, late=None,
-                        chunks: int = 4) -> StreamPaths:
+                        chunks: int = 4, message_rows: int | None = None) -> StreamPaths:
     """Catch up a file stream of the ``events`` table with ``availableNow``; returns where the outputs are."""
     from tumbleweed.sources.standin import event_records
 
     root = scratch_path(spark, "stream")
     source = f"{root}/source"
     files = write_record_files(spark, event_records(spark, sf_dir), source, chunks, late)
-    paths = StreamPaths(panes=f"{root}/panes", features=f"{root}/features", checkpoint=f"{root}/checkpoint", sinks=f"{root}/sinks")
+    paths = StreamPaths(panes=f"{root}/panes", features=f"{root}/features", checkpoint=f"{root}/checkpoint", sinks=f"{root}/sinks",
+                        message_rows=message_rows)
     records = read_records(spark, "json", source, streaming=True, options={"maxFilesPerTrigger": str(files)})
     start_feature_stream(job, records, paths, delay=delay, lateness=lateness, trigger={"availableNow": True}).awaitTermination()
     return paths
