@@ -46,10 +46,10 @@ from tumbleweed.operators.panes import (PANE_COLUMNS, PANE_KEYS, PANE_SCHEMA, co
 from tumbleweed.operators.rollup import FEATURE_COLUMNS, rollup_all
 from tumbleweed.operators.route import route_windowed
 from tumbleweed.operators.sinks import write_sinks
-from tumbleweed.plans.compile import spec_broadcast
+from tumbleweed.plans.compile import spec_broadcast, unbroadcast
 from tumbleweed.plans.job import FeatureJob
 from tumbleweed.plans.kinds import added_kinds
-from tumbleweed.session import scratch_path
+from tumbleweed.session import compiled_code_only, scratch_path
 from tumbleweed.sources.records import read_records
 from tumbleweed.streaming.pane_table import PaneTable, Version
 
@@ -150,7 +150,7 @@ class FeatureBatchWriter:
         pane = ["id", "id_type", "feature", "cadence_ms", "pane_end_ms"]
         if late:  # closed panes that this batch's late partials belong to: all their partials again
             touched = placed.where((F.col("batch_id") == batch_id) & (F.col("pane_end_ms") <= F.lit(old))).select(*pane).distinct()
-            chosen = chosen.unionByName(placed.where(F.col("pane_end_ms") <= F.lit(old)).join(touched, pane, "left_semi"))
+            chosen = chosen.unionByName(placed.where(F.col("pane_end_ms") <= F.lit(old)).join(unbroadcast(touched), pane, "left_semi"))
         kinds = cs.kinds_at(*cs.cadences())
         panes = panes_from_partials(combine_partials(chosen, kinds), cs.max_capacity(), kinds).select(*PANE_COLUMNS)
         folder = table.write("panes", panes, f"panes/batch={batch_id}", batch_id, corrects=late)
@@ -162,19 +162,19 @@ class FeatureBatchWriter:
         # feature by its own retention: the cost follows the batch, not the whole table.
         keys = ["id", "id_type", "feature", "cadence_ms"]
         horizon = self._horizon(job)
-        history = table.panes(version.panes, folder.lo - horizon).join(current.select(*keys).distinct(), keys, "left_semi")
+        history = table.panes(version.panes, folder.lo - horizon).join(unbroadcast(current.select(*keys).distinct()), keys, "left_semi")
         history = retain_panes(history, cs, folder.lo, job.pane_ms).select(*PANE_COLUMNS)
         active = current.select(*keys, F.col("pane_end_ms").alias("ts")).distinct()
         if late:  # panes after a corrected one look back on it
             redone = (current.where(F.col("pane_end_ms") <= F.lit(old)).groupBy(*keys)
                       .agg(F.min("pane_end_ms").alias("lo"), F.max("pane_end_ms").alias("hi")))
-            after = (history.select(*keys, F.col("pane_end_ms").alias("ts")).join(redone, keys)
+            after = (history.select(*keys, F.col("pane_end_ms").alias("ts")).join(unbroadcast(redone), keys)
                      .where((F.col("ts") > F.col("lo")) & (F.col("ts") < F.col("hi") + F.lit(horizon))).select(*keys, "ts"))
             active = active.unionByName(after).distinct()
         features = None
         for cadence in cs.cadences():
             part = (rollup_all(history, cs, cadence, job.tz)
-                    .join(active.where(F.col("cadence_ms") == cadence).drop("cadence_ms"), ["id", "id_type", "feature", "ts"], "left_semi"))
+                    .join(unbroadcast(active.where(F.col("cadence_ms") == cadence).drop("cadence_ms")), ["id", "id_type", "feature", "ts"], "left_semi"))
             features = part if features is None else features.unionByName(part)
         write_features(features.select(*FEATURE_COLUMNS), job, self.paths, f"source=windowed/batch_id={batch_id}")
         return version
@@ -259,12 +259,13 @@ def start_feature_stream(job: JobSource, records: DataFrame, paths: StreamPaths,
     if atoms is None:
         atoms = not isinstance(job, FeatureJob) or bool(job.compiled.rows["atom_fields"])
     queries = []
-    if not isinstance(job, FeatureJob) or job.compiled.cadences():
-        queries.append(records.writeStream.option("checkpointLocation", paths.checkpoint)
-                       .foreachBatch(FeatureBatchWriter(job, paths, delay, lateness)).trigger(**trigger).start())
-    if atoms:
-        queries.append(records.writeStream.option("checkpointLocation", f"{paths.checkpoint}-atoms")
-                       .foreachBatch(AtomBatchWriter(job, paths)).trigger(**trigger).start())
+    with compiled_code_only(records.sparkSession):  # a stream keeps the settings it was started with
+        if not isinstance(job, FeatureJob) or job.compiled.cadences():
+            queries.append(records.writeStream.option("checkpointLocation", paths.checkpoint)
+                           .foreachBatch(FeatureBatchWriter(job, paths, delay, lateness)).trigger(**trigger).start())
+        if atoms:
+            queries.append(records.writeStream.option("checkpointLocation", f"{paths.checkpoint}-atoms")
+                           .foreachBatch(AtomBatchWriter(job, paths)).trigger(**trigger).start())
     return FeatureStream(queries, paths)
 
 
