@@ -1,9 +1,9 @@
 """DISTINCT: exact counts of distinct whole numbers in a look-back, a kind added to the engine from outside.
 
-A pane's state is a set of bitmaps: value ``v`` is bit ``bitmap_bit_position(v)`` of bucket
-``bitmap_bucket_number(v)``, which is the sub key.  Bitmaps merge by OR, so panes,
-batches and look-backs do, and nothing is counted twice.  A bucket spans 32,768 values in
-4 KB; values far apart take a bucket each.
+A pane's state is a set of bitmaps: value ``v`` is bit ``v mod 64`` of bucket ``v div 64``
+(rounding down), which is the sub key.  Bitmaps merge by OR, so panes, batches and
+look-backs do, and nothing is counted twice.  A bucket is one word of 8 bytes: there are
+never more of them than values, and aggregates of them have buffers of fixed width.
 """
 
 from __future__ import annotations
@@ -24,6 +24,15 @@ def _value():
     return F.col("val").try_cast("bigint")
 
 
+def _word(state):
+    """The bitmap in a state (8 bytes) as a number."""
+    return F.conv(F.hex(state), 16, -10).cast("bigint")
+
+
+def _state(word):
+    return F.unhex(F.lpad(F.hex(word), 16, "0"))
+
+
 def _error(spec: dict) -> str | None:
     if spec["field_type"] != "long":
         return "DISTINCT needs fieldType long"
@@ -36,10 +45,11 @@ def _error(spec: dict) -> str | None:
 
 DISTINCT = register_kind(FeatureKind(
     "distinct", lambda spec: spec.kind == "distinct",
-    lambda panes, specs, pane_ms, tz, clock: rollup_states(panes, specs, pane_ms, "distinct", lambda state: F.bitmap_count(state)),
+    lambda panes, specs, pane_ms, tz, clock: rollup_states(panes, specs, pane_ms, "distinct", F.bit_count),
     validate=_error,
-    pane=PaneState(keep=lambda: _value().isNotNull(), sub_key=lambda: F.bitmap_bucket_number(_value()).cast("string"),
-                   partial=lambda: F.bitmap_construct_agg(F.bitmap_bit_position(_value())), combine=F.bitmap_or_agg)))
+    pane=PaneState(keep=lambda: _value().isNotNull(), sub_key=lambda: F.shiftright(_value(), 6).cast("string"),
+                   partial=lambda: _state(F.bit_or(F.expr("shiftleft(1L, CAST(try_cast(val AS BIGINT) & 63 AS INT))"))),
+                   combine=lambda state: _state(F.bit_or(_word(state))), read=_word, merge=F.bit_or)))
 
 SPECS = [
     {"id": 201, "configType": "DISTINCT", "bizType": "", "idType": "uid", "featureNamePrefix": "k_distinct", "typeConfig": ALL_EVENTS,
