@@ -204,14 +204,16 @@ def build_panes(routed: DataFrame, max_capacity: int | None = None,
 
 
 def _item_panes(candidates: DataFrame, max_capacity: int | None) -> DataFrame:
-    newest = Window.partitionBy(*PANE_KEYS).orderBy(F.col("item_ms").desc(), F.col("_v").desc())
+    # times first: they alone decide most comparisons of the sorts
+    keys = ["pane_end_ms", *[k for k in PANE_KEYS if k != "pane_end_ms"]]
+    newest = Window.partitionBy(*keys).orderBy(F.col("item_ms").desc(), F.col("_v").desc())
     ranked = candidates.withColumn("_rn", F.row_number().over(newest))
     ranked = ranked.where(F.col("_rn") <= F.lit(max(int(max_capacity or 1), 1)))
     keep = F.when(F.col("kind") == "latest", F.lit(1)).otherwise(F.col("capacity"))
     is_latest = F.col("kind") == "latest"
     return (
         ranked.where(F.col("_rn") <= keep)
-        .groupBy(*PANE_KEYS)
+        .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("cnt"),
             F.collect_list(F.when(~is_latest, F.struct(

@@ -31,7 +31,8 @@ def cell_snapshot(cells: DataFrame, as_of_ms=None, version: str | None = None) -
     aggregation: a hot cell ships one partial per task.
     """
     order = ["ts", *([version] if version else []), "value"]
-    snap = cells.groupBy("table", "row_key", "column").agg(
+    # the key with most values first: it alone decides most comparisons of the sorts
+    snap = cells.groupBy("row_key", "column", "table").agg(
         F.max_by(F.struct("value", "ttl_ms"), F.struct(*order)).alias("v"),
         F.max("ts").alias("ts"),
     ).select("table", "row_key", "column", "ts", F.col("v.value").alias("value"),
@@ -49,7 +50,8 @@ def feature_messages(cells: DataFrame, topic: str = "feature-out") -> DataFrame:
     exchange on the message key; a column written twice at the same instant
     keeps its greatest value, so the map never holds a duplicate key.
     """
-    keys = ["id", "id_type", "biz_type", "ts"]
+    # times first: they alone decide most comparisons of the sorts
+    keys = ["ts", "id", "id_type", "biz_type"]
     per_column = (cells.where(F.col("biz_type").isNotNull()).repartition(*keys)
                   .groupBy(*keys, "column").agg(F.max("value").alias("value")))
     grouped = per_column.groupBy(*keys).agg(
@@ -67,16 +69,17 @@ def message_batches(cells: DataFrame, max_rows: int = 100, interval_ms: int = 1_
     On the event clock: an entity's rows of one interval, in the order of their
     times, are cut after every ``max_rows``; each batch gives one message per bizType, in
     which the last time of a column wins.  Work is dealt by (entity, interval), so
-    a busy entity is spread over its intervals.
+    a busy entity is spread over its intervals; an array holds the rows of one batch.
     """
-    entity = ["id", "id_type", "interval"]
+    entity = ["interval", "id", "id_type"]
     placed = cells.withColumn("interval", F.floor(F.col("ts") / F.lit(interval_ms)))
     before = F.row_number().over(Window.partitionBy(*entity).orderBy("ts", "column", "value")) - 1
     batch = [*entity, "batch", "biz_type"]
     fired = placed.withColumn("batch", F.floor(before / F.lit(max_rows))).where(F.col("biz_type").isNotNull())
-    columns = fired.groupBy(*batch, "column").agg(F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts"))
-    grouped = columns.groupBy(*batch).agg(
-        F.max("ts").alias("ts"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("column", "value")))).alias("kv"))
+    grouped = fired.groupBy(*batch).agg(F.max("ts").alias("ts"), F.array_sort(F.collect_list(F.struct("column", "ts", "value"))).alias("rows"))
+    # in the order of columns and times: a row counts if the next one is of another column
+    last = F.filter("rows", lambda r, i: F.get("rows", i + 1).isNull() | (F.get("rows", i + 1)["column"] != r["column"]))
+    grouped = grouped.withColumn("kv", F.map_from_entries(F.transform(last, lambda r: F.struct(r["column"].alias("column"), r["value"].alias("value")))))
     body = F.to_json(F.struct(F.col("id"), F.col("id_type").alias("dataType"), F.col("ts"), F.col("biz_type").alias("bizType"), F.col("kv")))
     return grouped.select(F.lit(topic).alias("topic"), F.col("id").alias("key"), body.alias("value"), "id", "id_type", "biz_type", "ts", "batch", "kv")
 

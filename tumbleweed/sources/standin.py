@@ -32,8 +32,17 @@ def _ms(col: str):
     return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col})")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over the cores.
+
+    Event tables are small as files: a scan has a task for each 128 MB or row group, which leaves most
+    cores idle while a few parse all the JSON.  The columns are dealt before the JSON is made of them.
+    """
+    return df.repartition(2 * max(1, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def _records(df: DataFrame, topic, key, event) -> DataFrame:
-    return df.select(topic.alias("topic"), key.cast("string").alias("key"), F.to_json(event).alias("value"))
+    return spread(df).select(topic.alias("topic"), key.cast("string").alias("key"), F.to_json(event).alias("value"))
 
 
 def event_records(spark: SparkSession, sf_dir: str, uid=None) -> DataFrame:
