@@ -203,7 +203,7 @@ def snapshot_incremental(spark: SparkSession, sf: str) -> DataFrame:
     cells = spark.read.schema(cells.schema).parquet(path)
     snapshot = CellSnapshot(spark, scratch_path(spark, "snapshot"))
     cuts = cells.agg(F.percentile_approx("ts", [0.25, 0.5, 0.75])).first()[0] or [0, 0, 0]
-    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("ts")))
+    part = sum((F.when(F.col("ts") > F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
     for number in (0, 1, 2, 3, 3):
         snapshot.apply(cells.where(part == number), number)
     return snapshot.read().select("table", "row_key", "column", "ts", "value", "expires_at_ms",
