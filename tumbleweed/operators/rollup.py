@@ -13,6 +13,9 @@ sorts or holds more than the panes of one look-back, or day, of one key.
 * grouped COUNT: a group's first and last pane of each block tell which active
   panes see it, so groups absent from the current pane are carried over (A2).
 * LIST and SET: running merges of at most ``capacity`` items.
+
+Panes may have a boolean column ``wanted`` (the stream's batches): features are made
+at the panes where it holds, the others are only looked back on.
 """
 
 from __future__ import annotations
@@ -35,6 +38,14 @@ FEATURE_COLUMNS = ["id", "id_type", "feature", "feature_name", "window", "ts",
                    "value_long", "value_double", "value_text", "value_type"]
 
 
+#: Optional column of panes: whether features are made there.  All panes of an entity and time agree.
+WANTED = "wanted"
+
+
+def _flag(panes: DataFrame) -> Column:
+    return (F.col(WANTED) if WANTED in panes.columns else F.lit(True)).alias(WANTED)
+
+
 def _spec_params(cs: CompiledSpecs) -> DataFrame:
     return spec_broadcast(cs.specs.where(F.col("kind") != "atom").select(
         "spec_id", "feature", "id_type", F.col("kind").alias("spec_kind"), "field_type",
@@ -115,8 +126,9 @@ def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str |
     * look-backs: time is cut into blocks of length ``w``; a look-back is the
       end of one block and the beginning of the next (:func:`_two_blocks`) --
       linear, without cancellation, and a busy key is spread over its blocks;
-    * ``today``: growing frame within the key's day; ``yesterday``: totals of
-      days, joined with the next day's panes.  A busy key is spread over its days.
+    * whole days run in the same pass, as blocks of a day: ``today`` is the beginning
+      of the day's block, ``yesterday`` all of the block before.  A busy key is
+      spread over its days.
     """
     specs = [r for r in cs.rows["specs"] if r.kind in ("sum", "max", "min") or (r.kind == "count" and r.group_by is None)]
     ids = {r.spec_id for r in specs}
@@ -128,30 +140,17 @@ def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str |
     params = _spec_params(cs).where(F.col("spec_id").isin(*sorted(used)))
     # shuffles carry the spec's number only: what it stands for is joined again with the windows
     p = panes.where(F.col("kind").isin(*sorted({r.kind for r in specs}))).join(params, ["feature", "id_type"]).select(
-        "id", "spec_id", "pane_end_ms", *[v.value.alias(k) for k, v in states.items()],
-        local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz).alias("day"))
+        "id", "spec_id", "pane_end_ms", _flag(panes), *[v.value.alias(k) for k, v in states.items()],
+        local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz).cast("bigint").alias("day"))
     named = params.select("spec_id", "feature", "id_type", "spec_kind", "field_type")
-    windows = spec_broadcast(_windows(cs, pane_ms).join(named, "spec_id"), len(cs.rows["windows"]))
-    wholes = {w.whole for w in wins if w.whole is not None}
-    keep = [*ENTITY, "spec_kind", "field_type", "pane_end_ms", "window", *states]
-    parts = []
-    if any(w.whole is None for w in wins):
-        rows = p.drop("day").join(_lengths(cs, pane_ms, used), "spec_id")
-        done = _two_blocks(rows, ["id", "spec_id"], "pane_end_ms", states)
-        parts.append(done.join(windows.where(F.col("whole").isNull()), ["spec_id", "window_ms"]).select(*keep))
-    if "today" in wholes:
-        so_far = Window.partitionBy("id", "spec_id", "day").orderBy("pane_end_ms").rowsBetween(Window.unboundedPreceding, 0)
-        of_day = spec_broadcast(windows.where(F.col("whole") == "today").select("spec_id").distinct(), len(cs.rows["windows"]))
-        done = p.join(of_day, "spec_id", "left_semi").select("id", "spec_id", "pane_end_ms", *[v.agg(k).over(so_far).alias(k) for k, v in states.items()])
-        parts.append(done.join(windows.where(F.col("whole") == "today"), "spec_id").select(*keep))
-    if "yesterday" in wholes:
-        yesterday = spec_broadcast(windows.where(F.col("whole") == "yesterday"), len(cs.rows["windows"]))
-        of_day = p.join(yesterday, "spec_id", "left_semi")
-        days = of_day.groupBy("id", "spec_id", (F.col("day") + 1).alias("day")).agg(*[v.agg(k).alias(k) for k, v in states.items()])
-        parts.append(of_day.drop(*states).join(unbroadcast(days), ["id", "spec_id", "day"]).join(yesterday, "spec_id").select(*keep))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
+    windows = spec_broadcast(_windows(cs, pane_ms).join(named, "spec_id").withColumn("window_ms", F.coalesce("window_ms", F.lit(WHOLE_DAY))), len(cs.rows["windows"]))
+    lengths = _lengths(cs, pane_ms, used, whole_days=True)
+    done = _two_blocks(p.join(lengths, "spec_id"), ["id", "spec_id"], "pane_end_ms", states, day="day")
+    rows = done.join(windows, ["spec_id", "window_ms"]).where(F.col("whole").isNull() | (F.col("whole") == "today") | F.col("follows"))
+    whole = F.col("whole")
+    rows = rows.select(*ENTITY, "spec_kind", "field_type", "pane_end_ms", "window", *[
+        F.when(whole.isNull(), v.merge(F.col(f"head_{k}"), F.col(f"tail_{k}"))).when(whole == "today", F.col(f"head_{k}")).otherwise(F.col(f"tail_{k}")).alias(k)
+        for k, v in states.items()])
     state = lambda k: F.col(k) if k in states else F.lit(None)
     extreme = F.coalesce(*[F.col(k) for k in ("hi", "lo") if k in states]) if {"hi", "lo"} & set(states) else None
     is_double = F.col("field_type") == "double"
@@ -167,9 +166,14 @@ def rollup_numeric(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str |
     return _emit(rows.where((kind == "sum") | text.isNotNull()), F.concat_ws("_", "feature", "window"), long_v, double_v, text, vtype)
 
 
-def _lengths(cs: CompiledSpecs, pane_ms: int, ids) -> DataFrame:
-    """``(spec_id, window_ms)``: the look-back lengths of these specs, each once."""
-    rows = sorted({(w.spec_id, w.window_ms) for w in cs.rows["windows"] if w.spec_id in ids and w.cadence_ms == pane_ms and w.whole is None})
+#: Stands for the length of whole-day windows.
+WHOLE_DAY = -1
+
+
+def _lengths(cs: CompiledSpecs, pane_ms: int, ids, whole_days: bool = False) -> DataFrame:
+    """``(spec_id, window_ms)``: the look-back lengths of these specs, each once; with ``whole_days`` ``WHOLE_DAY`` for those in days."""
+    rows = sorted({(w.spec_id, WHOLE_DAY if w.whole is not None else w.window_ms) for w in cs.rows["windows"]
+                   if w.spec_id in ids and w.cadence_ms == pane_ms and (w.whole is None or whole_days)})
     return spec_broadcast(literal_table(cs.specs.sparkSession, rows, "spec_id int, window_ms bigint"), len(rows))
 
 
@@ -178,8 +182,12 @@ def _block(t: str) -> Column:
     return F.floor((F.col(t) - 1) / F.col("window_ms"))
 
 
-def _two_blocks(rows: DataFrame, key: list[str], t: str, states: dict[str, State]) -> DataFrame:
-    """Every state over ``(T - w, T]`` for each row, in linear time.
+#: After every pane of a block.
+END_OF_BLOCK = (1 << 63) - 1
+
+
+def _two_blocks(rows: DataFrame, key: list[str], t: str, states: dict[str, State], day: str | None = None) -> DataFrame:
+    """Both parts of every state over ``(T - w, T]`` for each wanted row, in linear time: ``head_`` and ``tail_``.
 
     ``rows`` hold one row per ``key``, ``window_ms`` (w) and ``t``.  With blocks ``(b * w, (b + 1) * w]``, the look-back of a row in block
     ``b`` is the part of block ``b - 1`` after ``T - w`` and the part of block ``b``
@@ -187,21 +195,31 @@ def _two_blocks(rows: DataFrame, key: list[str], t: str, states: dict[str, State
     goes to its own block at ``t`` and to the next one at ``t + w``: there, backwards in
     time, the moved rows seen before ``T`` are those of the block before after ``T - w``.
     One shuffle serves both frames.
+
+    With ``day``, the column of day numbers, rows of length ``WHOLE_DAY`` have days for blocks: they move to the
+    end of the next one, so its every row sees the whole day before.  ``follows`` tells whether there is any.
     """
     keys = [*key, "window_ms", "b"]
     own = F.col("own") == 1
     moved = F.lit(1) - F.col("own")
+    block, at = _block(t), F.col(t) + moved * F.col("window_ms")
+    if day is not None:
+        whole = F.col("window_ms") == F.lit(WHOLE_DAY)
+        block = F.when(whole, F.col(day)).otherwise(block)
+        at = F.when(whole & ~own, F.lit(END_OF_BLOCK)).otherwise(at)
+    flag = [WANTED] if WANTED in rows.columns else []
     placed = rows.withColumn("own", F.explode(F.array(F.lit(1), F.lit(0)))).select(
-        *key, "window_ms", (_block(t) + moved).alias("b"), (F.col(t) + moved * F.col("window_ms")).alias("at"), "own",
+        *key, "window_ms", (block + moved).alias("b"), at.alias("at"), "own", *flag,
         *[F.when(own, F.col(k)).alias(f"head_{k}") for k in states], *[F.when(~own, F.col(k)).alias(f"tail_{k}") for k in states])
     in_block = Window.partitionBy(*keys)
     so_far = in_block.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     # a moved row exactly at T is outside
     backwards = in_block.orderBy(F.desc("at"), F.desc("own")).rowsBetween(Window.unboundedPreceding, 0)
-    both = placed.select(*keys, "at", "own", *[v.agg(f"head_{k}").over(so_far).alias(f"head_{k}") for k, v in states.items()],
-                         *[v.agg(f"tail_{k}").over(backwards).alias(f"tail_{k}") for k, v in states.items()])
-    return both.where(own).select(*keys, F.col("at").alias(t),
-                                  *[v.merge(F.col(f"head_{k}"), F.col(f"tail_{k}")).alias(k) for k, v in states.items()])
+    follows = [] if day is None else [(F.min("own").over(backwards) == 0).alias("follows")]
+    both = placed.select(*keys, "at", "own", *flag, *[v.agg(f"head_{k}").over(so_far).alias(f"head_{k}") for k, v in states.items()],
+                         *[v.agg(f"tail_{k}").over(backwards).alias(f"tail_{k}") for k, v in states.items()], *follows)
+    kept = both.where(own & F.col(WANTED)) if flag else both.where(own)
+    return kept.select(*keys, F.col("at").alias(t), *[f"{part}_{k}" for k in states for part in ("head", "tail")], *(["follows"] if follows else []))
 
 
 # --------------------------------------------------------------------------- grouped count
@@ -249,9 +267,9 @@ def rollup_grouped_count(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz:
         return _none(panes)
 
     gp = panes.where(F.col("kind") == "count").join(params, ["feature", "id_type"]).select(
-        *ENTITY, "spec_id", "sub_key", F.col("pane_end_ms").alias("t"), F.col("cnt").alias("c"),
+        *ENTITY, "spec_id", "sub_key", F.col("pane_end_ms").alias("t"), F.col("cnt").alias("c"), _flag(panes),
         local_day_num(F.col("pane_end_ms") - F.lit(pane_ms), tz).alias("day"))
-    active = gp.select(*ENTITY, "spec_id", "t", "day").distinct()
+    active = gp.where(F.col(WANTED)).select(*ENTITY, "spec_id", "t", "day").distinct()
     zero = F.lit(0).cast("bigint")
     parts = []
     if any(w.whole is None for w in wins):
@@ -313,7 +331,7 @@ def rollup_items(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, kind: str, c
             continue
         params = _spec_params(cs).where((F.col("spec_kind") == kind) & F.col("spec_id").isin(*sorted(ids)))
         p = (panes.where(F.col("kind") == kind).join(params, ["feature", "id_type"])
-             .select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts").join(_lengths(cs, pane_ms, ids), "spec_id"))
+             .select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts", _flag(panes)).join(_lengths(cs, pane_ms, ids), "spec_id"))
         rows = _newest_items(p, pane_ms, kind == "set", on_clock, max(w.window_ms for w in wins)).join(
             _windows(cs, pane_ms).where(F.col("whole").isNull()), ["spec_id", "window_ms"])
         parts.append(_emit(rows.withColumnRenamed("t", "pane_end_ms"), F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
@@ -341,12 +359,12 @@ def _running(cells: Column, capacity: Column, distinct_values: bool) -> Column:
     none = F.filter(cells, lambda c: F.lit(False))
     last = lambda acc: F.coalesce(F.try_element_at(acc, F.lit(-1))["items"], F.array().cast(ITEM_TYPE))
     return F.aggregate(cells, none, lambda acc, c: F.concat(acc, F.array(F.struct(
-        c["t"].alias("t"), _merged(last(acc), c["items"], capacity, distinct_values).alias("items")))))
+        c["t"].alias("t"), _merged(last(acc), c["items"], capacity, distinct_values).alias("items"), c[WANTED].alias(WANTED)))))
 
 
 def _with_running(grouped, capacity: Column, distinct_values: bool, on_clock: bool) -> DataFrame:
     """Each group's panes in time order, as running merges: ``heads``, and ``tails`` (backwards) unless items follow the clock."""
-    cells = grouped.agg(F.array_sort(F.collect_list(F.struct("t", "items"))).alias("panes"),
+    cells = grouped.agg(F.array_sort(F.collect_list(F.struct("t", "items", WANTED))).alias("panes"),
                         F.first("capacity").alias("capacity"), F.first("need_ts").alias("need_ts"))
     cells = cells.withColumn("heads", _once(_running(F.col("panes"), capacity, distinct_values)))
     return cells if on_clock else cells.withColumn("tails", _once(_running(F.reverse("panes"), capacity, distinct_values)))
@@ -354,7 +372,7 @@ def _with_running(grouped, capacity: Column, distinct_values: bool, on_clock: bo
 
 def _panes_of(on_clock: bool) -> Column:
     return F.explode("heads" if on_clock else F.zip_with("heads", F.reverse("tails"), lambda h, s: F.struct(
-        h["t"].alias("t"), h["items"].alias("items"), s["items"].alias("rest"))))
+        h["t"].alias("t"), h["items"].alias("items"), s["items"].alias("rest"), h[WANTED].alias(WANTED))))
 
 
 #: Panes of a look-back up to which its block is one array.
@@ -383,13 +401,14 @@ def _newest_items(p: DataFrame, pane_ms: int, distinct_values: bool, on_clock: b
         cells = _with_running(placed.groupBy(*block), k, distinct_values, on_clock)
         sums = cells.select(*block, "capacity", F.element_at("heads", -1)["items"].alias("all"))
         rows = cells.select(*block, "capacity", "need_ts", _panes_of(on_clock).alias("x"))
-        rows = rows.select(*block, "capacity", "need_ts", F.col("x.t").alias("t"), F.col("x.items").alias("head"), *([] if on_clock else [F.col("x.rest").alias("tail")]))
+        rows = rows.where(F.col("x")[WANTED]) if on_clock else rows
+        rows = rows.select(*block, F.col("x")[WANTED].alias(WANTED), "capacity", "need_ts", F.col("x.t").alias("t"), F.col("x.items").alias("head"), *([] if on_clock else [F.col("x.rest").alias("tail")]))
     else:
         width = F.ceil(F.sqrt(F.col("window_ms") / F.lit(pane_ms))) * F.lit(pane_ms)
         placed = placed.withColumn("cell", F.floor((F.col("t") - 1 - F.col("b") * F.col("window_ms")) / width)).repartition(*[F.col(c) for c in block])
         cells = _with_running(placed.groupBy(*block, "cell"), k, distinct_values, on_clock)
         total = F.element_at("heads", -1)["items"]
-        sums = cells.groupBy(*block).agg(F.array_sort(F.collect_list(F.struct(F.col("cell").alias("t"), total.alias("items")))).alias("cells"), F.first("capacity").alias("capacity"))
+        sums = cells.groupBy(*block).agg(F.array_sort(F.collect_list(F.struct(F.col("cell").alias("t"), total.alias("items"), F.lit(True).alias(WANTED)))).alias("cells"), F.first("capacity").alias("capacity"))
         sums = sums.withColumn("up", _once(_running(F.col("cells"), k, distinct_values)))
         after = []
         if not on_clock:
@@ -400,7 +419,8 @@ def _newest_items(p: DataFrame, pane_ms: int, distinct_values: bool, on_clock: b
         sums = sums.select(*block, "capacity", F.element_at("up", -1)["items"].alias("all"))
         rows = cells.join(unbroadcast(carry), [*block, "cell"])
         rows = rows.select(*block, "capacity", "need_ts", "before", *(["after"] if after else []), _panes_of(on_clock).alias("x"))
-        rows = rows.select("*", F.col("x.t").alias("t"), _once(_merged(F.col("x.items"), F.col("before"), k, distinct_values)).alias("head"))
+        rows = rows.where(F.col("x")[WANTED]) if on_clock else rows
+        rows = rows.select("*", F.col("x")[WANTED].alias(WANTED), F.col("x.t").alias("t"), _once(_merged(F.col("x.items"), F.col("before"), k, distinct_values)).alias("head"))
         if after:
             rows = rows.withColumn("tail", _once(_merged(F.col("x.rest"), F.col("after"), k, distinct_values)))
     if on_clock:
@@ -409,11 +429,11 @@ def _newest_items(p: DataFrame, pane_ms: int, distinct_values: bool, on_clock: b
         found = _merged(F.col("head"), F.coalesce("prior", empty), k, distinct_values)
         reach = lambda x: (F.floor(x["ts"] / F.lit(pane_ms)) + 1) * F.lit(pane_ms) > F.col("t") - F.col("window_ms")
         return rows.select(*ENTITY, "spec_id", "window_ms", "t", "need_ts", F.filter(found, reach).alias("items"))
-    own = rows.select(*block, "capacity", "need_ts", F.col("t").alias("at"), F.lit(1).alias("own"), "head", F.lit(None).cast(ITEM_TYPE).alias("tail"))
+    own = rows.select(*block, "capacity", "need_ts", F.col("t").alias("at"), F.lit(1).alias("own"), WANTED, "head", F.lit(None).cast(ITEM_TYPE).alias("tail"))
     moved = rows.select(*ENTITY, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), "capacity", "need_ts", (F.col("t") + F.col("window_ms")).alias("at"),
-                        F.lit(0).alias("own"), F.lit(None).cast(ITEM_TYPE).alias("head"), "tail")
+                        F.lit(0).alias("own"), F.lit(False).alias(WANTED), F.lit(None).cast(ITEM_TYPE).alias("head"), "tail")
     backwards = Window.partitionBy(*block).orderBy(F.desc("at"), F.desc("own")).rowsBetween(Window.unboundedPreceding, 0)
-    both = own.unionByName(moved).withColumn("tail", F.last("tail", ignorenulls=True).over(backwards)).where(F.col("own") == 1)
+    both = own.unionByName(moved).withColumn("tail", F.last("tail", ignorenulls=True).over(backwards)).where((F.col("own") == 1) & F.col(WANTED))
     return both.select(*ENTITY, "spec_id", "window_ms", F.col("at").alias("t"), "need_ts",
                        _merged(F.col("head"), F.coalesce("tail", empty), k, distinct_values).alias("items"))
 
@@ -422,7 +442,7 @@ def _newest_items(p: DataFrame, pane_ms: int, distinct_values: bool, on_clock: b
 def rollup_latest(panes: DataFrame, cs: CompiledSpecs) -> DataFrame:
     """LATEST: the pane's newest value under the bare prefix."""
     params = _spec_params(cs).where(F.col("spec_kind") == "latest").select("feature", "id_type")
-    p = panes.where(F.col("kind") == "latest").join(params, ["feature", "id_type"]).withColumn(
+    p = panes.where((F.col("kind") == "latest") & _flag(panes)).join(params, ["feature", "id_type"]).withColumn(
         "window", F.lit(None).cast("string"))
     return _emit(p, F.col("feature"), F.lit(None), F.lit(None), F.col("latest_value"), F.lit("string"))
 
@@ -449,7 +469,7 @@ def rollup_states(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, kind: str,
     pairs = _seen_pairs(ends, gp.select(*ENTITY, "spec_id", "t").distinct(), lengths).select(*GROUP, "spec_id", "window_ms", "t")
     rows = pairs.join(unbroadcast(gp), [*GROUP, "spec_id", "t"], "left")
     both = State(F.col("state"), merge, lambda head, tail: F.array(head, tail))
-    halves = _two_blocks(rows, [*GROUP, "spec_id"], "t", {"state": both}).withColumn("state", F.explode("state"))
+    halves = _two_blocks(rows, [*GROUP, "spec_id"], "t", {"state": both}).withColumn("state", F.explode(both.merge(F.col("head_state"), F.col("tail_state"))))
     merged = halves.groupBy(*GROUP, "spec_id", "window_ms", "b", "t").agg(merge("state").alias("state"))
     totals = merged.groupBy(*ENTITY, "spec_id", "window_ms", F.col("t").alias("pane_end_ms")).agg(F.sum(count(F.col("state"))).alias("total"))
     rows = totals.join(_windows(cs, pane_ms).where(F.col("whole").isNull()), ["spec_id", "window_ms"])
@@ -485,8 +505,15 @@ def rollup_all(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, tz: str | None
     panes = panes.where(F.col("cadence_ms") == pane_ms)
     routed = {r.spec_id for r in cs.rows["routes"] if r.cadence_ms == pane_ms}
     specs = [r for r in cs.rows["specs"] if r.spec_id in routed]
-    parts = [kind.rollup(panes, cs, pane_ms, tz, clock_field)
-             for kind in KIND_REGISTRY.values() if any(kind.applies(r) for r in specs)]
+    parts = []
+    for kind in KIND_REGISTRY.values():
+        if not any(kind.applies(r) for r in specs):
+            continue
+        if kind.pane is None or WANTED not in panes.columns:
+            parts.append(kind.rollup(panes, cs, pane_ms, tz, clock_field))
+        else:  # a kind from outside need not know the flag
+            at = panes.where((F.col("kind") == kind.name) & F.col(WANTED)).select(*ENTITY, F.col("pane_end_ms").alias("ts")).distinct()
+            parts.append(kind.rollup(panes.drop(WANTED), cs, pane_ms, tz, clock_field).join(unbroadcast(at), [*ENTITY, "ts"], "left_semi"))
     if not parts:
         return _none(panes)
     out = parts[0]

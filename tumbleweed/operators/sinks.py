@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tumbleweed.functions.scalars import row_key
 from tumbleweed.plans.compile import CELL_SINK_TYPES, CompiledSpecs, spec_broadcast
+from tumbleweed.session import sorted_collections
 
 
 def serving_cells(features: DataFrame, cs: CompiledSpecs) -> DataFrame:
@@ -94,7 +95,8 @@ def _write_cells(features: DataFrame, cs: CompiledSpecs, root: str, part: str, m
     serving_cells(features, cs).write.mode("overwrite").parquet(path)
     cells = features.sparkSession.read.parquet(path)
     messages = feature_messages(cells) if message_rows is None else message_batches(cells, message_rows)
-    messages.write.mode("overwrite").parquet(f"{root}/messages/{part}")
+    with sorted_collections(features.sparkSession):
+        messages.write.mode("overwrite").parquet(f"{root}/messages/{part}")
 
 
 #: Writers by sink type (O5): each takes (features, compiled specs, root folder, part, rows of a message batch) and replaces that part.

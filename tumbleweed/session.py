@@ -54,6 +54,22 @@ def compiled_code_only(spark: SparkSession):
         spark.conf.set(METHOD_LIMIT, before)
 
 
+@contextmanager
+def sorted_collections(spark: SparkSession):
+    """While jobs run: lists are collected from sorted rows.
+
+    Hashed in memory, they give way to a sort after 128 groups, once on each side of the exchange;
+    a sort that is there already serves both.
+    """
+    key = "spark.sql.execution.useObjectHashAggregateExec"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

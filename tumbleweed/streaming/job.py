@@ -35,15 +35,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tumbleweed.functions.intervals import duration_ms
 from tumbleweed.functions.scalars import pane_end_ms
 from tumbleweed.operators.fanout import fan_out
-from tumbleweed.operators.panes import (PANE_COLUMNS, PANE_KEYS, PANE_SCHEMA, coarser_partials, combine_partials, pane_partials,
+from tumbleweed.operators.panes import (NUMERIC_KINDS, PANE_COLUMNS, PANE_KEYS, PANE_SCHEMA, coarser_partials, combine_partials, pane_partials,
                                         pane_partials_streaming, panes_from_partials, retain_panes)
-from tumbleweed.operators.rollup import FEATURE_COLUMNS, rollup_all
+from tumbleweed.operators.rollup import FEATURE_COLUMNS, WANTED, rollup_all
 from tumbleweed.operators.route import route_windowed
 from tumbleweed.operators.sinks import write_sinks
 from tumbleweed.plans.compile import spec_broadcast, unbroadcast
@@ -51,7 +53,7 @@ from tumbleweed.plans.job import FeatureJob
 from tumbleweed.plans.kinds import added_kinds
 from tumbleweed.session import compiled_code_only, scratch_path
 from tumbleweed.sources.records import read_records
-from tumbleweed.streaming.pane_table import PaneTable, Version
+from tumbleweed.streaming.pane_table import PaneTable, Version, newest_panes
 
 #: A job, or what gives the job for a batch number.
 JobSource = FeatureJob | Callable[[int], FeatureJob]
@@ -160,23 +162,35 @@ class FeatureBatchWriter:
         current = table.read("panes", [folder])
         # History is read for the batch's own entities and features only, from folders inside the horizon, and each
         # feature by its own retention: the cost follows the batch, not the whole table.
+        # Its features are those at its own panes: the history says which they are, so none are joined afterwards.
         keys = ["id", "id_type", "feature", "cadence_ms"]
         horizon = self._horizon(job)
-        history = table.panes(version.panes, folder.lo - horizon).join(unbroadcast(current.select(*keys).distinct()), keys, "left_semi")
-        history = retain_panes(history, cs, folder.lo, job.pane_ms).select(*PANE_COLUMNS)
-        active = current.select(*keys, F.col("pane_end_ms").alias("ts")).distinct()
+        history = table.read("panes", version.panes, folder.lo - horizon)
+        wanted = F.col("batch_id") == F.lit(batch_id)
         if late:  # panes after a corrected one look back on it
-            redone = (current.where(F.col("pane_end_ms") <= F.lit(old)).groupBy(*keys)
-                      .agg(F.min("pane_end_ms").alias("lo"), F.max("pane_end_ms").alias("hi")))
-            after = (history.select(*keys, F.col("pane_end_ms").alias("ts")).join(unbroadcast(redone), keys)
-                     .where((F.col("ts") > F.col("lo")) & (F.col("ts") < F.col("hi") + F.lit(horizon))).select(*keys, "ts"))
-            active = active.unionByName(after).distinct()
+            old_end = F.when(F.col("pane_end_ms") <= F.lit(old), F.col("pane_end_ms"))
+            redone = current.groupBy(*keys).agg(F.min(old_end).alias("lo"), F.max(old_end).alias("hi"))
+            history = history.join(unbroadcast(redone), keys)
+            after = (F.col("pane_end_ms") > F.col("lo")) & (F.col("pane_end_ms") < F.col("hi") + F.lit(horizon))
+            wanted = wanted | F.coalesce(after, F.lit(False))
+        else:
+            history = history.join(unbroadcast(current.select(*keys).distinct()), keys, "left_semi")
+        history = retain_panes(history, cs, folder.lo, job.pane_ms).withColumn(WANTED, wanted)
+        if any(f.corrects for f in version.panes):  # flags go by key and time, which all forms of a pane share, or by its newest form
+            history = newest_panes(history, WANTED)
+        history = history.select(*PANE_COLUMNS, WANTED)
         features = None
         for cadence in cs.cadences():
-            part = (rollup_all(history, cs, cadence, job.tz)
-                    .join(unbroadcast(active.where(F.col("cadence_ms") == cadence).drop("cadence_ms")), ["id", "id_type", "feature", "ts"], "left_semi"))
+            part = rollup_all(history, cs, cadence, job.tz)
             features = part if features is None else features.unionByName(part)
-        write_features(features.select(*FEATURE_COLUMNS), job, self.paths, f"source=windowed/batch_id={batch_id}")
+        # numbers are rolled up in one pass; where there are other kinds too, the joined history is kept for them
+        shared = len(kinds) > 1 and not kinds <= set(NUMERIC_KINDS)
+        history = history.persist(StorageLevel.MEMORY_AND_DISK) if shared else history
+        try:
+            write_features(features.select(*FEATURE_COLUMNS), job, self.paths, f"source=windowed/batch_id={batch_id}")
+        finally:
+            if shared:
+                history.unpersist()
         return version
 
     def _horizon(self, job: FeatureJob) -> int:
@@ -280,10 +294,9 @@ def read_features(spark: SparkSession, paths: StreamPaths) -> DataFrame:
     features = spark.read.parquet(paths.features)
     if not PaneTable(spark, paths.panes).latest().applied:
         return features
-    key = ["id", "id_type", "feature", "feature_name", "ts"]
-    rest = [c for c in features.columns if c not in (*key, "source")]
-    windowed = (features.where(F.col("source") == "windowed").groupBy(*key).agg(F.max_by(F.struct(*rest), "batch_id").alias("v"))
-                .select(*key, *[F.col("v")[c].alias(c) for c in rest], F.lit("windowed").alias("source")))
+    # a batch writes a feature once; times first, since they alone decide most comparisons of the sort
+    newest = F.max("batch_id").over(Window.partitionBy("ts", "id", "id_type", "feature", "feature_name"))
+    windowed = features.where(F.col("source") == "windowed").withColumn("_newest", newest).where(F.col("batch_id") == F.col("_newest"))
     return windowed.select(*features.columns).unionByName(features.where(F.col("source") != "windowed"))
 
 

@@ -23,6 +23,7 @@ from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tumbleweed.operators.panes import PANE_COLUMNS, PANE_KEYS, PANE_SCHEMA, PARTIAL_SCHEMA
 from tumbleweed.sources import folders
@@ -135,8 +136,11 @@ class PaneTable:
         return replace(version, **lists, garbage=tuple(garbage))
 
 
-def newest_panes(rows: DataFrame) -> DataFrame:
-    """One row per pane key: that of the newest batch."""
-    rest = [c for c in PANE_COLUMNS if c not in PANE_KEYS]
-    return (rows.groupBy(*PANE_KEYS).agg(F.max_by(F.struct(*rest, "batch_id"), "batch_id").alias("v"))
-            .select(*PANE_KEYS, *[F.col("v")[c].alias(c) for c in (*rest, "batch_id")]))
+def newest_panes(rows: DataFrame, *more: str) -> DataFrame:
+    """One row per pane key: that of the newest batch.
+
+    A batch writes a pane once, so its newest rows are one; a window sorts once, after the
+    shuffle (or needs none where rows come dealt by a part of the key), and an aggregate of texts twice.
+    """
+    newest = F.max("batch_id").over(Window.partitionBy("pane_end_ms", *[k for k in PANE_KEYS if k != "pane_end_ms"]))
+    return rows.withColumn("_newest", newest).where(F.col("batch_id") == F.col("_newest")).select(*PANE_COLUMNS, "batch_id", *more)
