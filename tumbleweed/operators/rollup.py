@@ -330,10 +330,17 @@ def rollup_items(panes: DataFrame, cs: CompiledSpecs, pane_ms: int, kind: str, c
         if not wins:
             continue
         params = _spec_params(cs).where((F.col("spec_kind") == kind) & F.col("spec_id").isin(*sorted(ids)))
-        p = (panes.where(F.col("kind") == kind).join(params, ["feature", "id_type"])
-             .select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts", _flag(panes)).join(_lengths(cs, pane_ms, ids), "spec_id"))
-        rows = _newest_items(p, pane_ms, kind == "set", on_clock, max(w.window_ms for w in wins)).join(
-            _windows(cs, pane_ms).where(F.col("whole").isNull()), ["spec_id", "window_ms"])
+        found = panes.where(F.col("kind") == kind).join(params, ["feature", "id_type"])
+        windows = _windows(cs, pane_ms).where(F.col("whole").isNull())
+        longest = max(w.window_ms for w in wins)
+        if longest // pane_ms <= ARRAY_PANES:
+            p = found.select("id", "spec_id", F.col("pane_end_ms").alias("t"), "items", _flag(panes))
+            named = spec_broadcast(windows.join(params.select("spec_id", "feature", "id_type", "need_ts"), "spec_id"), len(cs.rows["windows"]))
+            rows = _items_on_clock(p, cs, wins, pane_ms, kind == "set", named) if on_clock else _items_in_blocks(
+                p.join(_lengths(cs, pane_ms, ids), "spec_id"), cs, kind == "set", ids).join(named, ["spec_id", "window_ms"])
+        else:
+            p = found.select(*ENTITY, "spec_id", F.col("pane_end_ms").alias("t"), "items", "capacity", "need_ts", _flag(panes)).join(_lengths(cs, pane_ms, ids), "spec_id")
+            rows = _newest_items(p, pane_ms, kind == "set", on_clock).join(windows, ["spec_id", "window_ms"])
         parts.append(_emit(rows.withColumnRenamed("t", "pane_end_ms"), F.concat_ws("_", "feature", "window"), F.lit(None), F.lit(None),
                            _render_items(F.col("items"), F.col("need_ts")), F.lit(kind)))
     if not parts:
@@ -379,13 +386,94 @@ def _panes_of(on_clock: bool) -> Column:
 ARRAY_PANES = 2048
 
 
-def _newest_items(p: DataFrame, pane_ms: int, distinct_values: bool, on_clock: bool, longest_ms: int) -> DataFrame:
+def _capacities(cs: CompiledSpecs, ids, *more: tuple[str, dict]) -> DataFrame:
+    """``(spec_id, capacity)`` of these specs, and more bigint columns by spec."""
+    rows = sorted((r.spec_id, r.capacity, *[values[r.spec_id] for _, values in more]) for r in cs.rows["specs"] if r.spec_id in ids)
+    return spec_broadcast(literal_table(cs.specs.sparkSession, rows, ", ".join(["spec_id int, capacity int", *[f"{name} bigint" for name, _ in more]])), len(rows))
+
+
+def _merged_sorted(x: Column, y: Column, capacity: Column, distinct_values: bool, y_older: bool) -> Column:
+    """:func:`_merged` of two arrays that are such results themselves, or items of a pane: newest first, values distinct for SET.
+
+    Only values in both arrays can come twice, and where all of ``y`` is older nothing is sorted.
+    """
+    if distinct_values:
+        same = lambda a, e: a["value"] == e["value"]
+        if y_older:
+            y = F.filter(y, lambda e: ~F.exists(x, lambda a: same(a, e)))
+        else:
+            x, y = (F.filter(x, lambda e: ~F.exists(y, lambda a: same(a, e) & (a["ts"] > e["ts"]))),
+                    F.filter(y, lambda e: ~F.exists(x, lambda a: same(a, e) & (a["ts"] >= e["ts"]))))
+    both = F.concat(x, y)
+    return F.slice(both if y_older else F.sort_array(both, asc=False), 1, capacity)
+
+
+def _blocks(p: DataFrame, key: list[str], length: str, at: Column) -> DataFrame:
+    """Per key and block, the cells ``(at, own, live, items)`` of its own panes and of the block before's, in one exchange.
+
+    Only blocks with a pane that features are made at.
+    """
+    own = F.col("own") == 1
+    placed = p.withColumn("own", F.explode(F.array(F.lit(1), F.lit(0)))).select(
+        *key, (F.floor((F.col("t") - 1) / F.col(length)) + F.lit(1) - F.col("own")).alias("b"),
+        F.struct(F.when(own, F.col("t")).otherwise(at).alias("at"), "own", (own & F.col(WANTED)).alias("live"), "items").alias("cell"))
+    cells = placed.groupBy(*key, "b").agg(F.collect_list("cell").alias("cells"))
+    return cells.where(F.exists("cells", lambda c: c["live"]))
+
+
+def _states_of(cells: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For an array of cells: ``(at, own, live, items)`` with the running merge of their items up to each."""
+    none = F.filter(cells, lambda c: F.lit(False))
+    last = lambda acc: F.coalesce(F.try_element_at(acc, F.lit(-1))["items"], F.array().cast(ITEM_TYPE))
+    return F.aggregate(cells, none, lambda acc, c: F.concat(acc, F.array(F.struct(
+        c["at"].alias("at"), c["own"].alias("own"), c["live"].alias("live"), merge(c, last(acc)).alias("items")))))
+
+
+def _items_on_clock(p: DataFrame, cs: CompiledSpecs, wins, pane_ms: int, distinct_values: bool, windows: DataFrame) -> DataFrame:
+    """Newest items per active pane and look-back, where item times are the pane clock.
+
+    A pane's items are then newer than all of earlier panes, so one running merge, over blocks
+    of the spec's longest look-back and what came in the block before, serves every
+    look-back: its items are those of the merge that are in its reach.
+    """
+    spans: dict[int, int] = {}
+    for w in wins:
+        spans[w.spec_id] = max(w.window_ms, spans.get(w.spec_id, 0))
+    limits = _capacities(cs, set(spans), ("span", spans))
+    cells = _blocks(p.join(limits.select("spec_id", "span"), "spec_id"), ["id", "spec_id"], "span", F.col("t"))
+    merge = lambda c, so_far: _merged_sorted(c["items"], so_far, F.col("capacity"), distinct_values, y_older=True)
+    states = _states_of(F.sort_array("cells"), merge)
+    found = cells.join(limits.select("spec_id", "capacity"), "spec_id").select("id", "spec_id", F.inline(F.filter(states, lambda c: c["live"])))
+    reach = lambda x: (F.floor(x["ts"] / F.lit(pane_ms)) + 1) * F.lit(pane_ms) > F.col("at") - F.col("window_ms")
+    return found.join(windows, "spec_id").select(*ENTITY, "window", F.col("at").alias("t"), "need_ts", F.filter("items", reach).alias("items"))
+
+
+def _items_in_blocks(p: DataFrame, cs: CompiledSpecs, distinct_values: bool, ids) -> DataFrame:
+    """Newest items per active pane and look-back, where items have a time of their own.
+
+    As in :func:`_two_blocks`: panes of the block before are there at ``t + w``, and a look-back is
+    the merge of its block's panes up to ``T`` and, backwards, of the moved ones after it.
+    """
+    cells = _blocks(p, ["id", "spec_id", "window_ms"], "window_ms", F.col("t") + F.col("window_ms"))
+    cells = cells.join(_capacities(cs, ids), "spec_id").withColumn("cells", _once(F.sort_array("cells")))
+    merge = lambda x, y: _merged_sorted(x, y, F.col("capacity"), distinct_values, y_older=False)
+    is_own = lambda c: c["own"] == 1
+    heads = _states_of(F.filter("cells", is_own), lambda c, so_far: merge(c["items"], so_far))
+    # from the last to the first, a pane before what was moved to its time: that is outside
+    tails = _states_of(F.reverse("cells"), lambda c, so_far: F.when(is_own(c), so_far).otherwise(merge(c["items"], so_far)))
+    cells = cells.select("id", "spec_id", "window_ms", "capacity", _once(heads).alias("heads"), "cells").select(
+        "id", "spec_id", "window_ms", "capacity", "heads", _once(F.reverse(F.filter(tails, is_own))).alias("tails"))
+    both = F.zip_with("heads", "tails", lambda h, x: F.struct(h["at"].alias("t"), h["live"].alias("live"), h["items"].alias("head"), x["items"].alias("tail")))
+    rows = cells.select("id", "spec_id", "window_ms", "capacity", F.inline(F.filter(both, lambda c: c["live"])))
+    return rows.select("id", "spec_id", "window_ms", "t", merge(F.col("head"), F.col("tail")).alias("items"))
+
+
+def _newest_items(p: DataFrame, pane_ms: int, distinct_values: bool, on_clock: bool) -> DataFrame:
     """Newest items per active pane and look-back, with no more than ``capacity`` of them in any state.
 
-    Time is cut into blocks of the look-back's length ``w`` and these, where a
-    look-back may have more than ``ARRAY_PANES`` panes, into about ``sqrt(w / pane)``
-    cells.  Running merges go over the panes of a cell, and over the cells of a
-    block; a pane's *head* is the merge of both.  Where item times are the
+    For look-backs that may have more than ``ARRAY_PANES`` panes.  Time is cut into blocks of the
+    look-back's length ``w`` and these into about ``sqrt(w / pane)`` cells.  Running merges go over
+    the panes of a cell, and over the cells of a block; a pane's *head* is the merge of both.  Where item times are the
     pane clock, all items of the block before are older, so the look-back is the
     head and that block's last items, as far as they are in reach.  With a time of
     their own, items need the *tail* too: the merge of the panes after ``T - w`` in
@@ -397,32 +485,25 @@ def _newest_items(p: DataFrame, pane_ms: int, distinct_values: bool, on_clock: b
     block = [*ENTITY, "spec_id", "window_ms", "b"]
     k, empty = F.col("capacity"), F.array().cast(ITEM_TYPE)
     placed = p.withColumn("b", _block("t"))
-    if longest_ms // pane_ms <= ARRAY_PANES:
-        cells = _with_running(placed.groupBy(*block), k, distinct_values, on_clock)
-        sums = cells.select(*block, "capacity", F.element_at("heads", -1)["items"].alias("all"))
-        rows = cells.select(*block, "capacity", "need_ts", _panes_of(on_clock).alias("x"))
-        rows = rows.where(F.col("x")[WANTED]) if on_clock else rows
-        rows = rows.select(*block, F.col("x")[WANTED].alias(WANTED), "capacity", "need_ts", F.col("x.t").alias("t"), F.col("x.items").alias("head"), *([] if on_clock else [F.col("x.rest").alias("tail")]))
-    else:
-        width = F.ceil(F.sqrt(F.col("window_ms") / F.lit(pane_ms))) * F.lit(pane_ms)
-        placed = placed.withColumn("cell", F.floor((F.col("t") - 1 - F.col("b") * F.col("window_ms")) / width)).repartition(*[F.col(c) for c in block])
-        cells = _with_running(placed.groupBy(*block, "cell"), k, distinct_values, on_clock)
-        total = F.element_at("heads", -1)["items"]
-        sums = cells.groupBy(*block).agg(F.array_sort(F.collect_list(F.struct(F.col("cell").alias("t"), total.alias("items"), F.lit(True).alias(WANTED)))).alias("cells"), F.first("capacity").alias("capacity"))
-        sums = sums.withColumn("up", _once(_running(F.col("cells"), k, distinct_values)))
-        after = []
-        if not on_clock:
-            sums = sums.withColumn("down", _once(_running(F.reverse("cells"), k, distinct_values)))
-            after = [lambda c: F.coalesce(F.try_element_at(F.filter("down", lambda d: d["t"] > c["t"]), F.lit(-1))["items"], empty).alias("after")]
-        carry = sums.select(*block, F.inline(F.transform("up", lambda c, i: F.struct(
-            c["t"].alias("cell"), F.coalesce(F.get("up", i - 1)["items"], empty).alias("before"), *[f(c) for f in after]))))
-        sums = sums.select(*block, "capacity", F.element_at("up", -1)["items"].alias("all"))
-        rows = cells.join(unbroadcast(carry), [*block, "cell"])
-        rows = rows.select(*block, "capacity", "need_ts", "before", *(["after"] if after else []), _panes_of(on_clock).alias("x"))
-        rows = rows.where(F.col("x")[WANTED]) if on_clock else rows
-        rows = rows.select("*", F.col("x")[WANTED].alias(WANTED), F.col("x.t").alias("t"), _once(_merged(F.col("x.items"), F.col("before"), k, distinct_values)).alias("head"))
-        if after:
-            rows = rows.withColumn("tail", _once(_merged(F.col("x.rest"), F.col("after"), k, distinct_values)))
+    width = F.ceil(F.sqrt(F.col("window_ms") / F.lit(pane_ms))) * F.lit(pane_ms)
+    placed = placed.withColumn("cell", F.floor((F.col("t") - 1 - F.col("b") * F.col("window_ms")) / width)).repartition(*[F.col(c) for c in block])
+    cells = _with_running(placed.groupBy(*block, "cell"), k, distinct_values, on_clock)
+    total = F.element_at("heads", -1)["items"]
+    sums = cells.groupBy(*block).agg(F.array_sort(F.collect_list(F.struct(F.col("cell").alias("t"), total.alias("items"), F.lit(True).alias(WANTED)))).alias("cells"), F.first("capacity").alias("capacity"))
+    sums = sums.withColumn("up", _once(_running(F.col("cells"), k, distinct_values)))
+    after = []
+    if not on_clock:
+        sums = sums.withColumn("down", _once(_running(F.reverse("cells"), k, distinct_values)))
+        after = [lambda c: F.coalesce(F.try_element_at(F.filter("down", lambda d: d["t"] > c["t"]), F.lit(-1))["items"], empty).alias("after")]
+    carry = sums.select(*block, F.inline(F.transform("up", lambda c, i: F.struct(
+        c["t"].alias("cell"), F.coalesce(F.get("up", i - 1)["items"], empty).alias("before"), *[f(c) for f in after]))))
+    sums = sums.select(*block, "capacity", F.element_at("up", -1)["items"].alias("all"))
+    rows = cells.join(unbroadcast(carry), [*block, "cell"])
+    rows = rows.select(*block, "capacity", "need_ts", "before", *(["after"] if after else []), _panes_of(on_clock).alias("x"))
+    rows = rows.where(F.col("x")[WANTED]) if on_clock else rows
+    rows = rows.select("*", F.col("x")[WANTED].alias(WANTED), F.col("x.t").alias("t"), _once(_merged(F.col("x.items"), F.col("before"), k, distinct_values)).alias("head"))
+    if after:
+        rows = rows.withColumn("tail", _once(_merged(F.col("x.rest"), F.col("after"), k, distinct_values)))
     if on_clock:
         prior = sums.select(*ENTITY, "spec_id", "window_ms", (F.col("b") + 1).alias("b"), F.col("all").alias("prior"))
         rows = rows.join(unbroadcast(prior), block, "left")

@@ -131,6 +131,10 @@ class CompiledSpecs:
 
         return math.gcd(*self.cadences()) if self.cadences() else None
 
+    def id_types(self) -> set[str]:
+        """The id types some spec is routed by."""
+        return {r.id_type for r in self.rows["routes"]}
+
     def feature_cadences(self) -> tuple[DataFrame, int]:
         """``(feature, id_type, cadence_ms)`` of the windowed specs, and the number of rows."""
         specs = self._kind_of()

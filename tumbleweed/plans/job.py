@@ -19,7 +19,7 @@ from tumbleweed.operators.panes import PANE_COLUMNS, PANE_SCHEMA, build_panes, p
 from tumbleweed.operators.rollup import rollup_all
 from tumbleweed.operators.route import route_windowed
 from tumbleweed.plans.compile import CompiledSpecs, compile_specs
-from tumbleweed.session import compiled_code_only, scratch_path
+from tumbleweed.session import compiled_code_only, scratch_path, sorted_collections
 from tumbleweed.sources.events import parse_events
 
 MINUTE_MS = 60_000
@@ -43,7 +43,8 @@ class FeatureJob:
         return parse_events(records)
 
     def fanned(self, records: DataFrame) -> DataFrame:
-        return fan_out(self.events(records), self.topic_dims)
+        """The events, once for each id type of their topic that some spec is routed by."""
+        return fan_out(self.events(records), self.topic_dims, id_types=self.compiled.id_types())
 
     def routed(self, records: DataFrame) -> DataFrame:
         return route_windowed(self.fanned(records), self.compiled, self.pane_ms)
@@ -78,7 +79,7 @@ class FeatureJob:
             if self.pane_path:
                 panes = panes.withColumn("pane_date", F.to_date(F.timestamp_millis(F.col("pane_end_ms") - 1)))
             # a run's own table is read as a whole: a folder for each date would only make small files
-            with compiled_code_only(spark):
+            with compiled_code_only(spark), sorted_collections(spark):
                 (panes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("cadence_ms", "kind", *(["pane_date"] if self.pane_path else [])).parquet(path))
         finally:

@@ -51,7 +51,7 @@ from tumbleweed.operators.sinks import write_sinks
 from tumbleweed.plans.compile import spec_broadcast, unbroadcast
 from tumbleweed.plans.job import FeatureJob
 from tumbleweed.plans.kinds import added_kinds
-from tumbleweed.session import compiled_code_only, scratch_path
+from tumbleweed.session import compiled_code_only, scratch_path, sorted_collections
 from tumbleweed.sources.records import read_records
 from tumbleweed.streaming.pane_table import PaneTable, Version, newest_panes
 
@@ -116,7 +116,7 @@ class FeatureBatchWriter:
         events, seen = job.events(records), Observation()
         # a kind with a pane level of its own reads the events a second time: they would be observed twice
         observed = not added_kinds(kinds)
-        routed = route_windowed(fan_out(events.observe(seen, *counts) if observed else events, job.topic_dims), job.compiled,
+        routed = route_windowed(fan_out(events.observe(seen, *counts) if observed else events, job.topic_dims, id_types=job.compiled.id_types()), job.compiled,
                                 *job.compiled.cadences(), as_cadence=base)
         partials = pane_partials(routed, kinds)
         folder = table.write("partials", partials.where(F.col("pane_end_ms") > F.lit(watermark - self.lateness_ms)),
@@ -145,6 +145,7 @@ class FeatureBatchWriter:
             return version
         rows, n_rows = cs.feature_cadences()
         cadences = spec_broadcast(rows, n_rows)
+        kinds = cs.kinds_at(*cs.cadences())
         widest = max(cs.cadences())
         first = (old - (self.lateness_ms if late else 0)) // widest * widest
         placed = coarser_partials(table.read("partials", version.partials, first), cadences).where(F.col("pane_end_ms") <= F.lit(new))
@@ -153,9 +154,12 @@ class FeatureBatchWriter:
         if late:  # closed panes that this batch's late partials belong to: all their partials again
             touched = placed.where((F.col("batch_id") == batch_id) & (F.col("pane_end_ms") <= F.lit(old))).select(*pane).distinct()
             chosen = chosen.unionByName(placed.where(F.col("pane_end_ms") <= F.lit(old)).join(unbroadcast(touched), pane, "left_semi"))
-        kinds = cs.kinds_at(*cs.cadences())
-        panes = panes_from_partials(combine_partials(chosen, kinds), cs.max_capacity(), kinds).select(*PANE_COLUMNS)
-        folder = table.write("panes", panes, f"panes/batch={batch_id}", batch_id, corrects=late)
+            combined = combine_partials(chosen, kinds)
+        else:
+            combined = self._combined(version, before, chosen, first, old, new, job)
+        panes = panes_from_partials(combined, cs.max_capacity(), kinds).select(*PANE_COLUMNS)
+        with sorted_collections(spark):
+            folder = table.write("panes", panes, f"panes/batch={batch_id}", batch_id, corrects=late)
         if folder is None:
             return version
         version = replace(version, panes=version.panes + (folder,))
@@ -166,26 +170,29 @@ class FeatureBatchWriter:
         keys = ["id", "id_type", "feature", "cadence_ms"]
         horizon = self._horizon(job)
         history = table.read("panes", version.panes, folder.lo - horizon)
-        wanted = F.col("batch_id") == F.lit(batch_id)
+        kept = lambda rows, wanted: retain_panes(rows, cs, folder.lo, job.pane_ms).withColumn(WANTED, wanted)
+        corrected = any(f.corrects for f in version.panes)
+        own = None
         if late:  # panes after a corrected one look back on it
             old_end = F.when(F.col("pane_end_ms") <= F.lit(old), F.col("pane_end_ms"))
             redone = current.groupBy(*keys).agg(F.min(old_end).alias("lo"), F.max(old_end).alias("hi"))
             history = history.join(unbroadcast(redone), keys)
             after = (F.col("pane_end_ms") > F.col("lo")) & (F.col("pane_end_ms") < F.col("hi") + F.lit(horizon))
-            wanted = wanted | F.coalesce(after, F.lit(False))
-        else:
-            history = history.join(unbroadcast(current.select(*keys).distinct()), keys, "left_semi")
-        history = retain_panes(history, cs, folder.lo, job.pane_ms).withColumn(WANTED, wanted)
-        if any(f.corrects for f in version.panes):  # flags go by key and time, which all forms of a pane share, or by its newest form
+            history = kept(history, (F.col("batch_id") == F.lit(batch_id)) | F.coalesce(after, F.lit(False)))
+        else:  # the batch's own panes are all wanted, and none of them is an earlier one's: only earlier ones are chosen by a join
+            earlier = history.where(F.col("batch_id") != F.lit(batch_id)).join(unbroadcast(current.select(*keys).distinct()), keys, "left_semi")
+            history, own = kept(earlier, F.lit(False)), kept(current, F.lit(True)).select(*PANE_COLUMNS, WANTED)
+        if corrected:  # flags go by key and time, which all forms of a pane share, or by its newest form
             history = newest_panes(history, WANTED)
         history = history.select(*PANE_COLUMNS, WANTED)
-        features = None
-        for cadence in cs.cadences():
-            part = rollup_all(history, cs, cadence, job.tz)
-            features = part if features is None else features.unionByName(part)
         # numbers are rolled up in one pass; where there are other kinds too, the joined history is kept for them
         shared = len(kinds) > 1 and not kinds <= set(NUMERIC_KINDS)
         history = history.persist(StorageLevel.MEMORY_AND_DISK) if shared else history
+        seen = history if own is None else own.unionByName(history)
+        features = None
+        for cadence in cs.cadences():
+            part = rollup_all(seen, cs, cadence, job.tz)
+            features = part if features is None else features.unionByName(part)
         try:
             write_features(features.select(*FEATURE_COLUMNS), job, self.paths, f"source=windowed/batch_id={batch_id}")
         finally:
@@ -193,6 +200,28 @@ class FeatureBatchWriter:
                 history.unpersist()
         return version
 
+    def _combined(self, version: Version, before: Version, chosen: DataFrame, first: int, old: int, new: int, job: FeatureJob) -> DataFrame:
+        """The partials of the panes that close, combined: base-cadence panes with partials of this batch only are so already."""
+        cs, table = job.compiled, self.table
+        kinds, base = cs.kinds_at(*cs.cadences()), cs.base_cadence()
+        mine = [f for f in version.partials if f not in before.partials]
+        if not mine or added_kinds(kinds):
+            return combine_partials(chosen, kinds)
+        rows, n_rows = cs.feature_cadences()
+        cadences = spec_broadcast(rows, n_rows)
+        # earlier partials may be of another base cadence: the last of these panes they can reach
+        shared_to = max((-(-f.hi // base) * base for f in before.partials), default=LONG_AGO)
+        lone = coarser_partials(table.read("partials", mine, max(shared_to, first)), cadences).where(
+            (F.col("cadence_ms") == F.lit(base)) & (F.col("pane_end_ms") > F.lit(old)) & (F.col("pane_end_ms") <= F.lit(new))).drop("batch_id")
+        if set(cs.cadences()) != {base}:
+            rest = chosen.where((F.col("cadence_ms") != F.lit(base)) | (F.col("pane_end_ms") <= F.lit(shared_to)))
+        elif shared_to > old:
+            rest = coarser_partials(table.read("partials", version.partials, first).where(F.col("pane_end_ms") <= F.lit(shared_to)), cadences).where(
+                (F.col("pane_end_ms") > F.lit(old)) & (F.col("pane_end_ms") <= F.lit(new)))
+        else:
+            return lone
+        return combine_partials(rest, kinds).unionByName(lone)
+
     def _horizon(self, job: FeatureJob) -> int:
         """The longest retention of any feature (see ``retention_ms``)."""
         whole = {"today": 24 * 3_600_000, "yesterday": 48 * 3_600_000}
@@ -226,7 +255,8 @@ class AtomBatchWriter:
 def write_features(features: DataFrame, job: FeatureJob, paths: StreamPaths, part: str) -> None:
     """Write a batch's features, then what the sinks take of them; a replayed batch replaces its own output."""
     path = f"{paths.features}/{part}"
-    features.write.mode("overwrite").parquet(path)
+    with sorted_collections(features.sparkSession):
+        features.write.mode("overwrite").parquet(path)
     if paths.sinks:
         write_sinks(features.sparkSession.read.schema(features.schema).parquet(path), job.compiled, paths.sinks, part, paths.message_rows)
 
@@ -314,22 +344,21 @@ def write_record_files(spark: SparkSession, records: DataFrame, folder: str, chu
     The file source picks files up by modification time; appending the time
     ranges one after another, and reading a chunk's files together, reproduces
     an in-order feed across micro-batches.  Where the condition ``late`` holds (on the
-    record's JSON), a record comes one chunk after its time.  Records are staged
-    once with their time slice, then each slice is copied.
+    record's JSON), a record comes one chunk after its time.  Records are made and staged
+    once with their times, which the slices are cut by; then each slice is copied.
     """
     clock = F.get_json_object("value", "$.ext.eventTime").cast("bigint")
-    staged = records.withColumn("_ms", clock)
-    bounds = staged.agg(F.min("_ms").alias("lo"), F.max("_ms").alias("hi")).first()
-    width = max(1, (bounds.hi - bounds.lo) // chunks + 1)
-    stage = f"{folder}-staging"
     behind = F.lit(0) if late is None else F.when(late, 1).otherwise(0)
-    (staged.withColumn("_slice", F.least(((F.col("_ms") - F.lit(bounds.lo)) / F.lit(width)).cast("int") + behind, F.lit(chunks - 1)))
-     .drop("_ms").write.partitionBy("_slice").parquet(stage))
+    stage = f"{folder}-staging"
+    records.withColumn("_ms", clock).withColumn("_behind", behind).write.parquet(stage)
     staged = spark.read.parquet(stage)
+    bounds = staged.agg(F.min("_ms").alias("lo"), F.max("_ms").alias("hi")).first()
+    width = max(1, (bounds.hi - bounds.lo) // chunks + 1)
+    staged = staged.withColumn("_slice", F.least(((F.col("_ms") - F.lit(bounds.lo)) / F.lit(width)).cast("int") + F.col("_behind"), F.lit(chunks - 1)))
     most = staged.groupBy("_slice").count().agg(F.max("count")).first()[0] or 1
     files = -(-most // ROWS_PER_FILE)
     for i in range(chunks):
-        part = staged.where(F.col("_slice") == i).drop("_slice")
+        part = staged.where(F.col("_slice") == i).drop("_ms", "_behind", "_slice")
         part.repartition(files).write.mode("append").json(folder)
     return files
 
