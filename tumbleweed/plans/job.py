@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tumbleweed.operators.atoms import atom_features
 from tumbleweed.operators.fanout import fan_out
-from tumbleweed.operators.panes import PANE_COLUMNS, PANE_SCHEMA, build_panes, pane_partials, panes_from_partials
+from tumbleweed.operators.panes import ITEM_KINDS, NUMERIC_KINDS, PANE_COLUMNS, PANE_SCHEMA, build_panes, pane_partials, panes_from_partials
 from tumbleweed.operators.rollup import rollup_all
 from tumbleweed.operators.route import route_windowed
 from tumbleweed.plans.compile import CompiledSpecs, compile_specs
@@ -59,8 +59,8 @@ class FeatureJob:
         """Write the pane table and read it back.
 
         The partials feed two branches (numeric rows, and the item kinds'
-        top-K); they are persisted for the duration of the write so the
-        parse, fan-out and route run once, for all cadences.  The written pane
+        top-K); where there are both they are persisted for the duration of the write
+        so the parse, fan-out and route run once, for all cadences.  The written pane
         table is what every roll-up reads: lineage is cut there (a lost
         executor re-reads a table, never re-parses events).
 
@@ -73,9 +73,13 @@ class FeatureJob:
         spark = records.sparkSession
         cs, cadences = self.compiled, cadences or (self.pane_ms,)
         path = self.pane_path or scratch_path(spark, "panes")
-        partials = pane_partials(route_windowed(self.fanned(records), cs, *cadences), cs.kinds_at(*cadences)).persist(StorageLevel.MEMORY_AND_DISK)
+        kinds = cs.kinds_at(*cadences)
+        partials = pane_partials(route_windowed(self.fanned(records), cs, *cadences), kinds)
+        shared = not (kinds <= set(NUMERIC_KINDS) or kinds <= set(ITEM_KINDS))
+        if shared:
+            partials = partials.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            panes = panes_from_partials(partials, cs.max_capacity(), cs.kinds_at(*cadences))
+            panes = panes_from_partials(partials, cs.max_capacity(), kinds)
             if self.pane_path:
                 panes = panes.withColumn("pane_date", F.to_date(F.timestamp_millis(F.col("pane_end_ms") - 1)))
             # a run's own table is read as a whole: a folder for each date would only make small files
@@ -83,7 +87,8 @@ class FeatureJob:
                 (panes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("cadence_ms", "kind", *(["pane_date"] if self.pane_path else [])).parquet(path))
         finally:
-            partials.unpersist()
+            if shared:
+                partials.unpersist()
         panes = spark.read.schema(PANE_SCHEMA + (", pane_date date" if self.pane_path else "")).parquet(path)
         return panes.where(F.col("cadence_ms").isin(*cadences)).select(*PANE_COLUMNS)
 
