@@ -56,7 +56,7 @@ def feature_messages(cells: DataFrame, topic: str = "feature-out") -> DataFrame:
     per_column = (cells.where(F.col("biz_type").isNotNull()).repartition(*keys)
                   .groupBy(*keys, "column").agg(F.max("value").alias("value")))
     grouped = per_column.groupBy(*keys).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("column", "value")))).alias("kv"))
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("column", "value")))).alias("kv"))
     body = F.to_json(F.struct(
         F.col("id"), F.col("id_type").alias("dataType"), F.col("ts"),
         F.col("biz_type").alias("bizType"), F.col("kv")))
@@ -77,10 +77,10 @@ def message_batches(cells: DataFrame, max_rows: int = 100, interval_ms: int = 1_
     before = F.row_number().over(Window.partitionBy(*entity).orderBy("ts", "column", "value")) - 1
     batch = [*entity, "batch", "biz_type"]
     fired = placed.withColumn("batch", F.floor(before / F.lit(max_rows))).where(F.col("biz_type").isNotNull())
-    grouped = fired.groupBy(*batch).agg(F.max("ts").alias("ts"), F.array_sort(F.collect_list(F.struct("column", "ts", "value"))).alias("rows"))
+    grouped = fired.groupBy(*batch).agg(F.max("ts").alias("ts"), F.sort_array(F.collect_list(F.struct("column", "ts", "value"))).alias("rows"))
     # in the order of columns and times: a row counts if the next one is of another column
     last = F.filter("rows", lambda r, i: F.get("rows", i + 1).isNull() | (F.get("rows", i + 1)["column"] != r["column"]))
-    grouped = grouped.withColumn("kv", F.map_from_entries(F.transform(last, lambda r: F.struct(r["column"].alias("column"), r["value"].alias("value")))))
+    grouped = grouped.withColumn("last", last).withColumn("kv", F.map_from_arrays(F.col("last")["column"], F.col("last")["value"]))
     body = F.to_json(F.struct(F.col("id"), F.col("id_type").alias("dataType"), F.col("ts"), F.col("biz_type").alias("bizType"), F.col("kv")))
     return grouped.select(F.lit(topic).alias("topic"), F.col("id").alias("key"), body.alias("value"), "id", "id_type", "biz_type", "ts", "batch", "kv")
 
