@@ -38,7 +38,14 @@ PARTIAL_SCHEMA = ("id string, id_type string, feature string, kind string, sub_k
 
 
 def contributing(routed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Apply the per-kind null / parse rules (P13, D11) and derive the sub key."""
+    """Apply the per-kind null / parse rules (P13, D11) and derive the sub key.
+
+    The values stand behind a one-element ``explode``: the filter stays above it, so a row's
+    look-ups in its event are made once, not again for each condition that reads them.
+    """
+    read = ["val", "grp", "item_ms"]
+    once = F.explode(F.array(F.struct(*read))).alias("_read")
+    routed = routed.select(*[c for c in routed.columns if c not in read], once).select("*", *[F.col("_read")[c].alias(c) for c in read])
     kind, ft, val = F.col("kind"), F.col("field_type"), F.col("val")
     as_long, as_double = val.try_cast("bigint"), val.try_cast("double")
     # SUM skips an unparsable value; MAX / MIN read it as 0
@@ -86,6 +93,13 @@ def partial_aggs():
     return [*_fixed_width_aggs(), F.max("item_ms").alias("item_ms"), F.max("capacity").alias("capacity")]
 
 
+#: What each kind fills of a partial, beside its count.
+_FILLED = {"sum": ("_sum_l", "_sum_d"), "max": ("_max_l", "_max_d"), "min": ("_min_l", "_min_d"),
+           **{k: ("item_ms", "capacity") for k in ITEM_KINDS}}
+_AGGREGATED = ("cnt", "_sum_l", "_max_l", "_min_l", "_sum_d", "_max_d", "_min_d", "item_ms", "capacity")
+_PARTIAL_TYPES = dict(c.split(" ") for c in PARTIAL_SCHEMA.split(", "))
+
+
 def pane_partials(routed: DataFrame, kinds=()) -> DataFrame:
     """Level-1 partials for every kind and cadence in one map-side-combined aggregation.
 
@@ -94,13 +108,22 @@ def pane_partials(routed: DataFrame, kinds=()) -> DataFrame:
     (pane, value, time), SET and LATEST by (pane, value) -- duplicates
     collapse map-side and a hot pane spreads over tasks by value.
 
+    ``kinds`` names the kinds of the rows; without it there may be any.  Columns that none of them
+    fills are null and take no part in the aggregate: its rows and its code grow with the kinds.
+
     Kinds added from outside, if ``kinds`` names any, aggregate apart from these:
     their binary states would take all rows off the hash aggregate.
     """
     added = added_kinds(kinds)
     shared = routed.where(~F.col("kind").isin(*[k.name for k in added])) if added else routed
     rows = contributing(shared).withColumn("pane_end_ms", pane_end_ms(F.col("event_ms"), F.col("cadence_ms")))
-    out = rows.groupBy(*PANE_KEYS, *partial_keys(rows)).agg(*partial_aggs()).withColumn("state", F.lit(None).cast("binary"))
+    builtin = [k for k in kinds if k in NUMERIC_KINDS + ITEM_KINDS] or NUMERIC_KINDS + ITEM_KINDS
+    filled = {"cnt", *[c for k in builtin for c in _FILLED.get(k, ())]}
+    value, time = partial_keys(rows)
+    keyed = {"_v": value if set(builtin) & set(ITEM_KINDS) else None, "_t": time if "list" in builtin else None}
+    aggs = [agg for name, agg in zip(_AGGREGATED, partial_aggs(), strict=True) if name in filled]
+    grouped = rows.groupBy(*PANE_KEYS, *[k for k in keyed.values() if k is not None]).agg(*aggs)
+    out = grouped.select(*PANE_KEYS, *[F.col(c) if c in grouped.columns else F.lit(None).cast(t).alias(c) for c, t in _PARTIAL_TYPES.items() if c not in PANE_KEYS])
     for kind in added:
         out = out.unionByName(_state_partials(routed, kind), allowMissingColumns=True)
     return out
