@@ -83,7 +83,7 @@ class State:
     """A running aggregate of the roll-up: input column, aggregate, and how two results merge."""
 
     value: Column
-    agg: Callable[[str], Column]
+    agg: Callable[[Column], Column]
     merge: Callable[[Column, Column], Column]
 
 
@@ -171,10 +171,19 @@ WHOLE_DAY = -1
 
 
 def _lengths(cs: CompiledSpecs, pane_ms: int, ids, whole_days: bool = False) -> DataFrame:
-    """``(spec_id, window_ms)``: the look-back lengths of these specs, each once; with ``whole_days`` ``WHOLE_DAY`` for those in days."""
-    rows = sorted({(w.spec_id, WHOLE_DAY if w.whole is not None else w.window_ms) for w in cs.rows["windows"]
-                   if w.spec_id in ids and w.cadence_ms == pane_ms and (w.whole is None or whole_days)})
-    return spec_broadcast(literal_table(cs.specs.sparkSession, rows, "spec_id int, window_ms bigint"), len(rows))
+    """``(spec_id, window_ms)``: the look-back lengths of these specs, each once.
+
+    With ``whole_days`` also ``WHOLE_DAY`` for those in days, and ``moves``: whether panes are looked back on from the next block, which
+    ``today`` alone never does.
+    """
+    wins = [w for w in cs.rows["windows"] if w.spec_id in ids and w.cadence_ms == pane_ms and (w.whole is None or whole_days)]
+    length = lambda w: (w.spec_id, WHOLE_DAY if w.whole is not None else w.window_ms)
+    if not whole_days:
+        rows, schema = sorted({length(w) for w in wins}), "spec_id int, window_ms bigint"
+    else:
+        moving = {length(w) for w in wins if w.whole != "today"}
+        rows, schema = sorted({(*length(w), length(w) in moving) for w in wins}), "spec_id int, window_ms bigint, moves boolean"
+    return spec_broadcast(literal_table(cs.specs.sparkSession, rows, schema), len(rows))
 
 
 def _block(t: str) -> Column:
@@ -194,7 +203,8 @@ def _two_blocks(rows: DataFrame, key: list[str], t: str, states: dict[str, State
     up to ``T``.  Both are growing frames inside one block.  Each row
     goes to its own block at ``t`` and to the next one at ``t + w``: there, backwards in
     time, the moved rows seen before ``T`` are those of the block before after ``T - w``.
-    One shuffle serves both frames.
+    One shuffle serves both frames; a row carries each state once, and ``own`` tells which frame it counts in.  Rows with a false
+    ``moves`` (a column only some callers give) go to their own block alone: nothing looks back on them from the next one.
 
     With ``day``, the column of day numbers, rows of length ``WHOLE_DAY`` have days for blocks: they move to the
     end of the next one, so its every row sees the whole day before.  ``follows`` tells whether there is any.
@@ -208,16 +218,18 @@ def _two_blocks(rows: DataFrame, key: list[str], t: str, states: dict[str, State
         block = F.when(whole, F.col(day)).otherwise(block)
         at = F.when(whole & ~own, F.lit(END_OF_BLOCK)).otherwise(at)
     flag = [WANTED] if WANTED in rows.columns else []
-    placed = rows.withColumn("own", F.explode(F.array(F.lit(1), F.lit(0)))).select(
-        *key, "window_ms", (block + moved).alias("b"), at.alias("at"), "own", *flag,
-        *[F.when(own, F.col(k)).alias(f"head_{k}") for k in states], *[F.when(~own, F.col(k)).alias(f"tail_{k}") for k in states])
+    places = F.array(F.lit(1), F.lit(0))
+    if "moves" in rows.columns:
+        places = F.when(F.col("moves"), places).otherwise(F.array(F.lit(1)))
+    placed = rows.withColumn("own", F.explode(places)).select(
+        *key, "window_ms", (block + moved).alias("b"), at.alias("at"), "own", *flag, *states)
     in_block = Window.partitionBy(*keys)
     so_far = in_block.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     # a moved row exactly at T is outside
     backwards = in_block.orderBy(F.desc("at"), F.desc("own")).rowsBetween(Window.unboundedPreceding, 0)
     follows = [] if day is None else [(F.min("own").over(backwards) == 0).alias("follows")]
-    both = placed.select(*keys, "at", "own", *flag, *[v.agg(f"head_{k}").over(so_far).alias(f"head_{k}") for k, v in states.items()],
-                         *[v.agg(f"tail_{k}").over(backwards).alias(f"tail_{k}") for k, v in states.items()], *follows)
+    both = placed.select(*keys, "at", "own", *flag, *[v.agg(F.when(own, F.col(k))).over(so_far).alias(f"head_{k}") for k, v in states.items()],
+                         *[v.agg(F.when(~own, F.col(k))).over(backwards).alias(f"tail_{k}") for k, v in states.items()], *follows)
     kept = both.where(own & F.col(WANTED)) if flag else both.where(own)
     return kept.select(*keys, F.col("at").alias(t), *[f"{part}_{k}" for k in states for part in ("head", "tail")], *(["follows"] if follows else []))
 
