@@ -259,12 +259,15 @@ def retention_ms(cs) -> DataFrame:
     At least one hour, the longest look-back, a day for ``today`` and two
     days for ``yesterday``.
     """
-    whole = (F.when(F.col("whole") == "yesterday", F.lit(48 * 3_600_000))
-             .when(F.col("whole") == "today", F.lit(24 * 3_600_000)))
-    need = F.coalesce(F.col("window_ms"), whole, F.lit(0)).cast("bigint")
-    return (cs.windows.join(cs.specs.select("spec_id", "id_type"), "spec_id")
-            .groupBy("feature", "id_type")
-            .agg(F.greatest(F.max(need), F.lit(3_600_000).cast("bigint")).alias("retention_ms")))
+    whole = {"today": 24 * 3_600_000, "yesterday": 48 * 3_600_000}
+    id_types = {r.spec_id: r.id_type for r in cs.rows["specs"]}
+    kept: dict[tuple, int] = {}
+    for w in cs.rows["windows"]:
+        key = (w.feature, id_types[w.spec_id])
+        kept[key] = max(kept.get(key, 3_600_000), w.window_ms if w.window_ms is not None else whole.get(w.whole, 0))
+    from tumbleweed.plans.compile import literal_table
+
+    return literal_table(cs.specs.sparkSession, sorted((*key, ms) for key, ms in kept.items()), "feature string, id_type string, retention_ms bigint")
 
 
 def retain_panes(panes: DataFrame, cs, as_of_ms, pane_ms: int) -> DataFrame:
