@@ -92,7 +92,7 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
         (acc["at"] + x["g"] + x["c"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"] + x["g"])).alias("starts")), lambda acc: acc["starts"])
     found = found.withColumn("starts", starts)
     # for the neighbourhood: white space before a value as one space, and of a name too long for it the credential word and the sign
-    short = lambda x: F.when(F.length(x) <= NEAR // 2, x).otherwise(F.regexp_replace(
+    short = lambda x: F.when(F.length(x) <= NEAR, x).otherwise(F.regexp_replace(
         F.regexp_replace(x, r"\s+", " "), rf"^[A-Za-z0-9_/+.-]*?({NAMES})[A-Za-z0-9_-]*+([\"'`]?\s*{SIGN}\s*[\"'`]?)$", "$1$2"))
     found = found.withColumn("gap", computed(F.transform("gap", lambda g, i: F.concat(g, short(F.coalesce(F.get("lead", i), F.lit("")))))))
     # a gap and its candidate are four characters or more: so many of them hold the neighbourhood
